@@ -180,6 +180,22 @@ def running_features(
     return work.select(*df.columns, *[f.result(over).alias(f.name) for f in features])
 
 
+def next_value(
+    df: DataFrame, keys, time: str, tie: str, value: str, name: str, policy: SkewPolicy = DEFAULT
+) -> DataFrame:
+    """The value on the key's next row, null on the last one. ``tie`` is a numeric id."""
+    keys = names(keys)
+    if fits_one_task(df, policy):
+        return df.withColumn(name, F.lead(value).over(Window.partitionBy(*keys).orderBy(time, tie)))
+    # the next row is the previous one in reversed order
+    reverse = df.withColumns({"_tm_rt": -micros(time), "_tm_ri": -F.col(tie)})
+    slices = -F.unix_micros(F.date_trunc(policy.unit, F.col(time).cast("timestamp")))
+    found = running_features(
+        reverse, keys, "_tm_rt", "_tm_ri", [previous(name, value)], slice_by=slices, policy=policy
+    )
+    return found.drop("_tm_rt", "_tm_ri")
+
+
 def ordinal(df, keys, time, tie, name="ordinal", policy: SkewPolicy = DEFAULT, slice_by=None) -> DataFrame:
     """1 for the key's first row, 2 for the second, and so on."""
     counted = Past(name, "count", F.lit(1))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.operators.aggregates import Measure, attach_summary, top_value
+from tidemark.operators.history import next_value
+from tidemark.skew import DEFAULT, SkewPolicy
 from tidemark.spans import Span, instant
 
 
@@ -39,11 +38,10 @@ def future_total_label(entities, events, key, time: str, cutoff, span: Span, mea
 
 
 def next_value_label(
-    rows: DataFrame, key: str, time: str, tie: Sequence[str], value: str, name: str
+    rows: DataFrame, key: str, time: str, tie: str, value: str, name: str, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
     """The value on the key's next row; rows without a next one are left out."""
-    order = Window.partitionBy(key).orderBy(time, *tie)
-    return rows.withColumn(name, F.lead(value).over(order)).where(F.col(name).isNotNull())
+    return next_value(rows, key, time, tie, value, name, policy).where(F.col(name).isNotNull())
 
 
 def main_category_label(
