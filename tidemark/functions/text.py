@@ -29,7 +29,8 @@ def keywords_present(text, keywords: Sequence[str]) -> Column:
 
 
 def _whole_words(words: Sequence[str]) -> str:
-    return r"(?i)\b(" + "|".join(re.escape(word) for word in words) + r")\b"
+    # U: letters of every language count as word characters
+    return r"(?iU)\b(" + "|".join(re.escape(word) for word in words) + r")\b"
 
 
 def mentions(text, words: Sequence[str]) -> Column:

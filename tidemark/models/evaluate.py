@@ -10,7 +10,6 @@ from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.operators.history import Past, running_features
 from tidemark.skew import DEFAULT, SkewPolicy
@@ -121,12 +120,19 @@ def regression_quality(scored: DataFrame, label: str, prediction: str) -> DataFr
     )
 
 
-def class_f1(scored: DataFrame, label: str, prediction: str, positive) -> Column:
+def class_f1(label: str, prediction: str, positive) -> Column:
     actual, called = F.col(label) == positive, F.col(prediction) == positive
     right = F.count_if(actual & called)
     return F.coalesce(2.0 * right / F.nullif(F.count_if(actual) + F.count_if(called), F.lit(0)), F.lit(0.0))
 
 
+def minority_f1(scored: DataFrame, label: str, prediction: str) -> DataFrame:
+    """F1 of the rarest class (ties to the smallest), one row."""
+    rarest = scored.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy("n", label).limit(1).select(label).scalar()
+    marked = scored.withColumn("_tm_rarest", rarest)
+    return marked.agg(class_f1(label, prediction, F.col("_tm_rarest")).alias("f1"))
+
+
 class MinorityF1(Evaluator, HasLabelCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
     """F1 of the rarest class, for use in cross-validation."""
 
@@ -137,10 +143,7 @@ class MinorityF1(Evaluator, HasLabelCol, HasPredictionCol, DefaultParamsReadable
 
     def _evaluate(self, dataset: DataFrame) -> float:
         label, prediction = self.getLabelCol(), self.getPredictionCol()
-        order = Window.orderBy("n", "actual")
-        per_class = confusion_counts(dataset, label, prediction).groupBy("actual").agg(F.sum("n").alias("n"))
-        rarest = per_class.withColumn("rank", F.row_number().over(order)).where("rank = 1").select("actual").scalar()
-        return dataset.agg(class_f1(dataset, label, prediction, rarest).alias("f1")).first()["f1"]
+        return minority_f1(dataset, label, prediction).first()["f1"]
 
     def isLargerBetter(self) -> bool:
         return True

@@ -29,9 +29,14 @@ def linear(label: str = "label") -> LinearRegression:
     return LinearRegression(labelCol=label, solver="normal")
 
 
-def ridge(alpha: float, rows: int, label: str = "label") -> LinearRegression:
-    """Penalty alpha on the summed squared error, as a mean-error penalty on unscaled columns."""
-    return LinearRegression(labelCol=label, regParam=alpha / rows, elasticNetParam=0.0, standardization=False)
+def ridge(alpha: float, train: DataFrame, label: str = "label") -> LinearRegression:
+    """Minimises the summed squared error plus alpha × squared coefficients.
+
+    Spark divides its penalty by the rows and by the label's deviation, so both are multiplied back in.
+    """
+    size = train.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("deviation")).first()
+    penalty = alpha * (size["deviation"] or 1.0) / max(size["n"], 1)
+    return LinearRegression(labelCol=label, regParam=penalty, elasticNetParam=0.0, standardization=False, solver="normal")
 
 
 def logistic(rows: int | None = None, c: float = 1.0, label: str = "label", weight: str | None = None) -> LogisticRegression:

@@ -52,7 +52,7 @@ def j2(t: Tables):
 @plan(
     "j3_star_join",
     f"""
-    SELECT r_name, p_type, o_orderpriority, count(*) AS n, {rq('sum(l_extendedprice * (1 - l_discount))', 2)} AS revenue
+    SELECT r_name, p_type, o_orderpriority, count(*) AS n, {rq('sum(l_extendedprice * (1 - l_discount))')} AS revenue
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
     JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     GROUP BY 1, 2, 3
@@ -70,7 +70,7 @@ def j3(t: Tables):
     joined = spread_join(spread_join(items, kinds, "l_partkey", item), bought, "l_orderkey", item)
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return joined.groupBy("r_name", "p_type", "o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n"), r(F.sum(net), 2).alias("revenue")
+        F.count(F.lit(1)).alias("n"), r(F.sum(net)).alias("revenue")
     )
 
 
