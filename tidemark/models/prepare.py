@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.operators.aggregates import exact_quantiles, top_value
-from tidemark.skew import DEFAULT, SkewPolicy
+from tidemark.skew import DEFAULT, SkewPolicy, spread_small
 from tidemark.spans import instant, micros
 
 
@@ -221,9 +221,10 @@ def text_weights(
         F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"([\p{L}\p{N}_]{2,})"), F.lit(1)),
         lambda w: ~w.isin(*stop_words) if stop_words else F.lit(True),
     )
-    counts = (
-        docs.select(doc_id, F.explode(words).alias("term")).groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
-    )
+    # nulls go first, so both uses of the counts below are one and the same shuffle
+    present = spread_small(docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()), doc_id)
+    tokens = present.select(doc_id, F.explode(words).alias("term")).where(F.col("term").isNotNull())
+    counts = tokens.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
     size = docs.agg(F.count(F.lit(1))).scalar()
     vocabulary = (
         counts.groupBy("term")
@@ -234,8 +235,9 @@ def text_weights(
     )
     idf = F.log((1 + size) / (1 + F.col("df"))) + 1
     weighted = counts.join(F.broadcast(vocabulary), "term").withColumn("raw", F.col("tf") * idf)
-    lengths = weighted.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-    return weighted.join(lengths, doc_id).select(doc_id, "term", (F.col("raw") / F.col("length")).alias("weight"))
+    # a document has at most max_features rows here
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc_id)))
+    return weighted.select(doc_id, "term", (F.col("raw") / length).alias("weight"))
 
 
 def top_terms(weights: DataFrame, classes: DataFrame, doc_id: str, label: str, k: int = 5) -> DataFrame:

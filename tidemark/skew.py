@@ -88,3 +88,14 @@ def spread_join(
     )
     right = mark_hot(small, keys, hot).withColumn(SALT, F.explode(copies)).drop(HOT)
     return left.drop(HOT).join(right, [*keys, SALT]).drop(SALT)
+
+
+def spread_small(df: DataFrame, by: str, policy: SkewPolicy = DEFAULT) -> DataFrame:
+    """Deal a small table over all cores before costly per-row work.
+
+    A small file is often a single row group, which one task would read and process alone.
+    Larger inputs already come in many splits and are left as they are.
+    """
+    if not fits_one_task(df, policy):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, by)
