@@ -266,7 +266,9 @@ def neighbours_before(
         return [Past(f"_tm_{side}_s", "sum", F.col(value), 0.0), Past(f"_tm_{side}_n", "count", F.col(value), 0)]
 
     with_group = running_features(df, group, time, tie, states("g"), strictly_earlier=True, policy=policy)
-    both = running_features(with_group, [group, own], time, tie, states("o"), strictly_earlier=True, policy=policy)
+    both = running_features(
+        with_group, [group, own], time, tie, states("o"), strictly_earlier=True, hot_from=df, policy=policy
+    )
     n = F.col("_tm_g_n") - F.col("_tm_o_n")
     s = F.col("_tm_g_s") - F.col("_tm_o_s")
     return both.select(

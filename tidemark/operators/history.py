@@ -7,9 +7,8 @@ slice needs from its neighbours are copied or pre-aggregated. Results are the sa
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,11 +98,11 @@ def _carried(combine: str, state: str, order: Column) -> Column:
     return getattr(F, combine)(state)
 
 
-def _sliced(df: DataFrame, keys: list[str], slice_by: Column, policy: SkewPolicy) -> DataFrame:
+def _sliced(df: DataFrame, keys: list[str], slice_by: Column, source: DataFrame, policy: SkewPolicy) -> DataFrame:
     """Name the slice of each row: null for ordinary keys, ``slice_by`` for hot ones (or with no key)."""
     if not keys:
         return df.withColumn(SLICE, slice_by)
-    marked = mark_hot(df, keys, hot_keys(df, keys, policy))
+    marked = mark_hot(df, keys, hot_keys(source, keys, policy))
     return marked.withColumn(SLICE, F.when(F.col(HOT), slice_by)).drop(HOT)
 
 
@@ -138,11 +137,13 @@ def running_features(
     current_row: bool = False,
     strictly_earlier: bool = False,
     slice_by: Column | None = None,
+    hot_from: DataFrame | None = None,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Add features over the earlier rows of each key, ordered by ``time`` then ``tie``.
 
-    ``current_row`` also counts the row itself. ``strictly_earlier`` leaves out rows at the same time
+    ``hot_from`` is a table to count the keys in when ``df`` itself is costly, such as the scan it comes
+    from. ``current_row`` also counts the row itself. ``strictly_earlier`` leaves out rows at the same time
     instead of ordering them by ``tie``.
     """
     keys, tie = names(keys), names(tie)
@@ -158,7 +159,7 @@ def running_features(
         if slice_by is None:
             start = F.date_trunc(policy.unit, F.col(time).cast("timestamp"))
             slice_by = F.coalesce(start, F.lit(FIRST_INSTANT).cast("timestamp"))
-        work = _sliced(work, keys, slice_by, policy)
+        work = _sliced(work, keys, slice_by, df if hot_from is None else hot_from, policy)
         work = _with_opening_rows(work, keys, [time, *tie], states)
         if strictly_earlier:
             work = work.withColumn(AT, F.coalesce(AT, F.unix_micros(SLICE) - 1))
@@ -183,7 +184,10 @@ def running_features(
 def next_value(
     df: DataFrame, keys, time: str, tie: str, value: str, name: str, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
-    """The value on the key's next row, null on the last one. ``tie`` is a numeric id."""
+    """The value on the key's next row, null on the last one. ``tie`` is a numeric id.
+
+    For several values pass a struct column and unpack it, so the rows are sorted once.
+    """
     keys = names(keys)
     if fits_one_task(df, policy):
         return df.withColumn(name, F.lead(value).over(Window.partitionBy(*keys).orderBy(time, tie)))
@@ -260,6 +264,9 @@ def last_rows_features(
     return added.where(F.col(SLICE) == F.col("_tm_own")).select(*df.columns, *aggregates)
 
 
+DECOMPOSABLE = ("count", "sum", "mean", "min", "max", "std")
+
+
 @dataclass(frozen=True)
 class Trailing:
     """One statistic of a value over a trailing time range."""
@@ -268,7 +275,11 @@ class Trailing:
     kind: str
     value: Column
 
-    DECOMPOSABLE = ("count", "sum", "mean", "min", "max", "std")
+    def column(self, label: str) -> str:
+        return f"{self.name}_{label}" if label else self.name
+
+    def on(self, name: str) -> Trailing:
+        return replace(self, value=F.col(name))
 
     def over(self, frame: WindowSpec) -> Column:
         functions = {
@@ -316,74 +327,81 @@ def trailing_features(
     keys,
     time: str,
     tie,
-    horizon: Offset,
+    horizons: Mapping[str, Offset],
     features: Sequence[Trailing],
     *,
     closed: str = "left",
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """Statistics over the rows of the key in [t - horizon, t) or, with closed='right', (t - horizon, t]."""
+    """Statistics over the rows of the key in [t - horizon, t) or, with closed='right', (t - horizon, t].
+
+    All horizons share one sort. Columns are named feature_horizon. ``tie`` must identify a row.
+    """
     keys, tie = names(keys), names(tie)
-    if horizon.months or horizon.us <= 0 or closed not in ("left", "right"):
-        raise ValueError("horizon must be a positive exact duration, closed 'left' or 'right'")
-    low, high = (-horizon.us, -1) if closed == "left" else (1 - horizon.us, 0)
+    if closed not in ("left", "right") or any(h.months or h.us <= 0 for h in horizons.values()):
+        raise ValueError("horizons must be positive exact durations, closed 'left' or 'right'")
+    shift = 0 if closed == "left" else 1
+    bounds = {label: (shift - h.us, shift - 1) for label, h in horizons.items()}
     if fits_one_task(df, policy):
-        return _range_window(df, keys, time, low, high, features)
+        return _range_windows(df, keys, time, bounds, features)
     marked = mark_hot(df, keys, hot_keys(df, keys, policy))
-    ordinary = _range_window(marked.where(~F.col(HOT)).drop(HOT), keys, time, low, high, features)
+    ordinary = _range_windows(marked.where(~F.col(HOT)).drop(HOT), keys, time, bounds, features)
     hot = marked.where(F.col(HOT)).drop(HOT)
-    simple = [f for f in features if f.kind in Trailing.DECOMPOSABLE]
-    whole = [f for f in features if f.kind not in Trailing.DECOMPOSABLE]
-    heavy = _range_pieces(hot, keys, time, tie, low, high, simple) if simple else hot
-    if whole:
-        heavy = _range_copies(heavy, keys, time, low, high, whole)
+    values = {f.name: f"_tm_x{i}" for i, f in enumerate(features)}
+    slim = hot.select(*keys, *tie, micros(time).alias(AT), *[f.value.alias(values[f.name]) for f in features])
+    simple = [f.on(values[f.name]) for f in features if f.kind in DECOMPOSABLE]
+    whole = [f.on(values[f.name]) for f in features if f.kind not in DECOMPOSABLE]
+    heavy = hot
+    for label, (low, high) in bounds.items():
+        if simple:
+            heavy = heavy.join(_range_pieces(slim, keys, tie, label, low, high, simple), tie)
+        if whole:
+            heavy = heavy.join(_range_copies(slim, keys, tie, label, low, high, whole), tie)
     return ordinary.unionByName(heavy.select(*ordinary.columns))
 
 
-def _range_window(df, keys, time, low, high, features) -> DataFrame:
-    frame = Window.partitionBy(*keys).orderBy(AT).rangeBetween(low, high)
+def _range_windows(df, keys, time, bounds, features) -> DataFrame:
+    by_time = Window.partitionBy(*keys).orderBy(AT)
     timed = df.withColumn(AT, micros(time))
-    return timed.select(*df.columns, *[f.over(frame).alias(f.name) for f in features])
+    added = [
+        f.over(by_time.rangeBetween(low, high)).alias(f.column(label)) for label, (low, high) in bounds.items() for f in features
+    ]
+    return timed.select(*df.columns, *added)
 
 
-def _range_copies(df, keys, time, low, high, features) -> DataFrame:
+def _range_copies(df, keys, tie, label, low, high, features) -> DataFrame:
     """Each row also goes to the next horizon-wide slice, which then holds every frame of its own rows.
 
     Used only for statistics that need the values themselves (median, distinct).
     """
-    width = high - low + 1
-    own = F.floor(F.col(AT) / F.lit(width))
-    copies = (
-        df.withColumn(AT, micros(time))
-        .withColumn("_tm_own", own)
-        .withColumn(SLICE, F.explode(F.array("_tm_own", F.col("_tm_own") + 1)))
-    )
+    own = F.floor(F.col(AT) / F.lit(high - low + 1))
+    copies = df.withColumn("_tm_own", own).withColumn(SLICE, F.explode(F.array("_tm_own", F.col("_tm_own") + 1)))
     frame = Window.partitionBy(*keys, SLICE).orderBy(AT).rangeBetween(low, high)
-    added = copies.select("*", *[f.over(frame).alias(f.name) for f in features])
-    return added.where(F.col(SLICE) == F.col("_tm_own")).select(*df.columns, *[f.name for f in features])
+    added = copies.select("*", *[f.over(frame).alias(f.column(label)) for f in features])
+    return added.where(F.col(SLICE) == F.col("_tm_own")).select(*tie, *[f.column(label) for f in features])
 
 
 CELLS = 32
 
 
-def _range_pieces(df, keys, time, tie, low, high, features) -> DataFrame:
-    """Frames of a dense key put together from three pieces.
+def _range_pieces(df, keys, tie, label, low, high, features) -> DataFrame:
+    """Frames of a dense key put together from three pieces, one row per ``tie``.
 
-    Time is cut into cells, up to 32 to a horizon. A frame is the tail of its first cell, the whole cells in
-    between (pre-aggregated) and the head of its last cell, so no task holds more than a cell of raw rows.
+    Time is cut into cells, up to 32 to a horizon. A frame is the tail of its first cell, the whole cells
+    in between (pre-aggregated) and the head of its last cell, so no task holds more than a cell of raw rows.
     """
     length = high - low + 1
     # cells divide the horizon evenly, so the ones in between lie wholly inside the frame
     between = max((n for n in range(2, CELLS + 1) if length % n == 0), default=0)
     if not between:
-        return _range_copies(df, keys, time, low, high, features)
+        return _range_copies(df, keys, tie, label, low, high, features)
     cell = length // between
     states: dict[str, tuple[Column, str]] = {}
     for feature in features:
         centre = df.agg(F.avg(feature.value)).scalar() if feature.kind == "std" else F.lit(0.0)
         states |= feature.states(centre)
-    timed = df.withColumn(AT, micros(time))
-    data = timed.select(
+    combine = {name: getattr(F, how) for name, (_, how) in states.items()}
+    data = df.select(
         *keys,
         F.lit(None).cast("string").alias("_tm_side"),
         F.floor(F.col(AT) / F.lit(cell)).alias(SLICE),
@@ -392,47 +410,35 @@ def _range_pieces(df, keys, time, tie, low, high, features) -> DataFrame:
     )
     last_cell = F.floor((F.col(AT) + F.lit(high)) / F.lit(cell))
     ends = F.array(
-        F.struct(F.lit("head").alias("side"), last_cell.alias("cell"), (F.col(AT) + F.lit(high)).alias("at")),
-        F.struct(F.lit("tail").alias("side"), (last_cell - between).alias("cell"), (F.col(AT) + F.lit(low)).alias("at")),
-    )
-    probes = timed.select(*keys, *tie, F.struct(*df.columns).alias("_tm_payload"), F.explode(ends).alias("end")).select(
-        *keys,
-        *[F.col(t).alias(f"_tm_t_{t}") for t in tie],
-        F.when(F.col("end.side") == "head", F.col("_tm_payload")).alias("_tm_payload"),
-        F.col("end.side").alias("_tm_side"),
-        F.col("end.cell").alias(SLICE),
-        F.col("end.at").alias(AT),
+        F.struct(F.lit("head").alias("_tm_side"), last_cell.alias(SLICE), (F.col(AT) + F.lit(high)).alias("at")),
+        F.struct(F.lit("tail").alias("_tm_side"), (last_cell - between).alias(SLICE), (F.col(AT) + F.lit(low)).alias("at")),
     )
+    probes = df.select(*keys, *tie, F.inline(ends)).withColumnRenamed("at", AT)
     stream = data.unionByName(probes, allowMissingColumns=True)
     in_cell = Window.partitionBy(*keys, SLICE).orderBy(AT)
     head, tail = in_cell.rangeBetween(Window.unboundedPreceding, 0), in_cell.rangeBetween(0, Window.unboundedFollowing)
+    is_head = F.col("_tm_side") == "head"
     edges = stream.withColumns(
-        {
-            name: F.when(F.col("_tm_side") == "head", getattr(F, how)(name).over(head)).when(
-                F.col("_tm_side") == "tail", getattr(F, how)(name).over(tail)
-            )
-            for name, (_, how) in states.items()
-        }
+        {name: F.when(is_head, how(name).over(head)).otherwise(how(name).over(tail)) for name, how in combine.items()}
     ).where(F.col("_tm_side").isNotNull())
-    per_cell = stream.groupBy(*keys, SLICE).agg(*[getattr(F, how)(name).alias(name) for name, (_, how) in states.items()])
+    per_cell = stream.groupBy(*keys, SLICE).agg(*[how(name).alias(name) for name, how in combine.items()])
     full = Window.partitionBy(*keys).orderBy(SLICE).rangeBetween(1 - between, -1)
     middle = per_cell.select(
-        *keys, SLICE, *[getattr(F, how)(name).over(full).alias(f"{name}_mid") for name, (_, how) in states.items()]
+        *[F.col(k).alias(f"_tm_k_{k}") for k in keys],
+        F.col(SLICE).alias("_tm_cell"),
+        *[how(name).over(full).alias(f"{name}_mid") for name, how in combine.items()],
     )
-    joined = edges.join(middle, [*keys, SLICE])
-    merge = {"sum": lambda a, b: F.coalesce(a + b, a, b), "min": F.least, "max": F.greatest}
-    pieces = joined.withColumns(
-        {
-            name: F.when(F.col("_tm_side") == "head", merge[how](F.col(name), F.col(f"{name}_mid"))).otherwise(F.col(name))
-            for name, (_, how) in states.items()
-        }
-    )
-    ids = [f"_tm_t_{t}" for t in tie]
-    whole = pieces.groupBy(*keys, *ids).agg(
-        F.any_value("_tm_payload", ignoreNulls=True).alias("_tm_payload"),
-        *[getattr(F, how)(name).alias(name) for name, (_, how) in states.items()],
+    match = F.col(SLICE) == F.col("_tm_cell")
+    for key in keys:
+        match = match & F.col(key).eqNullSafe(F.col(f"_tm_k_{key}"))
+    # the head row also brings the cells in between
+    pieces = F.array(
+        F.struct(*[F.col(name) for name in states]),
+        F.struct(*[F.when(is_head, F.col(f"{name}_mid")).alias(name) for name in states]),
     )
-    return whole.select("_tm_payload.*", *[f.result().alias(f.name) for f in features])
+    parts = edges.join(middle, match).select(*tie, F.inline(pieces))
+    whole = parts.groupBy(*tie).agg(*[how(name).alias(name) for name, how in combine.items()])
+    return whole.select(*tie, *[f.result().alias(f.column(label)) for f in features])
 
 
 def latest_known(
@@ -461,8 +467,3 @@ def latest_known(
     )
     kept = found.where(F.col("_tm_rank") == 1)
     return kept.select(*rows.columns, *[F.col(f"_tm_found.{v}").alias(v) for v in [fact_time, *values]])
-
-
-def merge_horizons(parts: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
-    """Join feature tables computed per horizon on the row id."""
-    return reduce(lambda a, b: a.join(b, list(on)), parts)

@@ -172,7 +172,7 @@ def l4(t: Tables):
     "l5_range_history",
     f"""
     SELECT event_id, count(*) OVER h AS n_6h, {rq('avg(value) OVER h')} AS mean_6h, {rq('stddev_samp(value) OVER h')} AS std_6h,
-           count(*) OVER d AS n_72h, {rq('avg(value) OVER d')} AS mean_72h, {rq('stddev_samp(value) OVER d')} AS std_72h,
+           count(DISTINCT event_type) OVER h AS kinds_6h, count(*) OVER d AS n_72h, {rq('avg(value) OVER d')} AS mean_72h, {rq('stddev_samp(value) OVER d')} AS std_72h,
            count(DISTINCT event_type) OVER d AS kinds_72h
     FROM events
     WINDOW h AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING),
@@ -181,11 +181,9 @@ def l4(t: Tables):
 )
 def l5(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts", "value", "event_type")
-    for n in (6, 72):
-        wanted = [h.Trailing(f"n_{n}h" if k == "count" else f"{k}_{n}h", k, F.col("value")) for k in ("count", "mean", "std")]
-        if n == 72:
-            wanted.append(h.Trailing("kinds_72h", "distinct", F.col("event_type")))
-        rows = h.trailing_features(rows, "user_id", "ts", "event_id", hours(n), wanted)
+    wanted = [h.Trailing("n" if k == "count" else k, k, F.col("value")) for k in ("count", "mean", "std")]
+    wanted.append(h.Trailing("kinds", "distinct", F.col("event_type")))
+    rows = h.trailing_features(rows, "user_id", "ts", "event_id", {"6h": hours(6), "72h": hours(72)}, wanted)
     return rounded(rows.drop("user_id", "ts", "value", "event_type"))
 
 

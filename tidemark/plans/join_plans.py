@@ -134,8 +134,8 @@ for _name, (_span, _condition) in EDGE_RULES.items():
 )
 def j6(t: Tables):
     price = F.col("o_totalprice")
-    wanted = [history.Trailing("n_30d", "count", price), history.Trailing("mean_30d", "mean", price)]
-    rows = history.trailing_features(t.orders, "o_custkey", "o_orderdate", "o_orderkey", days(30), wanted)
+    wanted = [history.Trailing("n", "count", price), history.Trailing("mean", "mean", price)]
+    rows = history.trailing_features(t.orders, "o_custkey", "o_orderdate", "o_orderkey", {"30d": days(30)}, wanted)
     return rows.select("o_orderkey", "n_30d", r(F.coalesce("mean_30d", F.lit(0.0))).alias("mean_30d"))
 
 

@@ -120,8 +120,8 @@ def w4(t: Tables):
 )
 def w5(t: Tables):
     value = F.col("value")
-    wanted = [h.Trailing(f"{k}_24h" if k != "count" else "n_24h", k, value) for k in ("count", "sum", "mean", "max")]
-    rows = h.trailing_features(t.events, "user_id", "ts", "event_id", hours(24), wanted)
+    wanted = [h.Trailing("n" if k == "count" else k, k, value) for k in ("count", "sum", "mean", "max")]
+    rows = h.trailing_features(t.events, "user_id", "ts", "event_id", {"24h": hours(24)}, wanted)
     return rows.select("event_id", "n_24h", r(F.coalesce("sum_24h", F.lit(0.0)), 2).alias("sum_24h"), r("mean_24h").alias("mean_24h"), "max_24h")
 
 
@@ -139,9 +139,9 @@ def w6(t: Tables):
 
 @plan("w7_next_row", f"SELECT event_id, lead(event_type) OVER {USER} AS next_type, lead(value) OVER {USER} AS next_value FROM events")
 def w7(t: Tables):
-    rows = h.next_value(t.events, "user_id", "ts", "event_id", "event_type", "next_type")
-    rows = h.next_value(rows, "user_id", "ts", "event_id", "value", "next_value")
-    return rows.select("event_id", "next_type", "next_value")
+    both = t.events.withColumn("both", F.struct("event_type", "value"))
+    rows = h.next_value(both, "user_id", "ts", "event_id", "both", "next")
+    return rows.select("event_id", F.col("next.event_type").alias("next_type"), F.col("next.value").alias("next_value"))
 
 
 @plan(
@@ -229,8 +229,8 @@ def w14(t: Tables):
     """,
 )
 def w15(t: Tables):
-    wanted = [h.Trailing("mean_30d", "mean", F.col("o_totalprice"))]
-    rows = h.trailing_features(t.orders, "o_custkey", "o_orderdate", "o_orderkey", days(30), wanted, closed="right")
+    wanted = [h.Trailing("mean", "mean", F.col("o_totalprice"))]
+    rows = h.trailing_features(t.orders, "o_custkey", "o_orderdate", "o_orderkey", {"30d": days(30)}, wanted, closed="right")
     return rows.select("o_orderkey", r("mean_30d").alias("mean_30d"))
 
 
@@ -293,9 +293,8 @@ def _horizon_sql() -> str:
 @plan("w18_multi_horizon", _horizon_sql())
 def w18(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts", "value")
-    for n in HORIZONS:
-        wanted = [h.Trailing(f"{kind}_{n}h", kind, F.col("value")) for kind in ("mean", "median", "std", "min", "max")]
-        rows = h.trailing_features(rows, "user_id", "ts", "event_id", hours(n), wanted)
+    wanted = [h.Trailing(kind, kind, F.col("value")) for kind in ("mean", "median", "std", "min", "max")]
+    rows = h.trailing_features(rows, "user_id", "ts", "event_id", {f"{n}h": hours(n) for n in HORIZONS}, wanted)
     return rounded(rows.drop("user_id", "ts", "value"))
 
 
@@ -350,7 +349,7 @@ def w21(t: Tables):
 )
 def w22(t: Tables):
     rows = h.running_features(t.events, "user_id", "ts", "event_id", [h.past_count("n")])
-    rows = h.running_features(rows, ["user_id", "event_type"], "ts", "event_id", [h.past_count("n_kind")])
+    rows = h.running_features(rows, ["user_id", "event_type"], "ts", "event_id", [h.past_count("n_kind")], hot_from=t.events)
     return rows.select("event_id", flag(F.col("n") == 0).alias("is_first"), flag(F.col("n_kind") == 0).alias("is_first_of_kind"))
 
 
@@ -371,7 +370,7 @@ def w23(t: Tables):
     sellers = [h.past_count("supplier_prior_n"), h.past_mean("supplier_prior_returns", flag(F.col("l_returnflag") == "R"))]
     tie = names(["l_orderkey", "l_linenumber"])
     rows = h.running_features(t.lineitem, "l_partkey", "l_shipdate", [*tie, "l_suppkey", "l_extendedprice"], parts)
-    rows = h.running_features(rows, "l_suppkey", "l_shipdate", [*tie, "l_partkey", "l_extendedprice"], sellers)
+    rows = h.running_features(rows, "l_suppkey", "l_shipdate", [*tie, "l_partkey", "l_extendedprice"], sellers, hot_from=t.lineitem)
     kept = rows.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
                        "part_prior_n", "part_prior_quantity", "supplier_prior_n", "supplier_prior_returns")
     return rounded(kept)

@@ -32,8 +32,13 @@ DEFAULT = SkewPolicy()
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate: file sizes for scans, an upper bound for filters and aggregates."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Bytes of all tables the query reads, from file sizes.
+
+    Joins are not multiplied out: a row with its looked-up columns still counts as one row. Used only to
+    choose between equal plans, never to decide what may be broadcast.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def fits_one_task(df: DataFrame, policy: SkewPolicy = DEFAULT) -> bool:
