@@ -271,3 +271,13 @@ def test_offsets_reject_calendar_horizons(events):
         h.trailing_features(events, "key", "at", "id", {"m": months(1)}, [h.Trailing("n", "count", F.col("id"))])
     with pytest.raises(ValueError):
         h.trailing_features(events, "key", "at", "id", {"z": Offset()}, [h.Trailing("n", "count", F.col("id"))])
+
+
+def test_all_dense_equals_range_frames(spark, events):
+    wanted = [h.Trailing(k, k, F.col("x")) for k in ("count", "sum", "mean", "min", "max", "std")]
+    columns = ["id", *[f"{k}_w" for k in ("count", "sum", "mean", "min", "max", "std")]]
+    plain = found(h.trailing_features(events, "key", "at", "id", {"w": days(7)}, wanted), *columns)
+    dense = found(h.trailing_features(events, "key", "at", "id", {"w": days(7)}, wanted, all_dense=True, policy=TIGHT), *columns)
+    assert plain.keys() == dense.keys()
+    for key in plain:
+        assert plain[key] == pytest.approx(dense[key])

@@ -135,9 +135,16 @@ def test_class_weights_balance(rows):
     assert weighted[0].w == pytest.approx(weighted[1].w)
 
 
-def test_checkpoint_folder_is_read_from_the_session(spark):
-    spark.conf.set("spark.checkpoint.dir", "/tmp/shared-for-tests")
-    try:
-        assert checkpoint_folder(spark) == "/tmp/shared-for-tests"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+class _Conf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, name, default=None):
+        return self.values.get(name, default)
+
+
+def test_checkpoint_folder_is_read_from_the_session():
+    class Session:
+        conf = _Conf({"spark.checkpoint.dir": "hdfs://shared/folder"})
+
+    assert checkpoint_folder(Session()) == "hdfs://shared/folder"

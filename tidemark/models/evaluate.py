@@ -68,7 +68,7 @@ def _score_steps(scored: DataFrame, label: str, score: str, policy: SkewPolicy)
         F.sum(F.col(label).cast("bigint")).alias("pos"), F.sum(1 - F.col(label).cast("bigint")).alias("neg")
     )
     features = [Past("tp", "sum", F.col("pos"), 0), Past("fp", "sum", F.col("neg"), 0)]
-    cells = F.floor(F.col("_tm_desc") * 4096)
+    cells = F.floor(F.col("_tm_desc") * (1 << 20))
     steps = running_features(per_score, [], "_tm_desc", [], features, current_row=True, slice_by=cells, policy=policy)
     totals = scored.agg(
         F.struct(

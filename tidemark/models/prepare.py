@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, Transformer
@@ -43,7 +43,7 @@ def stratified_split(
     """Add is_test with the same share in every class, to within one row of each class."""
     drawn = df.withColumn("_tm_draw", draw(ids, seed))
     limits = exact_quantiles(drawn, "_tm_draw", [test_share], [label], policy).withColumnRenamed("q0", "_tm_limit")
-    split = drawn.join(F.broadcast(limits), label)
+    split = drawn.join(limits, label)
     return split.withColumn("is_test", (F.col("_tm_draw") <= F.col("_tm_limit")).cast("int")).select(*df.columns, "is_test")
 
 
@@ -73,7 +73,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:
-    return df.join(F.broadcast(class_weights(df, label).drop("n")), label)
+    return df.join(class_weights(df, label).drop("n"), label)
 
 
 def positive_weight(df: DataFrame, label: str) -> DataFrame:
@@ -117,10 +117,17 @@ def ordinal_code(name: str, levels: Sequence[str]) -> Column:
     return F.coalesce(F.array_position(F.array(*[F.lit(v) for v in levels]), F.col(name)) - 1, F.lit(-1)).cast("int")
 
 
-def label_codes(df: DataFrame, name: str) -> DataFrame:
-    """Code per distinct value in alphabetical order; joined back it encodes, read by code it decodes."""
-    levels = df.where(F.col(name).isNotNull()).agg(F.sort_array(F.collect_set(name)).alias("levels"))
-    return levels.select(F.posexplode("levels").alias("code", name))
+def label_codes(df: DataFrame, name: str, limit: int = 10_000) -> DataFrame:
+    """Code per distinct value in alphabetical order; joined back it encodes, read by code it decodes.
+
+    Meant for classes: more than ``limit`` of them is an error.
+    """
+    few = df.select(name).where(F.col(name).isNotNull()).distinct().limit(limit + 1)
+    levels = few.agg(F.sort_array(F.collect_set(name)).alias("levels"))
+    checked = F.when(F.size("levels") <= limit, F.col("levels")).otherwise(
+        F.raise_error(F.lit(f"{name} has more than {limit} classes")).cast("array<string>")
+    )
+    return levels.select(F.posexplode(checked).alias("code", name))
 
 
 def hashed_features(columns: Sequence[str], width: int = 15, output: str = "hashed") -> FeatureHasher:
@@ -247,7 +254,7 @@ def top_terms(weights: DataFrame, classes: DataFrame, doc_id: str, label: str, k
         weights.join(classes.select(doc_id, label), doc_id)
         .groupBy(label, "term")
         .agg(F.sum("weight").alias("_tm_sum"))
-        .join(F.broadcast(size), label)
+        .join(size, label)
         .select(label, "term", (F.col("_tm_sum") / F.col("_tm_docs")).alias("mean_weight"))
     )
     rank = F.row_number().over(Window.partitionBy(label).orderBy(F.desc(F.round("mean_weight", 9)), "term"))
@@ -280,11 +287,3 @@ def f_scores(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
 
 def pipeline(stages: Sequence, model) -> Pipeline:
     return Pipeline(stages=[*stages, model])
-
-
-def indexed_labels(df: DataFrame, name: str) -> Mapping[str, int]:
-    """Class names and codes; a label has few classes, checked before they reach the driver."""
-    rows = label_codes(df, name).limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError(f"{name} has more than 1000 classes")
-    return {row[name]: row["code"] for row in rows}

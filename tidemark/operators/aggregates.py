@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.operators.history import Past, running_features
-from tidemark.skew import DEFAULT, SkewPolicy, fits_one_task, names
+from tidemark.skew import DEFAULT, SkewPolicy, fits_one_task, names, spread_join
 from tidemark.spans import column
 
 
@@ -105,61 +105,86 @@ def group_totals(df: DataFrame, keys, measures: Sequence[Measure]) -> DataFrame:
     return attach_summary(df, df, keys, measures)
 
 
+ACCURACY = 20_000
+SMALL_GROUP = 200_000
+
+
 def exact_quantiles(
     df: DataFrame, value: str, shares: Sequence[float], by=(), policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles as columns q0, q1, … per group.
 
-    Large inputs are reduced to counts per value; positions then come from running counts over value
-    slices, so neither a group nor a column is gathered in one task.
+    On large inputs a mergeable sketch first brackets each quantile; rows below a bracket are only
+    counted, and only the few rows inside one are sorted. No group is gathered in one task.
     """
     by = names(by)
     present = df.select(*by, F.col(value).cast("double").alias("_tm_x")).where(F.col("_tm_x").isNotNull())
-    labels = [f"q{i}" for i in range(len(shares))]
     if fits_one_task(df, policy):
         points = F.percentile("_tm_x", F.array(*[F.lit(float(s)) for s in shares]))
         found = present.groupBy(*by).agg(points.alias("_tm_q"))
-        return found.select(*by, *[F.col("_tm_q")[i].alias(label) for i, label in enumerate(labels)])
-    counts = present.groupBy(*by, "_tm_x").agg(F.count(F.lit(1)).alias("_tm_n"))
-    cuts = df.agg(F.percentile_approx(value, [i / 256 for i in range(1, 256)], 10_000).cast("array<double>")).scalar()
-    # equal-depth value slices from an approximate sketch; only their evenness depends on it
-    slices = counts.withColumn("_tm_cuts", cuts).withColumn(
-        "_tm_cell", F.size(F.filter("_tm_cuts", lambda c: c < F.col("_tm_x")))
+        return found.select(*by, *[F.col("_tm_q")[i].alias(f"q{i}") for i in range(len(shares))])
+    return _bracketed_quantiles(present, [float(s) for s in shares], by, policy)
+
+
+def _bracketed_quantiles(present: DataFrame, shares: list[float], by: list[str], policy: SkewPolicy) -> DataFrame:
+    # the sketch is off by at most 1/ACCURACY of the rows; brackets are three times as wide on each side
+    margin = 3.0 / ACCURACY
+    ends = [min(1.0, max(0.0, s + sign * margin)) for s in shares for sign in (-1, 1)]
+    keys = [f"_tm_b{i}" for i in range(len(by))]
+    rows = present.select(*[F.struct(F.col(b)).alias(k) for b, k in zip(by, keys, strict=True)], "_tm_x") if by else present
+    rows = rows if by else rows.withColumn("_tm_b", F.lit(1))
+    keys = keys or ["_tm_b"]
+    sketch = rows.groupBy(*keys).agg(
+        F.percentile_approx("_tm_x", ends, ACCURACY).alias("_tm_ends"),
+        F.min("_tm_x").alias("_tm_min"),
+        F.max("_tm_x").alias("_tm_max"),
+        F.count(F.lit(1)).alias("_tm_n"),
     )
-    per_cell = slices.groupBy(*by, "_tm_cell").agg(F.sum("_tm_n").alias("_tm_cell_n"))
-    by_cell = Window.partitionBy(*by).orderBy("_tm_cell")
-    offsets = per_cell.select(
-        *by,
-        "_tm_cell",
-        F.coalesce(F.sum("_tm_cell_n").over(by_cell.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_tm_lo"),
-        F.sum("_tm_cell_n").over(Window.partitionBy(*by)).alias("_tm_total"),
+    if by:
+        known = spread_join(rows, sketch, keys, "_tm_x", policy)
+    else:
+        packed = sketch.select(F.struct("_tm_ends", "_tm_min", "_tm_max", "_tm_n")).scalar()
+        known = rows.withColumn("_tm_s", packed).select(*keys, "_tm_x", "_tm_s.*")
+    x, n = F.col("_tm_x"), F.col("_tm_n").cast("double")
+    lows, highs, ranks = [], [], []
+    for i, share in enumerate(shares):
+        at = (n - 1) * F.lit(share)
+        low_rank, high_rank = F.floor(at), F.ceil(at)
+        # a bracket near either end reaches to the extreme value; small groups need no bracket
+        edge = F.greatest(n * F.lit(2 * margin), F.lit(SMALL_GROUP) - n)
+        lows.append(F.when(low_rank <= edge, F.col("_tm_min")).otherwise(F.col("_tm_ends")[2 * i]))
+        highs.append(F.when(high_rank >= n - 1 - edge, F.col("_tm_max")).otherwise(F.col("_tm_ends")[2 * i + 1]))
+        ranks.append((low_rank, high_rank, at - F.floor(at)))
+    below = known.groupBy(*keys).agg(*[F.count_if(x < low).alias(f"_tm_below{i}") for i, low in enumerate(lows)])
+    inside = [
+        F.when(x.between(low, high), F.struct(F.lit(i).alias("_tm_i"), ranks[i][0].alias("_tm_lo"), ranks[i][1].alias("_tm_hi")))
+        for i, (low, high) in enumerate(zip(lows, highs, strict=True))
+    ]
+    picked = known.select(*keys, "_tm_x", F.inline(F.filter(F.array(*inside), lambda e: e.isNotNull())))
+    counts = picked.groupBy(*keys, "_tm_i", "_tm_x").agg(
+        F.count(F.lit(1)).alias("_tm_c"), F.first("_tm_lo").alias("_tm_lo"), F.first("_tm_hi").alias("_tm_hi")
     )
-    in_cell = Window.partitionBy(*by, "_tm_cell").orderBy("_tm_x").rowsBetween(Window.unboundedPreceding, 0)
-    located = slices.withColumn("_tm_run", F.sum("_tm_n").over(in_cell))
-    condition = located["_tm_cell"] == offsets["_tm_cell"]
-    for name in by:
-        condition = condition & located[name].eqNullSafe(offsets[name])
-    placed = located.join(offsets, condition).select(
-        *[located[name] for name in by],
-        "_tm_x",
-        (F.col("_tm_lo") + F.col("_tm_run")).alias("_tm_hi"),
-        (F.col("_tm_lo") + F.col("_tm_run") - F.col("_tm_n")).alias("_tm_from"),
-        "_tm_total",
+    order = Window.partitionBy(*keys, "_tm_i").orderBy("_tm_x").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumn("_tm_to", F.sum("_tm_c").over(order)).join(below, keys)
+    offset = F.element_at(F.array(*[F.col(f"_tm_below{i}") for i in range(len(shares))]), F.col("_tm_i") + 1)
+    until = offset + F.col("_tm_to")
+    start = until - F.col("_tm_c")
+
+    def at_rank(rank: str, i: int) -> Column:
+        holds = (F.col("_tm_i") == i) & (start <= F.col(rank)) & (F.col(rank) < until)
+        return F.max(F.when(holds, F.col("_tm_x")))
+
+    values = placed.groupBy(*keys).agg(
+        *[at_rank("_tm_lo", i).alias(f"_tm_l{i}") for i in range(len(shares))],
+        *[at_rank("_tm_hi", i).alias(f"_tm_h{i}") for i in range(len(shares))],
     )
-    aggregates = []
-    for i, share in enumerate(shares):
-        at = F.col("_tm_total").cast("double") - 1
-        low = F.floor(at * F.lit(float(share)))
-        for part, rank in (("l", low), ("h", F.ceil(at * F.lit(float(share))))):
-            holds = (F.col("_tm_from") <= rank) & (rank < F.col("_tm_hi"))
-            aggregates.append(F.max(F.when(holds, F.col("_tm_x"))).alias(f"_tm_{part}{i}"))
-    picked = placed.groupBy(*by).agg(F.max("_tm_total").alias("_tm_total"), *aggregates)
+    missed = F.raise_error(F.lit("a quantile fell outside its bracket")).cast("double")
+    joined = values.join(sketch.select(*keys, "_tm_n"), keys)
     columns = []
-    for i, share in enumerate(shares):
-        at = (F.col("_tm_total").cast("double") - 1) * F.lit(float(share))
-        low, high = F.col(f"_tm_l{i}"), F.col(f"_tm_h{i}")
-        columns.append((low + (high - low) * (at - F.floor(at))).alias(f"q{i}"))
-    return picked.select(*by, *columns)
+    for i in range(len(shares)):
+        low, high, part = F.col(f"_tm_l{i}"), F.col(f"_tm_h{i}"), ranks[i][2]
+        columns.append(F.coalesce(low + (high - low) * part, missed).alias(f"q{i}"))
+    return joined.select(*[F.col(k)[b].alias(b) for b, k in zip(by, keys, strict=False)], *columns)
 
 
 def thresholds(df: DataFrame, value: str, shares: Sequence[float], *, non_zero: bool = False, policy=DEFAULT) -> list[Column]:

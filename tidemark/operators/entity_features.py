@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,7 +95,8 @@ def anchored_features(
     unit = [key] if unit is None else list(unit)
     anchors = entities.select(*dict.fromkeys([*unit, key]), F.col(anchor).alias("_tm_anchor"))
     pairs = spread_join(events, anchors, key, event_id, policy)
-    summary = windowed_summary(pairs, unit, time, "_tm_anchor", windows, measures)
+    inside = reduce(lambda a, b: a | b, [span.contains(time, "_tm_anchor") for span in windows.values()])
+    summary = windowed_summary(pairs.where(inside), unit, time, "_tm_anchor", windows, measures)
     return fill_defaults(entities.join(summary, unit, "left"), _defaults(windows, measures))
 
 
@@ -125,15 +127,13 @@ def recency(entities: DataFrame, events: DataFrame, key: str, time: str, cutoff,
     return _with_never(entities.join(last, key, "left").withColumn(name, gap).drop("_tm_last"), name, never)
 
 
-def days_to_first(entities: DataFrame, events: DataFrame, key: str, time: str, anchor: str, name: str, never=None) -> DataFrame:
+def days_to_first(
+    entities: DataFrame, events: DataFrame, key: str, time: str, anchor: str, name: str, never=None, policy: SkewPolicy = DEFAULT
+) -> DataFrame:
     """Days from the entity's anchor to its first event at or after it."""
     anchors = entities.select(key, F.col(anchor).alias("_tm_anchor"))
-    first = (
-        events.join(anchors, key)
-        .where(F.col(time) >= instant("_tm_anchor"))
-        .groupBy(key)
-        .agg(F.min(time).alias("_tm_first"))
-    )
+    pairs = spread_join(events.select(key, time), anchors, key, time, policy)
+    first = pairs.where(F.col(time) >= instant("_tm_anchor")).groupBy(key).agg(F.min(time).alias("_tm_first"))
     gap = elapsed_days("_tm_first", anchor)
     return _with_never(entities.join(first, key, "left").withColumn(name, gap).drop("_tm_first"), name, never)
 
@@ -172,7 +172,8 @@ def static_history(
 
 def category_grid(entities: DataFrame, source: DataFrame, category: str, limit: int = 10_000) -> DataFrame:
     """Every entity with every category. The category list is checked to be short and exploded per entity."""
-    levels = source.agg(F.sort_array(F.collect_set(category)).alias("levels"))
+    few = source.select(category).where(F.col(category).isNotNull()).distinct().limit(limit + 1)
+    levels = few.agg(F.sort_array(F.collect_set(category)).alias("levels"))
     checked = levels.select(
         F.when(F.size("levels") <= limit, F.col("levels")).otherwise(
             F.raise_error(F.lit(f"{category} has more than {limit} levels")).cast("array<string>")

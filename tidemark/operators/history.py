@@ -331,11 +331,14 @@ def trailing_features(
     features: Sequence[Trailing],
     *,
     closed: str = "left",
+    all_dense: bool = False,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Statistics over the rows of the key in [t - horizon, t) or, with closed='right', (t - horizon, t].
 
-    All horizons share one sort. Columns are named feature_horizon. ``tie`` must identify a row.
+    All horizons share one sort. Columns are named feature_horizon. ``tie`` must identify a row. A RANGE
+    frame costs its length per row, so keys count as hot earlier here than for running features;
+    ``all_dense`` treats every key so, for long horizons over busy keys such as sensors.
     """
     keys, tie = names(keys), names(tie)
     if closed not in ("left", "right") or any(h.months or h.us <= 0 for h in horizons.values()):
@@ -344,7 +347,11 @@ def trailing_features(
     bounds = {label: (shift - h.us, shift - 1) for label, h in horizons.items()}
     if fits_one_task(df, policy):
         return _range_windows(df, keys, time, bounds, features)
-    marked = mark_hot(df, keys, hot_keys(df, keys, policy))
+    if all_dense:
+        marked = df.withColumn(HOT, F.lit(True))
+    else:
+        early = replace(policy, min_rows=min(policy.min_rows, 100_000), max_hot=max(policy.max_hot, 65_536))
+        marked = mark_hot(df, keys, hot_keys(df, keys, early))
     ordinary = _range_windows(marked.where(~F.col(HOT)).drop(HOT), keys, time, bounds, features)
     hot = marked.where(F.col(HOT)).drop(HOT)
     values = {f.name: f"_tm_x{i}" for i, f in enumerate(features)}
