@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import tune
-from tidemark.skew import names
+from tidemark.session import size_shuffle, tune
+from tidemark.skew import estimated_bytes, names
 from tidemark.spans import column
 
 # Fixed column layouts of the input tables.
@@ -37,7 +37,9 @@ SCHEMAS: dict[str, str] = {
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One declared table; the schema is stated, so no file is opened to infer it."""
-    return tune(spark).read.schema(SCHEMAS[name]).parquet(os.path.join(folder, f"{name}.parquet"))
+    df = tune(spark).read.schema(SCHEMAS[name]).parquet(os.path.join(folder, f"{name}.parquet"))
+    size_shuffle(spark, estimated_bytes(df))
+    return df
 
 
 def register(tables: Mapping[str, DataFrame]) -> None:
