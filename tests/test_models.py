@@ -148,3 +148,9 @@ def test_checkpoint_folder_is_read_from_the_session():
         conf = _Conf({"spark.checkpoint.dir": "hdfs://shared/folder"})
 
     assert checkpoint_folder(Session()) == "hdfs://shared/folder"
+
+
+def test_one_class_has_no_auc(spark):
+    df = spark.createDataFrame([(0, 0.2), (0, 0.7)], "label int, score double")
+    found = evaluate.ranking_quality(df, "label", "score").first()
+    assert found.roc_auc is None and found.average_precision is None

@@ -82,18 +82,19 @@ def _score_steps(scored: DataFrame, label: str, score: str, policy: SkewPolicy)
 
 def roc_points(scored: DataFrame, label: str, score: str, policy: SkewPolicy = DEFAULT) -> DataFrame:
     steps = _score_steps(scored, label, score, policy)
-    return steps.select("threshold", (F.col("fp") / F.col("n")).alias("fpr"), (F.col("tp") / F.col("p")).alias("tpr"))
+    fpr, tpr = (F.col(a) / F.nullif(F.col(b), F.lit(0.0)) for a, b in (("fp", "n"), ("tp", "p")))
+    return steps.select("threshold", fpr.alias("fpr"), tpr.alias("tpr"))
 
 
 def ranking_quality(scored: DataFrame, label: str, score: str, policy: SkewPolicy = DEFAULT) -> DataFrame:
-    """Exact ROC AUC (tied scores count half) and average precision, one row."""
+    """Exact ROC AUC (tied scores count half) and average precision, one row; null where a class is missing."""
     steps = _score_steps(scored, label, score, policy)
     above = F.col("tp") - F.col("pos")
     pairs = F.col("neg") * (above + F.col("pos") / 2.0)
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
     return steps.agg(
-        (F.sum(pairs) / F.first(F.col("p") * F.col("n"))).alias("roc_auc"),
-        (F.sum(precision * F.col("pos")) / F.first("p")).alias("average_precision"),
+        (F.sum(pairs) / F.nullif(F.first(F.col("p") * F.col("n")), F.lit(0.0))).alias("roc_auc"),
+        (F.sum(precision * F.col("pos")) / F.nullif(F.first("p"), F.lit(0.0))).alias("average_precision"),
     )
 
 

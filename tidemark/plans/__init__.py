@@ -11,5 +11,6 @@ from tidemark.plans import (  # noqa: F401
     projection_plans,
     source_plans,
     window_plans,
+    workload_plans,
 )
 from tidemark.plans.registry import PLANS  # noqa: F401

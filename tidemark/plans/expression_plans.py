@@ -10,6 +10,7 @@ from tidemark.functions import values as v
 from tidemark.operators import entity_features as ent
 from tidemark.operators.aggregates import exact_quantiles
 from tidemark.plans.registry import Tables, plan, r, rounded, rq
+from tidemark.skew import spread_join, spread_small
 from tidemark.spans import days, hours, instant, months, weeks
 
 REF = "TIMESTAMP '2024-01-15 12:00:00'"
@@ -151,8 +152,6 @@ def d12(t: Tables):
     """,
 )
 def d13(t: Tables):
-    from tidemark.skew import spread_join
-
     item = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     ordered = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     rows = spread_join(t.lineitem, ordered, "l_orderkey", item)
@@ -248,6 +247,10 @@ def n6(t: Tables):
 WORDS = ["the", "and", "error", "les", "der"]
 
 
+def documents(t: Tables):
+    return spread_small(t.documents, "doc_id")
+
+
 @plan("x1_text_length", "SELECT doc_id, length(text) AS chars FROM documents")
 def x1(t: Tables):
     return t.documents.select("doc_id", text.text_length("text").alias("chars"))
@@ -263,7 +266,7 @@ def x2(t: Tables):
     "SELECT doc_id, " + " + ".join(f"CAST(contains(lower(text), '{w}') AS INTEGER)" for w in WORDS) + " AS n_words FROM documents",
 )
 def x3(t: Tables):
-    return t.documents.select("doc_id", text.keywords_present("text", WORDS).alias("n_words"))
+    return documents(t).select("doc_id", text.keywords_present("text", WORDS).alias("n_words"))
 
 
 # DuckDB's word boundary knows only ASCII letters, so whole words are counted by splitting.
@@ -281,7 +284,7 @@ def x4(t: Tables):
 
 @plan("x5_count_matches", f"SELECT doc_id, {MATCHES} AS n_matches FROM documents")
 def x5(t: Tables):
-    return t.documents.select("doc_id", text.count_matches("text", WORDS).alias("n_matches"))
+    return documents(t).select("doc_id", text.count_matches("text", WORDS).alias("n_matches"))
 
 
 @plan("x6_distinct_list_items", "SELECT p_partkey, len(list_distinct(list_filter(string_split(p_name || ' ' || p_type, ' '), lambda x: x <> ''))) AS n FROM part")
