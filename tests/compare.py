@@ -75,6 +75,8 @@ if __name__ == "__main__":
         for field, value in {"one_task_bytes": 0, "min_rows": 30, "max_hot": 100_000, "salts": 4}.items():
             object.__setattr__(DEFAULT, field, value)
     spark, con = local_session(), connect(folder)
+    if os.environ.get("SPLIT_KEYS"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     bad = 0
     for name, entry in PLANS.items():
         if wanted and not any(name.startswith(w) for w in wanted):

@@ -281,3 +281,16 @@ def test_all_dense_equals_range_frames(spark, events):
     assert plain.keys() == dense.keys()
     for key in plain:
         assert plain[key] == pytest.approx(dense[key])
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(one_task_bytes=0, min_rows=50, max_hot=10, salts=5)])
+def test_left_spread_join_keeps_every_row(spark, policy):
+    rows = [(i, None if i % 4 == 0 else "hot" if i % 4 < 3 else f"k{i}") for i in range(400)]
+    big = spark.createDataFrame(rows, "id bigint, key string")
+    small = spark.createDataFrame([("hot", 1), ("other", 2)], "key string, y int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = found(spread_join(big, small, "key", "id", policy, how="left"), "id", "y")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(joined) == 400 and sum(1 for y in joined.values() if y == 1) == 200

@@ -131,7 +131,7 @@ def test_importances_carry_names(spark, rows):
 
 
 def test_class_weights_balance(rows):
-    weighted = prepare.with_class_weight(rows, "label").groupBy("label").agg(F.sum("weight").alias("w")).collect()
+    weighted = prepare.with_class_weight(rows, "label", "id").groupBy("label").agg(F.sum("weight").alias("w")).collect()
     assert weighted[0].w == pytest.approx(weighted[1].w)
 
 

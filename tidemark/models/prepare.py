@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.operators.aggregates import exact_quantiles, top_value
-from tidemark.skew import DEFAULT, SkewPolicy, spread_small
+from tidemark.skew import DEFAULT, SkewPolicy, spread_join, spread_small
 from tidemark.spans import instant, micros
 
 
@@ -43,8 +43,9 @@ def stratified_split(
     """Add is_test with the same share in every class, to within one row of each class."""
     drawn = df.withColumn("_tm_draw", draw(ids, seed))
     limits = exact_quantiles(drawn, "_tm_draw", [test_share], [label], policy).withColumnRenamed("q0", "_tm_limit")
-    split = drawn.join(limits, label)
-    return split.withColumn("is_test", (F.col("_tm_draw") <= F.col("_tm_limit")).cast("int")).select(*df.columns, "is_test")
+    split = spread_join(drawn, limits, label, ids, policy, how="left", hot_from=df)
+    chosen = F.coalesce((F.col("_tm_draw") <= F.col("_tm_limit")).cast("int"), F.lit(0))
+    return split.withColumn("is_test", chosen).select(*df.columns, "is_test")
 
 
 def chronological_split(
@@ -72,8 +73,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return counts.select(label, "n", (whole["rows"] / (whole["classes"] * F.col("n"))).alias("weight"))
 
 
-def with_class_weight(df: DataFrame, label: str) -> DataFrame:
-    return df.join(class_weights(df, label).drop("n"), label)
+def with_class_weight(df: DataFrame, label: str, ids) -> DataFrame:
+    return spread_join(df, class_weights(df, label).drop("n"), label, ids)
 
 
 def positive_weight(df: DataFrame, label: str) -> DataFrame:
@@ -250,13 +251,9 @@ def text_weights(
 def top_terms(weights: DataFrame, classes: DataFrame, doc_id: str, label: str, k: int = 5) -> DataFrame:
     """The k terms with the highest mean weight per class."""
     size = classes.groupBy(label).agg(F.count(F.lit(1)).alias("_tm_docs"))
-    scored = (
-        weights.join(classes.select(doc_id, label), doc_id)
-        .groupBy(label, "term")
-        .agg(F.sum("weight").alias("_tm_sum"))
-        .join(size, label)
-        .select(label, "term", (F.col("_tm_sum") / F.col("_tm_docs")).alias("mean_weight"))
-    )
+    sums = weights.join(classes.select(doc_id, label), doc_id).groupBy(label, "term").agg(F.sum("weight").alias("_tm_sum"))
+    sized = spread_join(sums, size, label, "term", hot_from=classes)
+    scored = sized.select(label, "term", (F.col("_tm_sum") / F.col("_tm_docs")).alias("mean_weight"))
     rank = F.row_number().over(Window.partitionBy(label).orderBy(F.desc(F.round("mean_weight", 9)), "term"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 

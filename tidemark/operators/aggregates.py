@@ -94,15 +94,31 @@ def fill_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     return df.withColumns(filled) if filled else df
 
 
-def attach_summary(rows: DataFrame, source: DataFrame, keys, measures: Sequence[Measure]) -> DataFrame:
-    """Aggregate ``source`` to the keys first, then join: rows never multiply."""
-    joined = rows.join(summarise(source, keys, measures), names(keys), "left")
+def attach_summary(
+    rows: DataFrame,
+    source: DataFrame,
+    keys,
+    measures: Sequence[Measure],
+    row_id=None,
+    hot_from: DataFrame | None = None,
+    policy: SkewPolicy = DEFAULT,
+) -> DataFrame:
+    """Aggregate ``source`` to the keys first, then join: rows never multiply.
+
+    Without ``row_id`` the rows are entities, one per key. With it a key may have any number of rows, and
+    the rows of a hot key are spread.
+    """
+    summary, keys = summarise(source, keys, measures), names(keys)
+    if row_id is None:
+        joined = rows.join(summary, keys, "left")
+    else:
+        joined = spread_join(rows, summary, keys, row_id, policy, how="left", hot_from=hot_from)
     return fill_defaults(joined, {m.name: m.default for m in measures})
 
 
-def group_totals(df: DataFrame, keys, measures: Sequence[Measure]) -> DataFrame:
+def group_totals(df: DataFrame, keys, measures: Sequence[Measure], row_id, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Whole-group aggregates on every row, without gathering a group in one task."""
-    return attach_summary(df, df, keys, measures)
+    return attach_summary(df, df, keys, measures, row_id, policy=policy)
 
 
 ACCURACY = 20_000
@@ -140,11 +156,13 @@ def _bracketed_quantiles(present: DataFrame, shares: list[float], by: list[str],
         F.max("_tm_x").alias("_tm_max"),
         F.count(F.lit(1)).alias("_tm_n"),
     )
+    # equal values become one counted row, so no value is heavy either
+    counted = rows.groupBy(*keys, "_tm_x").agg(F.count(F.lit(1)).alias("_tm_c"))
     if by:
-        known = spread_join(rows, sketch, keys, "_tm_x", policy)
+        known = spread_join(counted, sketch, keys, "_tm_x", policy, hot_from=rows)
     else:
         packed = sketch.select(F.struct("_tm_ends", "_tm_min", "_tm_max", "_tm_n")).scalar()
-        known = rows.withColumn("_tm_s", packed).select(*keys, "_tm_x", "_tm_s.*")
+        known = counted.withColumn("_tm_s", packed).select(*keys, "_tm_x", "_tm_c", "_tm_s.*")
     x, n = F.col("_tm_x"), F.col("_tm_n").cast("double")
     lows, highs, ranks = [], [], []
     for i, share in enumerate(shares):
@@ -155,17 +173,15 @@ def _bracketed_quantiles(present: DataFrame, shares: list[float], by: list[str],
         lows.append(F.when(low_rank <= edge, F.col("_tm_min")).otherwise(F.col("_tm_ends")[2 * i]))
         highs.append(F.when(high_rank >= n - 1 - edge, F.col("_tm_max")).otherwise(F.col("_tm_ends")[2 * i + 1]))
         ranks.append((low_rank, high_rank, at - F.floor(at)))
-    below = known.groupBy(*keys).agg(*[F.count_if(x < low).alias(f"_tm_below{i}") for i, low in enumerate(lows)])
+    under = [F.sum(F.when(x < low, F.col("_tm_c")).otherwise(F.lit(0))) for low in lows]
+    below = known.groupBy(*keys).agg(*[total.alias(f"_tm_below{i}") for i, total in enumerate(under)])
     inside = [
         F.when(x.between(low, high), F.struct(F.lit(i).alias("_tm_i"), ranks[i][0].alias("_tm_lo"), ranks[i][1].alias("_tm_hi")))
         for i, (low, high) in enumerate(zip(lows, highs, strict=True))
     ]
-    picked = known.select(*keys, "_tm_x", F.inline(F.filter(F.array(*inside), lambda e: e.isNotNull())))
-    counts = picked.groupBy(*keys, "_tm_i", "_tm_x").agg(
-        F.count(F.lit(1)).alias("_tm_c"), F.first("_tm_lo").alias("_tm_lo"), F.first("_tm_hi").alias("_tm_hi")
-    )
+    picked = known.select(*keys, "_tm_x", "_tm_c", F.inline(F.filter(F.array(*inside), lambda e: e.isNotNull())))
     order = Window.partitionBy(*keys, "_tm_i").orderBy("_tm_x").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumn("_tm_to", F.sum("_tm_c").over(order)).join(below, keys)
+    placed = picked.withColumn("_tm_to", F.sum("_tm_c").over(order)).join(below, keys)
     offset = F.element_at(F.array(*[F.col(f"_tm_below{i}") for i in range(len(shares))]), F.col("_tm_i") + 1)
     until = offset + F.col("_tm_to")
     start = until - F.col("_tm_c")
@@ -269,14 +285,16 @@ def above_peer_average(df: DataFrame, key: str, peer: str, value: str) -> DataFr
     """Keys whose total is above the average total of their peers."""
     totals = df.groupBy(key, peer).agg(F.sum(value).alias("total"))
     averages = totals.groupBy(peer).agg(F.avg("total").alias("peer_average"))
-    return totals.join(averages, peer).where(F.col("total") > F.col("peer_average"))
+    return spread_join(totals, averages, peer, key).where(F.col("total") > F.col("peer_average"))
 
 
-def peer_averages(entities: DataFrame, rows: DataFrame, peers: Sequence[str], value: str, names_: Sequence[str], overall: str):
+def peer_averages(
+    entities: DataFrame, key: str, rows: DataFrame, peers: Sequence[str], value: str, columns: Sequence[str], overall: str
+) -> DataFrame:
     """Average of a value per peer group and overall, attached to each entity."""
     joined = entities
-    for peer, name in zip(peers, names_, strict=True):
-        joined = joined.join(rows.groupBy(peer).agg(F.avg(value).alias(name)), peer, "left")
+    for peer, name in zip(peers, columns, strict=True):
+        joined = attach_summary(joined, rows, peer, [mean(name, value)], key, entities)
     return joined.withColumn(overall, rows.agg(F.avg(value)).scalar())
 
 

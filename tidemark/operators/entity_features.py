@@ -156,6 +156,8 @@ def static_history(
     history: DataFrame,
     axes: Sequence[Sequence[str] | str],
     measures: Sequence[Measure],
+    row_id,
+    policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Past rates by several keys (customer, product, category …) attached to later rows.
 
@@ -166,7 +168,7 @@ def static_history(
         keys = names(axis)
         prefix = "_".join(keys)
         renamed = [Measure(f"{prefix}_{m.name}", m.kind, m.value, m.default) for m in measures]
-        joined = attach_summary(joined, history, keys, renamed)
+        joined = attach_summary(joined, history, keys, renamed, row_id, rows, policy)
     return joined
 
 

@@ -345,12 +345,18 @@ def trailing_features(
         raise ValueError("horizons must be positive exact durations, closed 'left' or 'right'")
     shift = 0 if closed == "left" else 1
     bounds = {label: (shift - h.us, shift - 1) for label, h in horizons.items()}
-    if fits_one_task(df, policy):
+    # the cost of a frame per row matters long before a task runs out of room
+    early = replace(
+        policy,
+        one_task_bytes=policy.one_task_bytes // 32,
+        min_rows=min(policy.min_rows, 20_000),
+        max_hot=max(policy.max_hot, 65_536),
+    )
+    if fits_one_task(df, early):
         return _range_windows(df, keys, time, bounds, features)
     if all_dense:
         marked = df.withColumn(HOT, F.lit(True))
     else:
-        early = replace(policy, min_rows=min(policy.min_rows, 100_000), max_hot=max(policy.max_hot, 65_536))
         marked = mark_hot(df, keys, hot_keys(df, keys, early))
     ordinary = _range_windows(marked.where(~F.col(HOT)).drop(HOT), keys, time, bounds, features)
     hot = marked.where(F.col(HOT)).drop(HOT)

@@ -343,7 +343,7 @@ def g22(t: Tables):
     recent = recent.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
     peers = t.customer.select("c_custkey", "c_mktsegment", "c_nationkey")
     rows = spread_join(recent, peers, "c_custkey", "o_orderkey")
-    df = agg.peer_averages(peers, rows, ["c_mktsegment", "c_nationkey"], "o_totalprice", ["segment_mean", "nation_mean"], "overall_mean")
+    df = agg.peer_averages(peers, "c_custkey", rows, ["c_mktsegment", "c_nationkey"], "o_totalprice", ["segment_mean", "nation_mean"], "overall_mean")
     return df.select("c_custkey", *[r(c, 3).alias(c) for c in ("segment_mean", "nation_mean", "overall_mean")])
 
 
@@ -358,7 +358,7 @@ def g22(t: Tables):
 def g23(t: Tables):
     cutoff = instant(F.lit("2000-01-01"))
     before, after = t.orders.where(F.col("o_orderdate") < cutoff), t.orders.where(F.col("o_orderdate") >= cutoff)
-    df = ent.static_history(after, before, ["o_orderpriority"], [agg.count("n"), agg.mean("m", "o_totalprice")])
+    df = ent.static_history(after, before, ["o_orderpriority"], [agg.count("n"), agg.mean("m", "o_totalprice")], "o_orderkey")
     return df.select("o_orderkey", "o_orderpriority_n", r("o_orderpriority_m").alias("o_orderpriority_m"))
 
 

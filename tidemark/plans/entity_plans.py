@@ -211,7 +211,7 @@ def l6(t: Tables):
     past, later = rows.where(F.col("l_shipdate") < cutoff()), rows.where(F.col("l_shipdate") >= cutoff())
     measures = [agg.count("n"), agg.rate("rate", F.col("l_returnflag") == "R", 0.0)]
     axes = ["l_suppkey", "p_brand", "l_partkey"]
-    df = ent.static_history(later, past, axes, measures)
+    df = ent.static_history(later, past, axes, measures, item)
     return df.select(*item, "l_extendedprice", *[f"{a}_n" for a in axes], *[r(f"{a}_rate", 6).alias(f"{a}_rate") for a in axes])
 
 

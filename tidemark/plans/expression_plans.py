@@ -169,7 +169,7 @@ def d13(t: Tables):
 def d14(t: Tables):
     from tidemark.operators.aggregates import group_totals, largest, smallest
 
-    rows = group_totals(t.events, "user_id", [smallest("first_at", "ts"), largest("last_at", "ts")])
+    rows = group_totals(t.events, "user_id", [smallest("first_at", "ts"), largest("last_at", "ts")], "event_id")
     position, length = d.campaign_position("ts", "first_at", "last_at")
     return rows.select("event_id", position.alias("days_in"), length.alias("total_days"))
 

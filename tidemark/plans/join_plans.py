@@ -84,7 +84,7 @@ def j3(t: Tables):
 )
 def j4(t: Tables):
     usual = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(F.avg("l_quantity").alias("usual"))
-    joined = t.lineitem.join(usual, ["l_partkey", "l_suppkey"])
+    joined = spread_join(t.lineitem, usual, ["l_partkey", "l_suppkey"], ["l_orderkey", "l_linenumber"])
     return joined.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         r(F.col("l_quantity") - F.col("usual")).alias("above_usual"),
@@ -153,7 +153,7 @@ def j7(t: Tables):
     orders = t.orders.withColumnRenamed("o_custkey", "c_custkey")
     own = agg.attach_summary(t.customer, orders, "c_custkey", [agg.count("n"), agg.total("s", "o_totalprice")])
     whole = own.groupBy("c_mktsegment").agg(F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))
-    joined = own.join(whole, "c_mktsegment")
+    joined = spread_join(own, whole, "c_mktsegment", "c_custkey")
     others = F.col("all_n") - F.col("n")
     mean = (F.col("all_s") - F.col("s")) / F.nullif(others, F.lit(0))
     return joined.select("c_custkey", others.alias("others_n"), r(mean, 2).alias("others_mean"))

@@ -21,6 +21,7 @@ from tidemark.plans.entity_plans import CUT, cutoff, orders_by_customer
 from tidemark.plans.label_plans import NEXT_90
 from tidemark.plans.projection_plans import SPARSE_SQL, sparse
 from tidemark.plans.registry import Tables, plan, r, rounded, rq
+from tidemark.skew import spread_join
 from tidemark.spans import Span, days
 
 NUMBERS = ["c_acctbal", "n_90d", "n_365d", "spend_365d", "days_since_last"]
@@ -132,8 +133,8 @@ def m5(t: Tables):
 )
 def m6(t: Tables):
     codes = prepare.label_codes(t.customer, "c_mktsegment")
-    encoded = t.customer.join(codes, "c_mktsegment").select("c_custkey", "code")
-    return encoded.join(codes, "code").select("c_custkey", "code", F.col("c_mktsegment").alias("decoded"))
+    encoded = spread_join(t.customer, codes, "c_mktsegment", "c_custkey").select("c_custkey", "code")
+    return spread_join(encoded, codes, "code", "c_custkey").select("c_custkey", "code", F.col("c_mktsegment").alias("decoded"))
 
 
 @plan("m7_hashed_features")
@@ -420,7 +421,7 @@ def m23_positive(t: Tables):
 
 @plan("m23_weighted_forest")
 def m23_forest(t: Tables):
-    weighted = prepare.with_class_weight(customer_table(t), "label")
+    weighted = prepare.with_class_weight(customer_table(t), "label", "c_custkey")
     fit_rows, test_rows = split(weighted)
     model = train.forest(trees=10, weight="weight")
     scored = prepare.pipeline(matrix(), model).fit(fit_rows).transform(test_rows)

@@ -34,7 +34,7 @@ def over_events(t: Tables, features, **options):
     """,
 )
 def w1(t: Tables):
-    rows = agg.group_totals(t.orders, "o_custkey", [agg.count("n"), agg.total("total", "o_totalprice")])
+    rows = agg.group_totals(t.orders, "o_custkey", [agg.count("n"), agg.total("total", "o_totalprice")], "o_orderkey")
     return rows.select("o_orderkey", "n", r("total", 2).alias("total"), r(F.col("o_totalprice") / F.col("total"), 6).alias("share"))
 
 

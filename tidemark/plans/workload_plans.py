@@ -252,7 +252,7 @@ def booking_demand_table(t: Tables):
     main = agg.top_value(past, "user_id", "event_type", "main_type")
     df = df.join(main, "user_id")
     peers = spread_join(past, main, "user_id", "event_id").groupBy("main_type").agg(F.avg("value").alias("peer_mean"))
-    df = df.join(peers, "main_type")
+    df = spread_join(df, peers, "main_type", "user_id")
     df = labels.future_total_label(df, t.events, "user_id", "ts", cutoff, Span(days(0), None, "both"), agg.mean("next_mean", "value"))
     change = F.col("next_mean") / F.nullif(F.col("mean_21d"), F.lit(0.0))
     demand = choose([(change >= 1.2, "up"), (change >= 0.8, "flat"), (F.col("next_mean").isNull(), "none")], "down")
@@ -288,7 +288,7 @@ def delay_table(t: Tables):
         F.count(F.lit(1)).alias("day_errors")
     )
     df = rows.join(kinds.select("event_id", "kind_mean"), "event_id").withColumn("day", F.to_date("ts"))
-    df = df.join(errors, ["event_type", "day"], "left")
+    df = spread_join(df, errors, ["event_type", "day"], "event_id", how="left", hot_from=t.events.withColumn("day", F.to_date("ts")))
     return df.select(
         "event_id", F.hour("ts").alias("hour"), d.weekday_sunday0("ts").alias("weekday"), "user_n",
         r(F.coalesce("user_mean", F.lit(-1.0))).alias("user_mean"), r(F.coalesce("kind_mean", F.lit(-1.0))).alias("kind_mean"),

@@ -71,28 +71,41 @@ def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     return marked.drop(*[f"_tm_h_{k}" for k in keys]).withColumn(HOT, F.coalesce(HOT, F.lit(False)))
 
 
+def _spark_will_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's upper size bound is under the session's own broadcast threshold."""
+    limit = df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def spread_join(
     big: DataFrame,
     small: DataFrame,
     keys: str | Sequence[str],
     spread_by: str | Sequence[str],
     policy: SkewPolicy = DEFAULT,
+    *,
+    how: str = "inner",
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Inner equi-join in which a hot key of ``big`` is dealt over ``salts`` tasks.
+    """Inner or left equi-join in which a hot key of ``big`` is dealt over ``salts`` tasks.
 
-    Only the rows of ``small`` that match a hot key are copied, once per salt.
+    Only the rows of ``small`` that match a hot key are copied, once per salt. ``spread_by`` tells the rows
+    of a key apart. ``hot_from`` is a table to count the keys in when ``big`` itself is costly. Spark's own
+    skew handling does not split a join whose other side is an aggregate, which is the usual case here.
     """
     keys = names(keys)
-    if fits_one_task(big, policy):
-        return big.join(small, keys)
-    hot = hot_keys(big, keys, policy)
+    if how not in ("inner", "left"):
+        raise ValueError("only inner and left joins can be spread")
+    if fits_one_task(big, policy) or _spark_will_broadcast(small):
+        return big.join(small, keys, how)
+    hot = hot_keys(big if hot_from is None else hot_from, keys, policy)
     dealt = F.pmod(F.xxhash64(*names(spread_by)), F.lit(policy.salts))
     left = mark_hot(big, keys, hot).withColumn(SALT, F.when(F.col(HOT), dealt).otherwise(F.lit(0).cast("bigint")))
     copies = F.when(F.col(HOT), F.sequence(F.lit(0).cast("bigint"), F.lit(policy.salts - 1).cast("bigint"))).otherwise(
         F.array(F.lit(0).cast("bigint"))
     )
     right = mark_hot(small, keys, hot).withColumn(SALT, F.explode(copies)).drop(HOT)
-    return left.drop(HOT).join(right, [*keys, SALT]).drop(SALT)
+    return left.drop(HOT).join(right, [*keys, SALT], how).drop(SALT)
 
 
 def spread_small(df: DataFrame, by: str, policy: SkewPolicy = DEFAULT) -> DataFrame:
