@@ -41,7 +41,7 @@ def test_ridge_equals_closed_form(spark, rows):
 
 def test_logistic_has_zero_gradient_at_its_penalty(rows):
     stages = prepare.matrix_stages(["a", "b"], scale=False)
-    fitted = prepare.pipeline(stages, train.logistic(200, c=0.5).setTol(1e-10)).fit(rows)
+    fitted = prepare.pipeline(stages, train.logistic(rows, c=0.5).setTol(1e-10)).fit(rows)
     w, w0 = fitted.stages[-1].coefficients.toArray(), fitted.stages[-1].intercept
     pdf = rows.toPandas()
     x, y = pdf[["a", "b"]].to_numpy(), pdf["label"].to_numpy()

@@ -39,11 +39,13 @@ def ridge(alpha: float, train: DataFrame, label: str = "label") -> LinearRegress
     return LinearRegression(labelCol=label, regParam=penalty, elasticNetParam=0.0, standardization=False, solver="normal")
 
 
-def logistic(rows: int | None = None, c: float = 1.0, label: str = "label", weight: str | None = None) -> LogisticRegression:
-    """L2 logistic regression; strength c is per data set, hence divided by the rows."""
+def logistic(
+    train: DataFrame | None = None, c: float = 1.0, label: str = "label", weight: str | None = None
+) -> LogisticRegression:
+    """Logistic regression; with training rows, an L2 penalty of strength c over the whole data set."""
     model = LogisticRegression(labelCol=label, maxIter=100, elasticNetParam=0.0, standardization=False)
-    if rows:
-        model = model.setRegParam(1.0 / (c * rows))
+    if train is not None:
+        model = model.setRegParam(1.0 / (c * max(train.count(), 1)))
     return model.setWeightCol(weight) if weight else model
 
 

@@ -192,8 +192,9 @@ def next_value(
     if fits_one_task(df, policy):
         return df.withColumn(name, F.lead(value).over(Window.partitionBy(*keys).orderBy(time, tie)))
     # the next row is the previous one in reversed order
-    reverse = df.withColumns({"_tm_rt": -micros(time), "_tm_ri": -F.col(tie)})
-    slices = -F.unix_micros(F.date_trunc(policy.unit, F.col(time).cast("timestamp")))
+    last = F.lit(1 << 62)
+    reverse = df.withColumns({"_tm_rt": F.coalesce(-micros(time), last), "_tm_ri": -F.col(tie)})
+    slices = F.coalesce(-F.unix_micros(F.date_trunc(policy.unit, F.col(time).cast("timestamp"))), last)
     found = running_features(
         reverse, keys, "_tm_rt", "_tm_ri", [previous(name, value)], slice_by=slices, policy=policy
     )

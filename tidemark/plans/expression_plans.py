@@ -8,7 +8,7 @@ from tidemark.functions import bins, text
 from tidemark.functions import dates as d
 from tidemark.functions import values as v
 from tidemark.operators import entity_features as ent
-from tidemark.operators.aggregates import exact_quantiles
+from tidemark.operators.aggregates import exact_quantiles, group_totals, largest, smallest
 from tidemark.plans.registry import Tables, plan, r, rounded, rq
 from tidemark.skew import spread_join, spread_small
 from tidemark.spans import days, hours, instant, months, weeks
@@ -167,8 +167,6 @@ def d13(t: Tables):
     """,
 )
 def d14(t: Tables):
-    from tidemark.operators.aggregates import group_totals, largest, smallest
-
     rows = group_totals(t.events, "user_id", [smallest("first_at", "ts"), largest("last_at", "ts")], "event_id")
     position, length = d.campaign_position("ts", "first_at", "last_at")
     return rows.select("event_id", position.alias("days_in"), length.alias("total_days"))

@@ -6,7 +6,7 @@ from functools import partial
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import PolynomialExpansion, StopWordsRemover, VectorAssembler
+from pyspark.ml.feature import Imputer, PolynomialExpansion, StopWordsRemover, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,8 +68,6 @@ def matrix(**options) -> list:
     """,
 )
 def m1(t: Tables):
-    from pyspark.ml.feature import Imputer
-
     known = sparse(t).join(t.customer.select("c_custkey", "c_mktsegment"), "c_custkey")
     df = known.withColumn("segment", F.when(F.col("urgent").isNotNull(), F.col("c_mktsegment"))).drop("c_mktsegment")
     df = Imputer(inputCols=["urgent"], outputCols=["by_mean"], strategy="mean").fit(df).transform(df)
@@ -201,7 +199,7 @@ def m9_classifier(t: Tables):
     rows = t.documents.select("doc_id", "text").join(t.labels, "doc_id").withColumn("label", F.col("quality").cast("double"))
     rows = rows.persist()
     stages = prepare.text_stages("text", output="features")
-    scored = prepare.pipeline(stages, train.logistic(rows.count())).fit(rows).transform(rows)
+    scored = prepare.pipeline(stages, train.logistic(rows)).fit(rows).transform(rows)
     return train.positive_score(scored).select("doc_id", "label", "prediction", r("score", 5).alias("score"))
 
 
@@ -229,7 +227,7 @@ def m10(t: Tables):
 
 
 @plan(
-    "m11_column_pipeline",
+    "m11_column_stages",
     f"""
     WITH {SPARSE_SQL}, x AS (SELECT c_custkey, c_mktsegment, coalesce(urgent, (SELECT avg(urgent) FROM sparse)) AS u FROM sparse JOIN customer USING (c_custkey)),
     s AS (SELECT avg(u) AS m, stddev_samp(u) AS d FROM x)
@@ -284,48 +282,48 @@ def m13_ridge(t: Tables):
     return t.lineitem.agg(r(F.first(F.lit(float(model.coefficients[0]))), 3).alias("slope"))
 
 
-def scored_customers(model, t: Tables, label: str = "label", **options):
-    df = customer_table(t)
-    fit_rows, test_rows = split(df, label)
-    fitted = prepare.pipeline(matrix(**options), model).fit(fit_rows)
+def scored_customers(make, t: Tables, label: str = "label"):
+    """Fit make(training rows) on 70% of the customers and score the rest."""
+    fit_rows, test_rows = split(customer_table(t), label)
+    fitted = prepare.pipeline(matrix(), make(fit_rows)).fit(fit_rows)
     return fitted, fitted.transform(test_rows)
 
 
 @plan("m14_logistic_regression")
 def m14(t: Tables):
-    _, scored = scored_customers(train.logistic(1000), t)
+    _, scored = scored_customers(train.logistic, t)
     return train.positive_score(scored).select("c_custkey", "label", "prediction", r("score", 5).alias("score"))
 
 
 @plan("m14_logistic_classes")
 def m14_classes(t: Tables):
-    _, scored = scored_customers(train.logistic(1000, label="tier"), t, "tier")
+    _, scored = scored_customers(partial(train.logistic, label="tier"), t, "tier")
     probability = train.with_probabilities(scored)
     return probability.select("c_custkey", "tier", "prediction", *[r(F.col("probabilities")[i], 5).alias(f"p{i}") for i in range(3)])
 
 
 @plan("m15_random_forest")
 def m15(t: Tables):
-    _, scored = scored_customers(train.forest(trees=20), t)
+    _, scored = scored_customers(lambda _: train.forest(trees=20), t)
     return train.positive_score(scored).select("c_custkey", "label", "prediction", r("score", 5).alias("score"))
 
 
 @plan("m16_boosted_trees")
 def m16(t: Tables):
-    _, scored = scored_customers(train.boosted(rounds=10, subsample=0.8), t)
+    _, scored = scored_customers(lambda _: train.boosted(rounds=10, subsample=0.8), t)
     return train.positive_score(scored).select("c_custkey", "label", "prediction", r("score", 5).alias("score"))
 
 
 @plan("m16_boosted_classes")
 def m16_classes(t: Tables):
-    _, scored = scored_customers(train.boosted_classes("tier", rounds=5), t, "tier")
+    _, scored = scored_customers(lambda _: train.boosted_classes("tier", rounds=5), t, "tier")
     probability = train.with_probabilities(scored)
     return probability.select("c_custkey", "tier", "prediction", *[r(F.col("probabilities")[i], 5).alias(f"p{i}") for i in range(3)])
 
 
 @plan("m17_boosted_regressor")
 def m17(t: Tables):
-    fitted, scored = scored_customers(train.boosted_regressor("next_spend", rounds=10), t)
+    fitted, scored = scored_customers(lambda _: train.boosted_regressor("next_spend", rounds=10), t)
     return scored.select("c_custkey", r("next_spend", 2).alias("next_spend"), r("prediction", 2).alias("prediction"))
 
 
@@ -363,7 +361,7 @@ def _result(t: Tables, names: list[str], rows: list[tuple], types: str) -> DataF
 @plan("m20_cross_validation")
 def m20(t: Tables):
     df = customer_table(t)
-    pipeline = prepare.pipeline(matrix(), train.logistic(1000))
+    pipeline = prepare.pipeline(matrix(), train.logistic(df))
     found = train.cross_validate(df, ["c_custkey"], pipeline, BinaryClassificationEvaluator(), k=5)
     return _result(t, ["measure", "mean", "std"], [("areaUnderROC", found.avgMetrics[0], found.stdMetrics[0])], "string double double")
 
@@ -384,7 +382,7 @@ def m21(t: Tables):
 @plan("m21_model_families")
 def m21_families(t: Tables):
     df = customer_table(t)
-    families = {"logistic": train.logistic(1000), "forest": train.forest(trees=10), "boosted": train.boosted(rounds=5)}
+    families = {"logistic": train.logistic(df), "forest": train.forest(trees=10), "boosted": train.boosted(rounds=5)}
     rows = []
     for name, model in families.items():
         found = train.cross_validate(df, ["c_custkey"], prepare.pipeline(matrix(), model), BinaryClassificationEvaluator(), k=3)
@@ -560,13 +558,13 @@ def m30(t: Tables):
 
 @plan("m31_feature_importances")
 def m31(t: Tables):
-    fitted, scored = scored_customers(train.forest(trees=10), t)
+    fitted, scored = scored_customers(lambda _: train.forest(trees=10), t)
     return evaluate.feature_weights(t.spark, scored, fitted.stages[-1].featureImportances.toArray())
 
 
 @plan("m31_coefficients")
 def m31_coefficients(t: Tables):
-    fitted, scored = scored_customers(train.logistic(1000), t)
+    fitted, scored = scored_customers(train.logistic, t)
     return evaluate.feature_weights(t.spark, scored, fitted.stages[-1].coefficients.toArray())
 
 
@@ -587,13 +585,13 @@ def m32(t: Tables):
     return fitted.transform(calendar(grid)).select("event_type", F.col("day").cast("string").alias("day"), r("prediction", 3).alias("prediction"))
 
 
-@plan("m33_compare_pipelines")
+@plan("m33_compare_encodings")
 def m33(t: Tables):
     df = customer_table(t)
     fit_rows, test_rows = split(df)
     named = {
-        "onehot": prepare.pipeline(matrix(encode="onehot"), train.logistic(1000)),
-        "ordinal": prepare.pipeline(matrix(encode="ordinal"), train.logistic(1000)),
+        "onehot": prepare.pipeline(matrix(encode="onehot"), train.logistic(fit_rows)),
+        "ordinal": prepare.pipeline(matrix(encode="ordinal"), train.logistic(fit_rows)),
     }
 
     def measure(scored):

@@ -138,11 +138,11 @@ def s7(t: Tables):
     )
 
 
-@plan("s8_save_reload_pipeline")
+@plan("s8_save_reload_model")
 def s8(t: Tables):
     rows = t.orders.withColumn("label", (F.col("o_orderstatus") == "F").cast("double"))
     stages = prepare.matrix_stages(["o_totalprice"], ["o_orderpriority"])
-    fitted = prepare.pipeline(stages, train.logistic()).fit(rows)
+    fitted = prepare.pipeline(stages, train.logistic(rows)).fit(rows)
     path = fresh_path(t, "model")
     train.save(fitted, path)
     scored = train.positive_score(train.reload(path).transform(rows))

@@ -8,6 +8,7 @@ from tidemark.functions.dates import elapsed_days, elapsed_seconds
 from tidemark.functions.values import flag, safe_ratio, smoothed_ratio
 from tidemark.operators import aggregates as agg
 from tidemark.operators import history as h
+from tidemark.operators.entity_features import mean_gap, newest_rows
 from tidemark.plans.registry import Tables, plan, r, rounded, rq
 from tidemark.skew import names
 from tidemark.spans import days, hours, instant
@@ -165,8 +166,6 @@ def w8(t: Tables):
     """,
 )
 def w9(t: Tables):
-    from tidemark.operators.entity_features import newest_rows
-
     return newest_rows(t.events, "user_id", "ts", "event_id").select("user_id", "event_id", "event_type", "value")
 
 
@@ -183,7 +182,7 @@ def w11(t: Tables):
 @plan(
     "w12_distinct_before",
     f"""
-    SELECT event_id, (SELECT 0) + count(DISTINCT event_type) OVER {PRIOR_USER} AS kinds_before FROM events
+    SELECT event_id, count(DISTINCT event_type) OVER {PRIOR_USER} AS kinds_before FROM events
     """,
 )
 def w12(t: Tables):
@@ -307,8 +306,6 @@ def w18(t: Tables):
     """,
 )
 def w19(t: Tables):
-    from tidemark.operators.entity_features import mean_gap
-
     early = t.events.where(F.col("ts") < instant(F.lit("2024-01-15")))
     gaps = mean_gap(early, "user_id", "ts", "mean_gap_seconds")
     return gaps.select("user_id", r("mean_gap_seconds", 3).alias("mean_gap_seconds"))
