@@ -225,7 +225,7 @@ def j11(t: Tables):
 @plan(
     "j11_as_of_per_row",
     f"""
-    SELECT p.event_id, {rq('s.value')} AS signup_value, {rq('epoch_us(p.ts) / 1e6 - epoch_us(s.ts) / 1e6', 3)} AS seconds_since
+    SELECT p.event_id, {rq('s.value')} AS signup_value, {rq('(epoch_us(p.ts) - epoch_us(s.ts)) / 1e6', 3)} AS seconds_since
     FROM events p ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup') s
       ON p.user_id = s.user_id AND p.ts >= s.ts
     WHERE p.event_type = 'purchase'
