@@ -194,7 +194,8 @@ def join_ngrams(
     placed = settle(sizes.join(settle(groups, "groups"), "group").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int")), "placed")
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("_key", F.xxhash64("text"))
     wanted = placed.select("rep", "group", "members", "blocks", "block", F.col("least.doc_id").alias("_w"), F.col("least.text_key").alias("_t"))
-    found = texts.join(wanted, texts["_id"].eqNullSafe(wanted["_w"]) & (texts["_key"] == wanted["_t"])).select("rep", "group", "members", "blocks", "block", "text")
+    # merged at every size, so that small inputs show how large ones run
+    found = texts.join(wanted.hint("merge"), texts["_id"].eqNullSafe(wanted["_w"]) & (texts["_key"] == wanted["_t"])).select("rep", "group", "members", "blocks", "block", "text")
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler(n)
@@ -246,9 +247,10 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
 
     Of rows equal in doc_id and text one stays.
     """
-    kept = join_ngrams(docs, **options).where("keep").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    kept = settle(kept.distinct(), "kept")
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("_doc_key", F.col("doc_id").cast("long"))
-    matched = keyed.join(kept, keyed["_doc_key"].eqNullSafe(kept["_id"]) & (keyed["_text_key"] == kept["_key"]))
-    worded = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return matched.where(worded).dropDuplicates(["_doc_key", "_text_key"]).unionByName(matched.where(~F.coalesce(worded, F.lit(False)))).select(docs.columns)
+    kept = join_ngrams(docs, **options).where("keep").select("text_key", F.xxhash64("doc_id").alias("id_key"))
+    kept = settle(kept.distinct().select(F.col("text_key").alias("_text_key"), F.col("id_key").alias("_id_key")), "kept")
+    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("_id_key", F.xxhash64(F.col("doc_id").cast("long")))
+    matched = keyed.join(kept.hint("merge"), ["_text_key", "_id_key"])
+    # rows with words are one per key; those without stand for themselves
+    alone = F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
+    return matched.withColumn("_alone", alone).dropDuplicates(["_text_key", "_id_key", "_alone"]).select(docs.columns)
