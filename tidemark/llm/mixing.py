@@ -120,7 +120,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     copies = F.floor(F.col("taken") / F.col("size") + 0.5)
     wanted = mix_sources(docs, **options).where("size > 0").groupBy(F.col("doc_id").alias("_id"), F.col("order_key").alias("_key"))
     wanted = settle(wanted.agg(F.ceil(F.sum(copies) / F.count(F.lit(1))).cast("int").alias("_copies")).where("_copies > 0"), "copies")
-    keyed = docs.withColumn("_key", F.xxhash64(F.lit(seed), "doc_id", "text"))
+    # the row travels as one struct, so its columns may have any names
+    keyed = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(F.lit(seed), "doc_id", "text").alias("key"))
     # merged at every size, so that small inputs show how large ones run
-    matched = keyed.join(wanted.hint("merge"), keyed["doc_id"].eqNullSafe(wanted["_id"]) & (keyed["_key"] == wanted["_key"])).select(docs.columns + ["_copies"])
-    return matched.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    matched = keyed.join(wanted.hint("merge"), keyed["doc_id"].eqNullSafe(wanted["_id"]) & (keyed["key"] == wanted["_key"])).select("row", "_copies")
+    return matched.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")

@@ -249,8 +249,10 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """
     kept = join_ngrams(docs, **options).where("keep").select("text_key", F.xxhash64("doc_id").alias("id_key"))
     kept = settle(kept.distinct().select(F.col("text_key").alias("_text_key"), F.col("id_key").alias("_id_key")), "kept")
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("_id_key", F.xxhash64(F.col("doc_id").cast("long")))
-    matched = keyed.join(kept.hint("merge"), ["_text_key", "_id_key"])
-    # rows with words are one per key; those without stand for themselves
+    # the row travels as one struct, so its columns may have any names; rows with words are one per key, others stand for themselves
     alone = F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
-    return matched.withColumn("_alone", alone).dropDuplicates(["_text_key", "_id_key", "_alone"]).select(docs.columns)
+    keyed = docs.select(
+        F.struct("*").alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text_key"), F.xxhash64(F.col("doc_id").cast("long")).alias("_id_key"), alone.alias("_alone")
+    )
+    matched = keyed.join(kept.hint("merge"), ["_text_key", "_id_key"])
+    return matched.dropDuplicates(["_text_key", "_id_key", "_alone"]).select("row.*")
