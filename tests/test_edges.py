@@ -294,3 +294,19 @@ def test_left_spread_join_keeps_every_row(spark, policy):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(joined) == 400 and sum(1 for y in joined.values() if y == 1) == 200
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), TIGHT])
+def test_rows_without_time_or_id_are_kept(spark, policy):
+    rows = [(1, "a", datetime(2024, 1, 1), 1.0), (2, "a", datetime(2024, 1, 1, 6), 2.0), (3, "a", None, 4.0), (4, "a", None, 8.0), (None, "a", datetime(2024, 1, 1, 12), 16.0), (6, "b", None, 3.0)]
+    df = spark.createDataFrame(rows, "id bigint, key string, at timestamp_ntz, x double")
+    wanted = [h.Trailing("n", "count", F.col("x")), h.Trailing("s", "sum", F.col("x")), h.Trailing("d", "distinct", F.col("x"))]
+    got = found(h.trailing_features(df, "key", "at", "id", {"1d": days(1)}, wanted, policy=policy), "id", "n_1d", "s_1d", "d_1d")
+    assert got == {1: (0, None, 0), 2: (1, 1.0, 1), 3: (0, None, 0), 4: (0, None, 0), None: (2, 3.0, 2), 6: (0, None, 0)}
+    strict = found(h.running_features(df, "key", "at", "id", [h.past_count("n"), h.past_sum("s", "x")], strictly_earlier=True, policy=policy), "id", "n", "s")
+    assert strict == {1: (2, 12.0), 2: (3, 13.0), 3: (0, 0.0), 4: (0, 0.0), None: (4, 15.0), 6: (0, 0.0)}
+
+
+def test_latest_needs_an_order_of_rows(events):
+    with pytest.raises(ValueError):
+        h.running_features(events, "key", "at", "id", [h.latest("x_at", "x")], strictly_earlier=True)

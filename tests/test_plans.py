@@ -11,7 +11,7 @@ WITH_SQL = [name for name, plan in PLANS.items() if plan.sql]
 SPLITTABLE = [
     "g22_peer_averages", "g24_neighbours_before", "j3_star_join", "j6_history_range", "j11_as_of_per_row", "l2_first_n_days",
     "l4_prior_event_features", "l5_range_history", "l15_next_value", "l22_exposure_features", "w2_running_total",
-    "w3_prior_running", "w3_strictly_earlier", "w4_last_n_rows", "w5_trailing_range", "w6_lag_with_default", "w7_next_row",
+    "w3_prior_running", "w3_strictly_earlier", "w3_strictly_earlier_null_times", "w5_trailing_range_null_times", "w4_last_n_rows", "w5_trailing_range", "w6_lag_with_default", "w7_next_row",
     "w8_last_time_condition_held", "w11_global_row_number", "w12_distinct_before", "w12_distinct_last_rows", "w15_rolling_time_mean",
     "w16_rolling_rows_mean", "w18_multi_horizon", "w23_second_axis", "g5_group_statistics", "e1_five_numbers",
     "b4_zero_and_terciles", "m19_chronological_split", "m26_ranking_quality",

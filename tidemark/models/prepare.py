@@ -83,11 +83,12 @@ def positive_weight(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn("weight", F.when(F.col(label) == 1, ratio).otherwise(F.lit(1.0)))
 
 
-def impute_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill null text with the most frequent value, ties to the smallest."""
+def impute_modes(df: DataFrame, columns: Sequence[str], train: DataFrame | None = None) -> DataFrame:
+    """Fill null text with the most frequent value of the training rows (all rows if none are given), ties to the smallest."""
+    source = df if train is None else train
     result = df
     for name in columns:
-        keyed = df.select(F.lit(1).alias("_tm_all"), name)
+        keyed = source.select(F.lit(1).alias("_tm_all"), name)
         mode = top_value(keyed, "_tm_all", name, "_tm_mode").select("_tm_mode").scalar()
         result = result.withColumn(name, F.coalesce(F.col(name), mode))
     return result

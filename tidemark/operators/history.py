@@ -20,6 +20,7 @@ from tidemark.spans import Offset, column, micros
 SLICE = "_tm_slice"
 REAL = "_tm_real"
 AT = "_tm_at"
+TIMED = "_tm_timed"
 FIRST_INSTANT = "0001-01-01 00:00:00"
 
 
@@ -144,15 +145,16 @@ def running_features(
 
     ``hot_from`` is a table to count the keys in when ``df`` itself is costly, such as the scan it comes
     from. ``current_row`` also counts the row itself. ``strictly_earlier`` leaves out rows at the same time
-    instead of ordering them by ``tie``.
+    instead of ordering them by ``tie``; a row without a time then has no earlier rows, and comes before
+    all rows with one.
     """
     keys, tie = names(keys), names(tie)
-    if strictly_earlier and (current_row or any(f.kind == "previous" for f in features)):
-        raise ValueError("strictly_earlier takes whole instants: no current row, no previous-row feature")
+    if strictly_earlier and (current_row or any(f.kind in ("previous", "latest") for f in features)):
+        raise ValueError("strictly_earlier takes whole instants: no current row, and no feature that needs one row of an instant")
     states = [part for feature in features for part in feature.parts()]
     work = df.withColumns({state: value for state, value, _ in states})
     if strictly_earlier:
-        work = work.withColumn(AT, micros(time))
+        work = work.withColumn(AT, micros(time)).withColumn(TIMED, F.col(AT).isNotNull())
     part, order = list(keys), [AT] if strictly_earlier else [time, *tie]
     split = not fits_one_task(df, policy)
     if split:
@@ -174,7 +176,10 @@ def running_features(
         frame = by_order.rangeBetween(Window.unboundedPreceding, -1)
     else:
         frame = by_order.rowsBetween(Window.unboundedPreceding, 0 if current_row else -1)
-    work = work.withColumns({state: _over(combine, state, frame, by_order) for state, _, combine in states})
+    found = {state: _over(combine, state, frame, by_order) for state, _, combine in states}
+    if strictly_earlier:
+        found = {state: F.when(F.col(TIMED), value) for state, value in found.items()}
+    work = work.withColumns(found)
     if split:
         work = work.where(F.col(REAL) == 1)
     over = {state: F.col(state) for state, _, _ in states}
@@ -279,6 +284,10 @@ class Trailing:
     def column(self, label: str) -> str:
         return f"{self.name}_{label}" if label else self.name
 
+    def empty(self) -> Column:
+        """The statistic of no rows."""
+        return F.lit(0).cast("bigint") if self.kind in ("count", "distinct") else F.lit(None)
+
     def on(self, name: str) -> Trailing:
         return replace(self, value=F.col(name))
 
@@ -339,7 +348,8 @@ def trailing_features(
 
     All horizons share one sort. Columns are named feature_horizon. ``tie`` must identify a row. A RANGE
     frame costs its length per row, so keys count as hot earlier here than for running features;
-    ``all_dense`` treats every key so, for long horizons over busy keys such as sensors.
+    ``all_dense`` treats every key so, for long horizons over busy keys such as sensors. A row without a
+    time has an empty frame and is in none.
     """
     keys, tie = names(keys), names(tie)
     if closed not in ("left", "right") or any(h.months or h.us <= 0 for h in horizons.values()):
@@ -360,7 +370,10 @@ def trailing_features(
     else:
         marked = mark_hot(df, keys, hot_keys(df, keys, early))
     ordinary = _range_windows(marked.where(~F.col(HOT)).drop(HOT), keys, time, bounds, features)
-    hot = marked.where(F.col(HOT)).drop(HOT)
+    timed = F.col(time).isNotNull()
+    hot = marked.where(F.col(HOT) & timed).drop(HOT)
+    empty = {f.column(label): f.empty().cast(ordinary.schema[f.column(label)].dataType) for label in bounds for f in features}
+    untimed = marked.where(F.col(HOT) & ~timed).drop(HOT).withColumns(empty)
     values = {f.name: f"_tm_x{i}" for i, f in enumerate(features)}
     slim = hot.select(*keys, *tie, micros(time).alias(AT), *[f.value.alias(values[f.name]) for f in features])
     simple = [f.on(values[f.name]) for f in features if f.kind in DECOMPOSABLE]
@@ -368,17 +381,29 @@ def trailing_features(
     heavy = hot
     for label, (low, high) in bounds.items():
         if simple:
-            heavy = heavy.join(_range_pieces(slim, keys, tie, label, low, high, simple), tie)
+            heavy = _attached(heavy, _range_pieces(slim, keys, tie, label, low, high, simple), tie)
         if whole:
-            heavy = heavy.join(_range_copies(slim, keys, tie, label, low, high, whole), tie)
-    return ordinary.unionByName(heavy.select(*ordinary.columns))
+            heavy = _attached(heavy, _range_copies(slim, keys, tie, label, low, high, whole), tie)
+    return ordinary.unionByName(heavy.select(*ordinary.columns)).unionByName(untimed.select(*ordinary.columns))
+
+
+def _attached(rows: DataFrame, found: DataFrame, tie: list[str]) -> DataFrame:
+    """Join on the row's id, which may be null."""
+    found = found.withColumnsRenamed({name: f"_tm_f_{name}" for name in tie})
+    match = F.lit(True)
+    for name in tie:
+        match = match & rows[name].eqNullSafe(found[f"_tm_f_{name}"])
+    return rows.join(found, match).drop(*[f"_tm_f_{name}" for name in tie])
 
 
 def _range_windows(df, keys, time, bounds, features) -> DataFrame:
     by_time = Window.partitionBy(*keys).orderBy(AT)
     timed = df.withColumn(AT, micros(time))
+    has_time = F.col(AT).isNotNull()
     added = [
-        f.over(by_time.rangeBetween(low, high)).alias(f.column(label)) for label, (low, high) in bounds.items() for f in features
+        F.when(has_time, f.over(by_time.rangeBetween(low, high))).otherwise(f.empty()).alias(f.column(label))
+        for label, (low, high) in bounds.items()
+        for f in features
     ]
     return timed.select(*df.columns, *added)
 

@@ -245,22 +245,28 @@ def l8(t: Tables):
     "l9_never_policies",
     f"""
     WITH x AS (SELECT c_custkey, (epoch_us({CUT}) - epoch_us(max(o_orderdate))) / 86400e6 AS d FROM customer
-               LEFT JOIN orders ON o_custkey = c_custkey AND o_totalprice > 490000 AND o_orderdate < {CUT} GROUP BY 1)
+               LEFT JOIN orders ON o_custkey = c_custkey AND o_totalprice > 490000 AND o_orderdate < {CUT} GROUP BY 1),
+    a AS (SELECT o_custkey, (epoch_us({CUT}) - epoch_us(min(o_orderdate))) / 86400e6 AS age FROM orders WHERE o_orderdate < {CUT} GROUP BY 1)
     SELECT c_custkey, {rq('coalesce(d, 9999)')} AS by_constant, {rq('coalesce(d, 2007)')} AS by_window,
-           {rq('coalesce(d, c_custkey)')} AS by_own_age, {rq('coalesce(d, 1.5 * (SELECT max(d) FROM x))')} AS by_max FROM x
+           {rq('coalesce(d, age, 0)')} AS by_own_age, {rq('coalesce(d, 1.5 * (SELECT max(d) FROM x))')} AS by_max
+    FROM x LEFT JOIN a ON o_custkey = c_custkey
     """,
 )
 def l9(t: Tables):
     rare = orders_by_customer(t).where("o_totalprice > 490000")
     gaps = ent.recency(t.customer.select("c_custkey"), rare, "c_custkey", "o_orderdate", cutoff(), "gap")
+    # an account is as old as its first order; one without orders has no age yet
+    before = orders_by_customer(t).where(F.col("o_orderdate") < cutoff())
+    age = (F.unix_micros(cutoff().cast("timestamp")) - F.unix_micros(F.min("o_orderdate").cast("timestamp"))) / 86400e6
+    gaps = gaps.join(before.groupBy("c_custkey").agg(age.alias("age")), "c_custkey", "left")
     policies = {
         "by_constant": ent.never_constant(),
         "by_window": F.lit(2007.0),
-        "by_own_age": F.col("c_custkey").cast("double"),
+        "by_own_age": F.coalesce("age", F.lit(0.0)),
         "by_max": ent.never_factor_of_max(gaps, "gap"),
     }
     filled = agg.fill_defaults(gaps.withColumns({n: F.col("gap") for n in policies}), policies)
-    return rounded(filled.drop("gap"))
+    return rounded(filled.drop("gap", "age"))
 
 
 @plan(

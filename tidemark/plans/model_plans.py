@@ -197,9 +197,10 @@ def o3_terms(t: Tables):
 @plan("m9_text_classifier")
 def m9_classifier(t: Tables):
     rows = t.documents.select("doc_id", "text").join(t.labels, "doc_id").withColumn("label", F.col("quality").cast("double"))
-    rows = rows.persist()
+    parts = prepare.stratified_split(rows, "label", ["doc_id"], 0.3).persist()
+    fit_rows = parts.where("is_test = 0")
     stages = prepare.text_stages("text", output="features")
-    scored = prepare.pipeline(stages, train.logistic(rows)).fit(rows).transform(rows)
+    scored = prepare.pipeline(stages, train.logistic(fit_rows)).fit(fit_rows).transform(parts.where("is_test = 1"))
     return train.positive_score(scored).select("doc_id", "label", "prediction", r("score", 5).alias("score"))
 
 

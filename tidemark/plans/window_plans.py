@@ -98,6 +98,23 @@ def w3_strict(t: Tables):
     return rows.select("o_orderkey", "n_before", r("mean_before").alias("mean_before"))
 
 
+@plan(
+    "w3_strictly_earlier_null_times",
+    f"""
+    WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS moment FROM orders)
+    SELECT o_orderkey, CASE WHEN moment IS NULL THEN 0 ELSE count(*) OVER w END AS n_before,
+           {rq('CASE WHEN moment IS NULL THEN 0 ELSE coalesce(avg(o_totalprice) OVER w, 0) END')} AS mean_before FROM o
+    WINDOW w AS (PARTITION BY o_custkey ORDER BY moment NULLS FIRST RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)
+    """,
+)
+def w3_null_times(t: Tables):
+    """Orders in progress have no time: nothing is earlier than they are, and they are earlier than all others."""
+    orders = t.orders.withColumn("moment", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")))
+    features = [h.past_count("n_before"), h.past_mean("mean_before", "o_totalprice")]
+    rows = h.running_features(orders, "o_custkey", "moment", "o_orderkey", features, strictly_earlier=True, hot_from=t.orders)
+    return rows.select("o_orderkey", "n_before", r("mean_before").alias("mean_before"))
+
+
 @plan(
     "w4_last_n_rows",
     f"""
@@ -126,6 +143,24 @@ def w5(t: Tables):
     return rows.select("event_id", "n_24h", r(F.coalesce("sum_24h", F.lit(0.0)), 2).alias("sum_24h"), r("mean_24h").alias("mean_24h"), "max_24h")
 
 
+@plan(
+    "w5_trailing_range_null_times",
+    f"""
+    WITH e AS (SELECT event_id, user_id, value, CASE WHEN event_type <> 'purchase' THEN ts END AS moment FROM events)
+    SELECT event_id, CASE WHEN moment IS NULL THEN 0 ELSE count(value) OVER w END AS n_24h,
+           {rq('CASE WHEN moment IS NOT NULL THEN avg(value) OVER w END')} AS mean_24h, CASE WHEN moment IS NOT NULL THEN max(value) OVER w END AS max_24h,
+           CASE WHEN moment IS NULL THEN 0 ELSE count(DISTINCT value) OVER w END AS distinct_24h FROM e
+    WINDOW w AS (PARTITION BY user_id ORDER BY moment RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)
+    """,
+)
+def w5_null_times(t: Tables):
+    """Purchases have no time here: their frames are empty and they are in no other."""
+    events = t.events.withColumn("moment", F.when(F.col("event_type") != "purchase", F.col("ts")))
+    wanted = [h.Trailing("n" if k == "count" else k, k, F.col("value")) for k in ("count", "mean", "max", "distinct")]
+    rows = h.trailing_features(events, "user_id", "moment", "event_id", {"24h": hours(24)}, wanted)
+    return rows.select("event_id", "n_24h", r("mean_24h").alias("mean_24h"), "max_24h", "distinct_24h")
+
+
 @plan(
     "w6_lag_with_default",
     f"""

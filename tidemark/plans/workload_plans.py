@@ -358,8 +358,9 @@ def churn_features_to_model(t: Tables):
     numbers = ["n", "n_7d", "active_days", "mean_value", "recent_share", "days_since_last", "tenure"]
     df = df.withColumns({c: F.col(c).cast("double") for c in numbers}).persist()
     marked = prepare.stratified_split(df, "label", ["user_id"], 0.3).persist()
-    model = prepare.pipeline(prepare.matrix_stages(numbers), train.boosted(rounds=5))
-    return _report(model.fit(marked.where("is_test = 0")).transform(marked.where("is_test = 1")))
+    fit_rows = prepare.positive_weight(marked.where("is_test = 0"), "label")
+    model = prepare.pipeline(prepare.matrix_stages(numbers), train.boosted(rounds=5, weight="weight"))
+    return _report(model.fit(fit_rows).transform(marked.where("is_test = 1")))
 
 
 @plan("clicks_in_time_order_to_model")

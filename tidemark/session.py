@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -60,6 +59,6 @@ def checkpoint_folder(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    folder = os.environ.get("TIDEMARK_TEST_CHECKPOINT") or tempfile.mkdtemp(prefix="tidemark-")
-    os.environ["TIDEMARK_TEST_CHECKPOINT"] = folder
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
