@@ -188,7 +188,11 @@ def test_licenses_and_their_spans():
     found = license_scan.scan(text, index, 0.8)
     assert [(name, text[a:b]) for name, _, _, a, b in found] == [("MIT", "Released under the  MIT License"), ("Apache-2.0", "licensed under the Apache license version 2.0")]
     for name, template in license_scan.TEMPLATES.items():
-        noisy = "zz " * 300 + template.replace(" the ", " the extra ", 1) + " zz" * 50
+        # four words in a row must stay for the index to promise a match: five-word notices come as they are
+        parts = template.split()
+        if len(parts) >= 9:
+            parts.insert(len(parts) // 2, "extra")
+        noisy = "zz " * 300 + " ".join(parts) + " zz" * 50
         (best,) = license_scan.scan(noisy, index, 0.8)
         assert best[0] == name and best[1] > 0.9
     assert license_scan.scan(None, index, 0.8) == [] == license_scan.scan("the license", index, 0.8)
