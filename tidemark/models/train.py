@@ -63,7 +63,7 @@ def boosted(
     return model.setWeightCol(weight) if weight else model
 
 
-def boosted_classes(label: str = "label", rounds: int = 20, depth: int = 3, weight: str | None = None) -> OneVsRest:
+def boosted_classes(label: str = "label", rounds: int = 100, depth: int = 3, weight: str | None = None) -> OneVsRest:
     """Multi-class boosting: one boosted model per class."""
     model = OneVsRest(classifier=boosted(label, rounds, depth), labelCol=label, rawPredictionCol="rawPrediction")
     return model.setWeightCol(weight) if weight else model

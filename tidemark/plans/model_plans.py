@@ -305,26 +305,26 @@ def m14_classes(t: Tables):
 
 @plan("m15_random_forest")
 def m15(t: Tables):
-    _, scored = scored_customers(lambda _: train.forest(trees=20), t)
+    _, scored = scored_customers(lambda _: train.forest(), t)
     return train.positive_score(scored).select("c_custkey", "label", "prediction", r("score", 5).alias("score"))
 
 
 @plan("m16_boosted_trees")
 def m16(t: Tables):
-    _, scored = scored_customers(lambda _: train.boosted(rounds=10, subsample=0.8), t)
+    _, scored = scored_customers(lambda _: train.boosted(subsample=0.8), t)
     return train.positive_score(scored).select("c_custkey", "label", "prediction", r("score", 5).alias("score"))
 
 
 @plan("m16_boosted_classes")
 def m16_classes(t: Tables):
-    _, scored = scored_customers(lambda _: train.boosted_classes("tier", rounds=5), t, "tier")
+    _, scored = scored_customers(lambda _: train.boosted_classes("tier"), t, "tier")
     probability = train.with_probabilities(scored)
     return probability.select("c_custkey", "tier", "prediction", *[r(F.col("probabilities")[i], 5).alias(f"p{i}") for i in range(3)])
 
 
 @plan("m17_boosted_regressor")
 def m17(t: Tables):
-    fitted, scored = scored_customers(lambda _: train.boosted_regressor("next_spend", rounds=10), t)
+    fitted, scored = scored_customers(lambda _: train.boosted_regressor("next_spend"), t)
     return scored.select("c_custkey", r("next_spend", 2).alias("next_spend"), r("prediction", 2).alias("prediction"))
 
 
@@ -383,7 +383,7 @@ def m21(t: Tables):
 @plan("m21_model_families")
 def m21_families(t: Tables):
     df = customer_table(t)
-    families = {"logistic": train.logistic(df), "forest": train.forest(trees=10), "boosted": train.boosted(rounds=5)}
+    families = {"logistic": train.logistic(df), "forest": train.forest(), "boosted": train.boosted()}
     rows = []
     for name, model in families.items():
         found = train.cross_validate(df, ["c_custkey"], prepare.pipeline(matrix(), model), BinaryClassificationEvaluator(), k=3)
@@ -395,7 +395,7 @@ def m21_families(t: Tables):
 def m22(t: Tables):
     df = customer_table(t)
     model = train.logistic()
-    options = train.log_uniform_grid(model.regParam, 1e-4, 1.0, 4)
+    options = train.log_uniform_grid(model.regParam, 1e-3, 1e2, 10)
     judge = evaluate.MinorityF1(labelCol="label", predictionCol="prediction")
     found = train.cross_validate(df, ["c_custkey"], prepare.pipeline(matrix(), model), judge, 3, options)
     rows = [(float(o[model.regParam]), m) for o, m in zip(options, found.avgMetrics, strict=True)]
@@ -422,7 +422,7 @@ def m23_positive(t: Tables):
 def m23_forest(t: Tables):
     weighted = prepare.with_class_weight(customer_table(t), "label", "c_custkey")
     fit_rows, test_rows = split(weighted)
-    model = train.forest(trees=10, weight="weight")
+    model = train.forest(weight="weight")
     scored = prepare.pipeline(matrix(), model).fit(fit_rows).transform(test_rows)
     return train.positive_score(scored).select("c_custkey", "label", "prediction", r("score", 5).alias("score"))
 
@@ -559,7 +559,7 @@ def m30(t: Tables):
 
 @plan("m31_feature_importances")
 def m31(t: Tables):
-    fitted, scored = scored_customers(lambda _: train.forest(trees=10), t)
+    fitted, scored = scored_customers(lambda _: train.forest(), t)
     return evaluate.feature_weights(t.spark, scored, fitted.stages[-1].featureImportances.toArray())
 
 
@@ -626,7 +626,7 @@ def m20_regression(t: Tables):
 @plan("m20_class_cross_validation")
 def m20_classes(t: Tables):
     df = customer_table(t)
-    pipeline = prepare.pipeline(matrix(), train.forest("tier", trees=10))
+    pipeline = prepare.pipeline(matrix(), train.forest("tier"))
     judge = MulticlassClassificationEvaluator(labelCol="tier", metricName="weightedFMeasure")
     found = train.cross_validate(df, ["c_custkey"], pipeline, judge, k=3)
     return _result(t, ["measure", "mean", "std"], [("weightedF", found.avgMetrics[0], found.stdMetrics[0])], "string double double")

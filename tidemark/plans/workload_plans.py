@@ -359,7 +359,7 @@ def churn_features_to_model(t: Tables):
     df = df.withColumns({c: F.col(c).cast("double") for c in numbers}).persist()
     marked = prepare.stratified_split(df, "label", ["user_id"], 0.3).persist()
     fit_rows = prepare.positive_weight(marked.where("is_test = 0"), "label")
-    model = prepare.pipeline(prepare.matrix_stages(numbers), train.boosted(rounds=5, weight="weight"))
+    model = prepare.pipeline(prepare.matrix_stages(numbers), train.boosted(weight="weight"))
     return _report(model.fit(fit_rows).transform(marked.where("is_test = 1")))
 
 
@@ -371,7 +371,7 @@ def clicks_in_time_order_to_model(t: Tables):
     rows = rows.withColumns({c: F.col(c).cast("double") for c in [*numbers, "label"]})
     parts = prepare.chronological_split(rows, "ts", [0.7, 0.3], ["train", "test"]).persist()
     fit_rows = prepare.positive_weight(parts.where("part = 'train'"), "label")
-    model = prepare.pipeline(prepare.matrix_stages(numbers, ["event_type"]), train.boosted(rounds=5, weight="weight"))
+    model = prepare.pipeline(prepare.matrix_stages(numbers, ["event_type"]), train.boosted(weight="weight"))
     return _report(model.fit(fit_rows).transform(parts.where("part = 'test'")))
 
 
