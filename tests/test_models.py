@@ -4,12 +4,14 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidemark.models import cluster, evaluate, prepare, train
 from tidemark.session import checkpoint_folder
+from tidemark.skew import SkewPolicy
 
 
 @pytest.fixture(scope="module")
@@ -154,3 +156,24 @@ def test_one_class_has_no_auc(spark):
     df = spark.createDataFrame([(0, 0.2), (0, 0.7)], "label int, score double")
     found = evaluate.ranking_quality(df, "label", "score").first()
     assert found.roc_auc is None and found.average_precision is None
+
+
+def test_model_text_weights_are_those_of_the_table(spark):
+    docs = spark.createDataFrame([(i, f"common word{i % 3} tail{i % 2} common") for i in range(12)], "id bigint, text string")
+    fitted = prepare.pipeline(prepare.text_stages("text", min_df=1, max_df=12.0, max_features=20), train.linear()).getStages()[:-1]
+    model = Pipeline(stages=fitted).fit(docs)
+    terms = model.stages[2].vocabulary
+    got = {(r.id, terms[i]): v for r in model.transform(docs).collect() for i, v in zip(r.text_vector.indices.tolist(), r.text_vector.values.tolist())}
+    want = {(r.id, r.term): r.weight for r in prepare.text_weights(docs, "id", "text", min_df=1, max_df=1.0, max_features=20).collect()}
+    assert got.keys() == want.keys() and any(term == "common" for _, term in got)
+    for key in want:
+        assert got[key] == pytest.approx(want[key])
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(one_task_bytes=0)])
+def test_label_codes_have_no_limit(spark, policy):
+    values = spark.range(12_000).select(F.format_string("v%d", F.col("id") % 11_000).alias("name"))
+    values = values.unionByName(spark.createDataFrame([(None,), ("",), ("v",), ("é",)], "name string"))
+    got = prepare.label_codes(values, "name", policy=policy).collect()
+    assert [r.name for r in sorted(got, key=lambda r: r.code)] == sorted({f"v{i}" for i in range(11_000)} | {"", "v", "é"})
+    assert sorted(r.code for r in got) == list(range(11_003))

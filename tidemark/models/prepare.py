@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import keyword_only
-from pyspark.ml import Pipeline, Transformer
+from pyspark.ml import Estimator, Pipeline, Transformer
 from pyspark.ml.feature import (
     CountVectorizer,
+    ElementwiseProduct,
     FeatureHasher,
     IDF,
     Imputer,
@@ -21,13 +22,16 @@ from pyspark.ml.feature import (
     UnivariateFeatureSelector,
     VectorAssembler,
 )
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.operators.aggregates import exact_quantiles, top_value
+from tidemark.operators.history import ordinal
 from tidemark.skew import DEFAULT, SkewPolicy, spread_join, spread_small
 from tidemark.spans import instant, micros
 
@@ -119,17 +123,14 @@ def ordinal_code(name: str, levels: Sequence[str]) -> Column:
     return F.coalesce(F.array_position(F.array(*[F.lit(v) for v in levels]), F.col(name)) - 1, F.lit(-1)).cast("int")
 
 
-def label_codes(df: DataFrame, name: str, limit: int = 10_000) -> DataFrame:
-    """Code per distinct value in alphabetical order; joined back it encodes, read by code it decodes.
+def label_codes(df: DataFrame, name: str, prefix: int = 3, policy: SkewPolicy = DEFAULT) -> DataFrame:
+    """Code per distinct text value in alphabetical order; joined back it encodes, read by code it decodes.
 
-    Meant for classes: more than ``limit`` of them is an error.
+    Any number of values: they are numbered in slices of equal first ``prefix`` letters, whose counts are carried on.
     """
-    few = df.select(name).where(F.col(name).isNotNull()).distinct().limit(limit + 1)
-    levels = few.agg(F.sort_array(F.collect_set(name)).alias("levels"))
-    checked = F.when(F.size("levels") <= limit, F.col("levels")).otherwise(
-        F.raise_error(F.lit(f"{name} has more than {limit} classes")).cast("array<string>")
-    )
-    return levels.select(F.posexplode(checked).alias("code", name))
+    values = df.select(name).where(F.col(name).isNotNull()).distinct()
+    numbered = ordinal(values, [], name, [], "code", policy, F.substring(name, 1, prefix))
+    return numbered.select((F.col("code") - 1).cast("int").alias("code"), name)
 
 
 def hashed_features(columns: Sequence[str], width: int = 15, output: str = "hashed") -> FeatureHasher:
@@ -202,12 +203,26 @@ def polynomial_stages(numeric: Sequence[str], degree: int = 2, output: str = "fe
     ]
 
 
+class InverseFrequency(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Term counts times ln((1+n)/(1+df)) + 1, as in ``text_weights``; Spark's IDF lacks the 1, so a term of all documents would weigh nothing."""
+
+    @keyword_only
+    def __init__(self, *, inputCol: str | None = None, outputCol: str | None = None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df: DataFrame) -> ElementwiseProduct:
+        columns = {"inputCol": self.getInputCol(), "outputCol": self.getOutputCol()}
+        weights = IDF(**columns).fit(df).idf.toArray() + 1
+        return ElementwiseProduct(scalingVec=Vectors.dense(weights), **columns)
+
+
 def text_stages(text: str, *, min_df: float = 5, max_df: float = 0.85, max_features: int = 1000, output: str = "text_vector") -> list:
     return [
         RegexTokenizer(inputCol=text, outputCol="_tm_words", pattern=r"(?U)\w\w+", gaps=False),
         StopWordsRemover(inputCol="_tm_words", outputCol="_tm_terms"),
         CountVectorizer(inputCol="_tm_terms", outputCol="_tm_counts", minDF=min_df, maxDF=max_df, vocabSize=max_features),
-        IDF(inputCol="_tm_counts", outputCol="_tm_weighted"),
+        InverseFrequency(inputCol="_tm_counts", outputCol="_tm_weighted"),
         Normalizer(inputCol="_tm_weighted", outputCol=output),
     ]
 

@@ -256,10 +256,11 @@ def sample_skewness(value) -> Column:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Correlation matrix as (a, b, r) rows, one aggregate pass."""
-    pairs = [(a, b) for a in columns for b in columns]
+    """Correlation matrix as (a, b, r) rows, one aggregate pass over each pair once."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     one_row = df.agg(*[F.corr(a, b).alias(f"_tm_{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_tm_{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
+    both = [(x, y, i) for i, (a, b) in enumerate(pairs) for x, y in dict.fromkeys([(a, b), (b, a)])]
+    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_tm_{i}").alias("r")) for a, b, i in both]
     return one_row.select(F.inline(F.array(*cells)))
 
 

@@ -11,7 +11,7 @@ from tidemark.operators import history
 from tidemark.plans.projection_plans import PRIORITY_SCORE
 from tidemark.plans.registry import Tables, plan, r, rq
 from tidemark.skew import spread_join
-from tidemark.spans import Span, days, instant
+from tidemark.spans import Span, day_window, days, instant
 
 
 def first_seen(t: Tables):
@@ -101,6 +101,7 @@ EDGE_RULES = {
         Span(days(0), days(6), "both", whole_last_day=True),
         "ts >= anchor AND ts < date_trunc('day', anchor) + INTERVAL 7 DAY",
     ),
+    "n_days_inclusive": (day_window(0, 30), "ts >= anchor AND ts < date_trunc('day', anchor) + INTERVAL 31 DAY"),
 }
 
 

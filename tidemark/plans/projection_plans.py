@@ -220,19 +220,19 @@ def p16(t: Tables):
 
 CHAIN = """
     WITH monthly AS (
-      SELECT user_id, date_trunc('day', ts) AS day, count(*) AS n, sum(value) AS v FROM events GROUP BY 1, 2),
+      SELECT user_id, date_trunc('day', ts) AS day, count(*) AS n, sum(value) AS v FROM {events} GROUP BY 1, 2),
     per_user AS (SELECT user_id, count(*) AS days, max(n) AS busiest, sum(v) AS v FROM monthly GROUP BY 1),
-    buyers AS (SELECT user_id, count(*) AS buys FROM events WHERE event_type = 'purchase' GROUP BY 1),
+    buyers AS (SELECT user_id, count(*) AS buys FROM {events} WHERE event_type = 'purchase' GROUP BY 1),
     joined AS (SELECT p.user_id, days, busiest, v, coalesce(buys, 0) AS buys
                FROM per_user p LEFT JOIN buyers b ON p.user_id = b.user_id)
     SELECT user_id, days, busiest, {v} AS v, buys FROM joined WHERE busiest >= 3
 """
 
 
-@plan("p17_cte_chain", CHAIN.format(v=rq("v", 2)))
+@plan("p17_cte_chain", CHAIN.format(v=rq("v", 2), events="events"))
 def p17(t: Tables):
-    t.events.createOrReplaceTempView("events")
-    return t.spark.sql(CHAIN.format(v="round(v + 1e-9, 2)"))
+    t.events.createOrReplaceTempView("tidemark_events")
+    return t.spark.sql(CHAIN.format(v="round(v + 1e-9, 2)", events="tidemark_events"))
 
 
 @plan("p18_columns_by_type", "SELECT c_custkey, c_nationkey, c_acctbal FROM customer")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import tune
 from tidemark.sources.tables import load
 
 
@@ -22,10 +23,10 @@ PLANS: dict[str, Plan] = {}
 
 
 class Tables:
-    """Attribute access to the declared tables of one folder."""
+    """Attribute access to the declared tables of one folder, in a session with the settings that the plans rely on."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = tune(spark), folder
 
     def __getattr__(self, name: str) -> DataFrame:
         return load(self.spark, self.folder, name)

@@ -18,13 +18,17 @@ def fresh_path(t: Tables, name: str) -> str:
     return os.path.join(checkpoint_folder(t.spark), f"{name}-{uuid.uuid4().hex}")
 
 
-COUNTS = " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}" for n in src.SCHEMAS)
+VIEWS = "tidemark_"  # names of the plans' own views
 
 
-@plan("s1_register_tables", COUNTS)
+def counts(prefix: str = "") -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {prefix}{n}" for n in src.SCHEMAS)
+
+
+@plan("s1_register_tables", counts())
 def s1(t: Tables):
-    src.register_folder(t.spark, t.folder)
-    return src.query(t.spark, COUNTS)
+    src.register_folder(t.spark, t.folder, prefix=VIEWS)
+    return src.query(t.spark, counts(VIEWS))
 
 
 @plan(
@@ -80,11 +84,11 @@ def s3(t: Tables):
     """,
 )
 def s4(t: Tables):
-    src.register({"orders": t.orders})
+    src.register({"orders": t.orders}, VIEWS)
     return src.query(
         t.spark,
-        """
-        SELECT o_orderpriority, count(*) AS n, round(avg(o_totalprice) + 1e-9, 4) AS mean_price FROM orders
+        f"""
+        SELECT o_orderpriority, count(*) AS n, round(avg(o_totalprice) + 1e-9, 4) AS mean_price FROM {VIEWS}orders
         WHERE o_orderdate >= to_timestamp_ntz(:first) AND o_orderdate < to_timestamp_ntz(:until) AND o_totalprice > :least
         GROUP BY o_orderpriority
         """,

@@ -17,10 +17,6 @@ SETTINGS = {
 }
 
 
-SHUFFLE_BYTES = 512 << 20
-MOST_PARTITIONS = 40_000
-
-
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session made elsewhere."""
     for name, value in SETTINGS.items():
@@ -28,14 +24,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffle(spark: SparkSession, table_bytes: int) -> None:
-    """Raise the shuffle partitions to suit the largest table read so far; AQE merges those left small."""
-    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MOST_PARTITIONS, table_bytes // SHUFFLE_BYTES)
-    if wanted > now:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-
-
 def local_session(cores: int = 8, app: str = "tidemark") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT = "_tm_hot"
+TASKS = "_tm_tasks"
 SALT = "_tm_salt"
 
 
@@ -18,14 +19,14 @@ class SkewPolicy:
 
     Inputs estimated below ``one_task_bytes`` need no care: even one key holding everything fits a task.
     Beyond that a key is hot when it has more than ``min_rows`` rows and more than 1/``max_hot`` of the
-    table, so there are never more than ``max_hot`` hot keys and their list is safe to broadcast.
+    table, so there are never more than ``max_hot`` hot keys and their list is safe to broadcast. A hot key is
+    dealt over as many tasks as it has times that many rows.
     """
 
     one_task_bytes: int = 128 << 20
     min_rows: int = 1_000_000
     max_hot: int = 4096
     unit: str = "day"
-    salts: int = 128
 
 
 DEFAULT = SkewPolicy()
@@ -50,11 +51,12 @@ def names(columns: str | Sequence[str]) -> list[str]:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT) -> DataFrame:
-    """At most ``max_hot`` keys. One column-pruned pass with map-side combining; exact, so repeatable."""
+    """At most ``max_hot`` keys, each with the tasks its rows need. One column-pruned pass with map-side combining; exact, so repeatable."""
     total = df.agg((F.count(F.lit(1)) / policy.max_hot).alias("share")).scalar()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tm_rows"))
-    heavy = counts.where((F.col("_tm_rows") > policy.min_rows) & (F.col("_tm_rows") > total))
-    return heavy.select(*keys, F.lit(True).alias(HOT))
+    most = F.greatest(F.lit(float(policy.min_rows)), total)
+    heavy = counts.where(F.col("_tm_rows") > most)
+    return heavy.select(*keys, F.lit(True).alias(HOT), F.ceil(F.col("_tm_rows") / most).cast("bigint").alias(TASKS))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -64,11 +66,12 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
     return match
 
 
-def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Add a boolean saying whether the row's key is in the (bounded, broadcast) hot list."""
-    listed = hot.select(*[F.col(k).alias(f"_tm_h_{k}") for k in keys], HOT)
+def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, *, tasks: bool = False) -> DataFrame:
+    """Add a boolean saying whether the row's key is in the (bounded, broadcast) hot list, or the tasks its key needs (1 if it isn't)."""
+    added, otherwise = (TASKS, F.lit(1).cast("bigint")) if tasks else (HOT, F.lit(False))
+    listed = hot.select(*[F.col(k).alias(f"_tm_h_{k}") for k in keys], added)
     marked = df.join(F.broadcast(listed), _null_safe(df, listed, keys), "left")
-    return marked.drop(*[f"_tm_h_{k}" for k in keys]).withColumn(HOT, F.coalesce(HOT, F.lit(False)))
+    return marked.drop(*[f"_tm_h_{k}" for k in keys]).withColumn(added, F.coalesce(added, otherwise))
 
 
 def _spark_will_broadcast(df: DataFrame) -> bool:
@@ -87,9 +90,9 @@ def spread_join(
     how: str = "inner",
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Inner or left equi-join in which a hot key of ``big`` is dealt over ``salts`` tasks.
+    """Inner or left equi-join in which a hot key of ``big`` is dealt over the tasks that its rows need.
 
-    Only the rows of ``small`` that match a hot key are copied, once per salt. ``spread_by`` tells the rows
+    Only the rows of ``small`` that match a hot key are copied, once per task. ``spread_by`` tells the rows
     of a key apart. ``hot_from`` is a table to count the keys in when ``big`` itself is costly. Spark's own
     skew handling does not split a join whose other side is an aggregate, which is the usual case here.
     """
@@ -99,13 +102,11 @@ def spread_join(
     if fits_one_task(big, policy) or _spark_will_broadcast(small):
         return big.join(small, keys, how)
     hot = hot_keys(big if hot_from is None else hot_from, keys, policy)
-    dealt = F.pmod(F.xxhash64(*names(spread_by)), F.lit(policy.salts))
-    left = mark_hot(big, keys, hot).withColumn(SALT, F.when(F.col(HOT), dealt).otherwise(F.lit(0).cast("bigint")))
-    copies = F.when(F.col(HOT), F.sequence(F.lit(0).cast("bigint"), F.lit(policy.salts - 1).cast("bigint"))).otherwise(
-        F.array(F.lit(0).cast("bigint"))
-    )
-    right = mark_hot(small, keys, hot).withColumn(SALT, F.explode(copies)).drop(HOT)
-    return left.drop(HOT).join(right, [*keys, SALT], how).drop(SALT)
+    dealt = F.pmod(F.xxhash64(*names(spread_by)), F.col(TASKS))
+    left = mark_hot(big, keys, hot, tasks=True).withColumn(SALT, dealt).drop(TASKS)
+    copies = F.sequence(F.lit(0).cast("bigint"), F.col(TASKS) - 1)
+    right = mark_hot(small, keys, hot, tasks=True).withColumn(SALT, F.explode(copies)).drop(TASKS)
+    return left.join(right, [*keys, SALT], how).drop(SALT)
 
 
 def spread_small(df: DataFrame, by: str, policy: SkewPolicy = DEFAULT) -> DataFrame:

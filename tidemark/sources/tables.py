@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import size_shuffle, tune
-from tidemark.skew import estimated_bytes, names
+from tidemark.skew import names
 from tidemark.spans import column
 
 # Fixed column layouts of the input tables.
@@ -37,19 +36,17 @@ SCHEMAS: dict[str, str] = {
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One declared table; the schema is stated, so no file is opened to infer it."""
-    df = tune(spark).read.schema(SCHEMAS[name]).parquet(os.path.join(folder, f"{name}.parquet"))
-    size_shuffle(spark, estimated_bytes(df))
-    return df
+    return spark.read.schema(SCHEMAS[name]).parquet(os.path.join(folder, f"{name}.parquet"))
 
 
-def register(tables: Mapping[str, DataFrame]) -> None:
-    """Make DataFrames available to SQL by name."""
+def register(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
+    """Make DataFrames available to SQL by name, after a prefix where the session may have views of these names."""
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(prefix + name)
 
 
-def register_folder(spark: SparkSession, folder: str, wanted: Sequence[str] = tuple(SCHEMAS)) -> None:
-    register({name: load(spark, folder, name) for name in wanted})
+def register_folder(spark: SparkSession, folder: str, wanted: Sequence[str] = tuple(SCHEMAS), prefix: str = "") -> None:
+    register({name: load(spark, folder, name) for name in wanted}, prefix)
 
 
 def query(spark: SparkSession, text: str, **parameters) -> DataFrame:
