@@ -72,7 +72,7 @@ if __name__ == "__main__":
         # treat every busy key as hot, to run the skew-safe plans on small tables
         from tidemark.skew import DEFAULT
 
-        for field, value in {"one_task_bytes": 0, "min_rows": 30, "max_hot": 100_000, "salts": 4}.items():
+        for field, value in {"min_rows": 30, "max_hot": 100_000}.items():
             object.__setattr__(DEFAULT, field, value)
     spark, con = local_session(), connect(folder)
     if os.environ.get("SPLIT_KEYS"):

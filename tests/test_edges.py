@@ -16,7 +16,7 @@ from tidemark.skew import TASKS, SkewPolicy, hot_keys, spread_join
 from tidemark.sources import tables as src
 from tidemark.spans import Offset, Span, day_window, days, hours, months
 
-TIGHT = SkewPolicy(one_task_bytes=0, min_rows=1, max_hot=1000)
+TIGHT = SkewPolicy(min_rows=1, max_hot=1000)
 ENTITIES = [("a", datetime(2024, 1, 1)), ("b", datetime(2024, 1, 1, 12)), ("c", datetime(2024, 1, 5)), ("d", None)]
 EVENTS = [
     (1, "a", datetime(2023, 12, 31, 23), 5.0),  # before the entity was born
@@ -237,7 +237,7 @@ def test_hot_keys_are_few_and_joins_stay_whole(spark):
     rows = [(i, "hot" if i % 3 == 0 else f"k{i % 50}") for i in range(600)]
     big = spark.createDataFrame(rows, "id bigint, key string")
     small = big.select("key").distinct().withColumn("y", F.length("key"))
-    policy = SkewPolicy(one_task_bytes=0, min_rows=30, max_hot=100)
+    policy = SkewPolicy(min_rows=30, max_hot=100)
     assert [(r.key, r[TASKS]) for r in hot_keys(big, ["key"], policy).collect()] == [("hot", 7)]
     joined = spread_join(big, small, "key", "id", policy)
     assert joined.count() == 600 and joined.select("id").distinct().count() == 600
@@ -283,7 +283,7 @@ def test_all_dense_equals_range_frames(spark, events):
         assert plain[key] == pytest.approx(dense[key])
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(one_task_bytes=0, min_rows=50, max_hot=10)])
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(min_rows=50, max_hot=10)])
 def test_left_spread_join_keeps_every_row(spark, policy):
     rows = [(i, None if i % 4 == 0 else "hot" if i % 4 < 3 else f"k{i}") for i in range(400)]
     big = spark.createDataFrame(rows, "id bigint, key string")

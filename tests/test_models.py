@@ -170,7 +170,7 @@ def test_model_text_weights_are_those_of_the_table(spark):
         assert got[key] == pytest.approx(want[key])
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(one_task_bytes=0)])
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(min_rows=1, max_hot=1000)])
 def test_label_codes_have_no_limit(spark, policy):
     values = spark.range(12_000).select(F.format_string("v%d", F.col("id") % 11_000).alias("name"))
     values = values.unionByName(spark.createDataFrame([(None,), ("",), ("v",), ("é",)], "name string"))

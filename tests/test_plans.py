@@ -30,6 +30,6 @@ def test_plan_equals_sql(spark, con, folder, name):
 
 @pytest.mark.parametrize("name", SPLITTABLE)
 def test_split_plan_equals_sql(spark, con, folder, name, monkeypatch):
-    for field, value in {"one_task_bytes": 0, "min_rows": 8, "max_hot": 100_000, "salts": 4}.items():
+    for field, value in {"min_rows": 8, "max_hot": 100_000}.items():
         monkeypatch.setitem(DEFAULT.__dict__, field, value)
     assert differences(spark, con, folder, PLANS[name]) is None

@@ -32,7 +32,7 @@ from pyspark.sql.window import Window
 
 from tidemark.operators.aggregates import exact_quantiles, top_value
 from tidemark.operators.history import ordinal
-from tidemark.skew import DEFAULT, SkewPolicy, spread_join, spread_small
+from tidemark.skew import DEFAULT, SkewPolicy, spread_join
 from tidemark.spans import instant, micros
 
 
@@ -246,7 +246,7 @@ def text_weights(
         lambda w: ~w.isin(*stop_words) if stop_words else F.lit(True),
     )
     # nulls go first, so both uses of the counts below are one and the same shuffle
-    present = spread_small(docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()), doc_id)
+    present = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull())
     tokens = present.select(doc_id, F.explode(words).alias("term")).where(F.col("term").isNotNull())
     counts = tokens.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
     size = docs.agg(F.count(F.lit(1))).scalar()

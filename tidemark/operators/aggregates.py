@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.operators.history import Past, running_features
-from tidemark.skew import DEFAULT, SkewPolicy, fits_one_task, names, spread_join
+from tidemark.skew import DEFAULT, SkewPolicy, names, spread_join, with_listed
 from tidemark.spans import column
 
 
@@ -130,15 +130,11 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles as columns q0, q1, … per group.
 
-    On large inputs a mergeable sketch first brackets each quantile; rows below a bracket are only
+    A mergeable sketch first brackets each quantile; rows below a bracket are only
     counted, and only the few rows inside one are sorted. No group is gathered in one task.
     """
     by = names(by)
     present = df.select(*by, F.col(value).cast("double").alias("_tm_x")).where(F.col("_tm_x").isNotNull())
-    if fits_one_task(df, policy):
-        points = F.percentile("_tm_x", F.array(*[F.lit(float(s)) for s in shares]))
-        found = present.groupBy(*by).agg(points.alias("_tm_q"))
-        return found.select(*by, *[F.col("_tm_q")[i].alias(f"q{i}") for i in range(len(shares))])
     return _bracketed_quantiles(present, [float(s) for s in shares], by, policy)
 
 
@@ -148,8 +144,6 @@ def _bracketed_quantiles(present: DataFrame, shares: list[float], by: list[str],
     ends = [min(1.0, max(0.0, s + sign * margin)) for s in shares for sign in (-1, 1)]
     keys = [f"_tm_b{i}" for i in range(len(by))]
     rows = present.select(*[F.struct(F.col(b)).alias(k) for b, k in zip(by, keys, strict=True)], "_tm_x") if by else present
-    rows = rows if by else rows.withColumn("_tm_b", F.lit(1))
-    keys = keys or ["_tm_b"]
     sketch = rows.groupBy(*keys).agg(
         F.percentile_approx("_tm_x", ends, ACCURACY).alias("_tm_ends"),
         F.min("_tm_x").alias("_tm_min"),
@@ -161,8 +155,7 @@ def _bracketed_quantiles(present: DataFrame, shares: list[float], by: list[str],
     if by:
         known = spread_join(counted, sketch, keys, "_tm_x", policy, hot_from=rows)
     else:
-        packed = sketch.select(F.struct("_tm_ends", "_tm_min", "_tm_max", "_tm_n")).scalar()
-        known = counted.withColumn("_tm_s", packed).select(*keys, "_tm_x", "_tm_c", "_tm_s.*")
+        known = with_listed(counted, sketch, keys, ["_tm_ends", "_tm_min", "_tm_max", "_tm_n"])
     x, n = F.col("_tm_x"), F.col("_tm_n").cast("double")
     lows, highs, ranks = [], [], []
     for i, share in enumerate(shares):
@@ -181,7 +174,8 @@ def _bracketed_quantiles(present: DataFrame, shares: list[float], by: list[str],
     ]
     picked = known.select(*keys, "_tm_x", "_tm_c", F.inline(F.filter(F.array(*inside), lambda e: e.isNotNull())))
     order = Window.partitionBy(*keys, "_tm_i").orderBy("_tm_x").rowsBetween(Window.unboundedPreceding, 0)
-    placed = picked.withColumn("_tm_to", F.sum("_tm_c").over(order)).join(below, keys)
+    placed = picked.withColumn("_tm_to", F.sum("_tm_c").over(order))
+    placed = placed.join(below, keys) if by else with_listed(placed, below, keys, below.columns)
     offset = F.element_at(F.array(*[F.col(f"_tm_below{i}") for i in range(len(shares))]), F.col("_tm_i") + 1)
     until = offset + F.col("_tm_to")
     start = until - F.col("_tm_c")
@@ -195,11 +189,12 @@ def _bracketed_quantiles(present: DataFrame, shares: list[float], by: list[str],
         *[at_rank("_tm_hi", i).alias(f"_tm_h{i}") for i in range(len(shares))],
     )
     missed = F.raise_error(F.lit("a quantile fell outside its bracket")).cast("double")
-    joined = values.join(sketch.select(*keys, "_tm_n"), keys)
+    sized = sketch.select(*keys, "_tm_n")
+    joined = values.join(sized, keys) if by else with_listed(values, sized, keys, ["_tm_n"])
     columns = []
     for i in range(len(shares)):
         low, high, part = F.col(f"_tm_l{i}"), F.col(f"_tm_h{i}"), ranks[i][2]
-        columns.append(F.coalesce(low + (high - low) * part, missed).alias(f"q{i}"))
+        columns.append(F.when(n > 0, F.coalesce(low + (high - low) * part, missed)).alias(f"q{i}"))
     return joined.select(*[F.col(k)[b].alias(b) for b, k in zip(by, keys, strict=False)], *columns)
 
 

@@ -1,8 +1,8 @@
 """Features over a key's earlier rows: running, last N rows, trailing time range, as-of.
 
-A key that is too heavy for one task is cut into slices. For running features each slice starts with an
-opening row that carries the state of everything before it; for last-N and range features the rows a
-slice needs from its neighbours are copied or pre-aggregated. Results are the same either way.
+A key that is too heavy for one task is cut into slices of about equally many rows. For running features each
+slice starts with an opening row that carries the state of everything before it; for last-N and range features
+the rows a slice needs from its neighbours are copied or pre-aggregated. One plan serves every size.
 """
 
 from __future__ import annotations
@@ -14,14 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from tidemark.skew import DEFAULT, HOT, SkewPolicy, fits_one_task, hot_keys, mark_hot, names
+from tidemark.skew import DEFAULT, HOT, ROWS, TASKS, SkewPolicy, hot_keys, mark_hot, names, with_listed
 from tidemark.spans import Offset, column, micros
 
 SLICE = "_tm_slice"
 REAL = "_tm_real"
 AT = "_tm_at"
 TIMED = "_tm_timed"
-FIRST_INSTANT = "0001-01-01 00:00:00"
+CUTS = "_tm_cuts"
+EVERY = "_tm_every"
+BEFORE_ALL = -(1 << 62)
+DRAWN = 32
 
 
 @dataclass(frozen=True)
@@ -99,12 +102,42 @@ def _carried(combine: str, state: str, order: Column) -> Column:
     return getattr(F, combine)(state)
 
 
-def _sliced(df: DataFrame, keys: list[str], slice_by: Column, source: DataFrame, policy: SkewPolicy) -> DataFrame:
-    """Name the slice of each row: null for ordinary keys, ``slice_by`` for hot ones (or with no key)."""
-    if not keys:
-        return df.withColumn(SLICE, slice_by)
-    marked = mark_hot(df, keys, hot_keys(source, keys, policy))
-    return marked.withColumn(SLICE, F.when(F.col(HOT), slice_by)).drop(HOT)
+def _cuts(
+    df: DataFrame, keys: list[str], place: list[str], draw_by: list[str], source: DataFrame, policy: SkewPolicy
+) -> DataFrame:
+    """For each hot key, the places at which a new slice begins.
+
+    About ``DRAWN`` rows are drawn for each task that the key needs, by the hash of ``draw_by``, so the same rows
+    are drawn whenever this is computed. There are at most 2 x ``max_hot`` tasks, and so many times ``DRAWN``
+    rows drawn, from all keys together.
+    """
+    per_task = F.col(ROWS) / F.col(TASKS)
+    rates = hot_keys(source, keys, policy).select(
+        *keys, F.greatest(F.floor(per_task / DRAWN), F.lit(1)).alias(EVERY), per_task.alias(ROWS)
+    )
+    drawn_from = source if all(name in source.columns for name in draw_by) else df
+    drawn = with_listed(drawn_from, rates, keys, [EVERY, ROWS]).where(F.pmod(F.xxhash64(*draw_by), F.col(EVERY)) == 0)
+    step = F.greatest(F.floor(F.first(F.col(ROWS) / F.col(EVERY))), F.lit(1))
+    spots = drawn.groupBy(*keys, F.struct(*place).alias(CUTS)).agg(F.count(F.lit(1)).alias("_tm_drawn"), step.alias("_tm_step"))
+    until = F.sum("_tm_drawn").over(Window.partitionBy(*keys).orderBy(CUTS).rowsBetween(Window.unboundedPreceding, 0))
+    part, part_before = (F.floor(n / F.col("_tm_step")) for n in (F.col("_tm_until"), F.col("_tm_until") - F.col("_tm_drawn")))
+    starts = spots.withColumn("_tm_until", until).where(part > part_before)
+    return starts.groupBy(*keys).agg(F.array_sort(F.collect_list(CUTS)).alias(CUTS))
+
+
+def _sliced(
+    df: DataFrame, keys: list[str], place: list[str], draw_by: list[str], source: DataFrame, policy: SkewPolicy
+) -> DataFrame:
+    """Number the slice of each row: null for ordinary keys, else how many of its key's cuts lie at or before it."""
+    cut = with_listed(df, _cuts(df, keys, place, draw_by, source, policy), keys, [CUTS])
+    # binary search in halving steps; past the last cut there is nothing to step over
+    widest = (2 * policy.max_hot).bit_length()
+    steps = F.array(*[F.lit(1 << power) for power in range(widest, -1, -1)])
+    here = F.struct(*place)
+    number = F.aggregate(
+        steps, F.lit(0), lambda at, step: at + F.when(F.get(CUTS, at + step - 1) <= here, step).otherwise(F.lit(0))
+    )
+    return cut.withColumn(SLICE, F.when(F.col(CUTS).isNotNull(), number)).drop(CUTS)
 
 
 def _with_opening_rows(
@@ -146,31 +179,31 @@ def running_features(
     ``hot_from`` is a table to count the keys in when ``df`` itself is costly, such as the scan it comes
     from. ``current_row`` also counts the row itself. ``strictly_earlier`` leaves out rows at the same time
     instead of ordering them by ``tie``; a row without a time then has no earlier rows, and comes before
-    all rows with one.
+    all rows with one. Rows of a hot key that are equal in ``time`` and ``tie`` stay in one slice, with
+    ``strictly_earlier`` all rows at one time. ``slice_by`` names slices that are known beforehand, in order; it
+    is for tables without keys.
     """
     keys, tie = names(keys), names(tie)
     if strictly_earlier and (current_row or any(f.kind in ("previous", "latest") for f in features)):
         raise ValueError("strictly_earlier takes whole instants: no current row, and no feature that needs one row of an instant")
+    if slice_by is not None and keys:
+        raise ValueError("slices are named only for tables without keys")
     states = [part for feature in features for part in feature.parts()]
     work = df.withColumns({state: value for state, value, _ in states})
     if strictly_earlier:
         work = work.withColumn(AT, micros(time)).withColumn(TIMED, F.col(AT).isNotNull())
-    part, order = list(keys), [AT] if strictly_earlier else [time, *tie]
-    split = not fits_one_task(df, policy)
-    if split:
-        if slice_by is None:
-            start = F.date_trunc(policy.unit, F.col(time).cast("timestamp"))
-            slice_by = F.coalesce(start, F.lit(FIRST_INSTANT).cast("timestamp"))
-        work = _sliced(work, keys, slice_by, df if hot_from is None else hot_from, policy)
-        work = _with_opening_rows(work, keys, [time, *tie], states)
-        if strictly_earlier:
-            work = work.withColumn(AT, F.coalesce(AT, F.unix_micros(SLICE) - 1))
-            ordering = [F.col(AT)]
-        else:
-            ordering = [F.col(REAL), *[F.col(c) for c in order]]
-        part = [*keys, SLICE]
+    if slice_by is None:
+        place = [time] if strictly_earlier else [time, *tie]
+        work = _sliced(work, keys, place, [time, *tie], df if hot_from is None else hot_from, policy)
     else:
-        ordering = [F.col(c) for c in order]
+        work = work.withColumn(SLICE, slice_by)
+    work = _with_opening_rows(work, keys, [time, *tie], states)
+    if strictly_earlier:
+        work = work.withColumn(AT, F.when(F.col(REAL) == 0, F.lit(BEFORE_ALL)).otherwise(F.col(AT)))
+        ordering = [F.col(AT)]
+    else:
+        ordering = [F.col(REAL), F.col(time), *[F.col(c) for c in tie]]
+    part = [*keys, SLICE]
     by_order = Window.partitionBy(*part).orderBy(*ordering)
     if strictly_earlier:
         frame = by_order.rangeBetween(Window.unboundedPreceding, -1)
@@ -179,9 +212,7 @@ def running_features(
     found = {state: _over(combine, state, frame, by_order) for state, _, combine in states}
     if strictly_earlier:
         found = {state: F.when(F.col(TIMED), value) for state, value in found.items()}
-    work = work.withColumns(found)
-    if split:
-        work = work.where(F.col(REAL) == 1)
+    work = work.withColumns(found).where(F.col(REAL) == 1)
     over = {state: F.col(state) for state, _, _ in states}
     return work.select(*df.columns, *[f.result(over).alias(f.name) for f in features])
 
@@ -193,23 +224,17 @@ def next_value(
 
     For several values pass a struct column and unpack it, so the rows are sorted once.
     """
-    keys = names(keys)
-    if fits_one_task(df, policy):
-        return df.withColumn(name, F.lead(value).over(Window.partitionBy(*keys).orderBy(time, tie)))
     # the next row is the previous one in reversed order
     last = F.lit(1 << 62)
-    reverse = df.withColumns({"_tm_rt": F.coalesce(-micros(time), last), "_tm_ri": -F.col(tie)})
-    slices = F.coalesce(-F.unix_micros(F.date_trunc(policy.unit, F.col(time).cast("timestamp"))), last)
-    found = running_features(
-        reverse, keys, "_tm_rt", "_tm_ri", [previous(name, value)], slice_by=slices, policy=policy
-    )
+    reverse = df.withColumns({"_tm_rt": F.coalesce(-micros(time), last), "_tm_ri": F.coalesce(-F.col(tie), last)})
+    found = running_features(reverse, names(keys), "_tm_rt", "_tm_ri", [previous(name, value)], policy=policy)
     return found.drop("_tm_rt", "_tm_ri")
 
 
-def ordinal(df, keys, time, tie, name="ordinal", policy: SkewPolicy = DEFAULT, slice_by=None) -> DataFrame:
+def ordinal(df, keys, time, tie, name="ordinal", policy: SkewPolicy = DEFAULT) -> DataFrame:
     """1 for the key's first row, 2 for the second, and so on."""
     counted = Past(name, "count", F.lit(1))
-    return running_features(df, keys, time, tie, [counted], current_row=True, slice_by=slice_by, policy=policy)
+    return running_features(df, keys, time, tie, [counted], current_row=True, policy=policy)
 
 
 def distinct_before(
@@ -245,21 +270,17 @@ def last_rows_features(
     *,
     rows_per_slice: int = 1_000_000,
     policy: SkewPolicy = DEFAULT,
-    slice_by: Column | None = None,
 ) -> DataFrame:
     """Aggregates over the rows from ``first`` to ``last`` relative to each row, e.g. -5 to -1.
 
-    A hot key is cut by row number; the last rows of a slice are also given to the next one.
+    A key is cut by row number; the last rows of a slice are also given to the next one.
     """
     keys, tie = names(keys), names(tie)
     if not first <= last <= 0:
         raise ValueError("the frame must end at or before the current row")
-    if fits_one_task(df, policy):
-        frame = Window.partitionBy(*keys).orderBy(time, *tie).rowsBetween(first, last)
-        return df.select("*", *[agg.over(frame).alias(name) for name, agg in aggregates.items()])
     reach = -first
     width = max(rows_per_slice, reach)
-    numbered = ordinal(df, keys, time, tie, "_tm_row", policy, slice_by)
+    numbered = ordinal(df, keys, time, tie, "_tm_row", policy)
     own = F.floor((F.col("_tm_row") - 1) / F.lit(width))
     ends_slice = F.pmod(F.col("_tm_row") - 1, F.lit(width)) >= width - reach
     copies = numbered.withColumn("_tm_own", own).withColumn(
@@ -357,14 +378,7 @@ def trailing_features(
     shift = 0 if closed == "left" else 1
     bounds = {label: (shift - h.us, shift - 1) for label, h in horizons.items()}
     # the cost of a frame per row matters long before a task runs out of room
-    early = replace(
-        policy,
-        one_task_bytes=policy.one_task_bytes // 32,
-        min_rows=min(policy.min_rows, 20_000),
-        max_hot=max(policy.max_hot, 65_536),
-    )
-    if fits_one_task(df, early):
-        return _range_windows(df, keys, time, bounds, features)
+    early = replace(policy, min_rows=min(policy.min_rows, 20_000), max_hot=max(policy.max_hot, 65_536))
     if all_dense:
         marked = df.withColumn(HOT, F.lit(True))
     else:

@@ -10,7 +10,7 @@ from tidemark.functions import values as v
 from tidemark.operators import entity_features as ent
 from tidemark.operators.aggregates import exact_quantiles, group_totals, largest, smallest
 from tidemark.plans.registry import Tables, plan, r, rounded, rq
-from tidemark.skew import spread_join, spread_small
+from tidemark.skew import spread_join
 from tidemark.spans import days, hours, instant, months, weeks
 
 REF = "TIMESTAMP '2024-01-15 12:00:00'"
@@ -246,7 +246,7 @@ WORDS = ["the", "and", "error", "les", "der"]
 
 
 def documents(t: Tables):
-    return spread_small(t.documents, "doc_id")
+    return t.documents
 
 
 @plan("x1_text_length", "SELECT doc_id, length(text) AS chars FROM documents")

@@ -333,8 +333,7 @@ def text_intent_table(t: Tables):
         "doc_id", "lang", "source", text.text_length("text").alias("chars"), text.contains_any_of("text", ["!"]).alias("exclaims"),
         text.keywords_present("text", ["error", "the"]).alias("n_words"),
     )
-    slices = F.floor(F.col("doc_id") / 1_000_000)
-    rows = h.running_features(features, "source", "doc_id", [], [h.past_count("source_seen")], slice_by=slices, hot_from=t.documents)
+    rows = h.running_features(features, "source", "doc_id", [], [h.past_count("source_seen")], hot_from=t.documents)
     rows = rows.join(t.labels, "doc_id", "left")
     size = bins.cut("chars", [0, 500, 3000, float("inf")], ["short", "medium", "long"], closed="left")
     known = [(F.col("quality").isNull(), "unknown"), (F.col("toxic") == 1, "toxic"), (F.col("quality") == 1, "good")]

@@ -10,53 +10,42 @@ from pyspark.sql import functions as F
 
 HOT = "_tm_hot"
 TASKS = "_tm_tasks"
+ROWS = "_tm_rows"
 SALT = "_tm_salt"
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key is split and how finely.
+    """How many rows of one key a task takes.
 
-    Inputs estimated below ``one_task_bytes`` need no care: even one key holding everything fits a task.
-    Beyond that a key is hot when it has more than ``min_rows`` rows and more than 1/``max_hot`` of the
-    table, so there are never more than ``max_hot`` hot keys and their list is safe to broadcast. A hot key is
-    dealt over as many tasks as it has times that many rows.
+    A task takes ``min_rows`` rows of a key, or 1/``max_hot`` of the table if that is more. A key with more rows
+    is hot and is dealt over as many tasks as it has times that many rows, so there are never more than
+    ``max_hot`` hot keys, nor twice as many tasks for them, and their list is safe to broadcast. The same plan
+    runs at every size; a table without hot keys has an empty list.
     """
 
-    one_task_bytes: int = 128 << 20
     min_rows: int = 1_000_000
     max_hot: int = 4096
-    unit: str = "day"
 
 
 DEFAULT = SkewPolicy()
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Bytes of all tables the query reads, from file sizes.
-
-    Joins are not multiplied out: a row with its looked-up columns still counts as one row. Used only to
-    choose between equal plans, never to decide what may be broadcast.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def fits_one_task(df: DataFrame, policy: SkewPolicy = DEFAULT) -> bool:
-    return estimated_bytes(df) <= policy.one_task_bytes
-
-
 def names(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT) -> DataFrame:
-    """At most ``max_hot`` keys, each with the tasks its rows need. One column-pruned pass with map-side combining; exact, so repeatable."""
+    """At most ``max_hot`` keys, each with the tasks its rows need. One column-pruned pass with map-side combining; exact, so repeatable.
+
+    Without keys the whole table is one key.
+    """
     total = df.agg((F.count(F.lit(1)) / policy.max_hot).alias("share")).scalar()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tm_rows"))
-    most = F.greatest(F.lit(float(policy.min_rows)), total)
-    heavy = counts.where(F.col("_tm_rows") > most)
-    return heavy.select(*keys, F.lit(True).alias(HOT), F.ceil(F.col("_tm_rows") / most).cast("bigint").alias(TASKS))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
+    share = F.greatest(F.lit(float(policy.min_rows)), total)
+    heavy = counts.where(F.col(ROWS) > share)
+    tasks = F.ceil(F.col(ROWS) / share).cast("bigint")
+    return heavy.select(*keys, F.lit(True).alias(HOT), tasks.alias(TASKS), F.col(ROWS).alias(ROWS))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -66,18 +55,19 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
     return match
 
 
-def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, *, tasks: bool = False) -> DataFrame:
-    """Add a boolean saying whether the row's key is in the (bounded, broadcast) hot list, or the tasks its key needs (1 if it isn't)."""
-    added, otherwise = (TASKS, F.lit(1).cast("bigint")) if tasks else (HOT, F.lit(False))
-    listed = hot.select(*[F.col(k).alias(f"_tm_h_{k}") for k in keys], added)
-    marked = df.join(F.broadcast(listed), _null_safe(df, listed, keys), "left")
-    return marked.drop(*[f"_tm_h_{k}" for k in keys]).withColumn(added, F.coalesce(added, otherwise))
+def with_listed(df: DataFrame, listed: DataFrame, keys: Sequence[str], added: Sequence[str]) -> DataFrame:
+    """Add columns of a list made from hot keys (bounded, so broadcast); null where the row's key isn't in it."""
+    if not keys:
+        row = listed.select(F.struct(*added)).scalar()
+        return df.withColumns({name: row[name] for name in added})
+    renamed = listed.select(*[F.col(k).alias(f"_tm_h_{k}") for k in keys], *added)
+    return df.join(F.broadcast(renamed), _null_safe(df, renamed, keys), "left").drop(*[f"_tm_h_{k}" for k in keys])
 
 
-def _spark_will_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's upper size bound is under the session's own broadcast threshold."""
-    limit = df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, *, tasks: bool = False) -> DataFrame:
+    """Add a boolean saying whether the row's key is in the hot list, or the tasks its key needs (1 if it isn't)."""
+    added, otherwise = (TASKS, F.lit(1).cast("bigint")) if tasks else (HOT, F.lit(False))
+    return with_listed(df, hot, keys, [added]).withColumn(added, F.coalesce(added, otherwise))
 
 
 def spread_join(
@@ -99,22 +89,9 @@ def spread_join(
     keys = names(keys)
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins can be spread")
-    if fits_one_task(big, policy) or _spark_will_broadcast(small):
-        return big.join(small, keys, how)
     hot = hot_keys(big if hot_from is None else hot_from, keys, policy)
     dealt = F.pmod(F.xxhash64(*names(spread_by)), F.col(TASKS))
     left = mark_hot(big, keys, hot, tasks=True).withColumn(SALT, dealt).drop(TASKS)
     copies = F.sequence(F.lit(0).cast("bigint"), F.col(TASKS) - 1)
     right = mark_hot(small, keys, hot, tasks=True).withColumn(SALT, F.explode(copies)).drop(TASKS)
     return left.join(right, [*keys, SALT], how).drop(SALT)
-
-
-def spread_small(df: DataFrame, by: str, policy: SkewPolicy = DEFAULT) -> DataFrame:
-    """Deal a small table over all cores before costly per-row work.
-
-    A small file is often a single row group, which one task would read and process alone.
-    Larger inputs already come in many splits and are left as they are.
-    """
-    if not fits_one_task(df, policy):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, by)
