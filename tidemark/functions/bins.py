@@ -54,7 +54,8 @@ def zero_and_quantile_tiers(
     return df.withColumn(name, result.otherwise(labels[-1]))
 
 
-def above_quantile(df: DataFrame, value: str, share: float, name: str, *, non_zero: bool = False, policy=DEFAULT) -> DataFrame:
-    """1 when the value is above the column's quantile."""
-    point = thresholds(df, value, [share], non_zero=non_zero, policy=policy)[0]
-    return df.withColumn(name, F.coalesce((F.col(value) > point).cast("int"), F.lit(0)))
+def above_quantile(df: DataFrame, value: str, shares: dict[str, float], *, non_zero: bool = False, policy=DEFAULT) -> DataFrame:
+    """For each new column's share, 1 when the value is above the column's quantile at it."""
+    points = thresholds(df, value, list(shares.values()), non_zero=non_zero, policy=policy)
+    above = [F.coalesce((F.col(value) > point).cast("int"), F.lit(0)) for point in points]
+    return df.withColumns(dict(zip(shares, above, strict=True)))

@@ -172,7 +172,7 @@ def _bracketed_quantiles(present: DataFrame, shares: list[float], by: list[str],
         F.when(x.between(low, high), F.struct(F.lit(i).alias("_tm_i"), ranks[i][0].alias("_tm_lo"), ranks[i][1].alias("_tm_hi")))
         for i, (low, high) in enumerate(zip(lows, highs, strict=True))
     ]
-    picked = known.select(*keys, "_tm_x", "_tm_c", F.inline(F.filter(F.array(*inside), lambda e: e.isNotNull())))
+    picked = known.select(*keys, "_tm_x", "_tm_c", "_tm_n", F.inline(F.filter(F.array(*inside), lambda e: e.isNotNull())))
     order = Window.partitionBy(*keys, "_tm_i").orderBy("_tm_x").rowsBetween(Window.unboundedPreceding, 0)
     placed = picked.withColumn("_tm_to", F.sum("_tm_c").over(order))
     placed = placed.join(below, keys) if by else with_listed(placed, below, keys, below.columns)
@@ -184,13 +184,12 @@ def _bracketed_quantiles(present: DataFrame, shares: list[float], by: list[str],
         holds = (F.col("_tm_i") == i) & (start <= F.col(rank)) & (F.col(rank) < until)
         return F.max(F.when(holds, F.col("_tm_x")))
 
-    values = placed.groupBy(*keys).agg(
+    joined = placed.groupBy(*keys).agg(
+        F.first("_tm_n").alias("_tm_n"),
         *[at_rank("_tm_lo", i).alias(f"_tm_l{i}") for i in range(len(shares))],
         *[at_rank("_tm_hi", i).alias(f"_tm_h{i}") for i in range(len(shares))],
     )
     missed = F.raise_error(F.lit("a quantile fell outside its bracket")).cast("double")
-    sized = sketch.select(*keys, "_tm_n")
-    joined = values.join(sized, keys) if by else with_listed(values, sized, keys, ["_tm_n"])
     columns = []
     for i in range(len(shares)):
         low, high, part = F.col(f"_tm_l{i}"), F.col(f"_tm_h{i}"), ranks[i][2]

@@ -156,7 +156,7 @@ def l4(t: Tables):
     ]
     rows = h.running_features(t.orders, "o_custkey", "o_orderdate", "o_orderkey", features)
     segments = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-    rows = spread_join(rows, segments, "o_custkey", "o_orderkey")
+    rows = spread_join(rows, segments, "o_custkey", "o_orderkey", hot_from=t.orders)
     days_since = elapsed_days("o_orderdate", "previous_at")
     ratio = F.when(F.col("mean_prior") > 0, safe_ratio("o_totalprice", "mean_prior")).otherwise(1.0)
     unusual = (F.col("o_totalprice") > 450000) | ((ratio > 1.5) & (days_since < 30) & (F.col("n_prior") > 0))

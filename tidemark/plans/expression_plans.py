@@ -368,10 +368,8 @@ def b5(t: Tables):
     """,
 )
 def b6(t: Tables):
-    df = t.customer
-    for share in (0.2, 0.75, 0.9):
-        df = bins.above_quantile(df, "c_acctbal", share, f"above_{round(share * 100)}")
-    return df.select("c_custkey", "above_20", "above_75", "above_90")
+    shares = {"above_20": 0.2, "above_75": 0.75, "above_90": 0.9}
+    return bins.above_quantile(t.customer, "c_acctbal", shares).select("c_custkey", "above_20", "above_75", "above_90")
 
 
 @plan(

@@ -67,7 +67,7 @@ def j3(t: Tables):
     kinds = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type")
     item = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     items = t.lineitem.select(*item, "l_extendedprice", "l_discount")
-    joined = spread_join(spread_join(items, kinds, "l_partkey", item), bought, "l_orderkey", item)
+    joined = spread_join(spread_join(items, kinds, "l_partkey", item), bought, "l_orderkey", item, hot_from=items)
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return joined.groupBy("r_name", "p_type", "o_orderpriority").agg(
         F.count(F.lit(1)).alias("n"), r(F.sum(net)).alias("revenue")

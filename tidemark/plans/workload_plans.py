@@ -311,7 +311,7 @@ def session_value_table(t: Tables):
     """Daily sessions: counts, a composite score, and a high-value flag at the 75% quantile."""
     dated = t.events.withColumn("day", F.to_date("ts").cast("string"))
     rows = ent.session_rollup(dated, ["user_id", "day"], "ts", "event_type", ["click", "view"], [agg.total("total", "value")])
-    rows = bins.above_quantile(rows, "total", 0.75, "high_value")
+    rows = bins.above_quantile(rows, "total", {"high_value": 0.75})
     score = 0.6 * F.col("n_click") + 0.4 * F.col("n_view")
     return rows.select("user_id", "day", F.col("n_events").alias("n"), r(score).alias("score"), r(safe_ratio("n_click", "n_view")).alias("click_rate"), "high_value")
 
