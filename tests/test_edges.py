@@ -310,3 +310,18 @@ def test_rows_without_time_or_id_are_kept(spark, policy):
 def test_latest_needs_an_order_of_rows(events):
     with pytest.raises(ValueError):
         h.running_features(events, "key", "at", "id", [h.latest("x_at", "x")], strictly_earlier=True)
+
+
+def test_horizons_that_no_cell_divides(spark, events):
+    wanted = [h.Trailing("n", "count", F.col("id")), h.Trailing("s", "sum", F.col("x"))]
+    odd = {"odd": Offset(us=7 * 86_400_000_000 + 1), "even": days(7)}
+    columns = ["id", "n_odd", "s_odd", "n_even", "s_even"]
+    plain = found(h.trailing_features(events, "key", "at", "id", odd, wanted), *columns)
+    assert found(h.trailing_features(events, "key", "at", "id", odd, wanted, policy=TIGHT), *columns) == plain
+
+
+def test_a_busy_day_is_cut_by_rows(spark):
+    rows = spark.range(2000).select("id", F.lit("k").alias("key"), F.lit(datetime(2024, 1, 1)).alias("at"))
+    sliced = h._sliced(rows, ["key"], ["at", "id"], ["at", "id"], rows, SkewPolicy(min_rows=100, max_hot=100))
+    sizes = [r["count"] for r in sliced.groupBy(h.SLICE).count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) >= 15 and max(sizes) < 300

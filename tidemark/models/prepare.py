@@ -245,8 +245,8 @@ def text_weights(
         F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"([\p{L}\p{N}_]{2,})"), F.lit(1)),
         lambda w: ~w.isin(*stop_words) if stop_words else F.lit(True),
     )
-    # nulls go first, so both uses of the counts below are one and the same shuffle
-    present = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull())
+    # one shuffle of the texts serves the counts and the lengths, which would each shuffle the far more numerous terms
+    present = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(doc_id, text).repartition(doc_id)
     tokens = present.select(doc_id, F.explode(words).alias("term")).where(F.col("term").isNotNull())
     counts = tokens.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
     size = docs.agg(F.count(F.lit(1))).scalar()

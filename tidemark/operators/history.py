@@ -25,6 +25,7 @@ CUTS = "_tm_cuts"
 EVERY = "_tm_every"
 BEFORE_ALL = -(1 << 62)
 DRAWN = 32
+HORIZON = "_tm_horizon"
 
 
 @dataclass(frozen=True)
@@ -342,14 +343,14 @@ class Trailing:
         # squares are taken about the overall mean to keep their sums small
         return {n: (ones, "sum"), s: (x - centre, "sum"), q: ((x - centre) * (x - centre), "sum")}
 
-    def result(self) -> Column:
-        n, s, q = (F.col(f"_tm_{self.name}_{part}") for part in "nsq") if self.kind == "std" else (None, None, None)
+    def result(self, suffix: str) -> Column:
+        n, s, q = (F.col(f"_tm_{self.name}_{part}{suffix}") for part in "nsq")
         if self.kind == "count":
-            return F.coalesce(F.col(f"_tm_{self.name}_n"), F.lit(0)).cast("bigint")
+            return F.coalesce(n, F.lit(0)).cast("bigint")
         if self.kind in ("min", "max", "sum"):
-            return F.col(f"_tm_{self.name}_s")
+            return s
         if self.kind == "mean":
-            return F.col(f"_tm_{self.name}_s") / F.nullif(F.col(f"_tm_{self.name}_n"), F.lit(0))
+            return s / F.nullif(n, F.lit(0))
         return F.when(n > 1, F.sqrt(F.greatest((q - s * s / n) / (n - 1), F.lit(0.0))))
 
 
@@ -392,12 +393,11 @@ def trailing_features(
     slim = hot.select(*keys, *tie, micros(time).alias(AT), *[f.value.alias(values[f.name]) for f in features])
     simple = [f.on(values[f.name]) for f in features if f.kind in DECOMPOSABLE]
     whole = [f.on(values[f.name]) for f in features if f.kind not in DECOMPOSABLE]
-    heavy = hot
-    for label, (low, high) in bounds.items():
-        if simple:
-            heavy = _attached(heavy, _range_pieces(slim, keys, tie, label, low, high, simple), tie)
-        if whole:
-            heavy = _attached(heavy, _range_copies(slim, keys, tie, label, low, high, whole), tie)
+    # one mean per feature serves all horizons
+    centres = {f.name: slim.agg(F.avg(f.value)).scalar() for f in simple if f.kind == "std"}
+    heavy = _attached(hot, _range_pieces(slim, keys, tie, bounds, simple, centres), tie) if simple else hot
+    for label, (low, high) in bounds.items() if whole else ():
+        heavy = _attached(heavy, _range_copies(slim, keys, tie, label, low, high, whole), tie)
     return ordinary.unionByName(heavy.select(*ordinary.columns)).unionByName(untimed.select(*ordinary.columns))
 
 
@@ -437,61 +437,67 @@ def _range_copies(df, keys, tie, label, low, high, features) -> DataFrame:
 CELLS = 32
 
 
-def _range_pieces(df, keys, tie, label, low, high, features) -> DataFrame:
-    """Frames of a dense key put together from three pieces, one row per ``tie``.
+def _range_pieces(df, keys, tie, bounds, features, centres) -> DataFrame:
+    """Frames of a dense key put together from three pieces, one row per ``tie``, all horizons in one pass.
 
     Time is cut into cells, up to 32 to a horizon. A frame is the tail of its first cell, the whole cells
     in between (pre-aggregated) and the head of its last cell, so no task holds more than a cell of raw rows.
     """
-    length = high - low + 1
-    # cells divide the horizon evenly, so the ones in between lie wholly inside the frame
-    between = max((n for n in range(2, CELLS + 1) if length % n == 0), default=0)
-    if not between:
-        return _range_copies(df, keys, tie, label, low, high, features)
-    cell = length // between
+    # cells divide every horizon evenly, so the ones in between lie wholly inside the frame
+    lengths = [high - low + 1 for low, high in bounds.values()]
+    between = max(n for n in range(1, CELLS + 1) if all(length % n == 0 for length in lengths))
     states: dict[str, tuple[Column, str]] = {}
     for feature in features:
-        centre = df.agg(F.avg(feature.value)).scalar() if feature.kind == "std" else F.lit(0.0)
-        states |= feature.states(centre)
+        states |= feature.states(centres.get(feature.name, F.lit(0.0)))
     combine = {name: getattr(F, how) for name, (_, how) in states.items()}
-    data = df.select(
-        *keys,
+    spans = [
+        F.struct(*[F.lit(v).cast("bigint").alias(k) for k, v in zip((HORIZON, "_tm_low", "_tm_high", "_tm_length"), span, strict=True)])
+        for span in ((i, low, high, (high - low + 1) // between) for i, (low, high) in enumerate(bounds.values()))
+    ]
+    each, part = df.select("*", F.inline(F.array(*spans))), [*keys, HORIZON]
+    data = each.select(
+        *part,
         F.lit(None).cast("string").alias("_tm_side"),
-        F.floor(F.col(AT) / F.lit(cell)).alias(SLICE),
+        F.floor(F.col(AT) / F.col("_tm_length")).alias(SLICE),
         AT,
         *[value.alias(name) for name, (value, _) in states.items()],
     )
-    last_cell = F.floor((F.col(AT) + F.lit(high)) / F.lit(cell))
+    head_at, tail_at = F.col(AT) + F.col("_tm_high"), F.col(AT) + F.col("_tm_low")
+    last_cell = F.floor(head_at / F.col("_tm_length"))
     ends = F.array(
-        F.struct(F.lit("head").alias("_tm_side"), last_cell.alias(SLICE), (F.col(AT) + F.lit(high)).alias("at")),
-        F.struct(F.lit("tail").alias("_tm_side"), (last_cell - between).alias(SLICE), (F.col(AT) + F.lit(low)).alias("at")),
+        F.struct(F.lit("head").alias("_tm_side"), last_cell.alias(SLICE), head_at.alias("at")),
+        F.struct(F.lit("tail").alias("_tm_side"), (last_cell - between).alias(SLICE), tail_at.alias("at")),
     )
-    probes = df.select(*keys, *tie, F.inline(ends)).withColumnRenamed("at", AT)
+    probes = each.select(*part, *tie, F.inline(ends)).withColumnRenamed("at", AT)
     stream = data.unionByName(probes, allowMissingColumns=True)
-    in_cell = Window.partitionBy(*keys, SLICE).orderBy(AT)
+    in_cell = Window.partitionBy(*part, SLICE).orderBy(AT)
     head, tail = in_cell.rangeBetween(Window.unboundedPreceding, 0), in_cell.rangeBetween(0, Window.unboundedFollowing)
     is_head = F.col("_tm_side") == "head"
-    edges = stream.withColumns(
+    parts = stream.withColumns(
         {name: F.when(is_head, how(name).over(head)).otherwise(how(name).over(tail)) for name, how in combine.items()}
     ).where(F.col("_tm_side").isNotNull())
-    per_cell = stream.groupBy(*keys, SLICE).agg(*[how(name).alias(name) for name, how in combine.items()])
-    full = Window.partitionBy(*keys).orderBy(SLICE).rangeBetween(1 - between, -1)
-    middle = per_cell.select(
-        *[F.col(k).alias(f"_tm_k_{k}") for k in keys],
-        F.col(SLICE).alias("_tm_cell"),
-        *[how(name).over(full).alias(f"{name}_mid") for name, how in combine.items()],
-    )
-    match = F.col(SLICE) == F.col("_tm_cell")
-    for key in keys:
-        match = match & F.col(key).eqNullSafe(F.col(f"_tm_k_{key}"))
-    # the head row also brings the cells in between
-    pieces = F.array(
-        F.struct(*[F.col(name) for name in states]),
-        F.struct(*[F.when(is_head, F.col(f"{name}_mid")).alias(name) for name in states]),
-    )
-    parts = edges.join(middle, match).select(*tie, F.inline(pieces))
-    whole = parts.groupBy(*tie).agg(*[how(name).alias(name) for name, how in combine.items()])
-    return whole.select(*tie, *[f.result().alias(f.column(label)) for f in features])
+    if between > 1:
+        per_cell = stream.groupBy(*part, SLICE).agg(*[how(name).alias(name) for name, how in combine.items()])
+        full = Window.partitionBy(*part).orderBy(SLICE).rangeBetween(1 - between, -1)
+        middle = per_cell.select(
+            *[F.col(k).alias(f"_tm_k_{k}") for k in part],
+            F.col(SLICE).alias("_tm_cell"),
+            *[how(name).over(full).alias(f"{name}_mid") for name, how in combine.items()],
+        )
+        match = F.col(SLICE) == F.col("_tm_cell")
+        for key in part:
+            match = match & F.col(key).eqNullSafe(F.col(f"_tm_k_{key}"))
+        # the head row also brings the cells in between
+        pieces = F.array(
+            F.struct(*[F.col(name) for name in states]),
+            F.struct(*[F.when(is_head, F.col(f"{name}_mid")).alias(name) for name in states]),
+        )
+        parts = parts.join(middle, match).select(*tie, HORIZON, F.inline(pieces))
+    of_horizon = [
+        how(F.when(F.col(HORIZON) == i, F.col(name))).alias(f"{name}{i}") for i in range(len(bounds)) for name, how in combine.items()
+    ]
+    whole = parts.groupBy(*tie).agg(*of_horizon)
+    return whole.select(*tie, *[f.result(str(i)).alias(f.column(label)) for i, label in enumerate(bounds) for f in features])
 
 
 def latest_known(
