@@ -123,13 +123,13 @@ def ordinal_code(name: str, levels: Sequence[str]) -> Column:
     return F.coalesce(F.array_position(F.array(*[F.lit(v) for v in levels]), F.col(name)) - 1, F.lit(-1)).cast("int")
 
 
-def label_codes(df: DataFrame, name: str, prefix: int = 3, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def label_codes(df: DataFrame, name: str, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Code per distinct text value in alphabetical order; joined back it encodes, read by code it decodes.
 
-    Any number of values: they are numbered in slices of equal first ``prefix`` letters, whose counts are carried on.
+    Any number of values: they are numbered in slices of about equally many, whose counts are carried on.
     """
     values = df.select(name).where(F.col(name).isNotNull()).distinct()
-    numbered = ordinal(values, [], name, [], "code", policy, F.substring(name, 1, prefix))
+    numbered = ordinal(values, [], name, [], "code", policy)
     return numbered.select((F.col("code") - 1).cast("int").alias("code"), name)
 
 
