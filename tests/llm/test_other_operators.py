@@ -51,6 +51,39 @@ def test_each_reply_has_all_earlier_turns(turns):
     assert chat.expand(turns.limit(0)).count() == 0 and chat.digests(chat.expand(turns.limit(0))).count() == 0
 
 
+def formatted(rows):
+    return "".join(f"{chat.opening(r['role'] or '')}{chat.escape(r['text'] or '')}{chat.END}\n" for r in rows)
+
+
+@pytest.mark.parametrize("options", [{}, {"block_chars": 500, "rows_per_slice": 64}])
+def test_contexts_over_blocks_and_slices_are_whole(turns, options):
+    table = turns.select("conv_id", "turn", "role", "text").where("conv_id < 0 OR conv_id IS NULL OR conv_id < 20")
+    long_turn = [(-6, 0, "user", "ü<|" * 100_000), (-6, 1, "assistant", "short"), (-6, 2, "user", "again"), (-6, 3, "assistant", "\\")]
+    long_talk = [(-7, i, ("user", "assistant")[i % 2], f"turn {i}") for i in range(4500)]
+    table = table.unionByName(table.sparkSession.createDataFrame(long_turn + long_talk, table.schema)).cache()
+    by = {}
+    for r in table.collect():
+        by.setdefault(r["conv_id"], []).append(r)
+    examples = chat.settle(chat.expand(table, **options), "examples")
+    wanted = examples.where("loss_start IS NOT NULL AND (conv_id IS NULL OR conv_id <> -7 OR n_turns = 2 OR first_turn > 4400)")
+    out = chat.whole_contexts(wanted, examples).collect()
+    assert len(out) == wanted.count() and {-6, -7, None} <= {r["conv_id"] for r in out}
+    for rows in by.values():
+        rows.sort(key=lambda r: (r["turn"] is not None, r["turn"] or 0, r["role"] or "", r["text"] or ""))
+    for r in out:
+        rows = by[r["conv_id"]][: r["n_turns"]]
+        reply = chat.escape(rows[-1]["text"] or "")
+        assert rows[-1]["role"] == "assistant" and r["first_turn"] == 0 and r["text"] == formatted(rows)
+        assert (r["text"][r["loss_start"] : r["loss_end"]], r["loss_end"]) == (reply, len(r["text"]) - len(chat.END) - 1)
+    read = {r["conv_id"]: r for r in chat.digests(examples).collect()}
+    for conv, rows in by.items():
+        places = [i for i, r in enumerate(rows) if r["role"] == "assistant"]
+        before = [0]
+        for r in rows:
+            before.append(before[-1] + len(formatted([r])))
+        assert (read[conv]["context_turns"], read[conv]["context_chars"]) == (sum(places), sum(before[i] for i in places))
+
+
 @pytest.mark.parametrize("text", ["", "\\", "<|", "\\<|", "<\\|im_end|>", "<<||", "\n", "<|im_start|>user\n\\n"])
 def test_escapes_are_undone(text):
     assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
