@@ -312,6 +312,50 @@ def test_packing_is_as_good_as_trying_all():
     assert over <= 1
 
 
+def test_packing_short_lengths():
+    for n in (1, 15, 3000):
+        fillings, bound = packing.bin_completion({300: n, 200: 2 * n, 162: 2 * n}, 1024)
+        assert sum(f.times for f in fillings) == bound == n
+    # sequences of about ten lengths each, all full
+    draw = np.random.default_rng(9)
+    for _ in range(10):
+        counts = Counter()
+        for _ in range(8):
+            ends = [0, *sorted(draw.choice(np.arange(1, 64), size=9, replace=False)), 64]
+            counts.update({int(s): n * 7 for s, n in Counter(16 * np.diff(ends)).items()})
+        fillings, bound = packing.bin_completion(dict(counts), 1024)
+        assert sum((Counter({s: f.lengths.count(s) * f.times for s in f.lengths}) for f in fillings), Counter()) == counts
+        assert sum(f.times for f in fillings) == bound == 56
+
+
+def test_completions_are_all_undominated_fillings():
+    draw = np.random.default_rng(6)
+
+    def fillings(sizes, room):
+        """All sets of at most the given copies that fit."""
+        if not sizes:
+            return [()]
+        (size, n), *rest = sizes
+        return [(size,) * k + f for k in range(min(n, room // size), -1, -1) for f in fillings(rest, room - k * size)]
+
+    def dominated(filling, held, room):
+        out = [x for x, n in held.items() if n > filling.count(x)]
+        for picked in range(1 << len(filling)):
+            gone = [s for i, s in enumerate(filling) if picked >> i & 1]
+            if any(sum(gone) <= x <= sum(gone) + room - sum(filling) and gone != [x] for x in out):
+                return True
+        return False
+
+    for _ in range(60):
+        counts = dict(Counter(draw.integers(3, 30, size=11).tolist()))
+        held = {s: n - (s == max(counts)) for s, n in counts.items()}
+        room = 60 - max(counts)
+        want = {f for f in fillings(sorted(held.items(), reverse=True), room) if not dominated(f, held, room)}
+        found = [f for f in packing.completions(counts, max(counts), 60, 60) if f is not None]
+        assert len(found) == len(set(found)) and set(found) == want
+        assert [sum(f) for f in found] == sorted((sum(f) for f in found), reverse=True)
+
+
 def test_packed_pieces(docs, rows):
     from tokenizers import Tokenizer
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -121,64 +122,112 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Filling]:
     return [Filling(contents, n) for held in open_.values() for contents, n in held.items()]
 
 
-def completions(counts: dict[int, int], sizes: np.ndarray, largest: int, capacity: int, width: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of the room beside the largest length, fullest first, of up to three more lengths.
+def completions(counts: dict[int, int], largest: int, capacity: int, waste: int) -> Iterator[tuple[int, ...] | None]:
+    """All undominated fillings of the room beside the largest length, of any number of lengths, fullest first.
 
-    A filling is dominated by one with the same sequence fuller whose lengths cover its own: of one length that is
-    the largest that fits, of two or three the last is the largest that fits beside the others, and a filling not
-    fuller than one of fewer lengths is left out.
+    For each waste from 0 to ``waste``, lengths are taken depth first in falling order; sums that the lengths
+    still to come can't reach are not entered, so without dominance every path would end in a filling. A filling is
+    dominated if a length left out could take the place of some of its lengths (or of none) that sum to no more,
+    and still fit: the sequence gets fuller, or has fewer lengths, and what it gave up fits where the other was. None
+    is yielded every few thousand steps without a filling, so that the caller can count them.
     """
     room = capacity - largest
-
-    def fits(limit: int, taken: tuple[int, ...]) -> int | None:
-        i = int(np.searchsorted(sizes, limit, side="right")) - 1
-        while i >= 0 and counts[int(sizes[i])] <= taken.count(int(sizes[i])):
-            i -= 1
-        return int(sizes[i]) if i >= 0 else None
-
-    one = fits(room, (largest,))
-    if one is None:
-        return [()]
-    found, fullest = [(one,)], one
-    if fullest < room:
-        pairs = []
-        for first in sizes[: np.searchsorted(sizes, room, side="right")][::-1].tolist():
-            if 2 * first < room and pairs and first + first <= fullest:
-                break
-            if counts[first] > (first == largest):
-                second = fits(min(room - first, first), (largest, first))
-                if second and first + second > one:
-                    pairs.append((first, second))
-        pairs.sort(key=lambda p: (-sum(p), -p[0]))
-        found += pairs[:width]
-        fullest = max([fullest, *map(sum, found)])
-        if fullest < room:
-            triples = []
-            for first, second in ((a, b) for a in sizes[::-1].tolist()[:: max(1, len(sizes) // 24)] for b in sizes[::-1].tolist()[:: max(1, len(sizes) // 24)] if b <= a):
-                if first + second < room and counts[first] > (first == largest) and counts[second] > (second == largest) + (second == first):
-                    third = fits(min(room - first - second, second), (largest, first, second))
-                    if third and first + second + third > fullest:
-                        triples.append((first, second, third))
-            found += sorted(triples, key=lambda t: (-sum(t), tuple(-x for x in t)))[:width]
-    return sorted(found, key=lambda f: (-sum(f), len(f), tuple(-x for x in f)))[:width]
-
-
-def bin_completion(counts: dict[int, int], capacity: int, *, width: int = 6, nodes: int = 3000) -> tuple[list[Filling], int]:
+    held = {s: n - (s == largest) for s, n in counts.items() if s <= room and n > (s == largest)}
+    sizes = sorted(held, reverse=True)
+    # bit t of reach[i]: the lengths from i on can sum to t
+    reach = [1] * (len(sizes) + 1)
+    for i in range(len(sizes) - 1, -1, -1):
+        bits, copies, part = reach[i + 1], min(held[sizes[i]], room // sizes[i]), 1
+        while copies:
+            part = min(part, copies)
+            bits |= bits << part * sizes[i] & (1 << room + 1) - 1
+            copies, part = copies - part, 2 * part
+        reach[i] = bits
+    steps = 0
+
+    def spread(sums: int, by: int) -> int:
+        """Each sum and the next ``by`` numbers."""
+        done = 0
+        while done < by:
+            step = min(done + 1, by - done)
+            sums, done = sums | sums << step, done + step
+        return sums
+
+    def longer(i: int, rest: int, taken: tuple[int, ...], single: int, several: int, free: int, over: int):
+        """The states after the next length taken, a bit per length taken, sum of several taken, and length left out."""
+        nonlocal steps
+        # a length left out from rest to rest + over would dominate any two or more lengths that sum to rest
+        alone = free >> rest & (1 << over + 1) - 1
+        for j in range(max(i, bisect_left(sizes, -rest, key=int.__neg__)), len(sizes)):
+            size = sizes[j]
+            steps += 1
+            if steps % 4096 == 0:
+                yield None
+            if alone and size < rest or not reach[j] >> rest & 1:
+                return
+            for n in range(min(held[size], rest // size), 0, -1):
+                if reach[j + 1] >> rest - n * size & 1:
+                    sums, ones = several, single
+                    for _ in range(n):
+                        sums, ones = sums | (sums | ones) << size, ones | 1 << size
+                    out = free & ~(1 << size) if n == held[size] else free
+                    if not (spread(sums, over) | spread(ones << 1, over - 1) * (over > 0)) & out:
+                        yield j + 1, rest - n * size, taken + (size,) * n, ones, sums, out, over
+
+    every = sum(1 << size for size in sizes)
+    for over in range(min(waste, room) + 1):
+        if sum(size * held[size] for size in sizes if size <= over) > room - over:
+            return  # a length left out fits into the waste
+        if not reach[0] >> room - over & 1:
+            continue
+        state = (0, room - over, (), 0, 0, every, over)
+        stack = [iter([state])]
+        while stack:
+            state = next(stack[-1], stack)
+            if state is stack:
+                stack.pop()
+            elif state is None:
+                yield None
+            elif state[1]:
+                stack.append(longer(*state))
+            elif not state[5] & (1 << over + 1) - 1:
+                yield state[2]
+
+
+def branches(counts: dict[int, int], capacity: int, waste: int) -> Iterator[Filling | None]:
+    """Each completion of the largest length as often as its lengths last and the waste allows, then less often."""
+    largest, found = max(counts), []
+    for filling in completions(counts, largest, capacity, waste):
+        if filling is None:
+            yield None
+            continue
+        lengths = (largest, *filling)
+        most = min(counts[s] // lengths.count(s) for s in set(lengths))
+        if sum(lengths) < capacity:
+            most = min(most, waste // (capacity - sum(lengths)))
+        yield Filling(lengths, most)
+        found.append(Filling(lengths, most))
+    for filling in found:
+        for times in range(filling.times - 1, 0, -1):
+            yield Filling(filling.lengths, times)
+
+
+def bin_completion(counts: dict[int, int], capacity: int, *, nodes: int = 3000) -> tuple[list[Filling], int]:
     """Fillings for all lengths and the lower bound on their number.
 
     Depth first: the largest length left is completed by each undominated filling in turn, fullest first, and a
-    filling is used as often as its lengths last (equal documents are interchangeable). A branch ends when the
-    waste so far leaves no room to beat the incumbent, which starts as the best-fit packing. The search stops at
-    the lower bound, or after ``nodes`` branches with the best packing found; every length is always packed.
+    filling is used as often as its lengths last (equal documents are interchangeable), on going back less often. A
+    branch ends when the waste so far leaves no room to beat the incumbent, which starts as the best-fit packing. The
+    search stops at the lower bound, or after ``nodes`` branches (4,096 steps without a filling count as one) with the
+    best packing found; every length is always packed. Without that limit the packing has the least sequences.
     """
     counts = {s: n for s, n in counts.items() if n}
     bound = lower_bound(counts, capacity) if counts else 0
     best = best_fit(counts, capacity)
     total = sum(s * n for s, n in counts.items())
     fewest = sum(f.times for f in best)
-    # a frame: counts left, fillings so far, waste so far, untried completions
-    first = dict(counts)
-    stack: list[list] = [[first, None, [], 0]]
+    # a frame: counts left, untried branches, fillings so far, waste so far
+    stack: list[list] = [[dict(counts), None, [], 0]]
     tried = 0
     while stack and fewest > bound and tried < nodes:
         left, untried, chosen, waste = stack[-1]
@@ -188,22 +237,26 @@ def bin_completion(counts: dict[int, int], capacity: int, *, width: int = 6, nod
                 best, fewest = list(chosen), n
             stack.pop()
             continue
-        largest = max(left)
+        # waste that a better packing may still have
+        spare = (fewest - 1) * capacity - total - waste
+        if spare < 0:
+            stack.pop()
+            continue
         if untried is None:
-            untried = stack[-1][1] = completions(left, np.array(sorted(left)), largest, capacity, width)[::-1]
-        # waste that a better packing may have in all
-        if not untried or waste > (fewest - 1) * capacity - total:
+            untried = stack[-1][1] = branches(left, capacity, spare)
+        filling = next(untried, stack)
+        if filling is stack:
             stack.pop()
             continue
-        filling = (largest, *untried.pop())
         tried += 1
-        times = min(left[s] // filling.count(s) for s in set(filling))
+        if filling is None:
+            continue
         rest = dict(left)
-        for s in set(filling):
-            rest[s] -= times * filling.count(s)
+        for s in set(filling.lengths):
+            rest[s] -= filling.times * filling.lengths.count(s)
             if not rest[s]:
                 del rest[s]
-        stack.append([rest, None, [*chosen, Filling(tuple(sorted(filling, reverse=True)), times)], waste + times * (capacity - sum(filling))])
+        stack.append([rest, None, [*chosen, filling], waste + filling.times * (capacity - sum(filling.lengths))])
     return best, bound
 
 
