@@ -132,6 +132,14 @@ def test_importances_carry_names(spark, rows):
     assert math.isclose(sum(r.weight for r in table), 1.0)
 
 
+def test_forests_grow_their_trees_fully(spark):
+    # like a chessboard: no tree of 32 leaves tells its 256 squares apart
+    board = spark.createDataFrame([(float(a), float(b), (a + b) % 2) for a in range(16) for b in range(16)] * 4, "a double, b double, label int")
+    fitted = prepare.pipeline(prepare.matrix_stages(["a", "b"], []), train.forest(trees=5)).fit(board)
+    assert min(tree.depth for tree in fitted.stages[-1].trees) > 5
+    assert fitted.transform(board).where("prediction <> label").count() < 26
+
+
 def test_class_weights_balance(rows):
     weighted = prepare.with_class_weight(rows, "label", "id").groupBy("label").agg(F.sum("weight").alias("w")).collect()
     assert weighted[0].w == pytest.approx(weighted[1].w)

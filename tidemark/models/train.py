@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from tidemark.models.prepare import draw
 
 SEED = 42
+#: The deepest trees that Spark grows; the workload's forests have no limit.
+DEEPEST = 30
 
 
 def linear(label: str = "label") -> LinearRegression:
@@ -49,8 +51,9 @@ def logistic(
     return model.setWeightCol(weight) if weight else model
 
 
-def forest(label: str = "label", trees: int = 100, depth: int = 5, weight: str | None = None) -> RandomForestClassifier:
-    model = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=SEED)
+def forest(label: str = "label", trees: int = 100, depth: int = DEEPEST, weight: str | None = None) -> RandomForestClassifier:
+    """Trees grown until their leaves are pure or can't be split, or are ``depth`` levels down."""
+    model = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=1, seed=SEED)
     return model.setWeightCol(weight) if weight else model
 
 
