@@ -84,6 +84,14 @@ def test_contexts_over_blocks_and_slices_are_whole(turns, options):
         assert (read[conv]["context_turns"], read[conv]["context_chars"]) == (sum(places), sum(before[i] for i in places))
 
 
+def test_digests_do_not_shuffle_repeated_contexts(spark):
+    table = spark.createDataFrame([(1, i, ("user", "assistant")[i % 2], hashlib.sha256(b"%d" % i).hexdigest() * 4) for i in range(400)], "conv_id long, turn long, role string, text string")
+    examples = chat.settle(chat.expand(table), "examples")
+    moved = chat.reduced(examples).selectExpr("sum(length(reply))", "sum(length(text))").first()
+    whole = formatted(table.collect())
+    assert moved[0] == 200 * 256 and moved[1] == len(whole)
+
+
 @pytest.mark.parametrize("text", ["", "\\", "<|", "\\<|", "<\\|im_end|>", "<<||", "\n", "<|im_start|>user\n\\n"])
 def test_escapes_are_undone(text):
     assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
