@@ -136,6 +136,19 @@ def test_url_trees_learn_from_given_labels(spark):
     assert {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(pages, (), labelled, trees=5).collect()} == {1: "allow", 2: "block"}
 
 
+def test_copies_of_a_url_take_one_place_in_the_sample(spark):
+    good = [(f"http://site{i}.example.org/page/{i}", 0.0) for i in range(150)]
+    bad = [(f"http://x{i * 7919 % 10007}{i * 104729 % 1009}.biz/a/b/c/{i}?p={i}&q=1&r=2", 1.0) for i in range(150)]
+    # the hot url is the one that comes first in the order of the draw
+    first = spark.createDataFrame(good, "url string, label double").orderBy(F.xxhash64("url")).first()["url"]
+    kinds = spark.createDataFrame(good + bad, "url string, label double")
+    labelled = kinds.unionByName(spark.createDataFrame([(first, 0.0)] * 900, kinds.schema))
+    pages = spark.createDataFrame([(1, "http://other.example.org/page/9999", ""), (2, "http://x5551234.biz/z/y/x/1?p=1&q=2&r=3", "")], "page_id long, url string, html string")
+    ahead = kinds.where("label = 1").where(F.xxhash64("url") < F.xxhash64(F.lit(first))).count()
+    out = url_filter.judge_urls(pages, (), labelled, trees=5, training_rows=200).collect()
+    assert ahead < 10 and {r["page_id"]: r["verdict"] for r in out} == {1: "allow", 2: "block"}
+
+
 def test_archives_round_trip(spark, folder):
     pages = spark.read.parquet(f"{folder}/pages.parquet").limit(20)
     body = "WARC/1.1\r\n\r\nWARC-Type: response\r\n\r\n" * 5

@@ -65,7 +65,7 @@ def lexical_features(url: Column, host: Column, path: Column) -> dict[str, Colum
 
 
 def describe(pages: DataFrame, rules: Sequence[tuple[str, str, str]], key: str = "page_id") -> DataFrame:
-    """The key, host, path, rule, given (the rule's verdict), the url's suffixes and its lexical features."""
+    """The key, host, path, rule, given (the rule's verdict), the url's suffixes, the url, its place in the draw and its lexical features."""
     url = F.coalesce("url", F.lit(""))
     rows = pages.select(key, url.alias("url"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rows = rows.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
@@ -73,7 +73,7 @@ def describe(pages: DataFrame, rules: Sequence[tuple[str, str, str]], key: str =
     return rows.select(
         key, "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("given"),
         F.substring_index("host", ".", -1).alias("suffix"), F.substring_index("host", ".", -2).alias("domain"),
-        F.xxhash64("url").alias("draw"), *features,
+        "url", F.xxhash64("url").alias("draw"), *features,
     )
 
 
@@ -95,8 +95,8 @@ def judge_urls(
     """One row per page: page_id, host, path, rule, verdict (allow or block) and score.
 
     A fitting rule decides; its urls' verdicts are also the labels that the trees learn from, unless ``labelled``
-    (url, label: 1 block) gives others. The trees are fitted to at most ``training_rows`` labelled urls, those
-    with the smallest hashes; suffix statistics are counted over all labelled urls. With labels of one kind only
+    (url, label: 1 block) gives others. The trees are fitted to at most ``training_rows`` different labelled urls, those
+    with the smallest hashes, each weighing as much as it has rows; suffix statistics are counted over all labelled urls. With labels of one kind only
     that verdict stands for every other url; without labels it is allow. ``score`` is the trees' share for block
     (null where nothing could be fitted). Null urls count as empty; rows keep their number; the table may be empty.
     """
@@ -112,10 +112,11 @@ def judge_urls(
     if not 0 < kinds["blocked"] < kinds["seen"]:
         verdict = "block" if kinds["blocked"] else "allow"
         return rows.select("page_id", "host", "path", "rule", F.coalesce("given", F.lit(verdict)).alias("verdict"), F.lit(None).cast("double").alias("score"))
-    chosen = known.orderBy("draw", "url_length").limit(training_rows)
+    different = known.groupBy("url", "label", "draw", "suffix", "domain", *LEXICAL).agg(F.count(F.lit(1)).cast("double").alias("rows"))
+    chosen = different.orderBy("draw", "url", "label").limit(training_rows)
     assembler = VectorAssembler(inputCols=LEXICAL + SUFFIX, outputCol="features")
-    train = settle(with_suffix_statistics(chosen, statistics, leave_own_out=True).select("label", *LEXICAL, *SUFFIX), "training-urls")
-    model = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed).fit(assembler.transform(train))
+    train = settle(with_suffix_statistics(chosen, statistics, leave_own_out=True).select("label", "rows", *LEXICAL, *SUFFIX), "training-urls")
+    model = GBTClassifier(labelCol="label", weightCol="rows", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed).fit(assembler.transform(train))
     scored = with_suffix_statistics(rows.withColumn("label", F.lit(0.0)), statistics, leave_own_out=False)
     scored = model.transform(assembler.transform(scored))
     verdict = F.coalesce("given", F.when(F.col("prediction") == 1.0, F.lit("block")).otherwise(F.lit("allow")))
