@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, embedding_join, license_scan, mixing, ngram_join, packing, quality, toxicity, url_filter, warc
+from tidemark.llm import chat, decontamination, embedding_join, license_scan, mixing, ngram_join, packing, quality, ranked_search, toxicity, url_filter, warc, whitening
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,13 +57,59 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.find_benchmark(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontamination.digests(found)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_prefix_target_chat, op2_source_mix, op3_url_filter, op4_toxicity, op5_quality_rules, op6_license_scan, op7_warc_transactions,
         op8_ngram_jaccard_join, op9_embedding_near_dedup, op10_best_fit_packing,
+        op11_ranked_search, op12_embedding_whitening, op13_benchmark_decontamination,
     )
 }
 
-#: None of the results above can be written in SQL: they rest on hashed orders, fitted models, token ids or searches.
-SQL: dict[str, str] = {}
+#: The terms of a text column, as a list; null has none. Also the words of operator 13.
+SQL_TERMS = """coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])"""
+
+#: The results of the first ten can't be written in SQL: they rest on hashed orders, fitted models, token ids or
+#: searches. Those of operator 12 rest on eigenvectors.
+SQL: dict[str, str] = {
+    "op11_ranked_search": f"""
+WITH doc AS (SELECT row_number() OVER () AS d, doc_id, {SQL_TERMS} AS w FROM documents),
+item AS (SELECT row_number() OVER () AS i, item_id, {SQL_TERMS} AS w FROM benchmark),
+size AS (SELECT count_if(len(w) > 0) AS big_n, sum(len(w))::BIGINT AS big_l FROM doc),
+wanted AS (SELECT DISTINCT i, item_id, unnest(w) AS term FROM item),
+held AS (SELECT d, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM doc),
+freq AS (SELECT d, doc_id, n, term, count(*)::BIGINT AS tf FROM held SEMI JOIN wanted USING (term) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM freq, size GROUP BY term),
+scored AS (
+    SELECT i, item_id, doc_id, d, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l))))::BIGINT AS score
+    FROM wanted JOIN freq USING (term) JOIN weight USING (term), size GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50""",
+    "op13_benchmark_decontamination": f"""
+WITH doc AS (SELECT row_number() OVER () AS d, doc_id, {SQL_TERMS} AS w FROM documents),
+item AS (SELECT item_id, {SQL_TERMS} AS w, least(len(w), 10) AS size FROM benchmark),
+begun AS (SELECT item_id, size, w, unnest(range(1, len(w) - size + 2)) AS s FROM item WHERE len(w) > 0),
+wanted AS (SELECT DISTINCT item_id, size, array_to_string(w[s:s + size - 1], ' ') AS win FROM begun),
+runs AS (SELECT d, size, w, unnest(range(1, len(w) - size + 2)) AS s FROM doc, (SELECT DISTINCT size FROM wanted)),
+met AS (SELECT d, s, size, item_id FROM runs JOIN wanted USING (size) WHERE array_to_string(w[s:s + size - 1], ' ') = win),
+words AS (SELECT DISTINCT d, unnest(range(s, s + size)) AS word FROM met),
+hits AS (SELECT d, count(*) AS n_hit FROM words GROUP BY d),
+names AS (SELECT d, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS joined FROM (SELECT DISTINCT d, item_id::VARCHAR AS name FROM met) GROUP BY d)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(joined, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN hits USING (d) LEFT JOIN names USING (d)""",
+}
