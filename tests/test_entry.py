@@ -42,3 +42,20 @@ def test_declared_schemas_match_the_files(spark, folder):
     for name in SCHEMAS:
         inferred = spark.read.parquet(f"{folder}/{name}.parquet").dtypes
         assert load(spark, folder, name).dtypes == inferred
+
+
+def test_keys_are_counted_once(spark, folder, monkeypatch):
+    """A running frame reads its input once for the keys and once for itself; later ones on the key, and copies of it, only for themselves."""
+    from tidemark import skew
+
+    made = []
+    monkeypatch.setattr(skew, "_hot_keys", lambda slim, keys, policy, real=skew._hot_keys: made.append(tuple(keys)) or real(slim, keys, policy))
+    monkeypatch.setattr(skew, "_known", type(skew._known)())
+    for name, reads in (("w3_prior_running", 1), ("w2_running_total", 1), ("j11_as_of_per_row", 2), ("w23_second_axis", 1), ("g24_neighbours_before", None)):
+        physical = plan_text(PLANS[name].build(spark, folder)).split("== Physical Plan ==")[1]
+        assert reads is None or physical.count("Scan parquet") == reads or physical.count("FileScan parquet") == reads, name
+    assert made.count(("o_custkey",)) == 1 and len(made) <= 6
+    before = len(made)
+    PLANS["l4_prior_event_features"].build(spark, folder)
+    PLANS["w23_second_axis"].build(spark, folder)
+    assert len(made) == before

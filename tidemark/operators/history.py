@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from tidemark.skew import DEFAULT, HOT, ROWS, TASKS, SkewPolicy, hot_keys, mark_hot, names, with_listed
+from tidemark.skew import DEFAULT, HOT, ROWS, TASKS, SkewPolicy, hot_keys, known_once, mark_hot, names, settle, with_listed
 from tidemark.spans import Offset, column, micros
 
 SLICE = "_tm_slice"
@@ -103,21 +103,25 @@ def _carried(combine: str, state: str, order: Column) -> Column:
     return getattr(F, combine)(state)
 
 
-def _cuts(
-    df: DataFrame, keys: list[str], place: list[str], draw_by: list[str], source: DataFrame, policy: SkewPolicy
-) -> DataFrame:
-    """For each hot key, the places at which a new slice begins.
+def _cuts(df: DataFrame, keys: list[str], place: list[str], draw_by: list[str], source: DataFrame, policy: SkewPolicy) -> DataFrame | None:
+    """For each hot key, the places at which a new slice begins; None without hot keys.
 
-    About ``DRAWN`` rows are drawn for each task that the key needs, by the hash of ``draw_by``, so the same rows
-    are drawn whenever this is computed. There are at most 2 x ``max_hot`` tasks, and so many times ``DRAWN``
-    rows drawn, from all keys together.
+    About ``DRAWN`` rows are drawn for each task that the key needs, by the hash of ``draw_by``. There are at most
+    2 x ``max_hot`` tasks, and so many times ``DRAWN`` rows drawn, from all keys together. The list is settled and
+    shared like that of the hot keys.
     """
-    per_task = F.col(ROWS) / F.col(TASKS)
-    rates = hot_keys(source, keys, policy).select(
-        *keys, F.greatest(F.floor(per_task / DRAWN), F.lit(1)).alias(EVERY), per_task.alias(ROWS)
-    )
+    hot = hot_keys(source, keys, policy)
+    if hot is None:
+        return None
     drawn_from = source if all(name in source.columns for name in draw_by) else df
-    drawn = with_listed(drawn_from, rates, keys, [EVERY, ROWS]).where(F.pmod(F.xxhash64(*draw_by), F.col(EVERY)) == 0)
+    slim = drawn_from.select(*dict.fromkeys([*keys, *draw_by, *place]))
+    return known_once(slim, ("cuts", *keys, "", *place, "", *draw_by, policy.min_rows, policy.max_hot), lambda: settle(_drawn_cuts(slim, keys, place, draw_by, hot), "cuts"))
+
+
+def _drawn_cuts(slim: DataFrame, keys: list[str], place: list[str], draw_by: list[str], hot: DataFrame) -> DataFrame:
+    per_task = F.col(ROWS) / F.col(TASKS)
+    rates = hot.select(*keys, F.greatest(F.floor(per_task / DRAWN), F.lit(1)).alias(EVERY), per_task.alias(ROWS))
+    drawn = with_listed(slim, rates, keys, [EVERY, ROWS]).where(F.pmod(F.xxhash64(*draw_by), F.col(EVERY)) == 0)
     step = F.greatest(F.floor(F.first(F.col(ROWS) / F.col(EVERY))), F.lit(1))
     spots = drawn.groupBy(*keys, F.struct(*place).alias(CUTS)).agg(F.count(F.lit(1)).alias("_tm_drawn"), step.alias("_tm_step"))
     until = F.sum("_tm_drawn").over(Window.partitionBy(*keys).orderBy(CUTS).rowsBetween(Window.unboundedPreceding, 0))
@@ -126,19 +130,26 @@ def _cuts(
     return starts.groupBy(*keys).agg(F.array_sort(F.collect_list(CUTS)).alias(CUTS))
 
 
+def _slice_of(here: Column, policy: SkewPolicy) -> Column:
+    """How many of the row's cuts lie at or before a place, by binary search in halving steps."""
+    widest = (2 * policy.max_hot).bit_length()
+    steps = F.array(*[F.lit(1 << power) for power in range(widest, -1, -1)])
+    # past the last cut there is nothing to step over
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get(CUTS, at + step - 1) <= here, step).otherwise(F.lit(0)))
+
+
 def _sliced(
     df: DataFrame, keys: list[str], place: list[str], draw_by: list[str], source: DataFrame, policy: SkewPolicy
 ) -> DataFrame:
-    """Number the slice of each row: null for ordinary keys, else how many of its key's cuts lie at or before it."""
-    cut = with_listed(df, _cuts(df, keys, place, draw_by, source, policy), keys, [CUTS])
-    # binary search in halving steps; past the last cut there is nothing to step over
-    widest = (2 * policy.max_hot).bit_length()
-    steps = F.array(*[F.lit(1 << power) for power in range(widest, -1, -1)])
-    here = F.struct(*place)
-    number = F.aggregate(
-        steps, F.lit(0), lambda at, step: at + F.when(F.get(CUTS, at + step - 1) <= here, step).otherwise(F.lit(0))
-    )
-    return cut.withColumn(SLICE, F.when(F.col(CUTS).isNotNull(), number)).drop(CUTS)
+    """Number the slice of each row: null for ordinary keys, else how many of its key's cuts lie at or before it.
+
+    Without hot keys there are no slices and the rows come back as they are.
+    """
+    cuts = _cuts(df, keys, place, draw_by, source, policy)
+    if cuts is None:
+        return df
+    cut = with_listed(df, cuts, keys, [CUTS])
+    return cut.withColumn(SLICE, F.when(F.col(CUTS).isNotNull(), _slice_of(F.struct(*place), policy))).drop(CUTS)
 
 
 def _with_opening_rows(
@@ -198,13 +209,15 @@ def running_features(
         work = _sliced(work, keys, place, [time, *tie], df if hot_from is None else hot_from, policy)
     else:
         work = work.withColumn(SLICE, slice_by)
-    work = _with_opening_rows(work, keys, [time, *tie], states)
-    if strictly_earlier:
-        work = work.withColumn(AT, F.when(F.col(REAL) == 0, F.lit(BEFORE_ALL)).otherwise(F.col(AT)))
-        ordering = [F.col(AT)]
-    else:
-        ordering = [F.col(REAL), F.col(time), *[F.col(c) for c in tie]]
-    part = [*keys, SLICE]
+    sliced = SLICE in work.columns
+    part, ordering = [*keys], [F.col(AT)] if strictly_earlier else [F.col(time), *[F.col(c) for c in tie]]
+    if sliced:
+        work = _with_opening_rows(work, keys, [time, *tie], states)
+        part.append(SLICE)
+        if strictly_earlier:
+            work = work.withColumn(AT, F.when(F.col(REAL) == 0, F.lit(BEFORE_ALL)).otherwise(F.col(AT)))
+        else:
+            ordering = [F.col(REAL), *ordering]
     by_order = Window.partitionBy(*part).orderBy(*ordering)
     if strictly_earlier:
         frame = by_order.rangeBetween(Window.unboundedPreceding, -1)
@@ -213,7 +226,7 @@ def running_features(
     found = {state: _over(combine, state, frame, by_order) for state, _, combine in states}
     if strictly_earlier:
         found = {state: F.when(F.col(TIMED), value) for state, value in found.items()}
-    work = work.withColumns(found).where(F.col(REAL) == 1)
+    work = work.withColumns(found).where(F.col(REAL) == 1) if sliced else work.withColumns(found)
     over = {state: F.col(state) for state, _, _ in states}
     return work.select(*df.columns, *[f.result(over).alias(f.name) for f in features])
 
@@ -380,10 +393,10 @@ def trailing_features(
     bounds = {label: (shift - h.us, shift - 1) for label, h in horizons.items()}
     # the cost of a frame per row matters long before a task runs out of room
     early = replace(policy, min_rows=min(policy.min_rows, 20_000), max_hot=max(policy.max_hot, 65_536))
-    if all_dense:
-        marked = df.withColumn(HOT, F.lit(True))
-    else:
-        marked = mark_hot(df, keys, hot_keys(df, keys, early))
+    hot_list = None if all_dense else hot_keys(df, keys, early)
+    if hot_list is None and not all_dense:
+        return _range_windows(df, keys, time, bounds, features)
+    marked = df.withColumn(HOT, F.lit(True)) if all_dense else mark_hot(df, keys, hot_list)
     ordinary = _range_windows(marked.where(~F.col(HOT)).drop(HOT), keys, time, bounds, features)
     timed = F.col(time).isNotNull()
     hot = marked.where(F.col(HOT) & timed).drop(HOT)
