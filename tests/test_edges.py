@@ -1,6 +1,8 @@
 """Hand-made tables for window edges, ties, missing rows and leaks."""
 
-from datetime import datetime
+import random
+import statistics
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -325,3 +327,37 @@ def test_a_busy_day_is_cut_by_rows(spark):
     sliced = h._sliced(rows, ["key"], ["at", "id"], ["at", "id"], rows, SkewPolicy(min_rows=100, max_hot=100))
     sizes = [r["count"] for r in sliced.groupBy(h.SLICE).count().collect()]
     assert sum(sizes) == 2000 and len(sizes) >= 15 and max(sizes) < 300
+
+
+@pytest.mark.parametrize("closed", ["left", "right"])
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(min_rows=20, max_hot=1000)])
+def test_medians_and_distinct_values_of_trailing_ranges(spark, closed, policy):
+    draw = random.Random(4)
+    day = datetime(2024, 1, 1)
+    rows = [
+        (i, "hot" if i % 3 else f"k{i % 7}", day + timedelta(minutes=draw.randint(0, 600)) if i % 11 else None, draw.choice([None, 1.5, -2.0, 3.0, 4.25, float(i)]))
+        for i in range(300)
+    ]
+    df = spark.createDataFrame(rows, "id bigint, key string, at timestamp_ntz, x double").repartition(4)
+    wanted = [h.Trailing("mid", "median", F.col("x")), h.Trailing("kinds", "distinct", F.col("x")), h.Trailing("n", "count", F.col("x"))]
+    got = found(h.trailing_features(df, "key", "at", "id", {"h": hours(1), "d": hours(6)}, wanted, closed=closed, policy=policy),
+                "id", "mid_h", "kinds_h", "n_h", "mid_d", "kinds_d", "n_d")
+    assert len(got) == 300
+    for id_, key, at, _ in rows:
+        expected = []
+        for reach in (timedelta(hours=1), timedelta(hours=6)):
+            near = lambda t: at - reach <= t < at if closed == "left" else at - reach < t <= at
+            frame = [x for _, k, t, x in rows if at and t and k == key and x is not None and near(t)]
+            expected += [statistics.median(frame) if frame else None, len(set(frame)), len(frame)]
+        assert got[id_] == tuple(expected), id_
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(min_rows=20, max_hot=1000)])
+def test_distinct_values_of_last_rows(spark, policy):
+    draw = random.Random(5)
+    rows = [(i, "hot" if i % 3 else None, draw.choice([None, "a", "b", "c", "d"])) for i in range(200)]
+    df = spark.createDataFrame(rows, "id bigint, key string, kind string")
+    got = found(h.distinct_last_rows(df, "key", "id", [], "kind", 4, "n", policy), "id", "n")
+    for i, key, _ in rows:
+        before = [kind for j, k, kind in rows if k == key and j < i][-4:]
+        assert got[i] == len({kind for kind in before if kind})

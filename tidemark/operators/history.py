@@ -7,11 +7,16 @@ the rows a slice needs from its neighbours are copied or pre-aggregated. One pla
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pandas.api.indexers import BaseIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
 from tidemark.skew import DEFAULT, HOT, ROWS, TASKS, SkewPolicy, hot_keys, known_once, mark_hot, names, settle, with_listed
@@ -173,6 +178,11 @@ def _with_opening_rows(
     return df.withColumn(REAL, F.lit(1)).unionByName(opening, allowMissingColumns=True)
 
 
+def _axis(df: DataFrame, time: str) -> Column:
+    """The time in microseconds; a whole number is its own axis."""
+    return F.col(time) if df.schema[time].dataType == T.LongType() else micros(time)
+
+
 def running_features(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -203,7 +213,7 @@ def running_features(
     states = [part for feature in features for part in feature.parts()]
     work = df.withColumns({state: value for state, value, _ in states})
     if strictly_earlier:
-        work = work.withColumn(AT, micros(time)).withColumn(TIMED, F.col(AT).isNotNull())
+        work = work.withColumn(AT, _axis(df, time)).withColumn(TIMED, F.col(AT).isNotNull())
     if slice_by is None:
         place = [time] if strictly_earlier else [time, *tie]
         work = _sliced(work, keys, place, [time, *tie], df if hot_from is None else hot_from, policy)
@@ -273,6 +283,54 @@ def distinct_before(
     return counted.where(F.col("_tm_marker") == 0).drop("_tm_marker")
 
 
+WHEN = "_tm_when"
+PROBE = "_tm_probe"
+
+
+def distinct_within(
+    df: DataFrame,
+    keys,
+    at: str,
+    tie,
+    values: Sequence[tuple[Column, Mapping[str, int]]],
+    *,
+    inclusive: bool = False,
+    policy: SkewPolicy = DEFAULT,
+) -> DataFrame:
+    """Add, for each value and named reach, how many different values the key's rows less than a reach back hold.
+
+    ``at`` is a whole number, such as microseconds or an ordinal; a row at s counts for those at t with s < t <= s + reach,
+    with ``inclusive`` for those with s <= t < s + reach. Each row opens an interval, closed by the next row of the same value or the
+    reach's end, whichever comes first; the count is a running sum of these marks, one row for each end, so its cost
+    does not depend on how many rows a reach holds. Null values don't count; a row without a place has 0 and is in no reach.
+    """
+    keys, tie = names(keys), names(tie)
+    columns = [name for _, reaches in values for name in reaches]
+    marks = {name: f"_tm_mark{i}" for i, name in enumerate(columns)}
+    early = F.lit(1 if inclusive else 0)
+
+    def mark(place: Column, given: Mapping[str, int]) -> Column:
+        return F.struct((place - early).alias(WHEN), *[F.lit(given.get(name)).cast("bigint").alias(m) for name, m in marks.items()])
+
+    both = df.withColumns({WHEN: F.col(at), PROBE: F.lit(True)})
+    for value, reaches in values:
+        slim = df.select(*keys, *tie, F.col(at).alias(WHEN), value.alias("_tm_value")).where(F.col(WHEN).isNotNull() & F.col("_tm_value").isNotNull())
+        back = slim.withColumn("_tm_back", -F.col(WHEN))
+        later = running_features(back, [*keys, "_tm_value"], "_tm_back", tie, [previous("_tm_next", WHEN)], policy=policy)
+        opens = mark(F.col(WHEN), dict.fromkeys(reaches, 1))
+        closes = [mark(F.least("_tm_next", F.col(WHEN) + reach), {name: -1}) for name, reach in reaches.items()]
+        both = both.unionByName(later.select(*keys, F.inline(F.array(opens, *closes))), allowMissingColumns=True)
+    sums = [past_sum(name, m, 0) for name, m in marks.items()]
+    counted = running_features(both, keys, WHEN, tie, sums, strictly_earlier=True, hot_from=df, policy=policy)
+    return counted.where(PROBE).select(*df.columns, *[F.col(name).cast("bigint").alias(name) for name in columns])
+
+
+def distinct_last_rows(df: DataFrame, keys, time: str, tie, value: str, rows: int, name: str, policy: SkewPolicy = DEFAULT) -> DataFrame:
+    """Number of different values among a key's last ``rows`` rows before each row."""
+    numbered = ordinal(df, keys, time, tie, "_tm_row", policy)
+    return distinct_within(numbered, keys, "_tm_row", [], [(F.col(value), {name: rows})], policy=policy).select(*df.columns, name)
+
+
 def last_rows_features(
     df: DataFrame,
     keys,
@@ -334,11 +392,7 @@ class Trailing:
             "min": F.min,
             "max": F.max,
             "std": F.stddev_samp,
-            "median": lambda c: F.percentile(c, F.lit(0.5)),
-            "distinct": lambda c: F.size(F.collect_set(c)),
         }
-        if self.kind == "distinct":
-            return F.size(F.collect_set(self.value).over(frame)).cast("bigint")
         return functions[self.kind](self.value).over(frame)
 
     def states(self, centre: Column) -> dict[str, tuple[Column, str]]:
@@ -384,13 +438,25 @@ def trailing_features(
     All horizons share one sort. Columns are named feature_horizon. ``tie`` must identify a row. A RANGE
     frame costs its length per row, so keys count as hot earlier here than for running features;
     ``all_dense`` treats every key so, for long horizons over busy keys such as sensors. A row without a
-    time has an empty frame and is in none.
+    time has an empty frame and is in none. Distinct values are running sums of marks (``distinct_within``), medians
+    come from a sorted window that slides over the rows (``_trailing_medians``).
     """
     keys, tie = names(keys), names(tie)
     if closed not in ("left", "right") or any(h.months or h.us <= 0 for h in horizons.values()):
         raise ValueError("horizons must be positive exact durations, closed 'left' or 'right'")
     shift = 0 if closed == "left" else 1
     bounds = {label: (shift - h.us, shift - 1) for label, h in horizons.items()}
+    kinds = {kind: [f for f in features if f.kind == kind or kind == "simple" and f.kind in DECOMPOSABLE] for kind in ("simple", "distinct", "median")}
+    rows = _trailing_simple(df, keys, time, tie, bounds, kinds["simple"], all_dense, policy) if kinds["simple"] else df
+    if kinds["distinct"]:
+        reaches = [(f.value, {f.column(label): high - low + 1 for label, (low, high) in bounds.items()}) for f in kinds["distinct"]]
+        rows = distinct_within(rows.withColumn("_tm_at_us", micros(time)), keys, "_tm_at_us", tie, reaches, inclusive=shift == 1, policy=policy).drop("_tm_at_us")
+    if kinds["median"]:
+        rows = _trailing_medians(rows, keys, time, tie, bounds, kinds["median"], policy)
+    return rows.select(*df.columns, *[f.column(label) for label in bounds for f in features])
+
+
+def _trailing_simple(df, keys, time, tie, bounds, features, all_dense, policy) -> DataFrame:
     # the cost of a frame per row matters long before a task runs out of room
     early = replace(policy, min_rows=min(policy.min_rows, 20_000), max_hot=max(policy.max_hot, 65_536))
     hot_list = None if all_dense else hot_keys(df, keys, early)
@@ -404,16 +470,87 @@ def trailing_features(
     untimed = marked.where(F.col(HOT) & ~timed).drop(HOT).withColumns(empty)
     values = {f.name: f"_tm_x{i}" for i, f in enumerate(features)}
     slim = hot.select(*keys, *tie, micros(time).alias(AT), *[f.value.alias(values[f.name]) for f in features])
-    simple = [f.on(values[f.name]) for f in features if f.kind in DECOMPOSABLE]
-    whole = [f.on(values[f.name]) for f in features if f.kind not in DECOMPOSABLE]
+    simple = [f.on(values[f.name]) for f in features]
     # one mean per feature serves all horizons
     centres = {f.name: slim.agg(F.avg(f.value)).scalar() for f in simple if f.kind == "std"}
-    heavy = _attached(hot, _range_pieces(slim, keys, tie, bounds, simple, centres), tie) if simple else hot
-    for label, (low, high) in bounds.items() if whole else ():
-        heavy = _attached(heavy, _range_copies(slim, keys, tie, label, low, high, whole), tie)
+    heavy = _attached(hot, _range_pieces(slim, keys, tie, bounds, simple, centres), tie)
     return ordinary.unionByName(heavy.select(*ordinary.columns)).unionByName(untimed.select(*ordinary.columns))
 
 
+class _Frames(BaseIndexer):
+    """Windows whose first and one past last rows are given."""
+
+    def __init__(self, begin: np.ndarray, end: np.ndarray):
+        super().__init__()
+        self.begin, self.end = begin, end
+
+    def get_window_bounds(self, num_values=0, min_periods=None, center=None, closed=None, step=None):
+        return self.begin, self.end
+
+
+def _trailing_medians(rows: DataFrame, keys, time, tie, bounds, features, policy: SkewPolicy) -> DataFrame:
+    """Exact medians over trailing ranges, in time that grows with the logarithm of a frame's rows.
+
+    A task reads a key's rows in order of time while a sorted window slides over them. A hot key is cut into slices of
+    about equally many rows, and a row also goes to those later slices whose frames reach back to it. A slice and
+    what its frames reach back to are held by one task at a time. NaN and infinite values count as missing.
+    """
+    medians = {f.column(label): (f"_tm_x{i}", low, high) for i, f in enumerate(features) for label, (low, high) in bounds.items()}
+    values = {f"_tm_x{i}": f.value.cast("double") for i, f in enumerate(features)}
+    work = rows.withColumns({AT: micros(time), "_tm_copy": F.lit(False), SLICE: F.lit(0)} | values)
+    cuts = _cuts(work, keys, [AT], [AT, *tie], rows, policy)
+    if cuts is not None:
+        cut = with_listed(work.drop("_tm_copy", SLICE), cuts, keys, [CUTS])
+        reach = max(-low for low, _ in bounds.values())
+        own, last = (F.coalesce(_slice_of(F.struct((F.col(AT) + more).alias(AT)), policy), F.lit(0)) for more in (0, reach))
+        copied = cut.withColumn("_tm_own", own).withColumn(SLICE, F.explode(F.sequence("_tm_own", F.greatest("_tm_own", last))))
+        work = copied.withColumn("_tm_copy", F.col(SLICE) > F.col("_tm_own")).drop("_tm_own", CUTS)
+    in_order = Window.partitionBy(*keys, SLICE).orderBy(AT)
+    helpers = [AT, "_tm_copy", SLICE, *values, "_tm_new"]
+    # the window also deals out and sorts the rows, which reach the function in this order
+    work = work.withColumn("_tm_new", F.row_number().over(in_order) == 1)
+    kept = [name for name in work.columns if name not in helpers]
+    schema = T.StructType([*[rows.schema[name] for name in kept], *[T.StructField(name, T.DoubleType()) for name in medians]])
+
+    def whole_keys(held: pa.Table) -> pa.RecordBatch:
+        at = held[AT].to_numpy()
+        timed = np.flatnonzero(held[AT].is_valid().to_numpy())
+        key = np.cumsum(held["_tm_new"].to_numpy())[timed]
+        at = at[timed].astype(np.int64)
+        begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        out = {}
+        for name, (value, low, high) in medians.items():
+            first, last = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+            for b, e in zip(begins, [*begins[1:], len(at)], strict=True):
+                first[b:e] = b + np.searchsorted(at[b:e], at[b:e] + low, "left")
+                last[b:e] = b + np.searchsorted(at[b:e], at[b:e] + high, "right")
+            column = np.full(len(held), np.nan)
+            series = pd.Series(held[value].to_numpy()[timed].astype(np.float64))
+            column[timed] = series.rolling(_Frames(first, last), min_periods=1).median() if len(at) else []
+            out[name] = pa.array(column, from_pandas=True)
+        own = held.select(kept)
+        for name, column in out.items():
+            own = own.append_column(name, column)
+        return own.filter(pa.array(~held["_tm_copy"].to_numpy()))
+
+    def slide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows_held = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows_held += batch.num_rows
+            starts = np.flatnonzero(batch["_tm_new"].to_numpy(zero_copy_only=False))
+            if rows_held >= 1 << 16 and len(starts):
+                table = pa.Table.from_batches(held)
+                end = rows_held - batch.num_rows + int(starts[-1])
+                yield from whole_keys(table.slice(0, end)).to_batches()
+                rest = table.slice(end)
+                held, rows_held = rest.to_batches(), rest.num_rows
+        if rows_held:
+            yield from whole_keys(pa.Table.from_batches(held)).to_batches()
+
+    return work.mapInArrow(slide, schema)
+
+
 def _attached(rows: DataFrame, found: DataFrame, tie: list[str]) -> DataFrame:
     """Join on the row's id, which may be null."""
     found = found.withColumnsRenamed({name: f"_tm_f_{name}" for name in tie})
@@ -435,18 +572,6 @@ def _range_windows(df, keys, time, bounds, features) -> DataFrame:
     return timed.select(*df.columns, *added)
 
 
-def _range_copies(df, keys, tie, label, low, high, features) -> DataFrame:
-    """Each row also goes to the next horizon-wide slice, which then holds every frame of its own rows.
-
-    Used only for statistics that need the values themselves (median, distinct).
-    """
-    own = F.floor(F.col(AT) / F.lit(high - low + 1))
-    copies = df.withColumn("_tm_own", own).withColumn(SLICE, F.explode(F.array("_tm_own", F.col("_tm_own") + 1)))
-    frame = Window.partitionBy(*keys, SLICE).orderBy(AT).rangeBetween(low, high)
-    added = copies.select("*", *[f.over(frame).alias(f.column(label)) for f in features])
-    return added.where(F.col(SLICE) == F.col("_tm_own")).select(*tie, *[f.column(label) for f in features])
-
-
 CELLS = 32
 
 

@@ -233,9 +233,7 @@ def w12(t: Tables):
     """,
 )
 def w12_rows(t: Tables):
-    kinds = {"seen": F.collect_set("event_type")}
-    rows = h.last_rows_features(t.events, "user_id", "ts", "event_id", -5, -1, kinds)
-    return rows.select("event_id", F.size("seen").cast("bigint").alias("kinds_last5"))
+    return h.distinct_last_rows(t.events, "user_id", "ts", "event_id", "event_type", 5, "kinds_last5").select("event_id", "kinds_last5")
 
 
 @plan("w13_prior_cumulative_sum", f"SELECT event_id, {rq(f'coalesce(sum(value) OVER {PRIOR_USER}, 0)', 2)} AS spent_before FROM events")
