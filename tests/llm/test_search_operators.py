@@ -208,3 +208,10 @@ def test_spectrum_of_hard_matrices(kind):
     assert np.allclose(values, expected, rtol=1e-9, atol=0)
     assert np.abs(directions.T @ directions - np.eye(len(values))).max(initial=0) < 1e-11
     assert np.abs(matrix.T @ (matrix @ directions) - directions * values).max(initial=0) <= 1e-12 * max(1, expected.max(initial=1))
+
+
+def test_states_are_merged_in_rounds(spark):
+    parts = spark.range(50).select("id", F.encode(F.col("id").cast("string"), "UTF-8").alias("state"))
+    merge = lambda states: str(sum(int(s) for s in states)).encode()
+    assert [whitening.folded(parts, merge, "sums", held) for held in (1, 1000)] == [b"1225", b"1225"]
+    assert whitening.folded(parts.limit(0), merge, "sums") is None

@@ -209,20 +209,24 @@ def matrix_of(column: pa.Array, width: int) -> np.ndarray:
     return np.clip(np.floor(SCALE * entries), -LARGEST, LARGEST).astype(np.int64) + SHIFT
 
 
-def folded(parts: DataFrame, merge: Callable[[list[bytes]], bytes], label: str, fan_in: int = 16) -> bytes | None:
-    """Merge the states of all rows (id, state), ``fan_in`` at a time in tasks of their own, until one is left."""
+def folded(parts: DataFrame, merge: Callable[[list[bytes]], bytes], label: str, held_bytes: int = 1 << 26) -> bytes | None:
+    """Merge the states of all rows (id, state), ids from 0, as many at once as fit into ``held_bytes``.
+
+    While more are left, tasks merge neighbours; the last ones are merged here.
+    """
     while True:
         parts = settle(parts, label)
-        left = parts.count()
-        if left <= 1:
-            return bytes(parts.first()["state"]) if left else None
-        groups = -(-left // fan_in)
+        left = parts.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("state")).alias("size")).first()
+        if not left["n"]:
+            return None
+        fan_in = max(2, held_bytes // max(1, left["size"]))
+        if left["n"] <= fan_in:
+            return merge([bytes(row["state"]) for row in parts.orderBy("id").collect()])
 
         def together(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"id": [int(key[0])], "state": [merge([bytes(s) for s in part.sort_values("id")["state"]])]})
 
-        numbered = parts.repartitionByRange(groups, "id").select(F.spark_partition_id().cast("long").alias("group"), "id", "state")
-        parts = numbered.groupBy("group").applyInPandas(together, "id long, state binary")
+        parts = parts.groupBy(F.floor(F.col("id") / fan_in).alias("group")).applyInPandas(together, "id long, state binary")
 
 
 def joined_triangles(states: list[bytes], width: int) -> bytes:
@@ -322,8 +326,8 @@ def whiten(embeddings: DataFrame, *, components: int = 32, block_rows: int = 409
 
     Rows whose vector is null, empty or holds null or non-finite entries are left out. Entries become the integers
     x = floor(64 c) + 1,000,000 (64 c beyond 2^52 counts as 2^52) and are centred exactly. Tasks reduce their centred
-    rows by blocks of QR to one triangular factor each, factors are merged sixteen at a time, and the last one, as
-    wide as a vector, is bidiagonalised on the driver: dqds gives its singular values, twisted factorisations the
+    rows by blocks of QR to one triangular factor each, factors are merged as many at a time as fit into 64 MB,
+    and the last one, as wide as a vector, is bidiagonalised on the driver: dqds gives its singular values, twisted factorisations the
     directions. ``components`` are numbered from 1 by falling variance, equal variances in any order; directions
     without variance can't be scaled to one and have no component, so a list of equal vectors gives no rows.
 
