@@ -1,7 +1,9 @@
 """Hand-made tables for window edges, ties, missing rows and leaks."""
 
+import math
 import random
 import statistics
+import struct
 from datetime import datetime, timedelta
 
 import pytest
@@ -361,3 +363,35 @@ def test_distinct_values_of_last_rows(spark, policy):
     for i, key, _ in rows:
         before = [kind for j, k, kind in rows if k == key and j < i][-4:]
         assert got[i] == len({kind for kind in before if kind})
+
+
+def test_ordered_bits_are_those_of_the_number(spark):
+    draw = random.Random(6)
+    edges = [0.0, -0.0, 5e-324, 2.225073858507201e-308, 2.2250738585072014e-308, 1.7976931348623157e308, math.inf, -math.inf, 0.1, 1 - 2**-53, 1 + 2**-52]
+    powers = [x for k in range(-1074, 1024, 17) for x in (2.0**k, math.nextafter(2.0**k, 0.0), -math.nextafter(2.0**k, math.inf))]
+    values = edges + powers + [draw.gauss(0, 1) * 10.0 ** draw.randint(-300, 300) for _ in range(300)]
+    rows = spark.createDataFrame([(x,) for x in values], "x double").select("x", agg.ordered_bits(F.col("x")).alias("bits")).collect()
+    for row in rows:
+        bits = struct.unpack("<q", struct.pack("<d", abs(row.x)))[0]
+        assert row.bits == (-bits if row.x < 0 else bits), row.x
+    assert spark.range(1).select(agg.ordered_bits(F.lit(math.nan))).first()[0] > (2047 << 52)
+
+
+@pytest.mark.parametrize("few", [1, 1 << 16])
+def test_quantiles_refine_to_the_last_bit(spark, monkeypatch, few):
+    monkeypatch.setattr(agg, "FEW", few)
+    draw = random.Random(7)
+    groups = {"close": [1 + k * 2.0**-52 for k in range(40)], "wide": [draw.choice([-1, 1]) * 10.0 ** draw.randint(-300, 300) for _ in range(200)],
+              "ties": [0.0, -0.0] * 30 + [1.0], None: [7.5], "inf": [math.inf, math.inf, 5.0]}
+    df = spark.createDataFrame([(k, x) for k, xs in groups.items() for x in [*xs, None]], "k string, x double")
+    shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {row.k: tuple(row)[1:] for row in agg.exact_quantiles(df, "x", shares, "k").collect()}
+    assert got.keys() == groups.keys()
+    for key, xs in groups.items():
+        xs = sorted(xs)
+        for share, value in zip(shares, got[key], strict=True):
+            at = (len(xs) - 1) * share
+            low, high = xs[math.floor(at)], xs[math.ceil(at)]
+            assert value == (low if low == high else low + (high - low) * (at - math.floor(at)))
+    assert agg.exact_quantiles(df.where("x is null"), "x", [0.5], "k").count() == 0
+    assert agg.exact_quantiles(df.where("x is null"), "x", [0.5]).first() is None or agg.exact_quantiles(df.where("x is null"), "x", [0.5]).first().q0 is None

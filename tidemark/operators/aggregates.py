@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.operators.history import Past, running_features
-from tidemark.skew import DEFAULT, SkewPolicy, names, spread_join, with_listed
+from tidemark.skew import DEFAULT, SkewPolicy, names, settle, spread_join
 from tidemark.spans import column
 
 
@@ -121,80 +121,79 @@ def group_totals(df: DataFrame, keys, measures: Sequence[Measure], row_id, polic
     return attach_summary(df, df, keys, measures, row_id, policy=policy)
 
 
-ACCURACY = 20_000
-SMALL_GROUP = 200_000
+#: Bits of a value that one pass over the rows settles, and how many rows of a bucket may be told apart at once.
+LEVEL = 16
+FEW = 1 << LEVEL
+
+
+def ordered_bits(value: Column) -> Column:
+    """A double as a long in the same order, equal for equal values (-0.0 is 0.0, NaN above all): its sign, exponent and fraction."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size))
+    part = size / F.pow(F.lit(2.0), guess)
+    # the logarithm may round over a power of two
+    exponent = guess + F.when(part < 1, F.lit(-1)).when(part >= 2, F.lit(1)).otherwise(F.lit(0))
+    fraction = ((size / F.pow(F.lit(2.0), exponent) - 1) * float(1 << 52)).cast("bigint")
+    half = F.lit(2.0**537)
+    bits = (
+        F.when(F.isnan(value), F.lit((2047 << 52) + 1))
+        .when(size == float("inf"), F.lit(2047 << 52))
+        .when(size < 2.0**-1022, (size * half * half).cast("bigint"))
+        .otherwise((exponent + 1023) * F.lit(1 << 52) + fraction)
+    )
+    return F.when(value < 0, -bits).otherwise(bits)
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, shares: Sequence[float], by=(), policy: SkewPolicy = DEFAULT
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, shares: Sequence[float], by=(), policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Exact, linearly interpolated quantiles as columns q0, q1, … per group.
 
-    A mergeable sketch first brackets each quantile; rows below a bracket are only
-    counted, and only the few rows inside one are sorted. No group is gathered in one task.
+    Found by counting: rows are counted by the leading bits of their values, which tells the bucket of each wanted
+    rank; the rows of these buckets are counted by more bits, until a bucket is one value. Each pass combines on
+    the map side and moves counts, never values; no group or bucket is sorted or gathered, and as only whole numbers
+    are added, the result is the same whenever it is computed. As soon as the buckets have at most ``FEW`` rows, the
+    rest of the bits are taken at once, so most tables take two passes and none more than four.
     """
-    by = names(by)
-    present = df.select(*by, F.col(value).cast("double").alias("_tm_x")).where(F.col("_tm_x").isNotNull())
-    return _bracketed_quantiles(present, [float(s) for s in shares], by, policy)
-
-
-def _bracketed_quantiles(present: DataFrame, shares: list[float], by: list[str], policy: SkewPolicy) -> DataFrame:
-    # the sketch is off by at most 1/ACCURACY of the rows; brackets are three times as wide on each side
-    margin = 3.0 / ACCURACY
-    ends = [min(1.0, max(0.0, s + sign * margin)) for s in shares for sign in (-1, 1)]
+    by, shares = names(by), [float(share) for share in shares]
     keys = [f"_tm_b{i}" for i in range(len(by))]
-    rows = present.select(*[F.struct(F.col(b)).alias(k) for b, k in zip(by, keys, strict=True)], "_tm_x") if by else present
-    sketch = rows.groupBy(*keys).agg(
-        F.percentile_approx("_tm_x", ends, ACCURACY).alias("_tm_ends"),
-        F.min("_tm_x").alias("_tm_min"),
-        F.max("_tm_x").alias("_tm_max"),
-        F.count(F.lit(1)).alias("_tm_n"),
-    )
-    # equal values become one counted row, so no value is heavy either
-    counted = rows.groupBy(*keys, "_tm_x").agg(F.count(F.lit(1)).alias("_tm_c"))
-    if by:
-        known = spread_join(counted, sketch, keys, "_tm_x", policy, hot_from=rows)
-    else:
-        known = with_listed(counted, sketch, keys, ["_tm_ends", "_tm_min", "_tm_max", "_tm_n"])
-    x, n = F.col("_tm_x"), F.col("_tm_n").cast("double")
-    lows, highs, ranks = [], [], []
-    for i, share in enumerate(shares):
-        at = (n - 1) * F.lit(share)
-        low_rank, high_rank = F.floor(at), F.ceil(at)
-        # a bracket near either end reaches to the extreme value; small groups need no bracket
-        edge = F.greatest(n * F.lit(2 * margin), F.lit(SMALL_GROUP) - n)
-        lows.append(F.when(low_rank <= edge, F.col("_tm_min")).otherwise(F.col("_tm_ends")[2 * i]))
-        highs.append(F.when(high_rank >= n - 1 - edge, F.col("_tm_max")).otherwise(F.col("_tm_ends")[2 * i + 1]))
-        ranks.append((low_rank, high_rank, at - F.floor(at)))
-    under = [F.sum(F.when(x < low, F.col("_tm_c")).otherwise(F.lit(0))) for low in lows]
-    below = known.groupBy(*keys).agg(*[total.alias(f"_tm_below{i}") for i, total in enumerate(under)])
-    inside = [
-        F.when(x.between(low, high), F.struct(F.lit(i).alias("_tm_i"), ranks[i][0].alias("_tm_lo"), ranks[i][1].alias("_tm_hi")))
-        for i, (low, high) in enumerate(zip(lows, highs, strict=True))
-    ]
-    picked = known.select(*keys, "_tm_x", "_tm_c", "_tm_n", F.inline(F.filter(F.array(*inside), lambda e: e.isNotNull())))
-    order = Window.partitionBy(*keys, "_tm_i").orderBy("_tm_x").rowsBetween(Window.unboundedPreceding, 0)
-    placed = picked.withColumn("_tm_to", F.sum("_tm_c").over(order))
-    placed = placed.join(below, keys) if by else with_listed(placed, below, keys, below.columns)
-    offset = F.element_at(F.array(*[F.col(f"_tm_below{i}") for i in range(len(shares))]), F.col("_tm_i") + 1)
-    until = offset + F.col("_tm_to")
-    start = until - F.col("_tm_c")
-
-    def at_rank(rank: str, i: int) -> Column:
-        holds = (F.col("_tm_i") == i) & (start <= F.col(rank)) & (F.col(rank) < until)
-        return F.max(F.when(holds, F.col("_tm_x")))
-
-    joined = placed.groupBy(*keys).agg(
-        F.first("_tm_n").alias("_tm_n"),
-        *[at_rank("_tm_lo", i).alias(f"_tm_l{i}") for i in range(len(shares))],
-        *[at_rank("_tm_hi", i).alias(f"_tm_h{i}") for i in range(len(shares))],
-    )
-    missed = F.raise_error(F.lit("a quantile fell outside its bracket")).cast("double")
+    x = F.col(value).cast("double")
+    # a group's key may be null: structs of nulls are equal
+    rows = df.select(*[F.struct(F.col(b)).alias(k) for b, k in zip(by, keys, strict=True)], x.alias("_tm_x")).where(F.col("_tm_x").isNotNull())
+    rows = rows.withColumn("_tm_bits", ordered_bits(F.col("_tm_x")))
+    shift = 64 - LEVEL
+    counts = rows.groupBy(*keys, F.shiftright("_tm_bits", shift).alias("_tm_bucket")).agg(F.count(F.lit(1)).alias("_tm_c"), F.max("_tm_x").alias("_tm_x"))
+    whole = Window.partitionBy(*keys)
+    at = [(F.col("_tm_n") - 1).cast("double") * F.lit(share) for share in shares]
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), rank.alias("rank")) for i, rank in enumerate(r for a in at for r in (F.floor(a), F.ceil(a)))])
+    counts = counts.withColumn("_tm_n", F.sum("_tm_c").over(whole)).withColumn("_tm_hits", ranks)
+    picked = _holding(counts, keys)
+    while shift:
+        picked = settle(picked, "buckets")
+        most = picked.agg(F.max("_tm_c")).first()[0]
+        narrower = 0 if most is None or most <= FEW else shift - LEVEL
+        held = picked.select(*keys, F.col("_tm_bucket").alias("_tm_parent"))
+        inside = rows.withColumn("_tm_parent", F.shiftright("_tm_bits", shift)).join(held, [*keys, "_tm_parent"])
+        counts = inside.groupBy(*keys, "_tm_parent", F.shiftright("_tm_bits", narrower).alias("_tm_bucket")).agg(
+            F.count(F.lit(1)).alias("_tm_c"), F.max("_tm_x").alias("_tm_x")
+        )
+        wanted = picked.select(*keys, F.col("_tm_bucket").alias("_tm_parent"), "_tm_n", "_tm_hits")
+        picked, shift = _holding(counts.join(wanted, [*keys, "_tm_parent"]), [*keys, "_tm_parent"]), narrower
+    each = picked.select(*keys, "_tm_n", "_tm_x", F.inline("_tm_hits"))
+    ends = [F.max(F.when(F.col("i") == i, F.col("_tm_x"))).alias(f"_tm_e{i}") for i in range(2 * len(shares))]
+    found = each.groupBy(*keys).agg(F.first("_tm_n").alias("_tm_n"), *ends)
     columns = []
-    for i in range(len(shares)):
-        low, high, part = F.col(f"_tm_l{i}"), F.col(f"_tm_h{i}"), ranks[i][2]
-        columns.append(F.when(n > 0, F.coalesce(low + (high - low) * part, missed)).alias(f"q{i}"))
-    return joined.select(*[F.col(k)[b].alias(b) for b, k in zip(by, keys, strict=False)], *columns)
+    for i, place in enumerate(at):
+        low, high = F.col(f"_tm_e{2 * i}"), F.col(f"_tm_e{2 * i + 1}")
+        columns.append(F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place))).alias(f"q{i}"))
+    return found.select(*[F.col(k)[b].alias(b) for b, k in zip(by, keys, strict=True)], *columns)
+
+
+def _holding(counts: DataFrame, part: list[str]) -> DataFrame:
+    """The buckets in which wanted ranks (``_tm_hits``, counted within ``part``) lie, each with its ranks counted within the bucket."""
+    until = F.sum("_tm_c").over(Window.partitionBy(*part).orderBy("_tm_bucket").rowsBetween(Window.unboundedPreceding, 0))
+    start, end = F.col("_tm_until") - F.col("_tm_c"), F.col("_tm_until")
+    inside = F.filter("_tm_hits", lambda hit: (hit["rank"] >= start) & (hit["rank"] < end))
+    moved = F.transform(inside, lambda hit: F.struct(hit["i"].alias("i"), (hit["rank"] - start).alias("rank")))
+    return counts.withColumn("_tm_until", until).withColumn("_tm_hits", moved).where(F.size("_tm_hits") > 0).drop("_tm_until")
 
 
 def thresholds(df: DataFrame, value: str, shares: Sequence[float], *, non_zero: bool = False, policy=DEFAULT) -> list[Column]:
