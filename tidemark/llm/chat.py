@@ -6,7 +6,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +16,19 @@ START, END = "<|im_start|>", "<|im_end|>"
 EXAMPLE = "conv_id long, slice long, block long, example long, first_turn long, n_turns long, text string, loss_start long, loss_end long, closes boolean"
 
 
+KINDS = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
+
+
+def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows as a batch of the schema's types, so that whole numbers stay whole beside nulls."""
+    columns = [part.split() for part in schema.split(", ")]
+    return pa.record_batch({name: pa.array([row[i] for row in rows], KINDS[kind]) for i, (name, kind) in enumerate(columns)})
+
+
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    return zip(*[column.to_pylist() for column in batch.columns], strict=True)
+
+
 def escape(text: str) -> str:
     """Make a text free of control strings, which all begin with <|; undone by ``unescape``."""
     return text.replace("\\", "\\\\").replace("<|", "<\\|")
@@ -76,7 +89,7 @@ def expand(turns: DataFrame, *, trained_role: str = "assistant", block_chars: in
     """
     rows = in_order(turns, rows_per_slice)
 
-    def format_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def format_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
         out: list[tuple] = []
         held = 0
@@ -100,8 +113,7 @@ def expand(turns: DataFrame, *, trained_role: str = "assistant", block_chars: in
             state.update(conv=conv, slice=slice_, block=block, example=example, first=first, turns=0, parts=[], size=0, pending=None)
 
         for batch in batches:
-            for conv, slice_, role, text in zip(batch["conv_id"], batch["slice"], batch["role"], batch["text"]):
-                conv = None if pd.isna(conv) else int(conv)
+            for conv, slice_, role, text in rows_of(batch):
                 if not state or state["conv"] != conv or state["slice"] != slice_:
                     close() if state else None
                     fresh(conv, slice_, 0, 0, slice_ * rows_per_slice)
@@ -121,16 +133,15 @@ def expand(turns: DataFrame, *, trained_role: str = "assistant", block_chars: in
                     state["example"] += 1
                     held += len(whole)
                 if held > 1 << 24 or len(out) >= 5000:
-                    yield pd.DataFrame(out, columns=names)
+                    yield batch_of(out, EXAMPLE)
                     out, held = [], 0
         if state:
             close()
         if out:
-            yield pd.DataFrame(out, columns=names)
+            yield batch_of(out, EXAMPLE)
 
-    names = [part.split()[0] for part in EXAMPLE.split(", ")]
     dealt = rows.repartition("conv_id", "slice").sortWithinPartitions("conv_id", "slice", "ordinal").select("conv_id", "slice", "role", "text")
-    return dealt.mapInPandas(nullable_longs(format_rows), EXAMPLE)
+    return dealt.mapInArrow(format_rows, EXAMPLE)
 
 
 def whole_contexts(wanted: DataFrame, examples: DataFrame) -> DataFrame:
@@ -155,77 +166,69 @@ def whole_contexts(wanted: DataFrame, examples: DataFrame) -> DataFrame:
     return found.select(*[whole[name].alias(name) if name in whole else name for name in wanted.columns])
 
 
-def nullable_longs(function):
-    """Keep whole numbers whole beside nulls."""
-
-    def typed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in function(batches):
-            yield frame.astype({name: "Int64" for name in ("conv_id", "loss_start", "loss_end") if name in frame})
-
-    return typed
-
-
 def reduced(examples: DataFrame, trained_role: str = "assistant") -> DataFrame:
     """Each example's length, formatted characters of context in its text, reply and, if it closes a block, text."""
     schema = "conv_id long, slice long, block long, example long, first_turn long, n_turns long, length long, context long, reply string, text string"
 
-    def reduce_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    head = len(opening(trained_role))
+
+    def reduce_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = zip(batch["text"], batch["loss_start"], batch["loss_end"])
-            yield pd.DataFrame({
-                **{name: batch[name] for name in ("conv_id", "slice", "block", "example", "first_turn", "n_turns")},
-                "length": batch["text"].str.len().astype("int64"), "context": (batch["loss_start"] - len(opening(trained_role))).astype("Int64"),
-                "reply": [None if pd.isna(start) else unescape(text[int(start) : int(end)]) for text, start, end in spans],
-                "text": batch["text"].where(batch["closes"], None),
-            })
+            out = []
+            for *place, text, start, end, closes in rows_of(batch):
+                reply = None if start is None else unescape(text[start:end])
+                out.append((*place, len(text), None if start is None else start - head, reply, text if closes else None))
+            yield batch_of(out, schema)
 
-    return examples.mapInPandas(nullable_longs(reduce_rows), schema)
+    columns = ["conv_id", "slice", "block", "example", "first_turn", "n_turns", "text", "loss_start", "loss_end", "closes"]
+    return examples.select(*columns).mapInArrow(reduce_rows, schema)
 
 
 def digests(examples: DataFrame, *, trained_role: str = "assistant") -> DataFrame:
     """Per conversation, read back from its examples: turns, their digest, trained characters, their digest, formatted characters.
 
     ``context_turns`` and ``context_chars`` are summed over the replies: the turns before each by its ``first_turn`` and
-    ``n_turns``, and the formatted characters before each in the blocks before its own and in its text. Each
+    ``n_turns``, and the formatted characters before each in the blocks before its own and in its text;
+    ``contexts_whole`` says that the blocks read before each example hold exactly the turns before its ``first_turn``. Each
     example is reduced where it lies to its length, its reply and, if it closes a block, its text, so a conversation's
     characters move about twice and not once for each reply. Blocks are read in order and nothing but the running
     digests is kept of them.
     """
-    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, context_turns long, context_chars long"
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, context_turns long, context_chars long, contexts_whole boolean"
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begun, conv = False, None
         out: list[tuple] = []
 
         def done() -> None:
-            out.append((conv, n_turns, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, context_turns, context_chars))
+            out.append((conv, n_turns, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, context_turns, context_chars, whole))
 
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                key = None if pd.isna(row.conv_id) else int(row.conv_id)
+            for key, first_turn, turns_here, length, context, reply, block in rows_of(batch):
                 if not begun or key != conv:
                     if begun:
                         done()
                     begun, conv, n_turns, loss_chars, chars, turns, loss = True, key, 0, 0, 0, hashlib.sha256(), hashlib.sha256()
                     context_turns = context_chars = closed = 0
-                chars += row.length
-                if not pd.isna(row.context):
-                    loss_chars += len(row.reply)
-                    loss.update(row.reply.encode("utf-8", "surrogatepass"))
-                    context_turns += row.first_turn + row.n_turns - 1
-                    context_chars += closed + int(row.context)
-                if not pd.isna(row.text):
-                    closed += row.length
-                    for role, text in parse(row.text):
+                    whole = True
+                chars += length
+                whole = whole and first_turn == n_turns
+                if context is not None:
+                    loss_chars += len(reply)
+                    loss.update(reply.encode("utf-8", "surrogatepass"))
+                    context_turns += first_turn + turns_here - 1
+                    context_chars += closed + context
+                if block is not None:
+                    closed += length
+                    for role, text in parse(block):
                         n_turns += 1
                         turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
             if out:
-                yield pd.DataFrame(out, columns=names)
+                yield batch_of(out, schema)
                 out = []
         if begun:
             done()
-            yield pd.DataFrame(out, columns=names)
+            yield batch_of(out, schema)
 
-    names = [part.split()[0] for part in schema.split(", ")]
     dealt = reduced(examples, trained_role).repartition("conv_id").sortWithinPartitions("conv_id", "slice", "block", "example", "n_turns")
-    return dealt.select("conv_id", "first_turn", "n_turns", "length", "context", "reply", "text").mapInPandas(nullable_longs(read), schema)
+    return dealt.select("conv_id", "first_turn", "n_turns", "length", "context", "reply", "text").mapInArrow(read, schema)
