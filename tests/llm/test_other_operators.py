@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, embedding_join, queries, url_filter, warc
+from tidemark.llm import chat, embedding_join, ngram_join, queries, url_filter, warc
 
 
 def sha(text):
@@ -39,7 +39,7 @@ def test_conversations_read_back(turns, options):
         trained = "".join(r["text"] or "" for r in rows if r["role"] == "assistant")
         got = out[conv]
         assert (got["n_turns"], got["turns_sha256"]) == (len(rows), sha("".join(f"{r['role'] or ''}\n{r['text'] or ''}\n" for r in rows)))
-        assert (got["loss_chars"], got["loss_sha256"]) == (len(trained), sha(trained)) and got["formatted_chars"] > 0
+        assert (got["loss_chars"], got["loss_sha256"]) == (len(trained), sha(trained)) and got["formatted_chars"] > 0 and got["contexts_whole"]
 
 
 def test_each_reply_has_all_earlier_turns(turns):
@@ -51,6 +51,21 @@ def test_each_reply_has_all_earlier_turns(turns):
     assert chat.expand(turns.limit(0)).count() == 0 and chat.digests(chat.expand(turns.limit(0))).count() == 0
 
 
+LARGE = [None, (1 << 53), (1 << 53) + 1, -(1 << 63), (1 << 63) - 1, 5]
+
+
+def test_large_ids_stay_whole_beside_null_ones(spark):
+    table = spark.createDataFrame([(i, k, ("user", "assistant")[k], f"{i} says {k}") for i in LARGE for k in range(2)], "conv_id long, turn long, role string, text string").coalesce(1)
+    got = chat.digests(chat.expand(table)).collect()
+    assert Counter((r["conv_id"], r["n_turns"], r["loss_sha256"]) for r in got) == Counter((i, 2, sha(f"{i} says 1")) for i in LARGE)
+    docs = spark.createDataFrame([(i, f"a text of its own for {i} " * 3) for i in LARGE], "doc_id long, text string").coalesce(1)
+    assert Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in ngram_join.join_ngrams(docs).collect()) == Counter((i, i, 0) for i in LARGE)
+    assert Counter(r["doc_id"] for r in ngram_join.one_of_each(docs).collect()) == Counter(LARGE)
+    alike = spark.createDataFrame([(i, "the same words for all of them") for i in LARGE], "doc_id long, text string").coalesce(1)
+    assert {(r["class_id"], r["n_links"]) for r in ngram_join.join_ngrams(alike).collect()} == {(-(1 << 63), 5)}
+    assert [r["doc_id"] for r in ngram_join.one_of_each(alike).collect()] == [-(1 << 63)]
+
+
 def formatted(rows):
     return "".join(f"{chat.opening(r['role'] or '')}{chat.escape(r['text'] or '')}{chat.END}\n" for r in rows)
 
@@ -239,7 +254,7 @@ def test_graph_recall_against_all_vectors():
 
 def test_every_query_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and len(corpus_pipeline.STAGES) == 5
+    assert numbers == list(range(1, 14)) and len(corpus_pipeline.STAGES) == 5
 
 
 def test_pipeline(spark, folder):

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import LONG, documents, words
 from tidemark.llm import common, license_scan, mixing, ngram_join, packing, quality, toxicity
@@ -250,7 +251,8 @@ def test_joined_ngrams_are_those_of_all_pairs(docs, rows):
     assert ngram_join.join_ngrams(docs.limit(0)).count() == 0
 
 
-def test_blocks_of_a_large_group_lose_no_link(spark):
+@pytest.mark.parametrize(("crowd", "block_docs"), [(64, 4096), (2, 7), (5, 7)])
+def test_blocks_of_a_large_group_lose_no_link(spark, crowd, block_docs):
     draw = np.random.default_rng(3)
     base = [f"w{i}" for i in range(200)]
     texts = []
@@ -260,7 +262,7 @@ def test_blocks_of_a_large_group_lose_no_link(spark):
             text[at] = f"x{i}{at}"
         texts.append((i, " ".join(text)))
     frame = spark.createDataFrame(texts, "doc_id long, text string")
-    got = {r["doc_id"]: r for r in ngram_join.join_ngrams(frame, block_docs=7).collect()}
+    got = {r["doc_id"]: r for r in ngram_join.join_ngrams(frame, crowd=crowd, block_docs=block_docs).collect()}
     sets = [ngram_join.Shingler(5)(t) for _, t in texts]
     linked = ngram_join.similar(sets, sets, 0.8)
     assert [got[i]["n_links"] for i in range(60)] == (linked.sum(axis=1) - 1).tolist()
@@ -271,6 +273,43 @@ def test_depth_meets_the_recall():
     assert 1 - (1 - 0.8**depth) ** 32 >= 0.99999 > 1 - (1 - 0.8 ** (depth + 1)) ** 32
 
 
+def test_tries_know_each_rows_nearest_neighbours(spark):
+    draw = np.random.default_rng(2)
+    values = draw.integers(3, size=(300, 2, 8)).astype(np.uint8)
+    values[:100] = values[0]
+    signed = values.copy().view(">i8")[..., 0].astype(np.int64)
+    sets = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(signed)], "rep long, signature array<long>").repartition(3)
+    got = {(r["rep"], r["tree"]): r["depth"] for r in ngram_join.tries(sets).collect()}
+    for tree in range(2):
+        for i in range(300):
+            others = np.delete(np.arange(300), i)
+            depth = ngram_join.shared_prefix(signed[others, tree], signed[i, tree]).max()
+            assert got.get((i, tree), 0) == (depth if depth >= ngram_join.SHALLOWEST else 0)
+
+
+def test_audit_counts_the_links_by_depth(spark):
+    draw = np.random.default_rng(5)
+    texts = []
+    for i in range(40):
+        base = [f"w{i // 4}x{k}" for k in range(100)]
+        for at in draw.integers(100, size=i % 4):
+            base[at] = f"y{i}{at}"
+        texts.append((i, " ".join(base)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    slim = ngram_join.signatures(docs, 5, 32, 7).cache()
+    sets = slim.select(F.monotonically_increasing_id().alias("rep"), "set_key", "n_grams", "signature", F.struct("doc_id", "text_key").alias("least")).cache()
+    found = ngram_join.audited_depths(docs, sets, ngram_join.tries(sets), 5, 32, 7, 0.8, 1000, 1 << 20)
+    grams, signed = ([f(t) for _, t in texts] for f in (ngram_join.Shingler(5), lambda t: ngram_join.Signer(32, 7)(ngram_join.Shingler(5)(t))))
+    want = [0] * 9
+    for i in range(40):
+        for j in range(40):
+            shared = len(np.intersect1d(grams[i], grams[j]))
+            if shared >= 0.8 * (len(grams[i]) + len(grams[j]) - shared) and not np.array_equal(grams[i], grams[j]):
+                want[ngram_join.shared_prefix(signed[i], signed[j]).max()] += 1
+    assert found == want and sum(found) > 20
+    assert ngram_join.shortened([0, 0, 0, 0, 1, 0, 0, 0, 1000], 0.8, 32, 0.9999) == 4
+
+
 def test_overlaps_are_exact():
     draw = np.random.default_rng(1)
     sets = [np.unique(draw.integers(300, size=draw.integers(1, 200))).astype(np.uint64) for _ in range(150)]
