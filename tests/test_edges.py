@@ -395,3 +395,27 @@ def test_quantiles_refine_to_the_last_bit(spark, monkeypatch, few):
             assert value == (low if low == high else low + (high - low) * (at - math.floor(at)))
     assert agg.exact_quantiles(df.where("x is null"), "x", [0.5], "k").count() == 0
     assert agg.exact_quantiles(df.where("x is null"), "x", [0.5]).first() is None or agg.exact_quantiles(df.where("x is null"), "x", [0.5]).first().q0 is None
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), TIGHT])
+def test_window_joins_make_few_pairs_beside_the_matching_ones(spark, policy):
+    minutes = lambda n: F.timestamp_micros(n * 60_000_000).cast("timestamp_ntz")
+    events = spark.range(3000).select("id", F.lit("k").alias("key"), minutes(F.col("id") * 7).alias("at"))
+    anchors = spark.range(400).select(F.col("id").alias("anchor_id"), F.lit("k").alias("key"), minutes(F.col("id") * 50).alias("born"))
+    span = Span(hours(-3), hours(4), "both")
+    pairs = ent.candidate_pairs(events, anchors, "key", "at", "id", "born", [span], policy).count()
+    joined = ent.window_join(anchors, events, "key", "at", "id", "born", span, policy)
+    matching = [(a, e) for a in range(400) for e in range(3000) if -180 <= e * 7 - a * 50 <= 240]
+    assert sorted((r.anchor_id, r.id) for r in joined.collect()) == matching
+    assert pairs < 4 * len(matching) < 1_200_000 / 10
+
+
+@pytest.mark.parametrize("span", [Span(months(-1), months(1), "both"), Span(months(1), months(2), "left"), Span(days(0), months(1), "both", whole_last_day=True)])
+def test_cells_hold_calendar_windows(spark, span):
+    draw = random.Random(8)
+    day = datetime(2024, 1, 1)
+    events = spark.createDataFrame([(i, "k", day + timedelta(hours=draw.randint(0, 9000))) for i in range(300)], "id bigint, key string, at timestamp_ntz")
+    anchors = spark.createDataFrame([(i, "k", day + timedelta(hours=draw.randint(0, 9000))) for i in range(40)], "anchor_id bigint, key string, born timestamp_ntz")
+    plain = anchors.join(events, "key").where(span.contains("at", "born"))
+    cells = ent.window_join(anchors, events, "key", "at", "id", "born", span)
+    assert sorted(map(tuple, cells.select("anchor_id", "id").collect())) == sorted(map(tuple, plain.select("anchor_id", "id").collect()))

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from tidemark.functions.dates import elapsed_days
 from tidemark.operators.aggregates import Measure, attach_summary, fill_defaults
 from tidemark.skew import DEFAULT, SkewPolicy, names, spread_join
-from tidemark.spans import Offset, Span, instant
+from tidemark.spans import MICROS_PER_DAY, MICROS_PER_SECOND, Offset, Span, instant, micros
 
 
 def windowed_summary(
@@ -63,6 +63,40 @@ def cutoff_features(
     return fill_defaults(entities.join(summary, names(key), "left"), _defaults(windows, measures))
 
 
+CELL = "_tm_cell"
+#: A change of the clock may move the session's microseconds by this much against calendar time.
+CLOCK = 2 * 3600 * MICROS_PER_SECOND
+
+
+def _reach_in_micros(spans: Sequence[Span]) -> tuple[int, int] | None:
+    """Microseconds from the anchor between which all windows lie, with room for months of any length; None if one is open."""
+    if any(s.start is None or s.end is None for s in spans):
+        return None
+    low = min(s.start.us + s.start.months * (31 if s.start.months < 0 else 28) * MICROS_PER_DAY for s in spans)
+    high = max(s.end.us + s.end.months * (31 if s.end.months > 0 else 28) * MICROS_PER_DAY + s.whole_last_day * MICROS_PER_DAY for s in spans)
+    return low - CLOCK, max(low, high) + CLOCK
+
+
+def candidate_pairs(
+    events: DataFrame, anchors: DataFrame, key: str, time: str, event_id, anchor: str, spans: Sequence[Span], policy: SkewPolicy = DEFAULT
+) -> DataFrame:
+    """Events with the anchors of their key whose windows they may lie in.
+
+    Time is cut into cells as long as the windows reach. An anchor goes to the two cells at most that its windows can
+    touch, an event to its own, and rows are joined by key and cell: about as many pairs as match, however
+    many anchors and events a key has. An open window reaches everything, so its rows are joined by key alone.
+    """
+    reach = _reach_in_micros(spans)
+    if reach is None:
+        return spread_join(events, anchors, key, event_id, policy)
+    low, high = reach
+    cell = lambda at: F.floor(at / F.lit(high - low))
+    at = micros(instant(anchor))
+    touched = F.explode(F.sequence(cell(at + low), cell(at + high)))
+    placed = anchors.where(F.col(anchor).isNotNull()).withColumn(CELL, touched)
+    return spread_join(events.withColumn(CELL, cell(micros(instant(time)))), placed, [key, CELL], event_id, policy).drop(CELL)
+
+
 def window_join(
     entities: DataFrame,
     events: DataFrame,
@@ -74,7 +108,7 @@ def window_join(
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Events of an entity that fall in a window relative to the entity's own anchor."""
-    pairs = spread_join(events, entities, key, event_id, policy)
+    pairs = candidate_pairs(events, entities, key, time, event_id, anchor, [span], policy)
     return pairs.where(span.contains(time, anchor))
 
 
@@ -94,7 +128,7 @@ def anchored_features(
     """One row per entity (or per ``unit``, e.g. an assignment): measures over windows after its anchor."""
     unit = [key] if unit is None else list(unit)
     anchors = entities.select(*dict.fromkeys([*unit, key]), F.col(anchor).alias("_tm_anchor"))
-    pairs = spread_join(events, anchors, key, event_id, policy)
+    pairs = candidate_pairs(events, anchors, key, time, event_id, "_tm_anchor", list(windows.values()), policy)
     inside = reduce(lambda a, b: a | b, [span.contains(time, "_tm_anchor") for span in windows.values()])
     summary = windowed_summary(pairs.where(inside), unit, time, "_tm_anchor", windows, measures)
     return fill_defaults(entities.join(summary, unit, "left"), _defaults(windows, measures))
