@@ -239,6 +239,31 @@ def test_embeddings_link_as_all_pairs_do(spark):
     assert embedding_join.join_embeddings(frame.limit(0)).count() == 0
 
 
+def test_several_shards_are_searched_through_their_graphs(spark, monkeypatch):
+    draw = np.random.default_rng(9)
+    centres = draw.normal(size=(700, 24))
+    vectors = (centres[draw.integers(700, size=3000)] + draw.normal(size=(3000, 24)) * 0.09).astype("float32")
+    frame = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, label int, embedding array<float>")
+    got = {r["vec_id"]: r for r in embedding_join.join_embeddings(frame, shard_rows=1000, query_rows=300).collect()}
+    units = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    want = (units @ units.T >= 0.98).sum(axis=1) - 1
+    found = np.array([got[i]["n_links"] for i in range(3000)])
+    assert want.sum() > 3000 and (found <= want).all() and found.sum() >= 0.999 * want.sum()
+    # links count for both ends: their sum is even and no vector of a component is without one
+    assert found.sum() % 2 == 0
+    sizes = Counter(r["component_id"] for r in got.values())
+    assert all((r["n_links"] > 0) == (sizes[r["component_id"]] > 1) for r in got.values())
+
+
+def test_small_shards_use_their_graph(monkeypatch):
+    draw = np.random.default_rng(10)
+    vectors = embedding_join.unit(draw.normal(size=(400, 16)))
+    compared = []
+    monkeypatch.setattr(embedding_join, "all_pairs", lambda *args, real=embedding_join.all_pairs: compared.append(1) or real(*args))
+    first, second = embedding_join.links_of(vectors, embedding_join.build(vectors), vectors, 0.98, width=64, audit=50, recall=0.9)
+    assert (first == second).all() and len(first) == 400 and not compared
+
+
 def test_graph_recall_against_all_vectors():
     draw = np.random.default_rng(8)
     vectors = embedding_join.unit(draw.normal(size=(3000, 32)))

@@ -174,6 +174,8 @@ def links_of(vectors: np.ndarray, graph: Graph, queries: np.ndarray, threshold:
     is widened to the whole shard, that is every vector is compared.
     """
     n, floor = len(vectors), threshold - 1e-4
+    # a small shard begins with a beam that is small beside it, so its graph is searched too
+    width = max(4, min(width, n // 16))
     sample = np.unique(np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(int))
     truth = queries[sample] @ vectors.T
     peak = truth.max(axis=1)
@@ -216,17 +218,27 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
 
 
+class Shard:
+    """A shard's representatives: numbers, members, vectors in double precision and the graph over them."""
+
+    def __init__(self, row):
+        self.reps, self.members = np.frombuffer(row.reps, "<i8"), np.frombuffer(row.members, "<i8")
+        self.vectors = np.frombuffer(row.vectors, "<f8").reshape(len(self.reps), -1)
+        self.units, self.graph, self.norms = unit(self.vectors), Graph.unpack(row.graph), np.linalg.norm(self.vectors, axis=1)
+
+
 def join_embeddings(
-    embeddings: DataFrame, *, threshold: float = 0.98, shard_rows: int = 8192, query_rows: int = 1024, width: int = 64, audit: int = 128, recall: float = 0.995,
+    embeddings: DataFrame, *, threshold: float = 0.98, shard_rows: int = 4096, query_rows: int = 1024, width: int = 64, audit: int = 128, recall: float = 0.995,
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id and kept.
 
     Vectors link when their labels are equal and not null and their cosine in double precision is at least
     ``threshold``. Vectors that are null, empty, zero or hold null or non-finite components, and vectors of
     different lengths, don't link. Equal vectors of a label are one representative, so copies are never paired.
-    Representatives of a label are dealt over shards of about ``shard_rows``, each with a graph; blocks of
-    ``query_rows`` of them query every shard of the label. Found pairs are verified in double precision; tasks
-    return counts and one edge per vector. A null vec_id is never the smallest; repeated rows are vectors of their
+    Representatives of a label are dealt over shards of about ``shard_rows``, each with a graph, and query every
+    shard of the label, ``query_rows`` at a time: a task takes two shards, whose vectors query each other's graph. Found
+    pairs are verified in double precision and count for both ends, whichever found the other; tasks return counts
+    and one edge per vector. A null vec_id is never the smallest; repeated rows are vectors of their
     own; other columns are ignored; no rows give no rows.
     """
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -239,12 +251,9 @@ def join_embeddings(
         F.first("label").alias("label"), F.first("embedding").alias("embedding"), F.count(F.lit(1)).alias("members"), F.min("vec_id").alias("least")
     )
     copies = settle(copies.withColumn("dim", F.size("embedding")).withColumn("rep", F.monotonically_increasing_id()), "vectors")
-    counts = copies.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards"), F.ceil(F.count(F.lit(1)) / query_rows).alias("blocks"))
-    placed = copies.join(settle(counts, "shards"), ["label", "dim"])
-    deal = F.xxhash64("rep")
-    placed = placed.select(
-        "label", "dim", "rep", "members", "embedding", "shards", F.pmod(deal, "shards").alias("shard"), F.pmod(deal, "blocks").alias("block")
-    )
+    counts = settle(copies.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards")), "shards")
+    placed = copies.join(counts, ["label", "dim"])
+    placed = placed.select("label", "dim", "rep", "members", "embedding", F.pmod(F.xxhash64("rep"), "shards").alias("shard"))
 
     def matrix(part: pd.DataFrame) -> np.ndarray:
         return np.stack(part["embedding"].to_list()).astype(np.float64)
@@ -257,48 +266,46 @@ def join_embeddings(
         row = [*key[:2], key[2], part["rep"].to_numpy("<i8").tobytes(), part["members"].to_numpy("<i8").tobytes(), values.astype("<f8").tobytes(), graph]
         return pd.DataFrame([row], columns=["label", "dim", "shard", "reps", "members", "vectors", "graph"])
 
-    def gather(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        values = matrix(part)
-        values /= np.abs(values).max(axis=1, keepdims=True)
-        row = [*key, int(part["shards"].iloc[0]), part["rep"].to_numpy("<i8").tobytes(), values.astype("<f8").tobytes()]
-        return pd.DataFrame([row], columns=["label", "dim", "block", "shards", "q_reps", "q_vectors"])
-
     kinds = copies.schema["label"].dataType.simpleString()
     graphs = placed.select("label", "dim", "shard", "rep", "members", "embedding").groupBy("label", "dim", "shard").applyInPandas(
         build_shard, f"label {kinds}, dim int, shard long, reps binary, members binary, vectors binary, graph binary")
     graphs = settle(graphs, "graphs")
-    blocks = placed.select("label", "dim", "block", "shards", "rep", "embedding").groupBy("label", "dim", "block").applyInPandas(
-        gather, f"label {kinds}, dim int, block long, shards long, q_reps binary, q_vectors binary")
-    targets = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard")
-    blocks = settle(blocks, "blocks").select("label", "dim", "block", "q_reps", "q_vectors", targets)
-
-    def search(key: tuple, queries: pd.DataFrame, shards: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"rep": [], "links": [], "root": []})]
-        if len(shards):
-            shard = shards.iloc[0]
-            reps, members = np.frombuffer(shard["reps"], "<i8"), np.frombuffer(shard["members"], "<i8")
-            vectors = np.frombuffer(shard["vectors"], "<f8").reshape(len(reps), -1)
-            units, graph, norms = unit(vectors), Graph.unpack(shard["graph"]), np.linalg.norm(vectors, axis=1)
-            for row in queries.itertuples(index=False):
-                q_reps = np.frombuffer(row.q_reps, "<i8")
-                q_vectors = np.frombuffer(row.q_vectors, "<f8").reshape(len(q_reps), -1)
-                first, second = links_of(units, graph, unit(q_vectors), threshold, width=width, audit=audit, recall=recall)
-                exact = np.concatenate([np.einsum("kd,kd->k", q_vectors[first[i : i + 65536]], vectors[second[i : i + 65536]]) for i in range(0, len(first), 65536)] or [np.zeros(0)])
-                exact = exact / (np.linalg.norm(q_vectors, axis=1)[first] * norms[second])
-                linked = (exact >= threshold) & (q_reps[first] != reps[second])
-                first, second = first[linked], second[linked]
-                every, place = np.unique(np.concatenate([q_reps, reps]), return_inverse=True)
-                place = place.ravel()
-                root = every[roots(len(every), place[first], place[len(q_reps) + second])]
-                counts = np.bincount(first, members[second], len(q_reps)).astype("int64")
-                out.append(pd.DataFrame({"rep": q_reps, "links": counts, "root": root[np.searchsorted(every, q_reps)]})[counts > 0])
-                met = np.unique(second)
-                out.append(pd.DataFrame({"rep": reps[met], "links": 0, "root": root[np.searchsorted(every, reps[met])]}))
-        return pd.concat(out).astype("int64")
-
-    by = ["label", "dim", "shard"]
-    found = settle(blocks.withColumn("q", F.col("block")).groupBy(*by, "q").cogroup(
-        graphs.join(blocks.select(*by, F.col("block").alias("q")), by).groupBy(*by, "q")).applyInPandas(search, "rep long, links long, root long"), "embedding-links")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("other")
+    each = graphs.join(counts, ["label", "dim"]).select("label", "dim", "shard", "reps", "members", "vectors", "graph", other)
+    each = each.select("*", F.least("shard", "other").alias("low"), F.greatest("shard", "other").alias("high")).drop("other")
+
+    def search(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        sides = [Shard(row) for row in part.sort_values("shard").itertuples(index=False)]
+        left, right = sides[0], sides[-1]
+        linked = np.zeros((len(left.reps), len(right.reps)), dtype=bool)
+        # each side's vectors query the other's graph, so a pair that one of them finds counts for both
+        for queries, shard, seen in ((left, right, linked), (right, left, linked.T))[: len(sides)]:
+            for i in range(0, len(queries.reps), query_rows):
+                first, second = links_of(shard.units, shard.graph, queries.units[i : i + query_rows], threshold, width=width, audit=audit, recall=recall)
+                seen[first + i, second] = True
+        if len(sides) == 1:
+            linked |= linked.T
+            np.fill_diagonal(linked, False)
+        every = np.concatenate([side.reps for side in sides])
+        apart = len(left.reps) if len(sides) > 1 else 0
+        counts, edges = np.zeros(len(every), dtype=np.int64), [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for i in range(0, len(left.reps), 256):
+            first, second = np.nonzero(linked[i : i + 256])
+            first += i
+            exact = np.concatenate([np.einsum("kd,kd->k", left.vectors[first[k : k + 65536]], right.vectors[second[k : k + 65536]]) for k in range(0, len(first), 65536)] or [np.zeros(0)])
+            near = exact / (left.norms[first] * right.norms[second]) >= threshold
+            first, second = first[near], second[near] + apart
+            np.add.at(counts, first, right.members[second - apart])
+            if apart:
+                np.add.at(counts, second, left.members[first])
+            root = roots(len(every), first, second)
+            moved = np.flatnonzero(root != np.arange(len(every)))
+            edges.append((moved, root[moved]))
+        root = roots(len(every), *(np.concatenate(side) for side in zip(*edges, strict=True)))
+        met = np.flatnonzero(counts)
+        return pd.DataFrame({"rep": every[met], "links": counts[met], "root": every[root[met]]})
+
+    found = settle(each.groupBy("label", "dim", "low", "high").applyInPandas(search, "rep long, links long, root long"), "embedding-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
     named = copies.select("rep", "copy_key", "members", "least").join(links, "rep", "left").join(classes, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
