@@ -185,3 +185,103 @@ def test_label_codes_have_no_limit(spark, policy):
     got = prepare.label_codes(values, "name", policy=policy).collect()
     assert [r.name for r in sorted(got, key=lambda r: r.code)] == sorted({f"v{i}" for i in range(11_000)} | {"", "v", "é"})
     assert sorted(r.code for r in got) == list(range(11_003))
+
+
+def test_missing_values_are_learned_exactly_and_kept(spark, tmp_path):
+    rows = [(float(i % 7) if i % 5 else None, float("nan") if i % 4 == 0 else i / 3, "xyz"[i % 3] if i % 6 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "a double, b double, kind string")
+    known = {"a": [a for a, _, _ in rows if a is not None], "b": [b for _, b, _ in rows if not math.isnan(b)]}
+    for strategy, value in (("median", np.median), ("mean", np.mean)):
+        fitted = prepare.FillMissing(inputCols=["a", "b"], outputCols=["fa", "fb"], strategy=strategy).fit(df)
+        path = str(tmp_path / strategy)
+        fitted.write().save(path)
+        got = prepare.FilledMissing.load(path).transform(df).collect()
+        for name, row in ((name, row) for name in ("a", "b") for row in got):
+            missing = row[name] is None or math.isnan(row[name])
+            assert row[f"f{name}"] == (pytest.approx(value(known[name]), rel=1e-12) if missing else row[name])
+    mode = prepare.FillMissing(inputCols=["kind"], outputCols=["k"], strategy="mode").fit(df).transform(df)
+    assert {row.k for row in mode.where("kind IS NULL").collect()} == {"y"} or mode.where("kind IS NULL").first().k == agg_mode(rows)
+    constant = prepare.FillMissing(inputCols=["kind"], outputCols=["k"], strategy="constant", constants='["none"]').fit(df).transform(df)
+    assert constant.where("kind IS NULL AND k <> 'none'").count() == 0
+    # inside a pipeline: fitted on the training rows, saved, reloaded, the same on other rows
+    pipeline = prepare.pipeline(prepare.matrix_stages(["a", "b"], [], impute="median"), train.linear("y"))
+    made = pipeline.fit(df.withColumn("y", F.rand(1)))
+    train.save(made, str(tmp_path / "pipeline"))
+    again = train.reload(str(tmp_path / "pipeline"))
+    assert [r.prediction for r in made.transform(df).collect()] == [r.prediction for r in again.transform(df).collect()]
+
+
+def agg_mode(rows):
+    kinds = [kind for _, _, kind in rows if kind]
+    return min(set(kinds), key=lambda kind: (-kinds.count(kind), kind))
+
+
+def plain_softmax(margins):
+    raised = np.exp(margins - margins.max(axis=1, keepdims=True))
+    return raised / raised.sum(axis=1, keepdims=True)
+
+
+def test_two_rounds_of_softmax_boosting_by_hand(spark, tmp_path):
+    x = np.array([0, 0, 0, 0, 1, 1, 1, 1, 1, 0])
+    y = np.array([0, 0, 1, 2, 1, 1, 2, 2, 0, 0])
+    df = spark.createDataFrame([(Vectors.dense([float(a)]), float(b)) for a, b in zip(x, y, strict=True)], ["features", "label"])
+    fitted = train.SoftmaxBoosting(rounds=2, depth=1, rate=0.5).fit(df)
+    margins = np.log(np.bincount(y) / 10)[None, :].repeat(10, axis=0)
+    for _ in range(2):
+        p = plain_softmax(margins)
+        gradient, slope = np.eye(3)[y] - p, p * (1 - p) * 1.5
+        step = np.zeros((10, 3))
+        for leaf in (0, 1):  # a stump on the one column
+            step[x == leaf] = gradient[x == leaf].sum(axis=0) / slope[x == leaf].sum(axis=0)
+        margins = margins + 0.5 * step
+    train.save(fitted, str(tmp_path / "boosting"))
+    for model in (fitted, train.reload(str(tmp_path / "boosting"))):
+        got = np.array([row.probabilities for row in train.with_probabilities(model.transform(df)).collect()])
+        assert got == pytest.approx(plain_softmax(margins), rel=1e-9)
+        assert got.sum(axis=1) == pytest.approx(1.0, rel=1e-12)
+
+
+def test_softmax_boosting_lowers_its_loss(spark):
+    draw = np.random.default_rng(11)
+    x = draw.normal(size=(300, 4))
+    y = (x[:, 0] + x[:, 1] > 0).astype(int) + (x[:, 2] > 0.5)
+    df = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, y, strict=True)], ["features", "label"]).cache()
+    losses = []
+    for rounds in (1, 2, 4, 9):
+        scored = train.with_probabilities(train.SoftmaxBoosting(rounds=rounds).fit(df).transform(df))
+        losses.append(scored.agg(-F.avg(F.log(F.get("probabilities", F.col("label").cast("int"))))).first()[0])
+    assert losses == sorted(losses, reverse=True) and losses[-1] < 0.8
+    # each tree keeps to its sample of columns, and splits only where it gains
+    some = train.SoftmaxBoosting(rounds=3, columns=0.25, subsample=0.8).fit(df)
+    for ensemble in some.stages[:-1]:
+        assert all(len(np.flatnonzero(tree.featureImportances.toArray())) <= 1 for tree in ensemble.trees)
+    none = train.SoftmaxBoosting(rounds=1, minGain=1e9).fit(df)
+    assert all(tree.depth == 0 for ensemble in none.stages[:-1] for tree in ensemble.trees)
+
+
+def test_boosting_arguments_reach_the_trees(rows):
+    model = train.boosted(rounds=200, depth=7, rate=0.05, columns=0.7, min_gain=0.2)
+    assert (model.getMaxIter(), model.getMaxDepth(), model.getStepSize(), model.getMinInfoGain(), model.getFeatureSubsetStrategy()) == (200, 7, 0.05, 0.2, "0.7")
+
+
+def test_families_are_searched_by_their_own_grids(rows):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    families = {
+        "logistic": train.Family(lambda df, c: train.logistic(df, c), [{"c": c} for c in (0.001, 1.0)]),
+        "forest": train.Family(lambda _, depth: train.forest(trees=6, depth=depth), [{"depth": d} for d in (1, 4)], (2, 6)),
+        "boosted": train.Family(lambda _, rate: train.boosted(rounds=4, rate=rate), [{"rate": 0.2}], (1, 4)),
+    }
+    parts = prepare.stratified_split(rows, "label", ["id"], 0.3)
+    fit_rows, test_rows = parts.where("is_test = 0"), parts.where("is_test = 1")
+    found = train.search_families(fit_rows, ["id"], prepare.matrix_stages(["a", "b"], ["kind"]), families, BinaryClassificationEvaluator(), test_rows)
+    assert [row[0] for row in found] == list(families) and all(0.5 < row[2] <= 1 and 0.5 < row[3] <= 1 for row in found)
+    assert {row[1] for row in found} <= {"c=0.001", "c=1.0", *[f"depth={d}, trees={n}" for d in (1, 4) for n in (2, 6)], "rate=0.2, trees=1", "rate=0.2, trees=4"}
+
+
+def test_first_trees_are_the_smaller_ensemble(rows):
+    prepared = prepare.Pipeline(stages=prepare.matrix_stages(["a", "b"], ["kind"])).fit(rows).transform(rows)
+    large, small = (train.boosted(rounds=n).fit(prepared) for n in (6, 2))
+    cut = train.first_trees(large, 2)
+    scores = [[r.score for r in train.positive_score(m.transform(prepared)).orderBy("id").collect()] for m in (small, cut)]
+    assert scores[0] == scores[1]

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Pipeline, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.feature import (
     CountVectorizer,
     ElementwiseProduct,
     FeatureHasher,
     IDF,
-    Imputer,
     Normalizer,
     OneHotEncoder,
     PolynomialExpansion,
@@ -137,6 +137,63 @@ def hashed_features(columns: Sequence[str], width: int = 15, output: str = "hash
     return FeatureHasher(inputCols=list(columns), outputCol=output, numFeatures=width)
 
 
+class FillMissing(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Learns one value per column from the training rows, to stand in for null and NaN.
+
+    ``strategy`` is mean, median (exact), mode (most frequent value, ties to the smallest) or constant (``constants``, one per
+    column). A column without any known value has none and keeps its nulls.
+    """
+
+    inputCols = Param(Params._dummy(), "inputCols", "columns to fill", TypeConverters.toListString)
+    outputCols = Param(Params._dummy(), "outputCols", "names of the filled columns", TypeConverters.toListString)
+    strategy = Param(Params._dummy(), "strategy", "mean, median, mode or constant", TypeConverters.toString)
+    constants = Param(Params._dummy(), "constants", "values as a JSON list", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCols: Sequence[str] = (), outputCols: Sequence[str] = (), strategy: str = "mean", constants: str = "[]"):
+        super().__init__()
+        self._setDefault(inputCols=[], outputCols=[], strategy="mean", constants="[]")
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df: DataFrame) -> FilledMissing:
+        chosen, how = self.getOrDefault(self.inputCols), self.getOrDefault(self.strategy)
+        if how not in ("mean", "median", "mode", "constant"):
+            raise ValueError(f"unknown strategy {how}")
+        if how == "constant":
+            values = json.loads(self.getOrDefault(self.constants))
+        elif how == "mean":
+            values = list(df.agg(*[F.avg(_known(df, name)).alias(f"m{i}") for i, name in enumerate(chosen)]).first())
+        elif how == "median":
+            rows = [exact_quantiles(df.select(_known(df, name).alias("x")), "x", [0.5]).first() for name in chosen]
+            values = [row and row["q0"] for row in rows]
+        else:
+            rows = [top_value(df.select(F.lit(1).alias("_tm_all"), _known(df, name).alias(name)), "_tm_all", name, "mode").first() for name in chosen]
+            values = [row and row["mode"] for row in rows]
+        return FilledMissing(inputCols=chosen, outputCols=self.getOrDefault(self.outputCols), values=json.dumps(values))
+
+
+class FilledMissing(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """The fitted ``FillMissing``: fills with expressions only."""
+
+    inputCols, outputCols = FillMissing.inputCols, FillMissing.outputCols
+    values = Param(Params._dummy(), "values", "learned values as a JSON list", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCols: Sequence[str] = (), outputCols: Sequence[str] = (), values: str = "[]"):
+        super().__init__()
+        self._setDefault(inputCols=[], outputCols=[], values="[]")
+        self._set(**self._input_kwargs)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        values = json.loads(self.getOrDefault(self.values))
+        named = zip(self.getOrDefault(self.inputCols), self.getOrDefault(self.outputCols), values, strict=True)
+        return df.withColumns({out: F.coalesce(_known(df, name), F.lit(value)) for name, out, value in named})
+
+
+def _known(df: DataFrame, name: str) -> Column:
+    return F.when(~F.isnan(name), F.col(name)) if dict(df.dtypes)[name] in ("double", "float") else F.col(name)
+
+
 class PairwiseProducts(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Adds squares and pairwise products of chosen columns."""
 
@@ -172,7 +229,7 @@ def matrix_stages(
     parts: list[str] = []
     if numeric:
         filled = [f"{c}_filled" for c in numeric]
-        stages.append(Imputer(inputCols=list(numeric), outputCols=filled, strategy=impute))
+        stages.append(FillMissing(inputCols=list(numeric), outputCols=filled, strategy=impute))
         stages.append(VectorAssembler(inputCols=filled, outputCol="numbers", handleInvalid="keep"))
         if scale:
             stages.append(StandardScaler(inputCol="numbers", outputCol="numbers_scaled", withMean=True, withStd=True))

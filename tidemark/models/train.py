@@ -4,23 +4,31 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import SparkContext, keyword_only
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.feature import ElementwiseProduct
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.models.prepare import draw
+from tidemark.skew import settle
 
 SEED = 42
 #: The deepest trees that Spark grows; the workload's forests have no limit.
@@ -58,18 +66,141 @@ def forest(label: str = "label", trees: int = 100, depth: int = DEEPEST, weight:
 
 
 def boosted(
-    label: str = "label", rounds: int = 100, depth: int = 3, rate: float = 0.1, subsample: float = 1.0, weight: str | None = None
-) -> GBTClassifier:
+    label: str = "label", rounds: int = 100, depth: int = 3, rate: float = 0.1, subsample: float = 1.0, weight: str | None = None,
+    columns: float = 1.0, min_gain: float = 0.0,
+) -> GBTClassifier:
+    """Binary boosting. ``columns`` is the share of the columns tried at each split, ``min_gain`` the least decrease of impurity that splits a node."""
     model = GBTClassifier(
-        labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=subsample, seed=SEED
-    )
+        labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=subsample, minInfoGain=min_gain,
+        featureSubsetStrategy="all" if columns >= 1 else str(columns), seed=SEED,
+    )
     return model.setWeightCol(weight) if weight else model
 
 
-def boosted_classes(label: str = "label", rounds: int = 100, depth: int = 3, weight: str | None = None) -> OneVsRest:
-    """Multi-class boosting: one boosted model per class."""
-    model = OneVsRest(classifier=boosted(label, rounds, depth), labelCol=label, rawPredictionCol="rawPrediction")
-    return model.setWeightCol(weight) if weight else model
+class Softmax(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Class probabilities and the likeliest class (ties to the smallest) from one margin column per class, after adding each class's base."""
+
+    inputCols = Param(Params._dummy(), "inputCols", "margin columns", TypeConverters.toListString)
+    bases = Param(Params._dummy(), "bases", "what is added to each margin", TypeConverters.toListFloat)
+
+    @keyword_only
+    def __init__(self, *, inputCols: Sequence[str] = (), bases: Sequence[float] = ()):
+        super().__init__()
+        self._setDefault(inputCols=[], bases=[])
+        self._set(**self._input_kwargs)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        named = zip(self.getOrDefault(self.inputCols), self.getOrDefault(self.bases), strict=True)
+        margins = F.array(*[F.col(name) + F.lit(base) for name, base in named])
+        with_margins = df.withColumn("_tm_margins", margins)
+        scored = with_margins.withColumn("_tm_p", softmax("_tm_margins"))
+        best = F.array_position("_tm_p", F.array_max("_tm_p")) - 1
+        made = {"rawPrediction": array_to_vector("_tm_margins"), "probability": array_to_vector("_tm_p"), "prediction": best.cast("double")}
+        return scored.withColumns(made).drop("_tm_margins", "_tm_p", *self.getOrDefault(self.inputCols))
+
+
+def softmax(margins: str) -> Column:
+    raised = F.transform(margins, lambda m: F.exp(m - F.array_max(margins)))
+    whole = F.aggregate(raised, F.lit(0.0), lambda a, b: a + b)
+    return F.transform(raised, lambda p: p / whole)
+
+
+class SoftmaxBoosting(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Multi-class boosting: in every round one Spark regression tree per class, all on the gradients of one softmax.
+
+    A tree is fitted to (label - p) / h with weights h, where h = p (1 - p) K / (K - 1), so its leaves hold the sum of the
+    gradients over the sum of h, the Newton step. Margins start at the logarithms of the class shares. ``columns`` is the
+    share of the columns that each tree may use, ``subsample`` the share of the rows, ``minGain`` the least decrease of a
+    node's weighted variance. Fitting returns a pipeline of one Spark ensemble per class and ``Softmax``.
+    """
+
+    featuresCol = Param(Params._dummy(), "featuresCol", "vector column", TypeConverters.toString)
+    labelCol = Param(Params._dummy(), "labelCol", "class numbers from 0", TypeConverters.toString)
+    weightCol = Param(Params._dummy(), "weightCol", "row weights, if any", TypeConverters.toString)
+    rounds = Param(Params._dummy(), "rounds", "trees per class", TypeConverters.toInt)
+    depth = Param(Params._dummy(), "depth", "levels of a tree", TypeConverters.toInt)
+    rate = Param(Params._dummy(), "rate", "share of each step taken", TypeConverters.toFloat)
+    columns = Param(Params._dummy(), "columns", "share of the columns per tree", TypeConverters.toFloat)
+    subsample = Param(Params._dummy(), "subsample", "share of the rows per round", TypeConverters.toFloat)
+    minGain = Param(Params._dummy(), "minGain", "least gain of a split", TypeConverters.toFloat)
+    seed = Param(Params._dummy(), "seed", "of the samples", TypeConverters.toInt)
+
+    #: Rounds after which the margins are written to the shared folder, which cuts their lineage.
+    SETTLED = 8
+
+    @keyword_only
+    def __init__(
+        self, *, featuresCol: str = "features", labelCol: str = "label", weightCol: str = "", rounds: int = 100, depth: int = 3, rate: float = 0.1,
+        columns: float = 1.0, subsample: float = 1.0, minGain: float = 0.0, seed: int = SEED,
+    ):
+        super().__init__()
+        self._setDefault(featuresCol="features", labelCol="label", weightCol="", rounds=100, depth=3, rate=0.1, columns=1.0, subsample=1.0, minGain=0.0, seed=SEED)
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        get = {param.name: self.getOrDefault(param) for param in self.params}
+        weight = F.col(get["weightCol"]).cast("double") if get["weightCol"] else F.lit(1.0)
+        rows = df.select(F.col(get["featuresCol"]).alias("features"), F.col(get["labelCol"]).cast("int").alias("class"), weight.alias("weight"))
+        shares = {row["class"]: row["w"] for row in rows.groupBy("class").agg(F.sum("weight").alias("w")).collect()}
+        classes = max(shares) + 1
+        if classes < 2:
+            raise ValueError("boosting needs at least two classes")
+        bases = [math.log(max(shares.get(k, 0.0), 1e-12) / sum(shares.values())) for k in range(classes)]
+        work = settle(rows.withColumn("margins", F.array(*[F.lit(b) for b in bases])), "boosting")
+        width = work.first()["features"].size
+        steps: list[list] = [[] for _ in range(classes)]
+        held = None
+        for turn in range(get["rounds"]):
+            chance = random.Random(get["seed"] + turn)
+            p = work.withColumn("p", softmax("margins"))
+            if get["subsample"] < 1:
+                p = p.where(F.rand(get["seed"] + turn) < get["subsample"])
+            for k in range(classes):
+                slope = F.greatest(F.col("p")[k] * (1 - F.col("p")[k]) * (classes / (classes - 1)), F.lit(1e-9))
+                aim = F.when(F.col("class") == k, 1.0).otherwise(0.0) - F.col("p")[k]
+                fitted_to = p.select("features", (aim / slope).alias("target"), (slope * F.col("weight")).alias("by"))
+                used = "features"
+                if get["columns"] < 1:
+                    chosen = set(chance.sample(range(width), max(1, round(get["columns"] * width))))
+                    mask = Vectors.dense([1.0 if i in chosen else 0.0 for i in range(width)])
+                    # a column of zeros is never split, and the others keep their places
+                    fitted_to, used = ElementwiseProduct(scalingVec=mask, inputCol="features", outputCol="masked").transform(fitted_to), "masked"
+                tree = DecisionTreeRegressor(featuresCol=used, labelCol="target", weightCol="by", maxDepth=get["depth"], minInfoGain=get["minGain"], seed=get["seed"])
+                steps[k].append(tree.fit(fitted_to).setFeaturesCol("features"))
+            moved = work
+            for k in range(classes):
+                moved = steps[k][-1].setPredictionCol(f"step{k}").transform(moved)
+            margins = F.array(*[F.col("margins")[k] + get["rate"] * F.col(f"step{k}") for k in range(classes)])
+            moved = moved.select("features", "class", "weight", margins.alias("margins"))
+            last, held = held, None
+            if (turn + 1) % self.SETTLED == 0:
+                work = settle(moved, "boosting")
+            else:
+                work = held = moved.persist()
+                held.count()
+            if last is not None:
+                last.unpersist()
+        if held is not None:
+            held.unpersist()
+        names = [f"_tm_margin{k}" for k in range(classes)]
+        return PipelineModel([*[ensemble(trees, get["rate"], get["featuresCol"], name) for trees, name in zip(steps, names, strict=True)], Softmax(inputCols=names, bases=bases)])
+
+
+def ensemble(trees: list, rate: float, features: str, prediction: str) -> GBTRegressionModel:
+    """Spark's own model of a weighted sum of fitted trees."""
+    context = SparkContext.getOrCreate()
+    gateway = context._gateway
+    held = gateway.new_array(context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
+    weights = gateway.new_array(context._jvm.double, len(trees))
+    for i, tree in enumerate(trees):
+        held[i], weights[i] = tree._java_obj, rate
+    made = context._jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"gbtr_{uuid.uuid4().hex[:12]}", held, weights)
+    return GBTRegressionModel(made).setFeaturesCol(features).setPredictionCol(prediction)
+
+
+def boosted_classes(label: str = "label", rounds: int = 100, depth: int = 3, weight: str | None = None, **options) -> SoftmaxBoosting:
+    """Multi-class boosting on one softmax."""
+    return SoftmaxBoosting(labelCol=label, rounds=rounds, depth=depth, weightCol=weight or "", **options)
 
 
 def boosted_regressor(label: str = "label", rounds: int = 100, depth: int = 3, rate: float = 0.1) -> GBTRegressor:
@@ -81,12 +212,8 @@ def feed_forward(inputs: int, label: str = "label", hidden: Sequence[int] = (32,
 
 
 def with_probabilities(scored: DataFrame, name: str = "probabilities") -> DataFrame:
-    """Class probabilities as an array. One-vs-rest margins go through a sigmoid and are scaled to sum 1."""
-    if "probability" in scored.columns:
-        return scored.withColumn(name, vector_to_array("probability"))
-    squashed = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
-    whole = F.aggregate(squashed, F.lit(0.0), lambda a, b: a + b)
-    return scored.withColumn(name, F.transform(squashed, lambda p: p / whole))
+    """Class probabilities as an array."""
+    return scored.withColumn(name, vector_to_array("probability"))
 
 
 def positive_score(scored: DataFrame, name: str = "score") -> DataFrame:
@@ -111,6 +238,83 @@ def cross_validate(df: DataFrame, ids: Sequence[str], estimator, evaluator, k: i
     return search.fit(folds(df, ids, k))
 
 
+@dataclass(frozen=True)
+class Family:
+    """A kind of model with the settings to try: ``make`` builds an estimator from one of them.
+
+    Where ``sizes`` is given the estimator is a Spark ensemble of the largest size, and each setting is also judged with only
+    its first trees: boosting adds its trees one after the other, and a forest's first trees are a smaller forest.
+    """
+
+    make: Callable[..., Estimator]
+    settings: Sequence[dict]
+    sizes: Sequence[int] = ()
+
+
+def first_trees(model, n: int):
+    """A fitted Spark classifier of trees with only its first n."""
+    context = SparkContext.getOrCreate()
+    java = model._java_obj
+    trees = context._gateway.new_array(getattr(context._jvm, java.trees()[0].getClass().getName()), n)
+    for i in range(n):
+        trees[i] = java.trees()[i]
+    uid = f"{java.uid()}_{n}"
+    if hasattr(model, "getStepSize"):
+        weights = context._gateway.new_array(context._jvm.double, n)
+        for i in range(n):
+            weights[i] = java.treeWeights()[i]
+        made = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel(uid, trees, weights)
+    else:
+        made = context._jvm.org.apache.spark.ml.classification.RandomForestClassificationModel(uid, trees, java.numFeatures(), java.numClasses())
+    java.extractParamMap()
+    return type(model)(java.copyValues(made, context._jvm.org.apache.spark.ml.param.ParamMap.empty()))
+
+
+def search_families(
+    df: DataFrame, ids: Sequence[str], stages: Sequence, families: dict[str, Family], evaluator, test: DataFrame, k: int = 3, parallelism: int = 4
+) -> list[tuple[str, str, float, float]]:
+    """For each family (name, best setting, its mean score over the folds, score on the test rows).
+
+    All families share one assignment to folds and the preparation fitted in each; the best setting, the first of
+    equals, is fitted again to all rows. Fits run ``parallelism`` at a time.
+    """
+    numbered = settle(folds(df, ids, k), "folds")
+    parts = []
+    for fold in range(k):
+        prepared = Pipeline(stages=list(stages)).fit(numbered.where(F.col("fold") != fold))
+        made = settle(prepared.transform(numbered), "fold")
+        parts.append((made.where(F.col("fold") != fold).cache(), made.where(F.col("fold") == fold).cache()))
+    whole = Pipeline(stages=list(stages)).fit(df)
+    train_rows, test_rows = settle(whole.transform(df), "train").cache(), settle(whole.transform(test), "test").cache()
+
+    def judged(family: Family, setting: dict, fit_rows: DataFrame, score_rows: DataFrame) -> list[tuple[str, float]]:
+        model = family.make(fit_rows, **setting).fit(fit_rows)
+        sizes = [(n, first_trees(model, n)) for n in family.sizes] or [(None, model)]
+        return [(_spelled(setting, n), evaluator.evaluate(m.transform(score_rows))) for n, m in sizes]
+
+    tasks = [(name, setting, part) for name, family in families.items() for setting in family.settings for part in parts]
+    with ThreadPool(parallelism) as pool:
+        found = pool.map(lambda task: judged(families[task[0]], task[1], *task[2]), tasks, chunksize=1)
+    scores: dict[str, dict[str, list[float]]] = {name: {} for name in families}
+    for (name, _, _), results in zip(tasks, found, strict=True):
+        for spelled, score in results:
+            scores[name].setdefault(spelled, []).append(score)
+    rows = []
+    for name, by_setting in scores.items():
+        means = {spelled: sum(values) / len(values) for spelled, values in by_setting.items()}
+        best = max(means, key=means.get)
+        setting = next(s for s in families[name].settings for n in (families[name].sizes or [None]) if _spelled(s, n) == best)
+        again = dict(judged(families[name], setting, train_rows, test_rows))
+        rows.append((name, best, means[best], again[best]))
+    for held in (train_rows, test_rows, *[side for part in parts for side in part]):
+        held.unpersist()
+    return rows
+
+
+def _spelled(setting: dict, size: int | None) -> str:
+    return ", ".join(f"{name}={value}" for name, value in (setting | ({} if size is None else {"trees": size})).items())
+
+
 def grid(options: dict) -> list[dict]:
     builder = ParamGridBuilder()
     for param, values in options.items():
