@@ -419,3 +419,32 @@ def test_cells_hold_calendar_windows(spark, span):
     plain = anchors.join(events, "key").where(span.contains("at", "born"))
     cells = ent.window_join(anchors, events, "key", "at", "id", "born", span)
     assert sorted(map(tuple, cells.select("anchor_id", "id").collect())) == sorted(map(tuple, plain.select("anchor_id", "id").collect()))
+
+
+def test_row_rules_take_one_pass_and_checked_writes_count_alike(spark, tmp_path):
+    df = spark.createDataFrame([(1, 5.0), (None, 50.0), (3, None)], "id int, x double")
+    declared, ranges = "id int NOT NULL, x double NOT NULL", {"x": (0, 10)}
+    rules = src.check_table(df, declared, ranges=ranges)
+    want = {"not null id": 1, "not null x": 1, "range x": 1}
+    assert found(rules, "rule", "offenders") == want
+    assert str(rules._jdf.queryExecution().optimizedPlan()).count("LogicalRDD") == 1
+    assert found(src.write_checked(df, str(tmp_path / "t"), declared, ranges), "rule", "offenders") == {"rows": 3} | want
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+    none = src.write_checked(df.limit(0), str(tmp_path / "none"), declared, ranges)
+    assert set(found(none, "rule", "offenders").values()) == {0}
+
+
+def test_a_replayed_append_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    for day, n in (("a", 3), ("b", 2), ("a", 3)):
+        src.append(spark.range(n), path, batch=("day", day))
+    assert sorted(map(tuple, spark.read.parquet(path).groupBy("day").count().collect())) == [("a", 3), ("b", 2)]
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
+    tables = [src.write_bucketed(spark.range(1000).withColumn(x, F.col("id") * 2), f"edge_{x}", str(tmp_path / x), "id", 4) for x in ("x", "y")]
+    joined = tables[0].join(tables[1].hint("merge"), "id")
+    assert joined.where("x = y").count() == 1000
+    assert "Exchange" not in joined._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    for x in ("x", "y"):
+        spark.sql(f"DROP TABLE edge_{x}")

@@ -75,6 +75,50 @@ def s3(t: Tables):
     return back.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), r(F.sum("o_totalprice"), 2).alias("total"))
 
 
+@plan(
+    "s2_checked_write",
+    """
+    SELECT 'rows' AS rule, count(*) AS offenders FROM lineitem UNION ALL SELECT 'not null l_orderkey', count(*) FROM lineitem WHERE l_orderkey IS NULL
+    UNION ALL SELECT 'range l_discount', count(*) FROM lineitem WHERE l_discount NOT BETWEEN 0 AND 0.05
+    UNION ALL SELECT 'range l_quantity', count(*) FROM lineitem WHERE l_quantity NOT BETWEEN 10 AND 40
+    """,
+)
+def s2_checked(t: Tables):
+    declared = src.SCHEMAS["lineitem"].replace("l_orderkey bigint", "l_orderkey bigint NOT NULL")
+    return src.write_checked(t.lineitem, fresh_path(t, "lineitem"), declared, {"l_discount": (0, 0.05), "l_quantity": (10, 40)})
+
+
+@plan(
+    "s3_replayed_append",
+    f"SELECT o_orderstatus AS batch, count(*) AS n, {rq('sum(o_totalprice)', 2)} AS total FROM orders GROUP BY 1",
+)
+def s3_replayed(t: Tables):
+    """Each status is one batch, and the first one is appended twice."""
+    path = fresh_path(t, "orders")
+    for status in ("F", "O", "P", "F"):
+        src.append(t.orders.where(F.col("o_orderstatus") == status), path, batch=("batch", status))
+    back = t.spark.read.schema(src.SCHEMAS["orders"] + ", batch string").parquet(path)
+    return back.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), r(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@plan(
+    "s9_bucketed_features",
+    f"""
+    SELECT o_custkey, count(*) AS n, {rq('sum(o_totalprice)', 2)} AS spend,
+           count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS urgent FROM orders GROUP BY 1
+    """,
+)
+def s9_bucketed(t: Tables):
+    """Two feature tables in the same buckets, joined without a shuffle."""
+    spend = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("spend"))
+    urgent = t.orders.groupBy("o_custkey").agg(F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"))
+    tables = [
+        src.write_bucketed(df, f"{VIEWS}{name}_{uuid.uuid4().hex}", fresh_path(t, name), "o_custkey", 8) for name, df in (("spend", spend), ("urgent", urgent))
+    ]
+    joined = tables[0].join(tables[1].hint("merge"), "o_custkey")
+    return joined.select("o_custkey", "n", r("spend", 2).alias("spend"), "urgent")
+
+
 @plan(
     "s4_bound_sql",
     f"""

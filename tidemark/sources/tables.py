@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,34 +66,69 @@ def orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> Data
     return df.where(F.col(key).isNotNull()).join(parents, F.col(key) == F.col("_tm_parent"), "left_anti")
 
 
-def check_table(df: DataFrame, schema: str | T.StructType, keys=(), references: Sequence[tuple] = ()) -> DataFrame:
+def check_table(
+    df: DataFrame, schema: str | T.StructType, keys=(), references: Sequence[tuple] = (), ranges: Mapping[str, tuple] | None = None
+) -> DataFrame:
     """One row per declared rule with the number of offenders.
 
-    ``references`` holds (column, parent table, parent column).
+    ``references`` holds (column, parent table, parent column), ``ranges`` the least and greatest allowed value of a column. All
+    rules that a row breaks by itself are counted in one pass.
     """
     declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    actual = dict(df.dtypes)
-    wrong = [f.name for f in declared if actual.get(f.name) != f.dataType.simpleString()]
-    if wrong:
-        raise ValueError(f"columns differ from the declared schema: {wrong}")
+    _same_columns(df, declared)
     rules = []
     if names(keys):
         rules.append(("unique " + ",".join(names(keys)), duplicate_keys(df, keys)))
     for name, parent, parent_name in references:
         rules.append((f"reference {name}", orphans(df, name, parent, parent_name)))
-    for field in declared:
-        if not field.nullable:
-            rules.append((f"not null {field.name}", df.where(F.col(field.name).isNull())))
     counted = [r.agg(F.count(F.lit(1)).alias("offenders")).select(F.lit(rule).alias("rule"), "offenders") for rule, r in rules]
+    broken = row_rules(declared, ranges)
+    if broken:
+        one_pass = df.agg(*[F.count_if(condition).alias(f"_tm_{i}") for i, condition in enumerate(broken.values())])
+        cells = [F.struct(F.lit(rule).alias("rule"), F.col(f"_tm_{i}").alias("offenders")) for i, rule in enumerate(broken)]
+        counted.append(one_pass.select(F.inline(F.array(*cells))))
     result = counted[0]
     for part in counted[1:]:
         result = result.unionByName(part)
     return result
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+def _same_columns(df: DataFrame, declared: T.StructType) -> None:
+    actual = dict(df.dtypes)
+    wrong = [f.name for f in declared if actual.get(f.name) != f.dataType.simpleString()]
+    if wrong:
+        raise ValueError(f"columns differ from the declared schema: {wrong}")
+
+
+def row_rules(declared: T.StructType, ranges: Mapping[str, tuple] | None = None) -> dict[str, Column]:
+    """What breaks each rule that concerns a single row. A null is in every range."""
+    rules = {f"not null {field.name}": F.col(field.name).isNull() for field in declared if not field.nullable}
+    for name, (low, high) in (ranges or {}).items():
+        rules[f"range {name}"] = ~F.col(name).between(low, high)
+    return rules
+
+
+def write_checked(df: DataFrame, path: str, schema: str | T.StructType, ranges: Mapping[str, tuple] | None = None) -> DataFrame:
+    """Write a table and count its rows and the offenders of each row rule while it is written, in the one job that writes it."""
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    _same_columns(df, declared)
+    rules = row_rules(declared, ranges)
+    seen = Observation(f"checks-{uuid.uuid4().hex}")
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(condition).alias(f"r{i}") for i, condition in enumerate(rules.values())])
+    watched.write.parquet(path)
+    found = seen.get
+    rows = [("rows", found["rows"]), *[(rule, found[f"r{i}"]) for i, rule in enumerate(rules)]]
+    return df.sparkSession.createDataFrame(rows, "rule string, offenders long")
+
+
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), batch: tuple[str, str] | None = None) -> None:
+    """Append rows. With ``batch``, a column's name and this batch's value, appending the same batch again replaces it: a replay changes nothing."""
+    if batch is None:
+        writer = df.write.mode("append")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        return
+    named = df.withColumn(batch[0], F.lit(batch[1]))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(batch[0], *partition_by).parquet(path)
 
 
 def write_features(df: DataFrame, path: str, cutoff: str | None = None) -> None:
@@ -104,6 +140,18 @@ def write_features(df: DataFrame, path: str, cutoff: str | None = None) -> None:
         writer.option("partitionOverwriteMode", "dynamic").partitionBy(cutoff).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys, buckets: int) -> DataFrame:
+    """Write a feature table dealt over buckets of its keys, under a name of the session's catalog, and return it.
+
+    Tables of equally many buckets on the same keys join and group by them without a shuffle. ``path`` lies in the shared folder.
+    """
+    keys = names(keys)
+    # one task per bucket, so each bucket is one file
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def parse_time(text, pattern: str | None = None) -> Column:
     """Timestamp from text; text that is not one becomes null."""
     parsed = F.try_to_timestamp(column(text), F.lit(pattern)) if pattern else F.try_to_timestamp(column(text))
