@@ -448,3 +448,13 @@ def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
     assert "Exchange" not in joined._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     for x in ("x", "y"):
         spark.sql(f"DROP TABLE edge_{x}")
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), TIGHT])
+def test_grids_of_any_number_of_levels(spark, policy):
+    entities = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "key string, n int")
+    source = spark.createDataFrame([(f"x{i % 13:02}",) for i in range(40)] + [(None,)], "kind string")
+    grid = ent.category_grid(entities, source, "kind", per_block=5, policy=policy)
+    assert grid.columns == ["key", "n", "kind"]
+    assert sorted(map(str, grid.collect())) == sorted(map(str, entities.join(source.distinct().where("kind IS NOT NULL")).collect()))
+    assert ent.category_grid(entities, source.limit(0), "kind").count() == 0

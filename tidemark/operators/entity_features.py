@@ -11,7 +11,8 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.dates import elapsed_days
 from tidemark.operators.aggregates import Measure, attach_summary, fill_defaults
-from tidemark.skew import DEFAULT, SkewPolicy, names, spread_join
+from tidemark.operators.history import ordinal
+from tidemark.skew import DEFAULT, SkewPolicy, names, settle, spread_join
 from tidemark.spans import MICROS_PER_DAY, MICROS_PER_SECOND, Offset, Span, instant, micros
 
 
@@ -206,16 +207,30 @@ def static_history(
     return joined
 
 
-def category_grid(entities: DataFrame, source: DataFrame, category: str, limit: int = 10_000) -> DataFrame:
-    """Every entity with every category. The category list is checked to be short and exploded per entity."""
-    few = source.select(category).where(F.col(category).isNotNull()).distinct().limit(limit + 1)
-    levels = few.agg(F.sort_array(F.collect_set(category)).alias("levels"))
-    checked = levels.select(
-        F.when(F.size("levels") <= limit, F.col("levels")).otherwise(
-            F.raise_error(F.lit(f"{category} has more than {limit} levels")).cast("array<string>")
+def category_grid(
+    entities: DataFrame, source: DataFrame, category: str, limit: int | None = None, per_block: int = 10_000, policy: SkewPolicy = DEFAULT
+) -> DataFrame:
+    """Every entity with every category that the source holds.
+
+    The categories are numbered and gathered in blocks of ``per_block``; entities are joined with each block and the block is
+    exploded, so there may be any number of them. With ``limit``, more categories are an error.
+    """
+    levels = source.select(category).where(F.col(category).isNotNull()).distinct()
+    if limit is not None:
+        few = levels.limit(limit + 1).agg(F.sort_array(F.collect_set(category)).alias("levels"))
+        checked = few.select(
+            F.when(F.size("levels") <= limit, F.col("levels")).otherwise(
+                F.raise_error(F.lit(f"{category} has more than {limit} levels")).cast(few.schema["levels"].dataType)
+            )
         )
-    )
-    return entities.withColumn(category, F.explode(checked.scalar()))
+        return entities.withColumn(category, F.explode(checked.scalar()))
+    block = F.floor((F.col("_tm_no") - 1) / F.lit(per_block)).cast("int")
+    numbered = ordinal(levels, [], category, [], "_tm_no", policy).withColumn("_tm_block", block)
+    blocks = settle(numbered.groupBy("_tm_block").agg(F.sort_array(F.collect_list(category)).alias("_tm_levels")), "levels")
+    last = blocks.agg(F.max("_tm_block")).scalar()
+    each = entities.withColumn("_tm_block", F.explode(F.when(last.isNotNull(), F.sequence(F.lit(0), last))))
+    joined = spread_join(each, blocks, "_tm_block", entities.columns, policy)
+    return joined.select(*entities.columns, F.explode("_tm_levels").alias(category))
 
 
 def mean_gap(events: DataFrame, key: str, time: str, name: str) -> DataFrame:

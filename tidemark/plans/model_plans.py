@@ -21,7 +21,7 @@ from tidemark.plans.entity_plans import CUT, cutoff, orders_by_customer
 from tidemark.plans.label_plans import NEXT_90
 from tidemark.plans.projection_plans import SPARSE_SQL, sparse
 from tidemark.plans.registry import Tables, plan, r, rounded, rq
-from tidemark.skew import spread_join
+from tidemark.skew import settle, spread_join
 from tidemark.spans import Span, days
 
 NUMBERS = ["c_acctbal", "n_90d", "n_365d", "spend_365d", "days_since_last"]
@@ -29,7 +29,7 @@ GROUPS = ["c_mktsegment", "o_main"]
 
 
 def customer_table(t: Tables) -> DataFrame:
-    """Point-in-time customer features with three labels from the next 90 days; persisted for repeated passes."""
+    """Point-in-time customer features with three labels from the next 90 days; written once for repeated passes."""
     orders = orders_by_customer(t)
     windows = {"90d": Span(days(-90), days(0), "left"), "365d": Span(days(-365), days(0), "left")}
     df = ent.cutoff_features(
@@ -45,11 +45,11 @@ def customer_table(t: Tables) -> DataFrame:
     df = labels.future_total_label(df, orders, "c_custkey", "o_orderdate", cutoff(), NEXT_90, spend)
     tier = F.when(F.col("next_spend") <= 0, 0).when(F.col("next_spend") <= 300000, 1).otherwise(2)
     typed = df.withColumns({"tier": tier.cast("double"), "label": F.col("label").cast("double")})
-    return typed.withColumns({c: F.col(c).cast("double") for c in NUMBERS}).persist()
+    return settle(typed.withColumns({c: F.col(c).cast("double") for c in NUMBERS}), "rows")
 
 
 def split(df: DataFrame, label: str = "label") -> tuple[DataFrame, DataFrame]:
-    marked = prepare.stratified_split(df, label, ["c_custkey"], 0.3).persist()
+    marked = settle(prepare.stratified_split(df, label, ["c_custkey"], 0.3), "rows")
     return marked.where("is_test = 0").drop("is_test"), marked.where("is_test = 1").drop("is_test")
 
 
@@ -197,7 +197,7 @@ def o3_terms(t: Tables):
 @plan("m9_text_classifier")
 def m9_classifier(t: Tables):
     rows = t.documents.select("doc_id", "text").join(t.labels, "doc_id").withColumn("label", F.col("quality").cast("double"))
-    parts = prepare.stratified_split(rows, "label", ["doc_id"], 0.3).persist()
+    parts = settle(prepare.stratified_split(rows, "label", ["doc_id"], 0.3), "rows")
     fit_rows = parts.where("is_test = 0")
     stages = prepare.text_stages("text", output="features")
     scored = prepare.pipeline(stages, train.logistic(fit_rows)).fit(fit_rows).transform(parts.where("is_test = 1"))
@@ -651,18 +651,18 @@ def vectors(t: Tables):
 
 @plan("m34_kmeans_sweep")
 def m34(t: Tables):
-    return rounded(cluster.kmeans_sweep(t.spark, vectors(t).persist(), range(2, 9)), 5)
+    return rounded(cluster.kmeans_sweep(t.spark, settle(vectors(t), "vectors"), range(2, 9)), 5)
 
 
 @plan("m34_kmeans_assignments")
 def m34_assignments(t: Tables):
-    _, assigned = cluster.clustered(vectors(t).persist(), 5)
+    _, assigned = cluster.clustered(settle(vectors(t), "vectors"), 5)
     return assigned.select("vec_id", "prediction")
 
 
 @plan("m35_projection")
 def m35(t: Tables):
-    rows = vectors(t).persist()
+    rows = settle(vectors(t), "rows")
     _, _, placed = cluster.projected(rows)
     x = vector_to_array("projected")
     return placed.select("vec_id", r(x[0], 5).alias("x"), r(x[1], 5).alias("y"))
@@ -670,7 +670,7 @@ def m35(t: Tables):
 
 @plan("m35_projected_centroids")
 def m35_centroids(t: Tables):
-    rows = vectors(t).persist()
+    rows = settle(vectors(t), "rows")
     model, _ = cluster.clustered(rows, 5)
     centre, pca, _ = cluster.projected(rows)
     centres = t.spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(model.clusterCenters())], "cluster int, v array<double>")

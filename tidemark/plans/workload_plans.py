@@ -16,7 +16,7 @@ from tidemark.operators import history as h
 from tidemark.operators import labels
 from tidemark.plans.entity_plans import orders_by_customer
 from tidemark.plans.registry import Tables, plan, r, rounded, rq
-from tidemark.skew import spread_join
+from tidemark.skew import settle, spread_join
 from tidemark.spans import Span, days, hours, instant
 
 P = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
@@ -355,8 +355,8 @@ def churn_features_to_model(t: Tables):
     df = labels.no_event_label(churn_table(t), bought, "user_id", "ts", cutoff, onwards, "label")
     df = df.withColumn("label", F.col("label").cast("double"))
     numbers = ["n", "n_7d", "active_days", "mean_value", "recent_share", "days_since_last", "tenure"]
-    df = df.withColumns({c: F.col(c).cast("double") for c in numbers}).persist()
-    marked = prepare.stratified_split(df, "label", ["user_id"], 0.3).persist()
+    df = settle(df.withColumns({c: F.col(c).cast("double") for c in numbers}), "rows")
+    marked = settle(prepare.stratified_split(df, "label", ["user_id"], 0.3), "rows")
     fit_rows = prepare.positive_weight(marked.where("is_test = 0"), "label")
     model = prepare.pipeline(prepare.matrix_stages(numbers), train.boosted(weight="weight"))
     return _report(model.fit(fit_rows).transform(marked.where("is_test = 1")))
@@ -368,7 +368,7 @@ def clicks_in_time_order_to_model(t: Tables):
     rows = click_history_table(t).join(t.events.select("event_id", "ts", "event_type"), "event_id")
     numbers = ["user_seen", "kind_seen", "user_rate", "kind_rate", "hours_since_previous", "hours_since_hit", "hour"]
     rows = rows.withColumns({c: F.col(c).cast("double") for c in [*numbers, "label"]})
-    parts = prepare.chronological_split(rows, "ts", [0.7, 0.3], ["train", "test"]).persist()
+    parts = settle(prepare.chronological_split(rows, "ts", [0.7, 0.3], ["train", "test"]), "rows")
     fit_rows = prepare.positive_weight(parts.where("part = 'train'"), "label")
     model = prepare.pipeline(prepare.matrix_stages(numbers, ["event_type"]), train.boosted(weight="weight"))
     return _report(model.fit(fit_rows).transform(parts.where("part = 'test'")))
@@ -378,7 +378,7 @@ def clicks_in_time_order_to_model(t: Tables):
 def tuned_model_on_one_table(t: Tables):
     """Select columns, search a grid, read the best setting back."""
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", (F.col("l_returnflag") == "R").cast("double").alias("label"))
-    rows = rows.persist()
+    rows = settle(rows, "rows")
     model = train.logistic()
     options = train.grid({model.regParam: [0.001, 0.1]})
     stages = prepare.matrix_stages(["l_quantity", "l_discount", "l_tax"])
