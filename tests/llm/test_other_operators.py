@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.llm.helpers import documents
 from tidemark.llm import chat, embedding_join, ngram_join, queries, url_filter, warc
 
 
@@ -291,3 +292,14 @@ def test_pipeline(spark, folder):
     packed = corpus_pipeline.run(spark, folder)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == {r["doc_id"] for r in kept.select("doc_id").distinct().collect()}
     assert packed.count() >= kept.count()
+
+
+def test_pipeline_of_odd_and_empty_tables(spark, folder):
+    odd = documents(spark, folder)
+    for docs in (odd, odd.limit(0), odd.where("text IS NULL")):
+        kept = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = corpus_pipeline.settle(stage(spark, kept, folder), "stage")
+            assert kept.columns == docs.columns, name
+        packed = corpus_pipeline.STAGES[-1][1](spark, kept, folder)
+        assert (packed.count() > 0) == (kept.count() > 0)

@@ -172,7 +172,7 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, *,
     Whole texts are searched. ``coverage`` is the share of the template's words that the alignment matches in order,
     at least ``least_coverage``. The index of the templates, a parameter, goes to every task. Null and empty texts have
     no notices; repeated rows are searched each; other columns are ignored; a word is a run of ASCII letters, digits
-    and non-ASCII characters, ASCII case aside.
+    and non-ASCII characters, ASCII case aside; a null doc_id stays; no rows give no rows.
     """
     index = Index(templates)
 

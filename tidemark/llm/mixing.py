@@ -114,7 +114,8 @@ def mix_sources(docs: DataFrame, *, weigh=repeating_weights, cap: float = 3.0, b
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, with the columns of ``docs``: each as often as its words were taken, rounded.
 
-    Only documents at the two ends of a source's cut are taken in part. Equal rows share their copies evenly.
+    Only documents at the two ends of a source's cut are taken in part. Equal rows share their copies evenly; a
+    document without words is never taken; no rows give no rows.
     """
     seed = options.get("seed", 11)
     copies = F.floor(F.col("taken") / F.col("size") + 0.5)

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import settle
+
 SYMBOLS = b"#*$%&|<>"
 UPPER = bytes(range(65, 91))
 SPACE = b" \t\n\r\x0b\x0c"
@@ -187,7 +189,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, *, rows_per_class: int = 2
     """Fit the field to whole labelled texts: at most ``rows_per_class`` of either quality, those of the smallest hashes.
 
     Of each quality, texts are used until their lines exceed ``bad_lines`` or ``good_lines``; good ones prevail,
-    as they do among documents. Features are taken where the rows are; only they reach the driver. Rows without a label or text are left out; without both kinds of labels every line
+    as they do among documents. Of rows with one doc_id and label one text is used; a text of more lines than the limit is passed over. Features are taken where the rows are; only they reach the driver. Rows without a label or text are left out; without both kinds of labels every line
     is content.
     """
     draw = F.xxhash64(F.lit(3), "doc_id")
@@ -199,16 +201,25 @@ def train_quality(docs: DataFrame, labels: DataFrame, *, rows_per_class: int = 2
             found = [measure(text)[1] for text in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "features": [f.astype("<f8").tobytes() for f in found]})
 
-    # the chosen rows are bounded, so each task may hold them all
+    # the chosen ids are bounded, so each task may hold them all
     picked = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
-    rows = picked.mapInPandas(features, "doc_id long, quality int, features binary").collect()
-    texts, bad, left = [], [], {0: bad_lines, 1: good_lines}
-    for row in sorted(rows, key=lambda r: (r["quality"], hash_order(r["doc_id"]), bytes(r["features"]))):
-        found = np.frombuffer(bytes(row["features"]), dtype="<f8").reshape(-1, len(FEATURES))
-        if len(found) and left[row["quality"]] > 0:
-            texts.append(found)
-            bad.append(row["quality"] == 0)
-            left[row["quality"]] -= len(found)
+    found = picked.mapInPandas(features, "doc_id long, quality int, features binary")
+    # of rows with one doc_id and label, one text
+    one = settle(found.groupBy("doc_id", "quality").agg(F.min("features").alias("features")), "labelled-lines")
+    sizes = one.select("doc_id", "quality", (F.length("features") / (8 * len(FEATURES))).cast("int").alias("n")).collect()
+    kept: dict[int, list[int]] = {0: [], 1: []}
+    most = {0: bad_lines, 1: good_lines}
+    left = dict(most)
+    for row in sorted(sizes, key=lambda r: (r["quality"], hash_order(r["doc_id"]))):
+        if 0 < row["n"] <= most[row["quality"]] and left[row["quality"]] > 0:
+            kept[row["quality"]].append(row["doc_id"])
+            left[row["quality"]] -= row["n"]
+    wanted = [F.col("doc_id").isin(kept[kind]) & (F.col("quality") == kind) for kind in (0, 1)]
+    rows = one.where(wanted[0] | wanted[1]).collect()
+    texts, bad = [], []
+    for row in sorted(rows, key=lambda r: (r["quality"], hash_order(r["doc_id"]))):
+        texts.append(np.frombuffer(bytes(row["features"]), dtype="<f8").reshape(-1, len(FEATURES)))
+        bad.append(row["quality"] == 0)
     return fit_lines(texts, bad)
 
 
@@ -218,7 +229,10 @@ def hash_order(value: int) -> int:
 
 
 def judge_quality(docs: DataFrame, model: LineModel) -> DataFrame:
-    """doc_id and the verdict on each document's whole text; other columns are ignored, repeated rows stay repeated."""
+    """doc_id and the verdict on each document's whole text; other columns are ignored, repeated rows stay repeated.
+
+    Null and empty texts have no words and fail the base rules; a null doc_id stays; no rows give no rows.
+    """
     return docs.select("doc_id", quality_verdict(F.col("text"), model).alias("v")).select("doc_id", "v.*")
 
 

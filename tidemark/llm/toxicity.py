@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import settle
+
 PAD = 0
 
 
@@ -35,9 +37,8 @@ class Words:
     def __init__(self, shape: Shape):
         self.shape, self.ids, self.fresh = shape, {}, []
 
-    def number(self, text: str) -> np.ndarray:
+    def number(self, words: list[str]) -> np.ndarray:
         ids, known = self.ids, self.ids.get
-        words = text.lower().split()
         found = list(map(known, words))
         if None in found:
             for i, number in enumerate(found):
@@ -49,6 +50,10 @@ class Words:
                     found[i] = ids[word]
         return np.array(found, dtype=np.int32)
 
+    @staticmethod
+    def split(text: str) -> list[str]:
+        return text.lower().split()
+
     def inputs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the words numbered since the last call: word buckets, all character buckets, where each word's begin."""
         bare = [w.strip(".,;:!?()[]{}\"'#*$%&|<>-_/") for w in self.fresh]
@@ -187,7 +192,7 @@ class Trainer:
     def __init__(self, texts: Sequence[str], shape: Shape, seed: int):
         self.shape, self.weights = shape, new_weights(shape, seed)
         words = Words(shape)
-        self.windows = [windows(words.number(text), shape) for text in texts]
+        self.windows = [windows(words.number(words.split(text)), shape) for text in texts]
         self.buckets, self.runs, self.counts = words.inputs()
         self.starts = np.concatenate([[0], np.cumsum(self.counts)])
         self.moments = {name: (np.zeros_like(w), np.zeros_like(w)) for name, w in self.weights.items()}
@@ -270,10 +275,14 @@ def train(texts: Sequence[str], toxic: Sequence[bool], shape: Shape = Shape(), *
 
 
 class Scorer:
-    """Scores whole texts: the highest probability of any of their windows. Holds inputs of at most ``held`` words."""
+    """Scores whole texts: the highest probability of any of their windows.
+
+    A text is read in stretches of ``stretch`` words, a multiple of the stride, and inputs are held of at most
+    ``held`` words and one stretch, however many different words a text has.
+    """
 
-    def __init__(self, weights: dict[str, np.ndarray], shape: Shape, held: int = 150_000):
-        self.weights, self.shape, self.held = weights, shape, held
+    def __init__(self, weights: dict[str, np.ndarray], shape: Shape, held: int = 150_000, stretch: int = 1 << 16):
+        self.weights, self.shape, self.held, self.stretch = weights, shape, held, stretch - stretch % shape.stride
         self.forget()
 
     def forget(self) -> None:
@@ -281,20 +290,28 @@ class Scorer:
         self.projected = np.zeros((1 << 14, 6 * self.shape.hidden), dtype=np.float32)
 
     def scores(self, texts: Sequence[str]) -> np.ndarray:
-        found, ids, owners, pending = np.empty(len(texts)), [], [], 0
+        ids, owners, pending = [], [], 0
         logits = np.full(len(texts), -np.inf)
         for i, text in enumerate(texts):
-            rows = windows(self.words.number(text), self.shape)
-            ids.append(rows)
-            owners.append(np.full(len(rows), i))
-            pending += len(rows)
-            if pending >= 4096 or i == len(texts) - 1:
-                self.run(np.concatenate(ids), np.concatenate(owners), logits)
-                ids, owners, pending = [], [], 0
-                if self.filled > self.held:
+            words = self.words.split(text)
+            for begin in range(0, max(1, len(words)), self.stretch):
+                # windows of one stretch reach over its end, so a rest that they cover has none of its own
+                if begin and len(words) - begin <= self.shape.window - self.shape.stride:
+                    break
+                part = words[begin : begin + self.stretch + self.shape.window - self.shape.stride]
+                rows = windows(self.words.number(part), self.shape)
+                ids.append(rows)
+                owners.append(np.full(len(rows), i))
+                pending += len(rows)
+                full = len(self.words.ids) > self.held
+                if pending >= 4096 or full:
+                    self.run(np.concatenate(ids), np.concatenate(owners), logits)
+                    ids, owners, pending = [], [], 0
+                if full:
                     self.forget()
-        found[:] = sigmoid(logits)
-        return found
+        if pending:
+            self.run(np.concatenate(ids), np.concatenate(owners), logits)
+        return sigmoid(logits)
 
     def run(self, ids: np.ndarray, owners: np.ndarray, logits: np.ndarray) -> None:
         if self.words.fresh:
@@ -324,26 +341,39 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = 1000, clean_rows: int = 1500, shape: Shape = Shape(), seed: int = 1) -> dict[str, np.ndarray]:
+def train_toxicity(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = 1000, clean_rows: int = 1500, chars: int = 1 << 26, shape: Shape = Shape(), seed: int = 1) -> dict[str, np.ndarray]:
     """Fit the network to whole labelled texts that aren't held out, at most so many of each kind, of the smallest hashes.
 
-    Only text and label are used. Rows without text or label are left out; of one kind alone, every score says so.
+    Only text and label are used. Of rows with one doc_id and label the text of the smallest hash is taken; texts that
+    would bring the chosen ones over ``chars`` characters are passed over. Rows without text or label are left out; of
+    one kind alone, or without rows, every score says clean or toxic alike; other columns are ignored.
     """
     known = labels.select("doc_id", "toxic").where("toxic in (0, 1)").distinct().where(~held_out(F.col("doc_id")))
     draw = F.xxhash64(F.lit(4), "doc_id")
     chosen = [known.where(f"toxic = {kind}").orderBy(draw, "doc_id").limit(rows) for kind, rows in ((1, toxic_rows), (0, clean_rows))]
     # the chosen rows are bounded
     picked = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
-    rows = sorted(picked.select("doc_id", "text", "toxic").collect(), key=lambda r: (r["doc_id"], r["text"], r["toxic"]))
+    one = picked.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text").alias("text"))).alias("t"))
+    one = settle(one.select("doc_id", "toxic", "t.text", draw.alias("draw")), "labelled")
+    kept, left = [], chars
+    for row in one.select("doc_id", "toxic", F.length("text").alias("n")).orderBy("draw", "doc_id", "toxic").collect():
+        if row["n"] <= left:
+            left -= row["n"]
+            kept.append((row["doc_id"], row["toxic"]))
+    ids = [F.col("doc_id").isin([doc for doc, toxic in kept if toxic == kind]) & (F.col("toxic") == kind) for kind in (0, 1)]
+    rows = sorted(one.where(ids[0] | ids[1]).collect(), key=lambda r: (r["doc_id"], r["text"], r["toxic"]))
     return train([r["text"] for r in rows], [r["toxic"] == 1 for r in rows], shape, seed=seed)
 
 
 def score_documents(docs: DataFrame, weights: dict[str, np.ndarray], shape: Shape = Shape()) -> DataFrame:
-    """doc_id, held_out, score and predicted per row; other columns are ignored, repeated rows stay repeated."""
+    """doc_id, held_out, score and predicted per row; other columns are ignored, repeated rows stay repeated.
+
+    Null text counts as empty; an empty text has the network's score for no words; a null doc_id isn't held out and stays; no rows give no rows.
+    """
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity(F.col("text"), weights, shape).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
 def clean_documents(docs: DataFrame, weights: dict[str, np.ndarray], shape: Shape = Shape()) -> DataFrame:
-    """The documents that aren't predicted toxic, with the columns of ``docs``."""
+    """The documents that aren't predicted toxic, with the columns of ``docs``, whatever their names; null text counts as empty, repeated rows stay, no rows give no rows."""
     return docs.where(toxicity(docs["text"], weights, shape) < 0.5)

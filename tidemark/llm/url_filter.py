@@ -98,7 +98,8 @@ def judge_urls(
     (url, label: 1 block) gives others. The trees are fitted to at most ``training_rows`` different labelled urls, those
     with the smallest hashes, each weighing as much as it has rows; suffix statistics are counted over all labelled urls. With labels of one kind only
     that verdict stands for every other url; without labels it is allow. ``score`` is the trees' share for block
-    (null where nothing could be fitted). Null urls count as empty; rows keep their number; the table may be empty.
+    (null where nothing could be fitted). Null urls count as empty; repeated rows stay; other columns are
+    ignored, whatever their names; no rows give no rows.
     """
     rows = describe(pages, rules)
     if labelled is None:

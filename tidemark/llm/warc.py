@@ -192,6 +192,7 @@ def round_trip(pages: DataFrame, **options) -> DataFrame:
     """Write the pages' archives to the shared folder, read them back and give one row per page.
 
     page_id, payload_bytes, payload_digest, record_type, refers_to (the page_id of the response) and the capture's uri.
+    Other columns are ignored, whatever their names; repeated rows are captures of their own; no rows give no rows.
     """
     spark = pages.sparkSession
     path = new_path(spark, "warc")
