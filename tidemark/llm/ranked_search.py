@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import settle
 from tidemark.llm.terms import terms
 
-#: A term as the operator's ``terms`` finds it, with capitals.
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Impacts are below 1,000,000; a sketch holds them in steps of 16, rounded up, as 16 bits.
 IMPACT, STEP = 1_000_000_000, 16
 
@@ -47,6 +45,16 @@ def impacts(tf: np.ndarray, m: np.ndarray | int) -> np.ndarray:
     return IMPACT * tf // (1000 * tf + 20 * m)
 
 
+def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's documents with a term, and their terms with repeats."""
+    holding = length = 0
+    for batch in batches:
+        for text in batch["text"]:
+            n = sum(len(piece) for piece in terms(text.as_py()))
+            holding, length = holding + (n > 0), length + n
+    yield pa.record_batch({"holding": pa.array([holding], pa.int64()), "length": pa.array([length], pa.int64())})
+
+
 def build_index(docs: DataFrame, holding: int, length: int, coordinates: int) -> DataFrame:
     """doc_id, m, its terms' digests (rising) and frequencies, and the sketch: for each coordinate the largest impact that falls there."""
 
@@ -203,9 +211,8 @@ def rank_documents(docs: DataFrame, items: DataFrame, *, k: int = 50, coordinate
     repeated documents are documents of their own; a null item_id stays; other columns are ignored; no documents or no
     items give no rows.
     """
-    n = F.coalesce(F.regexp_count("text", F.lit(TERM)), F.lit(0)).cast("long")
-    size = docs.select(n.alias("n")).agg(F.count_if(F.col("n") > 0).alias("holding"), F.coalesce(F.sum("n"), F.lit(0)).alias("length")).first()
-    holding, length = size["holding"], size["length"]
+    sizes = docs.select("text").mapInArrow(add_up, "holding long, length long")
+    holding, length = sizes.agg(F.coalesce(F.sum("holding"), F.lit(0)), F.coalesce(F.sum("length"), F.lit(0))).first()
     index = settle(build_index(docs, holding, length, coordinates), "index")
     wanted = settle(item_terms(items), "items")
     blocks = -(-(wanted.agg(F.sum("n")).first()[0] or 0) // block_terms)
