@@ -52,6 +52,18 @@ def test_mix_meets_its_targets(docs, rows):
     assert sorted(map(tuple, mixed), key=str) == sorted(map(tuple, mixing.mix_sources(docs, block=64).collect()), key=str)
 
 
+def test_each_document_is_taken_as_its_place_says(docs):
+    by = {}
+    for r in mixing.mix_sources(docs, block=64).where("size > 0").collect():
+        by.setdefault(r["source"], []).append(r)
+    for rows in by.values():
+        rows.sort(key=lambda r: (r["start"], r["size"]))
+        assert [r["start"] for r in rows] == [sum(r["size"] for r in rows[:k]) for k in range(len(rows))]
+        epochs, rest = divmod(round(rows[0]["target"]), rows[0]["source_size"])
+        for r in rows:
+            assert r["taken"] == epochs * r["size"] + min(max(rest - r["start"], 0), r["size"])
+
+
 def test_mix_slots_follow_the_weights_evenly(spark, docs):
     targets = spark.createDataFrame([(0, "a", 6400, 1.0, 6400.0), (1, "b", 6400, 2.0, 12800.0), (2, "c", 0, 3.0, 0.0)], "sid long, source string, source_size long, weight double, target double")
     slots = sorted(mixing.slots(targets, 64, chunk=16).collect(), key=lambda r: r["slot"])
@@ -484,3 +496,21 @@ def test_special_strings_are_encoded_as_the_library_does():
     encode, whole = packing.encoder(path), Tokenizer.from_file(path)
     for text in ["a <|endoftext|> b", "", "  \n\n x\t", "é ü 中文 🎉", LONG[:5000], "x" * 3000, " " * 5000 + "y"]:
         assert encode(text) == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_are_left_to_the_library(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_file("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)
+    assert packing.plain_byte_level(model)
+    lowered = model | {"normalizer": {"type": "Lowercase"}}
+    swapped = model | {"model": model["model"] | {"merges": [*model["model"]["merges"][1:50], model["model"]["merges"][0], *model["model"]["merges"][50:]]}}
+    for other in (lowered, swapped):
+        assert not packing.plain_byte_level(other)
+        (tmp_path / "other.json").write_text(json.dumps(other))
+        text = "The Quick brown fox, 1234 Ünïcode\n\n the end"
+        assert packing.encoder(str(tmp_path / "other.json"))(text) == Tokenizer.from_file(str(tmp_path / "other.json")).encode(text, add_special_tokens=False).ids

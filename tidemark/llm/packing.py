@@ -23,26 +23,40 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def plain_byte_level(model: dict) -> bool:
+    """Whether a tokenizer's file says byte-level merges over the usual split and nothing else, merges in the order of their tokens' ids."""
+    split, bpe = model.get("pre_tokenizer") or {}, model["model"]
+    if model.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        return False
+    if bpe.get("type") != "BPE" or any(bpe.get(name) for name in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return False
+    made = [bpe["vocab"].get("".join(pair.split(" ") if isinstance(pair, str) else pair), -1) for pair in bpe["merges"]]
+    return all(a < b for a, b in zip([0, *made], made))
+
+
 def encoder(path: str):
-    """A function from texts to token ids of the byte-level tokenizer in the file, without added special tokens.
+    """A function from texts to token ids of the tokenizer in the file, without added special tokens.
 
-    The file's vocabulary is run by tiktoken, which gives the same ids several times faster; texts that hold
-    a special token's string, or that tiktoken refuses, go through the tokenizers library itself.
+    The vocabulary of a plain byte-level file is run by tiktoken, which gives the same ids several times faster; any
+    other file, and texts that hold a special token's string or that tiktoken refuses, go through the tokenizers library itself.
     """
     import json
 
     import tiktoken
     from tokenizers import Tokenizer
 
+    whole = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
+    if not plain_byte_level(model):
+        return lambda text: whole.encode(text, add_special_tokens=False).ids
     # byte-level vocabularies write each byte as a printable character: itself, or the next free one from U+0100
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     shown = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in printable)}
     specials = [token["content"] for token in model["added_tokens"]]
     ranks = {bytes(shown[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in specials}
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    fast, whole = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), Tokenizer.from_file(path)
+    fast = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> list[int]:
         if not any(special in text for special in specials):
