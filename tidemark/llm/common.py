@@ -76,13 +76,14 @@ def components(edges: DataFrame) -> DataFrame:
     step = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     while True:
         step = settle(step, "edges")
-        state = step.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("a").alias("nodes")).first()
-        if state["n"] == state["nodes"] and not step.join(step.select(F.col("a").alias("b")), "b", "left_semi").take(1):
-            roots = step.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            return step.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
         both = step.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(step.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = settle(both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
+        below = F.count_if(F.col("v") < F.col("u"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"), below.alias("below"))
+        least = settle(least.select("u", F.least("u", "m").alias("m"), "n", "below"), "least")
+        # a root has no smaller neighbour, any other node has its root and nothing else
+        if not least.where("below > 1 or below = 1 and n > 1").take(1):
+            return least.select(F.col("u").alias("node"), F.col("m").alias("root"))
+        large = settle(both.where("v > u").join(least.select("u", "m"), "u").select(F.col("v").alias("a"), F.col("m").alias("b")), "large-star")
         least = settle(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         step = small.unionByName(least.select("a", F.col("m").alias("b"))).distinct()

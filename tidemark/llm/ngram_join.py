@@ -16,24 +16,47 @@ TREES, DEEPEST, SHALLOWEST = 32, 8, 3
 
 
 class Shingler:
-    """Sorted 64-bit hashes of a text's runs of ``n`` words; a text of fewer words is one run, one without words none."""
+    """Sorted 64-bit hashes of a text's runs of ``n`` words; a text of fewer words is one run, one without words none.
 
-    def __init__(self, n: int, held: int = 300_000):
-        self.n, self.held, self.known = n, held, {}
+    A word's hash is the value of the polynomial of its bytes at an odd number, modulo 2^64, taken for all words of
+    a piece of the text at once from running sums.
+    """
+
+    BASE = 0x9E3779B97F4A7C15
+    SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+
+    def __init__(self, n: int, piece: int = 1 << 18):
+        self.n, self.piece = n, piece
+        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self.up) < n:
+            back = pow(self.BASE, -1, 1 << 64)
+            self.up, self.down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(2 * n, base, np.uint64)])) for base in (self.BASE, back))
+
+    def _words(self, data: np.ndarray) -> np.ndarray:
+        self._powers(len(data))
+        blank = np.concatenate([[True], self.SPACE[data], [True]])
+        edges = np.flatnonzero(blank[1:] != blank[:-1])
+        begin, end = edges[0::2], edges[1::2]
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((data + np.uint64(1)) * self.up[: len(data)], out=sums[1:])
+        words = (sums[end] - sums[begin]) * self.down[begin] + (end - begin).astype(np.uint64)
+        words = (words ^ (words >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        return words ^ (words >> np.uint64(29))
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
-        known = self.known
-        if len(known) > self.held:
-            known.clear()
-        found = list(map(known.get, words))
-        if None in found:
-            for i, value in enumerate(found):
-                if value is None:
-                    found[i] = known[words[i]] = int.from_bytes(hashlib.blake2b(words[i], digest_size=8).digest(), "little")
-        codes = np.array(found, dtype=np.uint64)
+        raw, parts, begin = (text or "").encode("utf-8", "surrogatepass"), [], 0
+        while begin < len(raw):
+            end = min(len(raw), begin + self.piece)
+            # a piece ends before a blank, however far that is
+            while end < len(raw) and raw[end] not in b" \t\n\r\x0b\x0c":
+                end += 1
+            parts.append(self._words(np.frombuffer(raw, np.uint8, end - begin, begin)))
+            begin = end
+        codes = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
+        if not len(codes):
+            return codes
         n = min(self.n, len(codes))
         mixed = np.full(len(codes) - n + 1, n, dtype=np.uint64)
         for i in range(n):
@@ -153,7 +176,7 @@ def tries(sets: DataFrame) -> DataFrame:
     mended = [(r["rep"], r["tree"], r["signature"], max(r["up"], r["down"], up.get((r["rep"], r["tree"]), 0), down.get((r["rep"], r["tree"]), 0))) for r in ends]
     inner = walked.where("edge = 0").select("rep", "tree", "signature", F.greatest("up", "down").alias("depth"))
     outer = docs_of(walked, mended, "rep long, tree long, signature long, depth long")
-    return settle(inner.unionByName(outer).where(F.col("depth") >= SHALLOWEST), "forest")
+    return inner.unionByName(outer).where(F.col("depth") >= SHALLOWEST)
 
 
 def docs_of(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
@@ -305,12 +328,11 @@ def units(forest: DataFrame, sets: DataFrame, depth: int, crowd: int, block_docs
     row's ``codes`` tell, and a node whose sets have all met before is left out.
     """
     nodes = forest.where(F.col("depth") >= depth).select("rep", F.col("tree").cast("int").alias("tree"), prefix(F.col("signature"), depth).alias("node"))
-    sized = nodes.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("centre")).where(F.col("size") > crowd)
-    crowded = settle(sized.select("tree", "node", "centre"), "crowded")
-    in_crowds = settle(nodes.join(crowded, ["tree", "node"]), "in-crowds")
-    groups = components(in_crowds.select(F.col("rep").alias("a"), F.col("centre").alias("b"))) if in_crowds.take(1) else docs_of(forest, [], "node long, root long")
-    groups = settle(groups.select(F.col("node").alias("rep"), F.col("root").alias("group")), "groups")
-    own = nodes.join(crowded.select("tree", "node"), ["tree", "node"], "left_anti")
+    sized = nodes.groupBy("tree", "node").agg((F.count(F.lit(1)) > crowd).alias("crowded"), F.min("rep").alias("centre"))
+    nodes = settle(nodes.join(sized, ["tree", "node"]), "tree-nodes")
+    in_crowds, own = nodes.where("crowded").select(F.col("rep").alias("a"), F.col("centre").alias("b")), nodes.where("not crowded")
+    groups = components(in_crowds) if in_crowds.take(1) else docs_of(forest, [], "node long, root long")
+    groups = groups.select(F.col("node").alias("rep"), F.col("root").alias("group"))
     placed = own.groupBy("rep").agg(*[F.max(F.when(F.col("tree") == i, F.col("node"))).alias(f"_c{i}") for i in range(TREES)])
     # a set that has no node in a tree, or no group, has a number there that no other has
     alone = -1 - F.col("rep")
@@ -404,9 +426,9 @@ def join_ngrams(
     classes = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     named = sets.select("rep", "set_key", "members", "least").join(classes.withColumnRenamed("node", "rep"), "rep", "left").join(counts, "rep", "left")
     named = settle(named.withColumn("root", F.coalesce("root", "rep")), "classes")
-    class_least = settle(named.groupBy("root").agg(F.min("least").alias("class_least")), "class-least")
+    class_least = named.groupBy("root").agg(F.min("least").alias("class_least"))
     named = named.join(class_least, "root").select("set_key", "least", "class_least", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    joined = slim.drop("signature").join(settle(named, "named"), "set_key", "left")
+    joined = slim.drop("signature").join(named, "set_key", "left")
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     with_runs = F.col("n_grams") > 0
     return joined.select(
