@@ -149,24 +149,29 @@ class SoftmaxBoosting(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         work = settle(rows.withColumn("margins", F.array(*[F.lit(b) for b in bases])), "boosting")
         width = work.first()["features"].size
         steps: list[list] = [[] for _ in range(classes)]
-        held = None
+        held, pool = None, ThreadPool(min(classes, 8))
         for turn in range(get["rounds"]):
-            chance = random.Random(get["seed"] + turn)
+            chance = get["seed"] + turn
             p = work.withColumn("p", softmax("margins"))
             if get["subsample"] < 1:
                 p = p.where(F.rand(get["seed"] + turn) < get["subsample"])
-            for k in range(classes):
+
+            def grown(k: int, p=p, chance=chance):
                 slope = F.greatest(F.col("p")[k] * (1 - F.col("p")[k]) * (classes / (classes - 1)), F.lit(1e-9))
                 aim = F.when(F.col("class") == k, 1.0).otherwise(0.0) - F.col("p")[k]
                 fitted_to = p.select("features", (aim / slope).alias("target"), (slope * F.col("weight")).alias("by"))
                 used = "features"
                 if get["columns"] < 1:
-                    chosen = set(chance.sample(range(width), max(1, round(get["columns"] * width))))
+                    chosen = set(random.Random(f"{chance}-{k}").sample(range(width), max(1, round(get["columns"] * width))))
                     mask = Vectors.dense([1.0 if i in chosen else 0.0 for i in range(width)])
                     # a column of zeros is never split, and the others keep their places
                     fitted_to, used = ElementwiseProduct(scalingVec=mask, inputCol="features", outputCol="masked").transform(fitted_to), "masked"
                 tree = DecisionTreeRegressor(featuresCol=used, labelCol="target", weightCol="by", maxDepth=get["depth"], minInfoGain=get["minGain"], seed=get["seed"])
-                steps[k].append(tree.fit(fitted_to).setFeaturesCol("features"))
+                return tree.fit(fitted_to).setFeaturesCol("features")
+
+            # the classes' trees don't depend on one another
+            for k, tree in enumerate(pool.map(grown, range(classes))):
+                steps[k].append(tree)
             moved = work
             for k in range(classes):
                 moved = steps[k][-1].setPredictionCol(f"step{k}").transform(moved)
@@ -180,6 +185,7 @@ class SoftmaxBoosting(Estimator, DefaultParamsReadable, DefaultParamsWritable):
                 held.count()
             if last is not None:
                 last.unpersist()
+        pool.close()
         if held is not None:
             held.unpersist()
         names = [f"_tm_margin{k}" for k in range(classes)]
