@@ -45,16 +45,19 @@ def encoder(path: str):
     import tiktoken
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
-    if not plain_byte_level(model):
-        return lambda text: whole.encode(text, add_special_tokens=False).ids
+    plain = plain_byte_level(model)
     # byte-level vocabularies write each byte as a printable character: itself, or the next free one from U+0100
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     shown = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in printable)}
     specials = [token["content"] for token in model["added_tokens"]]
-    ranks = {bytes(shown[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in specials}
+    ranks = {bytes(shown[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in specials} if plain else {}
+    # the parsed file is several times larger than what is kept of it
+    del model
+    whole = Tokenizer.from_file(path)
+    if not plain:
+        return lambda text: whole.encode(text, add_special_tokens=False).ids
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     fast = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
