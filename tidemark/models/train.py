@@ -60,8 +60,11 @@ def logistic(
 
 
 def forest(label: str = "label", trees: int = 100, depth: int = DEEPEST, weight: str | None = None) -> RandomForestClassifier:
-    """Trees grown until their leaves are pure or can't be split, or are ``depth`` levels down."""
-    model = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=1, seed=SEED)
+    """Trees grown until their leaves are pure or can't be split, or are ``depth`` levels down.
+
+    Each row's place in each tree is kept beside it; otherwise Spark sends all that has grown of all trees to the tasks for every level.
+    """
+    model = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=1, cacheNodeIds=True, seed=SEED)
     return model.setWeightCol(weight) if weight else model
 
 
@@ -244,6 +247,16 @@ def cross_validate(df: DataFrame, ids: Sequence[str], estimator, evaluator, k: i
     return search.fit(folds(df, ids, k))
 
 
+#: Rows that are worth a task of their own when models are fitted.
+ROWS_PER_TASK = 1000
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over as many tasks as run at once: Spark ML works in the tasks that its rows come in, and small files are read by one."""
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, df.count() // ROWS_PER_TASK)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 @dataclass(frozen=True)
 class Family:
     """A kind of model with the settings to try: ``make`` builds an estimator from one of them.
@@ -284,7 +297,7 @@ def search_families(
     All families share one assignment to folds and the preparation fitted in each; the best setting, the first of
     equals, is fitted again to all rows. Fits run ``parallelism`` at a time.
     """
-    numbered = settle(folds(df, ids, k), "folds")
+    numbered = settle(dealt(folds(df, ids, k)), "folds")
     parts = []
     for fold in range(k):
         prepared = Pipeline(stages=list(stages)).fit(numbered.where(F.col("fold") != fold))

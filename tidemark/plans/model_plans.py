@@ -49,7 +49,7 @@ def customer_table(t: Tables) -> DataFrame:
 
 
 def split(df: DataFrame, label: str = "label") -> tuple[DataFrame, DataFrame]:
-    marked = settle(prepare.stratified_split(df, label, ["c_custkey"], 0.3), "rows")
+    marked = settle(train.dealt(prepare.stratified_split(df, label, ["c_custkey"], 0.3)), "rows")
     return marked.where("is_test = 0").drop("is_test"), marked.where("is_test = 1").drop("is_test")
 
 

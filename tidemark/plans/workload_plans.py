@@ -368,7 +368,7 @@ def clicks_in_time_order_to_model(t: Tables):
     rows = click_history_table(t).join(t.events.select("event_id", "ts", "event_type"), "event_id")
     numbers = ["user_seen", "kind_seen", "user_rate", "kind_rate", "hours_since_previous", "hours_since_hit", "hour"]
     rows = rows.withColumns({c: F.col(c).cast("double") for c in [*numbers, "label"]})
-    parts = settle(prepare.chronological_split(rows, "ts", [0.7, 0.3], ["train", "test"]), "rows")
+    parts = settle(train.dealt(prepare.chronological_split(settle(rows, "rows"), "ts", [0.7, 0.3], ["train", "test"])), "rows")
     fit_rows = prepare.positive_weight(parts.where("part = 'train'"), "label")
     model = prepare.pipeline(prepare.matrix_stages(numbers, ["event_type"]), train.boosted(weight="weight"))
     return _report(model.fit(fit_rows).transform(parts.where("part = 'test'")))
