@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import statistics
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -22,7 +23,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -234,17 +235,43 @@ def folds(df: DataFrame, ids: Sequence[str], k: int, seed: int = SEED) -> DataFr
     return df.withColumn("fold", F.floor(draw(ids, seed) * k).cast("int"))
 
 
-def cross_validate(df: DataFrame, ids: Sequence[str], estimator, evaluator, k: int = 5, grid=None, parallelism: int = 2):
-    """Fitted CrossValidatorModel; avgMetrics and stdMetrics hold one value per grid point."""
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=grid or [{}],
-        evaluator=evaluator,
-        numFolds=k,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    return search.fit(folds(df, ids, k))
+def cross_validate(df: DataFrame, ids: Sequence[str], estimator, evaluator, k: int = 5, grid=None, parallelism: int = 2) -> CrossValidatorModel:
+    """Fitted CrossValidatorModel; avgMetrics and stdMetrics hold one value per grid point.
+
+    Of a pipeline whose grid concerns its last stage alone, the stages before it are fitted once for each fold, not for each grid point too.
+    """
+    options = list(grid or [{}])
+    numbered = settle(dealt(folds(df, ids, k)), "folds")
+    stages = list(estimator.getStages()) if isinstance(estimator, Pipeline) else [estimator]
+    last = stages.pop()
+    if any(param.parent != last.uid for setting in options for param in setting):
+        return CrossValidator(estimator=estimator, estimatorParamMaps=options, evaluator=evaluator, numFolds=k, foldCol="fold", parallelism=parallelism).fit(numbered)
+    parts = []
+    for fold in range(k):
+        made = _needed(Pipeline(stages=stages).fit(numbered.where(F.col("fold") != fold)).transform(numbered), df.columns, last, evaluator)
+        parts.append(settle(made, "fold") if stages else made)
+
+    def judged(task: tuple[int, dict]) -> float:
+        fold, setting = task
+        # not cached: Spark's estimators cache their own form of the rows
+        model = last.fit(parts[fold].where(F.col("fold") != fold), setting)
+        return evaluator.evaluate(model.transform(parts[fold].where(F.col("fold") == fold)))
+
+    with ThreadPool(parallelism) as pool:
+        found = pool.map(judged, [(fold, setting) for fold in range(k) for setting in options], chunksize=1)
+    scores = [[found[fold * len(options) + i] for fold in range(k)] for i in range(len(options))]
+    means = [statistics.fmean(values) for values in scores]
+    best = (max if evaluator.isLargerBetter() else min)(range(len(options)), key=means.__getitem__)
+    whole = Pipeline(stages=stages).fit(numbered)
+    model = last.fit(whole.transform(numbered), options[best])
+    chosen = PipelineModel([*whole.stages, model]) if isinstance(estimator, Pipeline) else model
+    return CrossValidatorModel(chosen, means, None, [statistics.pstdev(values) for values in scores])
+
+
+def _needed(df: DataFrame, given: Sequence[str], estimator, evaluator) -> DataFrame:
+    """The fold, and the columns that the estimator or the evaluator names."""
+    named = {each.getOrDefault(param) for each in (estimator, evaluator) for param in each.params if param.name.endswith("Col") and each.isDefined(param)}
+    return df.select("fold", *[name for name in df.columns if name in named and name != "fold"])
 
 
 #: Rows that are worth a task of their own when models are fitted.
