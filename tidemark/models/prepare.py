@@ -32,7 +32,7 @@ from pyspark.sql.window import Window
 
 from tidemark.operators.aggregates import exact_quantiles, top_value
 from tidemark.operators.history import ordinal
-from tidemark.skew import DEFAULT, SkewPolicy, spread_join
+from tidemark.skew import DEFAULT, SkewPolicy, settle, spread_join
 from tidemark.spans import instant, micros
 
 
@@ -47,7 +47,8 @@ def stratified_split(
     """Add is_test with the same share in every class, to within one row of each class."""
     drawn = df.withColumn("_tm_draw", draw(ids, seed))
     limits = exact_quantiles(drawn, "_tm_draw", [test_share], [label], policy).withColumnRenamed("q0", "_tm_limit")
-    split = spread_join(drawn, limits, label, ids, policy, how="left", hot_from=df)
+    # settled, the few limits have a known size: Spark copies them to the rows instead of piling the rows up by class
+    split = spread_join(drawn, settle(limits, "limits"), label, ids, policy, how="left", hot_from=df)
     chosen = F.coalesce((F.col("_tm_draw") <= F.col("_tm_limit")).cast("int"), F.lit(0))
     return split.withColumn("is_test", chosen).select(*df.columns, "is_test")
 
@@ -302,10 +303,17 @@ def text_weights(
         F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"([\p{L}\p{N}_]{2,})"), F.lit(1)),
         lambda w: ~w.isin(*stop_words) if stop_words else F.lit(True),
     )
-    # one shuffle of the texts serves the counts and the lengths, which would each shuffle the far more numerous terms
-    present = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(doc_id, text).repartition(doc_id)
-    tokens = present.select(doc_id, F.explode(words).alias("term")).where(F.col("term").isNotNull())
-    counts = tokens.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+    present = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(doc_id, text)
+    repeated = settle(docs.where(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.count(F.lit(1)).alias("_tm_n")).where("_tm_n > 1").select(doc_id), "repeated")
+    # texts stay where they are, but for those of documents of several rows, whose counts are added up
+    once, several = (present, None) if repeated.isEmpty() else (present.join(repeated, doc_id, "left_anti"), present.join(repeated, doc_id, "left_semi"))
+
+    def merged(chosen: Column) -> DataFrame:
+        return _one_by_one(_term_counts(several, doc_id, chosen), doc_id).groupBy(doc_id, "term").agg(F.sum("tf").alias("tf"))
+
+    counts = _one_by_one(_term_counts(once, doc_id, words), doc_id).select("term", "tf")
+    if several is not None:
+        counts = counts.unionByName(merged(words).select("term", "tf"))
     size = docs.agg(F.count(F.lit(1))).scalar()
     vocabulary = (
         counts.groupBy("term")
@@ -314,11 +322,40 @@ def text_weights(
         .orderBy(F.desc("uses"), "term")
         .limit(max_features)
     )
-    idf = F.log((1 + size) / (1 + F.col("df"))) + 1
-    weighted = counts.join(F.broadcast(vocabulary), "term").withColumn("raw", F.col("tf") * idf)
-    # a document has at most max_features rows here
-    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc_id)))
-    return weighted.select(doc_id, "term", (F.col("raw") / length).alias("weight"))
+    # at most max_features rows
+    idf = {row["term"]: row["idf"] for row in vocabulary.select("term", (F.log((1 + size) / (1 + F.col("df"))) + 1).alias("idf")).collect()}
+    known = F.filter(words, lambda w: w.isin(*idf) if idf else F.lit(False))
+    terms = _term_counts(once, doc_id, known)
+    if several is not None:
+        # a document has at most max_features terms here
+        terms = terms.unionByName(merged(known).groupBy(doc_id).agg(F.collect_list(F.struct("term", "tf")).alias(TERMS)))
+    by_term = F.create_map(*[F.lit(x) for pair in idf.items() for x in pair]) if idf else F.lit(None).cast("map<string, double>")
+    raw = terms.select(doc_id, F.transform(TERMS, lambda x: F.struct(x["term"].alias("term"), (x["tf"] * by_term[x["term"]]).alias("raw"))).alias(TERMS))
+    length = F.sqrt(F.aggregate(TERMS, F.lit(0.0), lambda total, x: total + x["raw"] * x["raw"]))
+    weighted = raw.withColumn("_tm_length", length)
+    scaled = F.transform(TERMS, lambda x: F.struct(x["term"].alias("term"), (x["raw"] / F.col("_tm_length")).alias("weight")))
+    return _one_by_one(weighted.select(doc_id, scaled.alias(TERMS)), doc_id)
+
+
+TERMS = "_tm_terms"
+
+
+def _term_counts(rows: DataFrame, doc_id: str, words: Column) -> DataFrame:
+    """Per row its different words with their counts, from the lengths of runs in the sorted words."""
+    w, starts = F.col("_tm_words"), F.col("_tm_starts")
+    begins = F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: (i == 1) | (F.get(w, i - 1) != F.get(w, i - 2)))
+    found = rows.select(doc_id, F.sort_array(words).alias("_tm_words"))
+    # a sequence from 1 to 0 would run backwards
+    found = found.withColumn("_tm_starts", F.when(F.size(w) > 0, begins).otherwise(F.array().cast("array<int>")))
+    runs = F.transform(
+        starts, lambda at, i: F.struct(F.get(w, at - 1).alias("term"), (F.coalesce(F.get(starts, i + 1), F.size(w) + 1) - at).cast("bigint").alias("tf"))
+    )
+    return found.select(doc_id, runs.alias(TERMS))
+
+
+def _one_by_one(terms: DataFrame, doc_id: str) -> DataFrame:
+    # the inner form would ask first whether there are any, and find all words a second time for that
+    return terms.select(doc_id, F.inline_outer(TERMS)).where(F.col("term").isNotNull())
 
 
 def top_terms(weights: DataFrame, classes: DataFrame, doc_id: str, label: str, k: int = 5) -> DataFrame:
