@@ -5,8 +5,10 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from tidemark.models import cluster, evaluate, prepare, train
@@ -285,3 +287,50 @@ def test_first_trees_are_the_smaller_ensemble(rows):
     cut = train.first_trees(large, 2)
     scores = [[r.score for r in train.positive_score(m.transform(prepared)).orderBy("id").collect()] for m in (small, cut)]
     assert scores[0] == scores[1]
+
+
+def test_forests_keep_each_rows_place_and_get_dealt_rows(spark):
+    assert train.forest().getOrDefault("cacheNodeIds")
+    many, few = spark.range(0, 6000, 1, 1), spark.range(0, 900, 1, 1)
+    assert train.dealt(many).rdd.getNumPartitions() == min(6, spark.sparkContext.defaultParallelism)
+    assert train.dealt(few).rdd.getNumPartitions() == 1
+    assert sorted(r.id for r in train.dealt(many).collect()) == list(range(6000))
+
+
+def test_cross_validation_prepares_once_per_fold(rows, monkeypatch):
+    model = train.logistic().setMaxIter(4)
+    estimator = prepare.pipeline(prepare.matrix_stages(["a", "b"], ["kind"]), model)
+    options, judge = train.grid({model.regParam: [0.01, 10.0]}), BinaryClassificationEvaluator()
+    expected = CrossValidator(estimator=estimator, estimatorParamMaps=options, evaluator=judge, numFolds=2, foldCol="fold").fit(train.folds(rows, ["id"], 2))
+    fits, plain = [], prepare.FillMissing._fit
+    monkeypatch.setattr(prepare.FillMissing, "_fit", lambda self, df: fits.append(1) or plain(self, df))
+    found = train.cross_validate(rows, ["id"], estimator, judge, 2, options)
+    assert len(fits) == 3
+    assert found.avgMetrics == pytest.approx(expected.avgMetrics) and found.stdMetrics == pytest.approx(expected.stdMetrics)
+    assert found.bestModel.stages[-1].getRegParam() == expected.bestModel.stages[-1].getRegParam()
+    assert found.bestModel.stages[-1].coefficients.toArray() == pytest.approx(expected.bestModel.stages[-1].coefficients.toArray())
+
+
+def test_text_weights_add_up_the_rows_of_a_document(spark):
+    data = [(1, "red red blue"), (1, "red green"), (1, None), (2, "blue green"), (3, ""), (4, "red"), (None, "red"), (5, "x y")]
+    docs = spark.createDataFrame(data, "id bigint, text string")
+    got = {(r.id, r.term): r.weight for r in prepare.text_weights(docs, "id", "text", min_df=1, max_df=1.0, max_features=2).collect()}
+    # uses: red 4, blue 2, green 2; eight rows
+    red, blue = 3 * (math.log(9 / 3) + 1), math.log(9 / 3) + 1
+    length = math.hypot(red, blue)
+    assert got == pytest.approx({(1, "red"): red / length, (1, "blue"): blue / length, (2, "blue"): 1.0, (4, "red"): 1.0})
+    assert prepare.text_weights(docs, "id", "text", min_df=9).count() == 0
+
+
+def test_neither_text_weights_nor_splits_move_the_texts(spark, tmp_path):
+    spark.createDataFrame([(i, f"word{i % 3} other", float(i % 2)) for i in range(60)], "id bigint, text string, label double").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    for made in (prepare.text_weights(docs, "id", "text"), prepare.stratified_split(docs, "label", ["id"], 0.3)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert not any("Exchange hashpartitioning" in line for line in plan.splitlines())
+
+
+def test_kept_places_grow_the_same_forest(rows):
+    made = Pipeline(stages=prepare.matrix_stages(["a", "b"])).fit(rows).transform(rows).coalesce(1)
+    kept, sent = train.forest(trees=4).fit(made), train.forest(trees=4).setCacheNodeIds(False).fit(made)
+    assert [t.toDebugString.split("\n", 1)[1] for t in kept.trees] == [t.toDebugString.split("\n", 1)[1] for t in sent.trees]
