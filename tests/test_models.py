@@ -261,6 +261,15 @@ def test_softmax_boosting_lowers_its_loss(spark):
     assert all(tree.depth == 0 for ensemble in none.stages[:-1] for tree in ensemble.trees)
 
 
+def test_softmax_is_worked_out_once_a_row(spark):
+    margins = [[0.5, -1.0, 2.0], [3.0, 3.0, 3.0], [-700.0, 0.0, 700.0]]
+    df = train.with_softmax(spark.createDataFrame([(m,) for m in margins], "m array<double>"), "m", 3, "p")
+    assert df.columns == ["m", "p"]
+    assert np.array([row.p for row in df.collect()]) == pytest.approx(plain_softmax(np.array(margins)), rel=1e-12)
+    # no function over the array's elements, which Spark would run for every class
+    assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_boosting_arguments_reach_the_trees(rows):
     model = train.boosted(rounds=200, depth=7, rate=0.05, columns=0.7, min_gain=0.2)
     assert (model.getMaxIter(), model.getMaxDepth(), model.getStepSize(), model.getMinInfoGain(), model.getFeatureSubsetStrategy()) == (200, 7, 0.05, 0.2, "0.7")

@@ -97,16 +97,19 @@ class Softmax(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         named = zip(self.getOrDefault(self.inputCols), self.getOrDefault(self.bases), strict=True)
         margins = F.array(*[F.col(name) + F.lit(base) for name, base in named])
         with_margins = df.withColumn("_tm_margins", margins)
-        scored = with_margins.withColumn("_tm_p", softmax("_tm_margins"))
+        scored = with_softmax(with_margins, "_tm_margins", len(self.getOrDefault(self.bases)), "_tm_p")
         best = F.array_position("_tm_p", F.array_max("_tm_p")) - 1
         made = {"rawPrediction": array_to_vector("_tm_margins"), "probability": array_to_vector("_tm_p"), "prediction": best.cast("double")}
         return scored.withColumns(made).drop("_tm_margins", "_tm_p", *self.getOrDefault(self.inputCols))
 
 
-def softmax(margins: str) -> Column:
-    raised = F.transform(margins, lambda m: F.exp(m - F.array_max(margins)))
-    whole = F.aggregate(raised, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(raised, lambda p: p / whole)
+def with_softmax(df: DataFrame, margins: str, classes: int, name: str) -> DataFrame:
+    """Class probabilities from an array of margins; each step is a column, as Spark would work a step within a lambda out again for every class."""
+    top = df.withColumn("_tm_top", F.array_max(margins))
+    raised = top.withColumn("_tm_raised", F.array(*[F.exp(F.col(margins)[k] - F.col("_tm_top")) for k in range(classes)]))
+    whole = raised.withColumn("_tm_whole", sum((F.col("_tm_raised")[k] for k in range(classes)), F.lit(0.0)))
+    shares = F.array(*[F.col("_tm_raised")[k] / F.col("_tm_whole") for k in range(classes)])
+    return whole.withColumn(name, shares).drop("_tm_top", "_tm_raised", "_tm_whole")
 
 
 class SoftmaxBoosting(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -150,13 +153,14 @@ class SoftmaxBoosting(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         if classes < 2:
             raise ValueError("boosting needs at least two classes")
         bases = [math.log(max(shares.get(k, 0.0), 1e-12) / sum(shares.values())) for k in range(classes)]
-        work = settle(rows.withColumn("margins", F.array(*[F.lit(b) for b in bases])), "boosting")
+        # a tree reads its rows several times, so the probabilities are kept beside the margins
+        work = held = settle(with_softmax(rows.withColumn("margins", F.array(*[F.lit(b) for b in bases])), "margins", classes, "p"), "boosting").persist()
         width = work.first()["features"].size
         steps: list[list] = [[] for _ in range(classes)]
-        held, pool = None, ThreadPool(min(classes, 8))
+        pool = ThreadPool(min(classes, 8))
         for turn in range(get["rounds"]):
             chance = get["seed"] + turn
-            p = work.withColumn("p", softmax("margins"))
+            p = work
             if get["subsample"] < 1:
                 p = p.where(F.rand(get["seed"] + turn) < get["subsample"])
 
@@ -180,18 +184,13 @@ class SoftmaxBoosting(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             for k in range(classes):
                 moved = steps[k][-1].setPredictionCol(f"step{k}").transform(moved)
             margins = F.array(*[F.col("margins")[k] + get["rate"] * F.col(f"step{k}") for k in range(classes)])
-            moved = moved.select("features", "class", "weight", margins.alias("margins"))
-            last, held = held, None
-            if (turn + 1) % self.SETTLED == 0:
-                work = settle(moved, "boosting")
-            else:
-                work = held = moved.persist()
-                held.count()
-            if last is not None:
-                last.unpersist()
+            moved = with_softmax(moved.select("features", "class", "weight", margins.alias("margins")), "margins", classes, "p")
+            last = held
+            work = held = (settle(moved, "boosting") if (turn + 1) % self.SETTLED == 0 else moved).persist()
+            held.count()
+            last.unpersist()
         pool.close()
-        if held is not None:
-            held.unpersist()
+        held.unpersist()
         names = [f"_tm_margin{k}" for k in range(classes)]
         return PipelineModel([*[ensemble(trees, get["rate"], get["featuresCol"], name) for trees, name in zip(steps, names, strict=True)], Softmax(inputCols=names, bases=bases)])
 
