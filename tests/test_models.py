@@ -290,6 +290,24 @@ def test_families_are_searched_by_their_own_grids(rows):
     assert {row[1] for row in found} <= {"c=0.001", "c=1.0", *[f"depth={d}, trees={n}" for d in (1, 4) for n in (2, 6)], "rate=0.2, trees=1", "rate=0.2, trees=4"}
 
 
+def test_families_fit_side_by_side_in_few_tasks(spark, monkeypatch):
+    # 6,000 rows: dealt by the thousand, each fit would start six tasks a job
+    x = spark.range(0, 6000, 1, 1).select("id", F.rand(3).alias("a")).withColumn("label", (F.col("a") + F.rand(4) > 1).cast("double"))
+    at_once, tasks = [], []
+
+    class Noted(train.ThreadPool):
+        def __init__(self, n):
+            at_once.append(n)
+            super().__init__(n)
+
+    monkeypatch.setattr(train, "ThreadPool", Noted)
+    make = lambda df, c: tasks.append(df.rdd.getNumPartitions()) or train.logistic(df, c)
+    families = {"logistic": train.Family(make, [{"c": 1.0}])}
+    found = train.search_families(x, ["id"], prepare.matrix_stages(["a"]), families, BinaryClassificationEvaluator(), x, k=2)
+    assert tasks == [1, 1, 1] and set(at_once) == {spark.sparkContext.defaultParallelism}
+    assert found[0][:2] == ("logistic", "c=1.0") and 0.7 < found[0][2] < 1
+
+
 def test_first_trees_are_the_smaller_ensemble(rows):
     prepared = prepare.Pipeline(stages=prepare.matrix_stages(["a", "b"], ["kind"])).fit(rows).transform(rows)
     large, small = (train.boosted(rounds=n).fit(prepared) for n in (6, 2))

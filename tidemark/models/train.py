@@ -275,11 +275,13 @@ def _needed(df: DataFrame, given: Sequence[str], estimator, evaluator) -> DataFr
 
 #: Rows that are worth a task of their own when models are fitted.
 ROWS_PER_TASK = 1000
+#: The same where many models are fitted at a time: fits side by side fill the cores, and more tasks only cost their start.
+ROWS_PER_SHARED_TASK = 4000
 
 
-def dealt(df: DataFrame) -> DataFrame:
+def dealt(df: DataFrame, rows: int = ROWS_PER_TASK) -> DataFrame:
     """Rows dealt evenly over as many tasks as run at once: Spark ML works in the tasks that its rows come in, and small files are read by one."""
-    tasks = min(df.sparkSession.sparkContext.defaultParallelism, df.count() // ROWS_PER_TASK)
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, df.count() // rows)
     return df.repartition(tasks) if tasks > 1 else df
 
 
@@ -316,41 +318,45 @@ def first_trees(model, n: int):
 
 
 def search_families(
-    df: DataFrame, ids: Sequence[str], stages: Sequence, families: dict[str, Family], evaluator, test: DataFrame, k: int = 3, parallelism: int = 4
+    df: DataFrame, ids: Sequence[str], stages: Sequence, families: dict[str, Family], evaluator, test: DataFrame, k: int = 3, parallelism: int | None = None
 ) -> list[tuple[str, str, float, float]]:
     """For each family (name, best setting, its mean score over the folds, score on the test rows).
 
     All families share one assignment to folds and the preparation fitted in each; the best setting, the first of
-    equals, is fitted again to all rows. Fits run ``parallelism`` at a time.
+    equals, is fitted again to all rows. Fits run ``parallelism`` at a time, or as many as have tasks for all cores, but four at least.
     """
-    numbered = settle(dealt(folds(df, ids, k)), "folds")
+    numbered = settle(dealt(folds(df, ids, k), ROWS_PER_SHARED_TASK), "folds")
+    parallelism = parallelism or max(4, df.sparkSession.sparkContext.defaultParallelism // max(1, numbered.rdd.getNumPartitions()))
     parts = []
     for fold in range(k):
         prepared = Pipeline(stages=list(stages)).fit(numbered.where(F.col("fold") != fold))
         made = settle(prepared.transform(numbered), "fold")
         parts.append((made.where(F.col("fold") != fold).cache(), made.where(F.col("fold") == fold).cache()))
     whole = Pipeline(stages=list(stages)).fit(df)
-    train_rows, test_rows = settle(whole.transform(df), "train").cache(), settle(whole.transform(test), "test").cache()
+    train_rows, test_rows = settle(whole.transform(dealt(df, ROWS_PER_SHARED_TASK)), "train").cache(), settle(whole.transform(test), "test").cache()
 
     def judged(family: Family, setting: dict, fit_rows: DataFrame, score_rows: DataFrame) -> list[tuple[str, float]]:
         model = family.make(fit_rows, **setting).fit(fit_rows)
         sizes = [(n, first_trees(model, n)) for n in family.sizes] or [(None, model)]
         return [(_spelled(setting, n), evaluator.evaluate(m.transform(score_rows))) for n, m in sizes]
 
-    tasks = [(name, setting, part) for name, family in families.items() for setting in family.settings for part in parts]
+    # the longest fits first, so that none is left to run alone
+    tasks = [(name, setting, part) for name, family in sorted(families.items(), key=lambda f: not f[1].sizes) for setting in family.settings for part in parts]
     with ThreadPool(parallelism) as pool:
         found = pool.map(lambda task: judged(families[task[0]], task[1], *task[2]), tasks, chunksize=1)
     scores: dict[str, dict[str, list[float]]] = {name: {} for name in families}
     for (name, _, _), results in zip(tasks, found, strict=True):
         for spelled, score in results:
             scores[name].setdefault(spelled, []).append(score)
-    rows = []
-    for name, by_setting in scores.items():
-        means = {spelled: sum(values) / len(values) for spelled, values in by_setting.items()}
+
+    def settled(name: str) -> tuple[str, str, float, float]:
+        means = {spelled: sum(values) / len(values) for spelled, values in scores[name].items()}
         best = max(means, key=means.get)
         setting = next(s for s in families[name].settings for n in (families[name].sizes or [None]) if _spelled(s, n) == best)
-        again = dict(judged(families[name], setting, train_rows, test_rows))
-        rows.append((name, best, means[best], again[best]))
+        return name, best, means[best], dict(judged(families[name], setting, train_rows, test_rows))[best]
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(settled, list(scores), chunksize=1)
     for held in (train_rows, test_rows, *[side for part in parts for side in part]):
         held.unpersist()
     return rows
