@@ -361,3 +361,37 @@ def test_kept_places_grow_the_same_forest(rows):
     made = Pipeline(stages=prepare.matrix_stages(["a", "b"])).fit(rows).transform(rows).coalesce(1)
     kept, sent = train.forest(trees=4).fit(made), train.forest(trees=4).setCacheNodeIds(False).fit(made)
     assert [t.toDebugString.split("\n", 1)[1] for t in kept.trees] == [t.toDebugString.split("\n", 1)[1] for t in sent.trees]
+
+
+@pytest.mark.parametrize(("parts", "weight", "min_gain"), [(5, "weight", 0.0), (1, None, 0.01)])
+def test_blocks_boost_the_trees_that_spark_boosts(spark, parts, weight, min_gain):
+    levels = F.element_at(F.array(*map(F.lit, "xyz")), (F.floor(F.rand(8) * 3) + 1).cast("int"))
+    x = spark.range(0, 900, 1, parts).select("id", F.rand(3).alias("a"), F.floor(F.rand(5) * 7).cast("double").alias("b"), F.lit(1.0).alias("flat"), levels.alias("kind"))
+    x = x.withColumn("label", (F.col("a") * F.col("b") + (F.col("kind") == "x").cast("int") + F.rand(4) > 2).cast("double")).withColumn("weight", 1.5 - F.col("label"))
+    made = prepare.Pipeline(stages=prepare.matrix_stages(["a", "b", "flat"], ["kind"])).fit(x).transform(x).cache()
+    options = {"rounds": 12, "weight": weight, "min_gain": min_gain}
+    plain, blocks = train.boosted(**options).fit(made), train.boosted_in_blocks(**options).fit(made.repartition(parts + 3))
+    was, now = ([(r.score, r.prediction) for r in train.positive_score(m.transform(made)).orderBy("id").collect()] for m in (plain, blocks))
+    assert np.array(now) == pytest.approx(np.array(was), abs=1e-9) and len({score for score, _ in now}) > 20
+    assert type(blocks) is type(plain) and blocks.treeWeights == plain.treeWeights and blocks.numFeatures == plain.numFeatures
+    assert blocks.featureImportances.toArray() == pytest.approx(plain.featureImportances.toArray(), abs=1e-9)
+
+
+def test_blocks_refuse_what_spark_refuses(spark):
+    for values in ([(1.0, None)], [(1.0, 2.0)], [(float("nan"), 1.0)]):
+        df = spark.createDataFrame([(0.5, 0.0), *values], "a double, label double").withColumn("features", array_to_vector(F.array("a")))
+        with pytest.raises(ValueError, match="labels"):
+            train.boosted_in_blocks(rounds=2).fit(df)
+    one_class = spark.createDataFrame([(0.5, 1.0), (0.7, 1.0)], "a double, label double").withColumn("features", array_to_vector(F.array("a")))
+    assert {r.prediction for r in train.boosted_in_blocks(rounds=2).fit(one_class).transform(one_class).collect()} == {1.0}
+
+
+def test_a_prepared_fit_is_the_pipelines_and_prepares_once(spark, monkeypatch):
+    x = spark.range(0, 300, 1, 1).select("id", F.rand(3).alias("a"), F.rand(4).alias("b"))
+    x = x.withColumn("label", (F.col("a") > F.col("b")).cast("double")).cache()
+    stages, seen = prepare.matrix_stages(["a", "b"]), []
+    plain = prepare.pipeline(stages, train.feed_forward(2)).fit(x)
+    monkeypatch.setattr(train, "settle", lambda df, label, settle=train.settle: seen.append(df.columns) or settle(df, label))
+    once = train.fit_prepared(x, stages, train.feed_forward(2))
+    assert seen == [["label", "features"]] and len(once.stages) == len(plain.stages)
+    assert once.stages[-1].weights.toArray() == pytest.approx(plain.stages[-1].weights.toArray(), rel=1e-9)

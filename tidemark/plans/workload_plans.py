@@ -341,7 +341,7 @@ def text_intent_table(t: Tables):
 
 
 def _report(scored: DataFrame) -> DataFrame:
-    rows = train.positive_score(scored)
+    rows = settle(train.positive_score(scored).select("label", "score"), "scored")
     quality = evaluate.ranking_quality(rows, "label", "score")
     loss = rows.agg(evaluate.log_loss("label", "score")).scalar()
     return rounded(quality.withColumn("log_loss", loss), 5)
@@ -370,8 +370,8 @@ def clicks_in_time_order_to_model(t: Tables):
     rows = rows.withColumns({c: F.col(c).cast("double") for c in [*numbers, "label"]})
     parts = settle(train.dealt(prepare.chronological_split(settle(rows, "rows"), "ts", [0.7, 0.3], ["train", "test"])), "rows")
     fit_rows = prepare.positive_weight(parts.where("part = 'train'"), "label")
-    model = prepare.pipeline(prepare.matrix_stages(numbers, ["event_type"]), train.boosted(weight="weight"))
-    return _report(model.fit(fit_rows).transform(parts.where("part = 'test'")))
+    model = train.fit_prepared(fit_rows, prepare.matrix_stages(numbers, ["event_type"]), train.boosted_in_blocks(weight="weight"))
+    return _report(model.transform(parts.where("part = 'test'")))
 
 
 @plan("tuned_model_on_one_table")
