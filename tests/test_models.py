@@ -395,3 +395,23 @@ def test_a_prepared_fit_is_the_pipelines_and_prepares_once(spark, monkeypatch):
     once = train.fit_prepared(x, stages, train.feed_forward(2))
     assert seen == [["label", "features"]] and len(once.stages) == len(plain.stages)
     assert once.stages[-1].weights.toArray() == pytest.approx(plain.stages[-1].weights.toArray(), rel=1e-9)
+
+
+def test_the_models_of_large_tables_are_fitted_to_prepared_rows(spark, folder, monkeypatch):
+    from tidemark.plans import PLANS
+
+    read = []
+
+    class Stop(Exception):
+        pass
+
+    def noted(self, df, params=None):
+        read.append(df.inputFiles())
+        raise Stop
+
+    monkeypatch.setattr(type(train.feed_forward(2)), "fit", noted)
+    monkeypatch.setattr(train.BlockBoosting, "fit", noted)
+    for name in ("m24_feed_forward", "clicks_in_time_order_to_model"):
+        with pytest.raises(Stop):
+            PLANS[name].build(spark, folder)
+    assert len(read) == 2 and all(files and all("/prepared-" in f for f in files) for files in read)

@@ -445,7 +445,7 @@ def m24(t: Tables):
     df = customer_table(t)
     fit_rows, test_rows = split(df)
     stages = prepare.matrix_stages(NUMBERS, [])
-    scored = prepare.pipeline(stages, train.feed_forward(len(NUMBERS))).fit(fit_rows).transform(test_rows)
+    scored = train.fit_prepared(fit_rows, stages, train.feed_forward(len(NUMBERS))).transform(test_rows)
     return train.positive_score(scored).select("c_custkey", "label", "prediction", r("score", 4).alias("score"))
 
 
