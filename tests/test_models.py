@@ -415,3 +415,96 @@ def test_the_models_of_large_tables_are_fitted_to_prepared_rows(spark, folder, m
         with pytest.raises(Stop):
             PLANS[name].build(spark, folder)
     assert len(read) == 2 and all(files and all("/prepared-" in f for f in files) for files in read)
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    levels = F.element_at(F.array(*map(F.lit, "xyz")), (F.floor(F.rand(8) * 3) + 1).cast("int"))
+    x = spark.range(0, 900, 1, 5).select("id", F.rand(3).alias("a"), F.floor(F.rand(5) * 7).cast("double").alias("b"), F.lit(1.0).alias("flat"), levels.alias("kind"))
+    score = F.col("a") * F.col("b") + (F.col("kind") == "x").cast("int") + F.rand(4)
+    x = x.withColumns({"label": (score > 2).cast("double"), "tier": (score > 2).cast("double") + (score > 3.5).cast("double")}).withColumn("weight", 1.5 - F.col("label"))
+    return prepare.Pipeline(stages=prepare.matrix_stages(["a", "b", "flat"], ["kind"])).fit(x).transform(x).cache()
+
+
+def voted(model, df):
+    rows = train.with_probabilities(model.transform(df)).orderBy("id").collect()
+    return np.array([r.probabilities for r in rows]), [r.prediction for r in rows]
+
+
+@pytest.mark.parametrize(("label", "weight", "depth"), [("label", "weight", 30), ("tier", None, 30), ("tier", "weight", 4)])
+def test_a_tree_in_blocks_is_the_tree_that_spark_grows(many, monkeypatch, label, weight, depth):
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    from tidemark.models import forest
+
+    # every row once; one tree tries all columns
+    monkeypatch.setattr(forest.Grower, "drawn", lambda self, tree, block, n: np.ones(n, np.uint8))
+    plain = DecisionTreeClassifier(labelCol=label, maxDepth=depth, seed=42)
+    plain = (plain.setWeightCol(weight) if weight else plain).fit(many)
+    (was, called), importances = voted(plain, many), plain.featureImportances.toArray()
+    # grown whole, and below a top from parts of at most 90 rows
+    for unit in (10_000, 90):
+        model = forest.BlockForest(labelCol=label, weightCol=weight or "", trees=1, depth=depth, plain=0, unit=unit).fit(many.repartition(3))
+        (now, called_now), about = voted(model, many), model.about
+        assert now == pytest.approx(was, abs=1e-9) and called_now == called
+        # among rows of two kinds their columns split alike, and rounding chooses
+        merged, merged_now = (np.append(found[:3], found[3:].sum()) for found in (importances, model.featureImportances.toArray()))
+        assert merged_now == pytest.approx(merged, abs=1e-9)
+        assert bool(about["tops"]) == (unit < 900) and len({round(p, 9) for p in was[:, 0]}) > 5
+
+
+def test_forests_in_blocks_do_not_depend_on_how_they_are_grown(many, tmp_path, monkeypatch):
+    from tidemark.models import forest
+
+    made = many.coalesce(1)
+    whole, parts = (forest.BlockForest(labelCol="tier", trees=9, plain=0, unit=unit).fit(made) for unit in (10_000, 150))
+    (was, called), (now, called_now) = voted(whole, many), voted(parts, many)
+    assert now == pytest.approx(was, abs=1e-12) and called_now == called and was.sum(axis=1) == pytest.approx(1.0)
+    assert parts.featureImportances.toArray() == pytest.approx(whole.featureImportances.toArray()) and whole.featureImportances.toArray().sum() == pytest.approx(1.0)
+    # several tasks grow, and several score some trees and some rows each
+    for name, value in (("GROWN_PER_TASK", 2000), ("SCORED_PER_TASK", 2000), ("SCORED_ROWS", 300), ("TREE_BYTES", 3000)):
+        monkeypatch.setattr(forest, name, value)
+    monkeypatch.setattr("tidemark.models.blocks.BLOCK", 100)
+    for model in (whole, forest.BlockForest(labelCol="tier", trees=9, plain=0).fit(made)):
+        assert voted(model, many)[0] == pytest.approx(was, abs=0.5) and len(voted(model, many)[0]) == 900
+    assert voted(whole, many)[0] == pytest.approx(was, abs=1e-12)
+    # the first trees are the forest of so many trees; a saved one is the same
+    monkeypatch.undo()
+    few = forest.BlockForest(labelCol="tier", trees=3, plain=0).fit(made)
+    assert voted(train.first_trees(parts, 3), many)[0] == pytest.approx(voted(few, many)[0], abs=1e-12)
+    train.save(Pipeline(stages=[parts]).fit(many), str(tmp_path / "forest"))
+    assert voted(train.reload(str(tmp_path / "forest")).stages[0], many)[0] == pytest.approx(now, abs=1e-12)
+
+
+def test_forests_in_blocks_rank_as_sparks_do(spark):
+    x = spark.range(0, 6000, 1, 3).select("id", *[F.rand(i).alias(f"x{i}") for i in range(6)])
+    x = x.withColumn("label", (F.col("x0") + F.col("x1") * F.col("x2") + F.rand(9) > 1.2).cast("double"))
+    made = prepare.Pipeline(stages=prepare.matrix_stages([f"x{i}" for i in range(6)])).fit(x).transform(x)
+    fit_rows, test_rows = made.where("id % 3 > 0").cache(), made.where("id % 3 = 0").cache()
+    judge = BinaryClassificationEvaluator()
+    plain, blocks = train.forest(trees=40).fit(fit_rows), train.BlockForest(trees=40, plain=0).fit(fit_rows)
+    assert judge.evaluate(blocks.transform(test_rows)) == pytest.approx(judge.evaluate(plain.transform(test_rows)), abs=0.015)
+    assert blocks.featureImportances.toArray() == pytest.approx(plain.featureImportances.toArray(), abs=0.02)
+    # what the driver holds of the trees does not grow with their nodes
+    nodes = spark.read.parquet(blocks.about["path"]).agg(F.sum(F.length("cuts"))).first()[0]
+    assert nodes > 10_000 and len(blocks.about["units"]) == 40 and not blocks.about["tops"]
+
+
+def test_small_tables_get_sparks_own_forest(many):
+    plain, small = train.forest("tier", trees=3).fit(many), train.forest_in_blocks("tier", trees=3).fit(many)
+    assert type(small) is type(plain) and [t.toDebugString.split("\n", 1)[1] for t in small.trees] == [t.toDebugString.split("\n", 1)[1] for t in plain.trees]
+
+
+@pytest.mark.parametrize("name", ["m20_class_cross_validation"])
+def test_forests_of_large_tables_are_grown_in_blocks(spark, folder, monkeypatch, name):
+    from tidemark.plans import PLANS
+
+    class Stop(Exception):
+        pass
+
+    def stopped(self, df, params=None):
+        raise Stop
+
+    monkeypatch.setattr(train.BlockForest, "fit", stopped)
+    with pytest.raises(Stop):
+        PLANS[name].build(spark, folder)

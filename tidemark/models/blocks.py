@@ -91,14 +91,14 @@ def binary_columns(df: DataFrame, features: str) -> set[int]:
     return {a["idx"] for kind in ("binary", "nominal") for a in attributes.get(kind, [])}
 
 
-def bin_limits(rows: DataFrame, binary: set[int], seed: int) -> list[np.ndarray]:
+def bin_limits(rows: DataFrame, binary: set[int], seed: int, classes: int = 2) -> list[np.ndarray]:
     """The places at which each column may be split, from about ``DRAWN`` rows as in Spark's trees: the bins hold about equal weights."""
     x, y, w = F.col("x"), F.col("y"), F.col("w")
     wrong_x = x.isNull() | F.exists("x", lambda v: F.isnan(v) | (F.abs(v) == float("inf")))
-    wrong = wrong_x | y.isNull() | ~y.isin(0.0, 1.0) | w.isNull() | F.isnan(w) | (w < 0) | (w == float("inf"))
+    wrong = wrong_x | y.isNull() | ~(y.between(0, classes - 1) & (y == F.floor(y))) | w.isNull() | F.isnan(w) | (w < 0) | (w == float("inf"))
     state = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(wrong).alias("wrong")).first()
     if not state["n"] or state["wrong"]:
-        raise ValueError("boosting needs rows whose labels are 0 or 1, whose weights are not negative, and without null, NaN or infinity")
+        raise ValueError(f"trees need rows whose labels are numbers from 0 to {classes - 1}, whose weights are not negative, and without null, NaN or infinity")
     drawn = (rows.sample(False, DRAWN / state["n"], seed) if state["n"] > DRAWN else rows).select("x", "w").collect()
     values, weights = np.array([row["x"] for row in drawn]), np.array([row["w"] for row in drawn])
     most = min(BINS, state["n"]) - 1
@@ -121,24 +121,25 @@ def _limits(values: np.ndarray, weights: np.ndarray, most: int) -> np.ndarray:
     return np.array(chosen)
 
 
-def pack(batches: Iterable[pa.RecordBatch], limits: Sequence[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def stacked(batches: Iterable[pa.RecordBatch], names: Sequence[str]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The named columns of ``BLOCK`` rows or a few more; x is an array for each row."""
     waiting, n = [], 0
-
-    def block():
-        x, y, w = (np.concatenate(part) for part in zip(*waiting, strict=True))
-        bins = np.stack([np.searchsorted(limit, x[:, i]).astype(np.uint8) for i, limit in enumerate(limits)])
-        return pa.RecordBatch.from_pydict({"bins": [bins.tobytes()], "y": [(2 * y - 1).astype(np.int8).tobytes()], "w": [w.tobytes()]})
-
     for batch in batches:
         if batch.num_rows:
-            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(limits))
-            waiting.append((x, *(batch.column(name).to_numpy(zero_copy_only=False) for name in ("y", "w"))))
+            columns = {name: (batch.column(name).flatten() if name == "x" else batch.column(name)).to_numpy(zero_copy_only=False) for name in names}
+            waiting.append([values.reshape(batch.num_rows, -1) if name == "x" else values for name, values in columns.items()])
             n += batch.num_rows
         if n >= BLOCK:
-            yield block()
+            yield tuple(np.concatenate(part) for part in zip(*waiting, strict=True))
             waiting, n = [], 0
     if waiting:
-        yield block()
+        yield tuple(np.concatenate(part) for part in zip(*waiting, strict=True))
+
+
+def pack(batches: Iterable[pa.RecordBatch], limits: Sequence[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for x, y, w in stacked(batches, ["x", "y", "w"]):
+        bins = np.stack([np.searchsorted(limit, x[:, i]).astype(np.uint8) for i, limit in enumerate(limits)])
+        yield pa.RecordBatch.from_pydict({"bins": [bins.tobytes()], "y": [(2 * y - 1).astype(np.int8).tobytes()], "w": [w.tobytes()]})
 
 
 def opened(row, columns: int) -> Block:

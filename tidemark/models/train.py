@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.models.blocks import BlockBoosting
+from tidemark.models.forest import BlockForest, BlockForestModel
 from tidemark.models.prepare import draw
 from tidemark.skew import settle
 
@@ -70,6 +71,11 @@ def forest(label: str = "label", trees: int = 100, depth: int = DEEPEST, weight:
     return model.setWeightCol(weight) if weight else model
 
 
+def forest_in_blocks(label: str = "label", trees: int = 100, depth: int = DEEPEST, weight: str | None = None) -> BlockForest:
+    """``forest`` for tables of any number of rows: its trees are neither grown nor held by the driver."""
+    return BlockForest(labelCol=label, trees=trees, depth=depth, weightCol=weight or "", seed=SEED)
+
+
 def boosted(
     label: str = "label", rounds: int = 100, depth: int = 3, rate: float = 0.1, subsample: float = 1.0, weight: str | None = None,
     columns: float = 1.0, min_gain: float = 0.0,
@@ -318,7 +324,9 @@ class Family:
 
 
 def first_trees(model, n: int):
-    """A fitted Spark classifier of trees with only its first n."""
+    """A fitted classifier of trees with only its first n."""
+    if isinstance(model, BlockForestModel):
+        return model.first(n)
     context = SparkContext.getOrCreate()
     java = model._java_obj
     trees = context._gateway.new_array(getattr(context._jvm, java.trees()[0].getClass().getName()), n)

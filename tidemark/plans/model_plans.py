@@ -639,7 +639,7 @@ def m20_regression(t: Tables):
 @plan("m20_class_cross_validation")
 def m20_classes(t: Tables):
     df = customer_table(t)
-    pipeline = prepare.pipeline(matrix(), train.forest("tier"))
+    pipeline = prepare.pipeline(matrix(), train.forest_in_blocks("tier"))
     judge = MulticlassClassificationEvaluator(labelCol="tier", metricName="weightedFMeasure")
     found = train.cross_validate(df, ["c_custkey"], pipeline, judge, k=3)
     return _result(t, ["measure", "mean", "std"], [("weightedF", found.avgMetrics[0], found.stdMetrics[0])], "string double double")
