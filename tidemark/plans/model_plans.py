@@ -305,7 +305,7 @@ def m14_classes(t: Tables):
 
 @plan("m15_random_forest")
 def m15(t: Tables):
-    _, scored = scored_customers(lambda _: train.forest(), t)
+    _, scored = scored_customers(lambda _: train.forest_in_blocks(), t)
     return train.positive_score(scored).select("c_custkey", "label", "prediction", r("score", 5).alias("score"))
 
 
