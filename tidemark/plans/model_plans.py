@@ -572,7 +572,7 @@ def m30(t: Tables):
 
 @plan("m31_feature_importances")
 def m31(t: Tables):
-    fitted, scored = scored_customers(lambda _: train.forest(), t)
+    fitted, scored = scored_customers(lambda _: train.forest_in_blocks(), t)
     return evaluate.feature_weights(t.spark, scored, fitted.stages[-1].featureImportances.toArray())
 
 
