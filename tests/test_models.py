@@ -495,7 +495,7 @@ def test_small_tables_get_sparks_own_forest(many):
     assert type(small) is type(plain) and [t.toDebugString.split("\n", 1)[1] for t in small.trees] == [t.toDebugString.split("\n", 1)[1] for t in plain.trees]
 
 
-@pytest.mark.parametrize("name", ["m20_class_cross_validation", "m15_random_forest", "m31_feature_importances"])
+@pytest.mark.parametrize("name", ["m20_class_cross_validation", "m15_random_forest", "m31_feature_importances", "m23_weighted_forest"])
 def test_forests_of_large_tables_are_grown_in_blocks(spark, folder, monkeypatch, name):
     from tidemark.plans import PLANS
 

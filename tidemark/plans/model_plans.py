@@ -435,7 +435,7 @@ def m23_positive(t: Tables):
 def m23_forest(t: Tables):
     weighted = prepare.with_class_weight(customer_table(t), "label", "c_custkey")
     fit_rows, test_rows = split(weighted)
-    model = train.forest(weight="weight")
+    model = train.forest_in_blocks(weight="weight")
     scored = prepare.pipeline(matrix(), model).fit(fit_rows).transform(test_rows)
     return train.positive_score(scored).select("c_custkey", "label", "prediction", r("score", 5).alias("score"))
 
