@@ -508,3 +508,38 @@ def test_forests_of_large_tables_are_grown_in_blocks(spark, folder, monkeypatch,
     monkeypatch.setattr(train.BlockForest, "fit", stopped)
     with pytest.raises(Stop):
         PLANS[name].build(spark, folder)
+
+
+def test_one_task_boosts_small_tables_as_many_tasks_do(many, monkeypatch):
+    from tidemark.models import blocks
+
+    made, jobs, plain = many.coalesce(2), [], blocks._boosted_apart
+    monkeypatch.setattr(blocks, "_boosted_apart", lambda *a: jobs.append(1) or plain(*a))
+    alone = train.boosted_in_blocks(rounds=12, weight="weight").fit(made)
+    assert not jobs
+    monkeypatch.setattr(blocks, "ALONE", 0)
+    apart = train.boosted_in_blocks(rounds=12, weight="weight").fit(made)
+    assert jobs and voted(alone, many)[0] == pytest.approx(voted(apart, many)[0], abs=1e-12)
+    assert alone.featureImportances.toArray() == pytest.approx(apart.featureImportances.toArray(), abs=1e-12)
+    # no Python model of any tree is made unless asked for
+    cut = train.first_trees(alone, 5)
+    assert "trees" not in alone.__dict__ and "trees" not in cut.__dict__
+    assert (len(alone.trees), len(cut.trees), cut.getStepSize()) == (12, 5, alone.getStepSize())
+
+
+def test_the_families_trees_are_grown_in_blocks(spark, folder, monkeypatch):
+    from tidemark.plans import PLANS
+
+    seen = {}
+
+    def noted(df, ids, stages, families, *rest):
+        seen.update({name: [family.make(df, **setting) for setting in family.settings] for name, family in families.items()})
+        seen["sizes"] = {name: family.sizes for name, family in families.items()}
+        return [("logistic", "c=1.0", 0.5, 0.5)]
+
+    monkeypatch.setattr(train, "search_families", noted)
+    assert PLANS["m21_model_families"].build(spark, folder).count() == 1
+    assert [type(m) for m in seen["forest"] + seen["boosted"]] == [train.BlockForest] * 3 + [train.BlockBoosting] * 3
+    assert [m.getOrDefault("depth") for m in seen["forest"]] == [5, 10, 30] and {m.getOrDefault("trees") for m in seen["forest"]} == {200}
+    assert {m.getOrDefault("weightCol") for m in seen["forest"]} == {"weight"} and {m.getOrDefault("rounds") for m in seen["boosted"]} == {200}
+    assert [m.getOrDefault("rate") for m in seen["boosted"]] == [0.01, 0.1, 0.2] and seen["sizes"] == {"logistic": (), "forest": (50, 100, 200), "boosted": (50, 100, 200)}

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import sys
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark import RDD, SparkContext, StorageLevel, cloudpickle, keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -25,6 +28,8 @@ BINS = 32
 DRAWN = 10_000
 #: Rows of a block.
 BLOCK = 32_768
+#: Rows up to which one task does all rounds, faster than tasks start for each level.
+ALONE = 4 * BLOCK
 #: Rounds after which the margins are worked out from the first blocks again, so that their lineage stays short.
 ANEW = 10
 EPSILON = np.finfo(float).eps
@@ -39,7 +44,8 @@ class BlockBoosting(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Fits the model of Spark's GBTClassifier on all rows and columns: its bins, loss, gains and stops, and so its trees but for rounding.
 
     Each task adds up its blocks' statistics by node, column and bin with numpy; only those sums, whose size does not depend
-    on the rows, are added up over the tasks and come to the driver, once for every level. Fitting returns Spark's own model.
+    on the rows, are added up over the tasks and come to the driver, once for every level. Up to ``ALONE`` rows one task
+    does the same with all blocks. Fitting returns Spark's own model.
     """
 
     featuresCol = Param(Params._dummy(), "featuresCol", "vector column", TypeConverters.toString)
@@ -70,20 +76,47 @@ class BlockBoosting(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             return pack(batches, limits)
 
         first = rows.mapInArrow(packed, "bins binary, y binary, w binary").rdd.map(lambda row: opened(row, len(limits))).persist(StorageLevel.MEMORY_AND_DISK)
-        trees: list[Tree] = []
-        held = first
-        for turn in range(get["rounds"]):
-            if turn:
-                source, steps = (first, trees) if turn % ANEW == 0 else (held, trees[-1:])
-                last, held = held, _moved(source, steps, turn - len(steps), get["rate"]).persist(StorageLevel.MEMORY_AND_DISK)
-            trees.append(grown(held, limits, turn, get["depth"], get["minGain"]))
-            if turn and last is not first:
-                last.unpersist()
-        for each in (held, first):
-            each.unpersist()
+        if first.map(lambda block: len(block[1])).sum() <= ALONE:
+            trees = first.coalesce(1).mapPartitions(lambda part: boosted_alone(list(part), limits, get)).collect()
+            first.unpersist()
+        else:
+            trees = _boosted_apart(first, limits, get)
         return spark_model(trees, limits, get["rate"]).setFeaturesCol(get["featuresCol"])
 
 
+def _boosted_apart(first: RDD, limits: Sequence[np.ndarray], get: dict) -> list[Tree]:
+    trees: list[Tree] = []
+    held = first
+    for turn in range(get["rounds"]):
+        if turn:
+            source, steps = (first, trees) if turn % ANEW == 0 else (held, trees[-1:])
+            last, held = held, _moved(source, steps, turn - len(steps), get["rate"]).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def add_up(splits: dict, nodes: Sequence[int], held=held, first=turn == 0):
+            def of_task(part):
+                total = statistics(part, splits, nodes, first)
+                return [] if total is None else [total]
+
+            # one array for each task, of nodes x columns x bins
+            return held.mapPartitions(of_task).reduce(np.add)
+
+        trees.append(grown(add_up, limits, get["depth"], get["minGain"]))
+        if turn and last is not first:
+            last.unpersist()
+    for each in (held, first):
+        each.unpersist()
+    return trees
+
+
+def boosted_alone(blocks: Sequence[Block], limits: Sequence[np.ndarray], get: dict) -> list[Tree]:
+    trees: list[Tree] = []
+    for turn in range(get["rounds"]):
+        if turn:
+            blocks = [moved(block, [_step(trees[-1], turn - 1, get["rate"])]) for block in blocks]
+        trees.append(grown(partial(statistics, blocks, first=turn == 0), limits, get["depth"], get["minGain"]))
+    return trees
+
+
 def binary_columns(df: DataFrame, features: str) -> set[int]:
     attributes = df.schema[features].metadata.get("ml_attr", {}).get("attrs", {})
     if any(a.get("vals") is None or len(a["vals"]) > 2 for a in attributes.get("nominal", [])):
@@ -155,19 +188,24 @@ def places(bins: np.ndarray, splits: dict) -> np.ndarray:
     return at
 
 
-def _moved(blocks: RDD, trees: Sequence[Tree], before: int, rate: float) -> RDD:
+def _step(tree: Tree, turn: int, rate: float) -> tuple[dict, dict, float]:
+    splits, leaves, _ = tree
     # the first tree counts in full
-    steps = [(splits, leaves, 1.0 if before + i == 0 else rate) for i, (splits, leaves, _) in enumerate(trees)]
+    return splits, leaves, 1.0 if turn == 0 else rate
+
+
+def moved(block: Block, steps: Sequence[tuple[dict, dict, float]]) -> Block:
+    bins, y, w, margin = block
+    for splits, leaves, share in steps:
+        values = np.zeros(max(leaves) + 1)
+        values[list(leaves)] = list(leaves.values())
+        margin = margin + share * values[places(bins, splits)]
+    return bins, y, w, margin
 
-    def add(block: Block) -> Block:
-        bins, y, w, margin = block
-        for splits, leaves, share in steps:
-            values = np.zeros(max(leaves) + 1)
-            values[list(leaves)] = list(leaves.values())
-            margin = margin + share * values[places(bins, splits)]
-        return bins, y, w, margin
 
-    return blocks.map(add)
+def _moved(blocks: RDD, trees: Sequence[Tree], before: int, rate: float) -> RDD:
+    steps = [_step(tree, before + i, rate) for i, tree in enumerate(trees)]
+    return blocks.map(lambda block: moved(block, steps))
 
 
 def statistics(blocks: Iterable[Block], splits: dict, nodes: Sequence[int], first: bool) -> np.ndarray | None:
@@ -211,20 +249,15 @@ def best_split(sums: np.ndarray, parent: np.ndarray | None, limits: Sequence[np.
     return (gain[column, cut], int(column), int(cut), left[:, column, cut], right[:, column, cut]), whole
 
 
-def grown(blocks: RDD, limits: Sequence[np.ndarray], turn: int, depth: int, min_gain: float) -> Tree:
+def grown(add_up: Callable[[dict, Sequence[int]], np.ndarray], limits: Sequence[np.ndarray], depth: int, min_gain: float) -> Tree:
+    """A tree from what ``add_up`` finds of the open nodes after the splits so far."""
     splits: dict = {}
     leaves: dict = {}
     about: dict = {}
     open_nodes: dict = {1: None}
     for level in range(depth):
         nodes = sorted(open_nodes)
-
-        def add_up(part, splits=dict(splits), nodes=nodes, first=turn == 0):  # noqa: B006
-            total = statistics(part, splits, nodes, first)
-            return [] if total is None else [total]
-
-        # one array for each task, of nodes x columns x bins
-        sums = blocks.mapPartitions(add_up).reduce(np.add)
+        sums = add_up(dict(splits), nodes)
         further: dict = {}
         for slot, node in enumerate(nodes):
             (gain, column, cut, *parts), whole = best_split(sums[:, slot], open_nodes[node], limits, min_gain)
@@ -253,21 +286,32 @@ def spark_model(trees: Sequence[Tree], limits: Sequence[np.ndarray], rate: float
     """Spark's own model of the trees."""
     context = SparkContext.getOrCreate()
     gateway, ml = context._gateway, context._jvm.org.apache.spark.ml
-    kind = ml.regression.DecisionTreeRegressionModel
-
-    def node(tree: Tree, i: int):
-        splits, leaves, about = tree
-        n, *sums, gain = about[i]
-        stats = gateway.new_array(context._jvm.double, 3)
-        stats[0], stats[1], stats[2] = sums
-        held, impurity = context._jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(stats, int(n)), float(_impurity(np.array(about[i][:4])))
+    # looked up once: each step of a name is a call
+    kind, leaf, internal, continuous = ml.regression.DecisionTreeRegressionModel, ml.tree.LeafNode, ml.tree.InternalNode, ml.tree.ContinuousSplit
+    calculator = context._jvm.org.apache.spark.mllib.tree.impurity.VarianceAggregator().getCalculator
+    # the sums of all nodes are sent at once
+    place = {key: 4 * i for i, key in enumerate((t, node) for t, (_, _, about) in enumerate(trees) for node in about)}
+    sums = _py2java(context, DenseVector([x for t, node in place for x in (*trees[t][2][node][1:4], trees[t][2][node][0])])).toArray()
+
+    def node(t: int, i: int):
+        splits, leaves, about = trees[t]
+        held, impurity = calculator(sums, place[t, i]), float(_impurity(np.array(about[i][:4])))
         if i in leaves:
-            return ml.tree.LeafNode(leaves[i], impurity, held)
+            return leaf(leaves[i], impurity, held)
         column, cut = splits[i]
-        split = ml.tree.ContinuousSplit(column, float(limits[column][cut]))
-        return ml.tree.InternalNode(_mean(np.array(about[i][:4])), impurity, gain, node(tree, 2 * i), node(tree, 2 * i + 1), split, held)
+        split = continuous(column, float(limits[column][cut]))
+        return internal(_mean(np.array(about[i][:4])), impurity, about[i][4], node(t, 2 * i), node(t, 2 * i + 1), split, held)
 
     made, weights = gateway.new_array(kind, len(trees)), gateway.new_array(context._jvm.double, len(trees))
-    for i, tree in enumerate(trees):
-        made[i], weights[i] = kind(f"dtr_{uuid.uuid4().hex[:12]}", node(tree, 1), len(limits)), rate if i else 1.0
-    return GBTClassificationModel(ml.classification.GBTClassificationModel(f"gbtc_{uuid.uuid4().hex[:12]}", made, weights, len(limits), 2))
+    for t in range(len(trees)):
+        made[t], weights[t] = kind(f"dtr_{uuid.uuid4().hex[:12]}", node(t, 1), len(limits)), rate if t else 1.0
+    return wrapped(GBTClassificationModel, ml.classification.GBTClassificationModel(f"gbtc_{uuid.uuid4().hex[:12]}", made, weights, len(limits), 2))
+
+
+def wrapped(kind: type, java):
+    """The Python model of one of Spark's ensembles. Made plainly it lists its parameters by looking at all its attributes, and so makes a model of every tree."""
+    model = kind.__new__(kind)
+    model.__dict__["trees"] = []
+    model.__init__(java)
+    del model.__dict__["trees"]
+    return model

@@ -28,7 +28,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.models.blocks import BlockBoosting
+from tidemark.models.blocks import BlockBoosting, wrapped
 from tidemark.models.forest import BlockForest, BlockForestModel
 from tidemark.models.prepare import draw
 from tidemark.skew import settle
@@ -341,7 +341,7 @@ def first_trees(model, n: int):
     else:
         made = context._jvm.org.apache.spark.ml.classification.RandomForestClassificationModel(uid, trees, java.numFeatures(), java.numClasses())
     java.extractParamMap()
-    return type(model)(java.copyValues(made, context._jvm.org.apache.spark.ml.param.ParamMap.empty()))
+    return wrapped(type(model), java.copyValues(made, context._jvm.org.apache.spark.ml.param.ParamMap.empty()))
 
 
 def search_families(
@@ -367,8 +367,10 @@ def search_families(
         sizes = [(n, first_trees(model, n)) for n in family.sizes] or [(None, model)]
         return [(_spelled(setting, n), evaluator.evaluate(m.transform(score_rows))) for n, m in sizes]
 
-    # the longest fits first, so that none is left to run alone
-    tasks = [(name, setting, part) for name, family in sorted(families.items(), key=lambda f: not f[1].sizes) for setting in family.settings for part in parts]
+    # the longest fits first, so that none is left to run alone, and the families by turns: what one's driver does and the other's tasks do overlap
+    by_family = [[(name, setting, part) for setting in family.settings for part in parts] for name, family in families.items()]
+    turns = sorted((not families[task[0]].sizes, turn, i) for i, some in enumerate(by_family) for turn, task in enumerate(some))
+    tasks = [by_family[i][turn] for _, turn, i in turns]
     with ThreadPool(parallelism) as pool:
         found = pool.map(lambda task: judged(families[task[0]], task[1], *task[2]), tasks, chunksize=1)
     scores: dict[str, dict[str, list[float]]] = {name: {} for name in families}

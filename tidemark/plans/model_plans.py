@@ -397,8 +397,8 @@ def m21_families(t: Tables):
     fit_rows, test_rows = split(weighted)
     families = {
         "logistic": train.Family(lambda rows, c: train.logistic(rows, c, weight="weight"), [{"c": c} for c in (0.01, 0.1, 1.0, 10.0)]),
-        "forest": train.Family(lambda _, depth: train.forest(trees=200, depth=depth, weight="weight"), [{"depth": d} for d in (5, 10, train.DEEPEST)], (50, 100, 200)),
-        "boosted": train.Family(lambda _, rate: train.boosted(rounds=200, rate=rate), [{"rate": r} for r in (0.01, 0.1, 0.2)], (50, 100, 200)),
+        "forest": train.Family(lambda _, depth: train.forest_in_blocks(trees=200, depth=depth, weight="weight"), [{"depth": d} for d in (5, 10, train.DEEPEST)], (50, 100, 200)),
+        "boosted": train.Family(lambda _, rate: train.boosted_in_blocks(rounds=200, rate=rate), [{"rate": r} for r in (0.01, 0.1, 0.2)], (50, 100, 200)),
     }
     rows = train.search_families(fit_rows, ["c_custkey"], matrix(), families, BinaryClassificationEvaluator(), test_rows)
     return _result(t, ["family", "best", "mean_auc", "test_auc"], rows, "string string double double")
